@@ -73,6 +73,16 @@ def parse_body(body: Column, fmt: LogFormat) -> Column:
     return F.from_json(unescape(body), body_schema(fmt), _JSON_OPTS)
 
 
+def _fence(df: DataFrame, cols: list[Column]) -> DataFrame:
+    """Project ``cols`` through a one-row ``inline`` generator.
+
+    Filters on the parsed columns (``reason IS NULL``) then stay above the
+    decode: without it Catalyst pushes them below the projections and inlines
+    every ``from_json`` reference into an interpreted filter.
+    """
+    return df.select(F.inline(F.array(F.struct(*cols))))
+
+
 def parse_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str = "value") -> DataFrame:
     """Every line with parsed columns and a ``reason`` (null = good request)."""
     v = F.col(value_col)
@@ -98,11 +108,11 @@ def parse_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str =
                     | nd.isNull(), "missing_field")
               .when(has_null_cell(F.col("data")), "bad_vector")
               .when(is_ragged(F.col("data")), "ragged_vector"))
-    return df.select(
+    return _fence(df, [
         F.col("_env.insertId").alias("insert_id"),
         model_id.alias("model_id"), model.alias("model"), axon.alias("axon"),
         F.col("_env.timestamp").alias("timestamp"),
-        "data", reason.alias("reason"), v.alias("value"))
+        F.col("data"), reason.alias("reason"), v.alias("value")])
 
 
 def parse_requests(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str = "value") -> DataFrame:
@@ -143,8 +153,8 @@ def parse_file_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col:
               .when(authority.isNull() | nd.isNull(), "missing_field")
               .when(has_null_cell(F.col("data")), "bad_vector")
               .when(is_ragged(F.col("data")), "ragged_vector"))
-    return df.select(F.substring_index(authority, ":", 1).alias("model"),
-                     F.lit(0).cast("bigint").alias("timestamp"), "data", reason.alias("reason"))
+    return _fence(df, [F.substring_index(authority, ":", 1).alias("model"),
+                       F.lit(0).cast("bigint").alias("timestamp"), F.col("data"), reason.alias("reason")])
 
 
 def parse_responses(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str = "value") -> DataFrame:

@@ -200,7 +200,7 @@ UNION ALL SELECT 'ins-' || CAST(event_id AS VARCHAR), 0, 2, CAST(k AS DOUBLE) FR
     o["metric_lines"] = flag + f"""
 SELECT 'http://{g['gateway']}.{g['namespace']}.svc.cluster.local:{g['port']}/metrics/job/' || model_id || '/pod/' AS url,
   replace('{Q.METRIC}_' || axon, '-', '__') || ' ' || CAST(drift_probability AS VARCHAR) || chr(10) AS line FROM st"""
-    o["state_snapshot_all_keys"] = _flagship("AND NOT (event_type = 'error' AND batch_id % 2 = 0)") + f""",
+    o["state_snapshot_all_keys"] = _flagship("AND NOT (model_id = 'error' AND batch_id % 2 = 0)") + f""",
 s2 AS (SELECT model_id, batch_id, axon, drift_probability, TRUE AS has FROM st),
 firsts AS (SELECT model_id, min(batch_id) AS fb FROM s2 GROUP BY model_id),
 lastb AS (SELECT max(batch_id) AS lb FROM s2),
