@@ -25,12 +25,13 @@ def sorted_streams(df: DataFrame, keys: list[str], order: list[str], num_partiti
     return parts.sortWithinPartitions(*keys, *order)
 
 
-def fold_alarms(df: DataFrame, keys: list[str], order: list[str], x: str,
+def fold_alarms(df: DataFrame, keys: list[str], order: list[str], x: str | list[str],
                 detector: Callable[[], object], req: str | None = None,
                 carry: list[str] | None = None, poll: str = "request_end",
                 emit_all: bool = False) -> DataFrame:
     """Run ``detector()`` over each key's values of ``x`` in ``order``.
 
+    ``x`` may name several columns; the detector then gets ``step(*values)``.
     Output: ``*keys, rn, *carry, warning, change`` for every polled request
     whose flags are set (``emit_all``: every polled request). ``rn`` is the
     1-based position of the polled row in its key. With ``req`` the flags are
@@ -42,7 +43,9 @@ def fold_alarms(df: DataFrame, keys: list[str], order: list[str], x: str,
     carry = list(carry or [])
     if req and req not in carry:
         carry = [req] + carry
-    cols = list(dict.fromkeys(keys + order + [x] + carry))
+    xcols = [x] if isinstance(x, str) else list(x)
+    multi = len(xcols) > 1
+    cols = list(dict.fromkeys(keys + order + xcols + carry))
     src = sorted_streams(df.select(*cols), keys, order)
     in_fields = {f.name: f for f in src.schema.fields}
     out_schema = T.StructType(
@@ -62,7 +65,7 @@ def fold_alarms(df: DataFrame, keys: list[str], order: list[str], x: str,
             if pdf.empty:
                 continue
             kv = list(zip(*[pdf[k].tolist() for k in keys])) if nk > 1 else pdf[keys[0]].tolist()
-            xs = pdf[x].tolist()
+            xs = list(zip(*[pdf[c].tolist() for c in xcols])) if multi else pdf[xcols[0]].tolist()
             cv = [pdf[c].tolist() for c in carry]
             rq = pdf[req].tolist() if req else None
             out = []
@@ -75,7 +78,9 @@ def fold_alarms(df: DataFrame, keys: list[str], order: list[str], x: str,
                     cur, det, rn = key, detector(), 0
                 rn += 1
                 xi = xs[i]
-                if xi is None or xi != xi:      # null / NaN cells carry no information
+                if multi:
+                    w, c = det.step(*xi)
+                elif xi is None or xi != xi:      # null / NaN cells carry no information
                     w, c = False, False
                 else:
                     w, c = det.step(float(xi))

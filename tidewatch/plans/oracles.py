@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from tidewatch.config import SEVERITY_ORDER
 from tidewatch.plans import queries as Q
-from tidewatch.plans.sqlfold import SPECS, detector_fold, lit
+from tidewatch import config as C
+from tidewatch.operators.kl import chi2_95
+from tidewatch.plans.sqlfold import detector_fold, lit, seqdrift1_fold
 
 D0, D1 = lit(0.0), lit(1.0)
 
@@ -158,6 +160,42 @@ def _adwin_feat_sql() -> str:
             "SELECT DISTINCT model_id, feature_idx, t AS rn, FALSE AS warning, TRUE AS change FROM chk WHERE cut")
 
 
+def _seqdrift1_sql() -> str:
+    det, signal, opts = Q.BLOCK_QUERIES["det_seqdrift1"]
+    o = C.SeqDrift1Options(**opts)
+    fold = seqdrift1_fold("fold", "bsrc", ["model_id"], o)
+    return f"""WITH RECURSIVE {SIG},
+blocks AS (SELECT model_id, (rn - 1) // {o.block} AS block, count(*) AS n, sum({signal}) AS sx,
+                  sum({signal} * {signal}) AS sxx, max(rn) AS end_rn FROM sig GROUP BY ALL),
+bsrc AS (SELECT model_id, block + 1 AS rn, n, sx, sxx, end_rn FROM blocks),
+{fold}
+SELECT f.model_id, b.end_rn AS rn, f.warning, f.change FROM fold AS f JOIN bsrc AS b
+  ON f.model_id = b.model_id AND f.rn = b.rn WHERE f.warning OR f.change"""
+
+
+def _kl_sql(name: str, signal: str = "s") -> str:
+    o = C.KlOptions(**Q.KL_QUERIES[name])
+    K, W = o.bins, o.window
+    width = (o.hi - o.lo) / K
+    counts = ", ".join(f"sum(CASE WHEN bin = {b} THEN 1 ELSE 0 END) AS c{b}" for b in range(K))
+    pcols = ", ".join(f"p.c{b} AS p{b}" for b in range(K))
+    half = lit(0.5 * K)
+    terms = []
+    for b in range(K):
+        p = f"((CAST(p{b} AS DOUBLE) + {lit(0.5)}) / (CAST(pn AS DOUBLE) + {half}))"
+        q = f"((CAST(c{b} AS DOUBLE) + {lit(0.5)}) / (CAST(n AS DOUBLE) + {half}))"
+        terms.append(f"{p} * ln({p} / {q})")
+    kl = " + ".join(terms)
+    thr = chi2_95(K - 1)
+    change = "FALSE" if thr == float("inf") else f"{lit(2.0 * W)} * ({kl}) > {lit(thr)}"
+    return f"""WITH {SIG},
+bb AS (SELECT model_id, (rn - 1) // {W} AS win,
+       least(greatest(floor(({signal} - {lit(o.lo)}) / {lit(width)}), 0), {K - 1}) AS bin FROM sig),
+c AS (SELECT model_id, win, count(*) AS n, {counts} FROM bb GROUP BY model_id, win),
+j AS (SELECT c.*, p.n AS pn, {pcols} FROM c JOIN c AS p ON c.model_id = p.model_id AND c.win = p.win + 1)
+SELECT model_id, win, round({kl}, 6) AS kl, {change} AS change FROM j"""
+
+
 def _sev_list() -> str:
     return "[" + ", ".join(f"'{s}'" for s in SEVERITY_ORDER) + "]"
 
@@ -224,6 +262,11 @@ FROM good GROUP BY model_id, batch_id"""
     for name in Q.FEATURE_QUERIES:
         o[name] = _adwin_feat_sql() if name == "feat_adwin" else _feature_sql(name)
 
+    o["det_seqdrift1"] = _seqdrift1_sql()
+    for name in Q.KL_QUERIES:
+        o[name] = _kl_sql(name)
+    o["vote_warning_equals_change"] = ("SELECT model_id, win, change AS warning, change FROM ("
+                                       + _kl_sql("kl_10_5") + ") AS k WHERE change")
     o["cusum_first_alarm"] = f"""WITH {SIG},
 c AS (SELECT model_id, rn, s, sum(s) OVER (PARTITION BY model_id ORDER BY rn {UPTO}) AS cx FROM sig),
 v AS (SELECT *, s - cx / rn - {lit(0.005)} AS v FROM c),

@@ -20,6 +20,8 @@ from tidewatch.functions.vectors import explode_vectors, vector_dim
 from tidewatch.operators import detectors as D
 from tidewatch.operators.fold import alarms_by, fold_alarms
 from tidewatch.operators.state import batch_grid, latch, snapshot_all_keys
+from tidewatch.operators.blocks import block_alarms
+from tidewatch.operators.kl import kl_windows
 from tidewatch.operators.windows import cusum_first_alarm, ddm_first_alarm
 from tidewatch.plans import inputs as I
 from tidewatch.sources.loglines import file_log_lines, severity_log_rows
@@ -46,6 +48,14 @@ FEATURE_QUERIES = {
     "feat_ddm": ("DDM", True, {}),
     "feat_adwin": ("ADWIN", False, dict(delta=0.002)),
 }
+BLOCK_QUERIES = {
+    "det_seqdrift1": ("SEQ1", "s", dict(delta=0.01, warn_delta=0.1, block=200)),
+    "det_seed": ("SEED", "s", dict(delta=0.05, block=32, eps_prime=0.01, alpha=0.8, compress=75)),
+}
+KL_QUERIES = {
+    "kl_10_5": dict(window=10, bins=5, lo=0.0, hi=5.0),
+    "kl_100_1": dict(window=100, bins=1, lo=0.0, hi=5.0),
+}
 VOTE_DETECTOR = ("PAGE_HINKLEY", dict(min_n=30, delta=0.005, lam=20.0, alpha=0.9999))
 VOTE_THRESHOLD = 0.01
 ROWS_PER_REQUEST = 3
@@ -181,6 +191,31 @@ def _detector_query(name: str):
     return q
 
 
+def _block_query(name: str):
+    det, signal, opts = BLOCK_QUERIES[name]
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return block_alarms(I.signals(spark, sf_dir), KEY, "batch_id", ORDER, signal, det, **opts)
+    q.__name__ = name
+    return q
+
+
+def _kl_query(name: str):
+    opts = KL_QUERIES[name]
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return kl_windows(I.signals(spark, sf_dir), KEY, "batch_id", ORDER, "s", C.KlOptions(**opts))
+    q.__name__ = name
+    return q
+
+
+def vote_warning_equals_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A vector detector whose warning query answers its change flag: the
+    warning level (0.8) is unreachable, every alarm is a change."""
+    k = _kl_query("kl_10_5")(spark, sf_dir)
+    return k.filter("change").select(KEY, "win", F.col("change").alias("warning"), "change")
+
+
 def cusum_first_alarm_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cusum_first_alarm(I.signals(spark, sf_dir), KEY, "batch_id", ORDER, "s",
                              C.CusumOptions(min_n=30, delta=0.005, lam=50.0))
@@ -310,6 +345,7 @@ def registry() -> dict:
         "ddm_first_alarm": ddm_first_alarm_q,
         "poll_request_end": poll_request_end,
         "vote_any": vote_any,
+        "vote_warning_equals_change": vote_warning_equals_change,
         "vote_majority": vote_majority,
         "vote_logistic_decay": vote_logistic_decay,
         "state_recent_first": state_recent_first,
@@ -321,4 +357,8 @@ def registry() -> dict:
         q[name] = _detector_query(name)
     for name in FEATURE_QUERIES:
         q[name] = _feature_query(name)
+    for name in BLOCK_QUERIES:
+        q[name] = _block_query(name)
+    for name in KL_QUERIES:
+        q[name] = _kl_query(name)
     return q

@@ -25,7 +25,7 @@ def lit(v) -> str:
 
 def recursive_fold(name: str, src: str, keys: list[str], state: list[tuple[str, str]],
                    steps: list[tuple[str, str]], change: str, warning: str = "FALSE",
-                   restart: bool = True) -> str:
+                   restart: bool = True, xcols: tuple[str, ...] = ("x",)) -> str:
     """CTE ``name`` with columns ``*keys, rn, *state, warning, change``."""
     kl = ", ".join(keys)
     svars = [s for s, _ in state]
@@ -36,7 +36,7 @@ def recursive_fold(name: str, src: str, keys: list[str], state: list[tuple[str,
         (f"CASE WHEN f.change THEN {init} ELSE f.{v} END AS p_{v}" if restart else f"f.{v} AS p_{v}")
         for v, init in state)
     on = " AND ".join(f"s.{k} = f.{k}" for k in keys)
-    body = (f"SELECT {', '.join('s.' + k for k in keys)}, s.rn, s.x, {prev} "
+    body = (f"SELECT {', '.join('s.' + k for k in keys)}, s.rn, {', '.join('s.' + c for c in xcols)}, {prev} "
             f"FROM {name} AS f JOIN {src} AS s ON {on} AND s.rn = f.rn + 1")
     for v, expr in steps:
         body = f"SELECT *, {expr} AS {v} FROM ({body}) AS _s"
@@ -202,3 +202,26 @@ def detector_fold(name: str, src: str, keys: list[str], detector: str, **options
     fn, opts = SPECS[detector]
     state, steps, change, warning = fn(opts(**options))
     return recursive_fold(name, src, keys, state, steps, change, warning)
+
+
+def seqdrift1_fold(name: str, src: str, keys: list[str], o: C.SeqDrift1Options = C.SeqDrift1Options()) -> str:
+    """Fold over block rows ``*keys, rn, n, sx, sxx`` (no restart: the left
+    reservoir is replaced by the newest block on a change)."""
+    qd, qw = lit(math.log(4.0 / o.delta)), lit(math.log(4.0 / o.warn_delta))
+
+    def bound(q):
+        return f"{lit(2.0)} / ({lit(3.0)} * m) * ({q} + sqrt({q} * {q} + {lit(18.0)} * var * m * {q}))"
+
+    state = [("ln", lit(0)), ("ls", lit(0.0)), ("lq", lit(0.0))]
+    steps = [("first", "p_ln = 0"),
+             ("ntot", "p_ln + n"),
+             ("mu", "(p_ls + sx) / ntot"),
+             ("var", f"greatest((p_lq + sxx) / ntot - mu * mu, {lit(0.0)})"),
+             ("m", f"CASE WHEN first THEN NULL ELSE {lit(1.0)} / ({lit(1.0)} / p_ln + {lit(1.0)} / n) END"),
+             ("diff", "CASE WHEN first THEN NULL ELSE abs(p_ls / p_ln - sx / n) END"),
+             ("chg", f"NOT first AND diff > {bound(qd)}"),
+             ("wrn", f"NOT first AND NOT chg AND diff > {bound(qw)}"),
+             ("ln", "CASE WHEN first OR chg THEN n ELSE ntot END"),
+             ("ls", "CASE WHEN first OR chg THEN sx ELSE p_ls + sx END"),
+             ("lq", "CASE WHEN first OR chg THEN sxx ELSE p_lq + sxx END")]
+    return recursive_fold(name, src, keys, state, steps, "chg", "wrn", restart=False, xcols=("n", "sx", "sxx"))
