@@ -32,8 +32,25 @@ INF = float("inf")
 ECDD_L = (3.97, 6.56, 48.73, 330.13, 848.18)
 
 
-class Cusum:
+class _Stateful:
+    """``dump()``/``load()`` of the detector state as a list of doubles (the
+    typed ``array<double>`` column of a streaming state store)."""
+
+    __slots__ = ()
+    STATE: tuple = ()
+
+    def dump(self) -> list[float]:
+        return [float(getattr(self, s)) for s in self.STATE]
+
+    def load(self, values) -> None:
+        for s, v in zip(self.STATE, values):
+            kind = type(getattr(self, s))
+            setattr(self, s, kind(v) if kind is not bool else bool(v))
+
+
+class Cusum(_Stateful):
     __slots__ = ("o", "n", "mean", "s")
+    STATE = ("n", "mean", "s")
 
     def __init__(self, o: C.CusumOptions = C.CusumOptions()):
         self.o = o
@@ -52,8 +69,9 @@ class Cusum:
         return False, False
 
 
-class PageHinkley:
+class PageHinkley(_Stateful):
     __slots__ = ("o", "n", "mean", "s")
+    STATE = ("n", "mean", "s")
 
     def __init__(self, o: C.PageHinkleyOptions = C.PageHinkleyOptions()):
         self.o = o
@@ -72,8 +90,9 @@ class PageHinkley:
         return False, False
 
 
-class Gma:
+class Gma(_Stateful):
     __slots__ = ("o", "oma", "n", "mean", "s")
+    STATE = ("n", "mean", "s")
 
     def __init__(self, o: C.GmaOptions = C.GmaOptions()):
         self.o = o
@@ -93,8 +112,9 @@ class Gma:
         return False, False
 
 
-class Ddm:
+class Ddm(_Stateful):
     __slots__ = ("o", "n", "p", "pmin", "smin", "psmin")
+    STATE = ("n", "p", "pmin", "smin", "psmin")
 
     def __init__(self, o: C.DdmOptions = C.DdmOptions()):
         self.o = o
@@ -119,10 +139,11 @@ class Ddm:
         return ps > self.pmin + self.o.warn_level * self.smin, False
 
 
-class Eddm:
+class Eddm(_Stateful):
     """Distances between events (x = 1): ratio of mean + 2 sd to its maximum."""
 
     __slots__ = ("o", "n", "last", "k", "mean", "m2", "m2smax")
+    STATE = ("n", "last", "k", "mean", "m2", "m2smax")
 
     def __init__(self, o: C.EddmOptions = C.EddmOptions()):
         self.o = o
@@ -155,8 +176,9 @@ class Eddm:
         return self.k >= self.o.min_events and ratio < self.o.warn_ratio, False
 
 
-class Ewma:
+class Ewma(_Stateful):
     __slots__ = ("o", "c1", "oml", "n", "sum", "z")
+    STATE = ("n", "sum", "z")
 
     def __init__(self, o: C.EwmaOptions = C.EwmaOptions()):
         self.o = o
@@ -184,10 +206,11 @@ class Ewma:
         return self.z > p + 0.5 * lim * sd, False
 
 
-class HddmA:
+class HddmA(_Stateful):
     """Hoeffding bound on the mean before the best cut point vs the whole."""
 
     __slots__ = ("o", "ln_d", "ln_w", "N", "S", "cn", "cs", "mn", "ms")
+    STATE = ("N", "S", "cn", "cs", "mn", "ms")
 
     def __init__(self, o: C.HddmAOptions = C.HddmAOptions()):
         self.o = o
@@ -269,6 +292,17 @@ class HddmW:
             e.ibc = self.lam2 + self.oml2 * e.ibc
         e.n += 1
 
+    def dump(self) -> list[float]:
+        e = [self.tot, self.inc2, self.dec2]
+        return ([float(v) for w in e for v in (w.n, w.z, w.ibc)]
+                + [float(self.inc_set), self.inc_z, self.inc_ibc, float(self.dec_set), self.dec_z, self.dec_ibc])
+
+    def load(self, v) -> None:
+        for i, w in enumerate([self.tot, self.inc2, self.dec2]):
+            w.n, w.z, w.ibc = int(v[3 * i]), v[3 * i + 1], v[3 * i + 2]
+        self.inc_set, self.inc_z, self.inc_ibc = bool(v[9]), v[10], v[11]
+        self.dec_set, self.dec_z, self.dec_ibc = bool(v[12]), v[13], v[14]
+
     def step(self, x):
         t = self.tot
         self._add(t, x)
@@ -337,6 +371,13 @@ class Adwin:
         self.t, self.start, self.base = 0, 0, 0
         self.P, self.Q = [0.0], [0.0]
 
+    def dump(self) -> list[float]:
+        return [float(self.t), float(self.start), float(self.base), float(len(self.P))] + list(self.P) + list(self.Q)
+
+    def load(self, v) -> None:
+        self.t, self.start, self.base, k = int(v[0]), int(v[1]), int(v[2]), int(v[3])
+        self.P, self.Q = list(v[4:4 + k]), list(v[4 + k:4 + 2 * k])
+
     def step(self, x):
         self.t += 1
         self.P.append(self.P[-1] + x)

@@ -233,6 +233,7 @@ UNION ALL SELECT 'ins-' || CAST(event_id AS VARCHAR), 0, 2, CAST(k AS DOUBLE) FR
 
     flag = _flagship()
     o["state_batches"] = flag + "\nSELECT model_id, batch_id, warning_detected, change_detected, drift_probability FROM st"
+    o["stream_state"] = o["state_batches"]
     o["state_rows"] = flag + "\n" + STATE_ROWS
     g = Q.GATEWAY
     o["metric_lines"] = flag + f"""

@@ -297,6 +297,29 @@ def vote_logistic_decay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_req.filter(F.col("score") > VOTE_THRESHOLD).select(KEY, "req_id", F.round("score", 6).alias("score"))
 
 
+# ---------------------------------------------------------------- streaming
+
+
+def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming job end to end: log lines land as files (one folder per
+    day), a Structured Streaming query folds them per model with keyed state
+    and writes states per epoch; the result is the last state per (model,
+    batch), which must equal the table mode (``state_batches``)."""
+    from tidewatch.session import scratch_path
+    from tidewatch.sources.loglines import request_log_lines
+    from tidewatch.streaming import job
+    from tidewatch.streaming.sinks import read_final_states
+
+    root = scratch_path(spark, "stream_state")
+    job.write_landing(request_log_lines(I.events(spark, sf_dir), keep_ids=True), f"{root}/landing")
+    q = job.start(spark, f"{root}/landing", f"{root}/out", f"{root}/checkpoint", detector=FLAGSHIP)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
+    st = read_final_states(spark, f"{root}/out")
+    return st.select(KEY, "batch_id", "warning_detected", "change_detected", "drift_probability")
+
+
 # ---------------------------------------------------------------- reports
 
 
@@ -335,6 +358,7 @@ def registry() -> dict:
         "vector_dims": vector_dims,
         "vector_explode": vector_explode,
         "state_batches": state_batches,
+        "stream_state": stream_state,
         "state_rows": state_rows,
         "metric_lines": metric_lines,
         "state_snapshot_all_keys": state_snapshot_all_keys,
