@@ -137,6 +137,7 @@ def block_alarms(df: DataFrame, key: str, chunk: str, order: list[str], x: str,
     """``key, rn, warning, change`` (``rn`` = last row of the alarming block)."""
     cls, ocls = {"SEQ1": (SeqDrift1, C.SeqDrift1Options), "SEED": (Seed, C.SeedOptions)}[detector]
     o = ocls(**options)
-    stats = block_stats(df, key, chunk, order, x, o.block)
+    # a block is tested when it completes: a trailing partial block waits
+    stats = block_stats(df, key, chunk, order, x, o.block).filter(F.col("n") == o.block)
     a = fold_alarms(stats, [key], ["block"], ["n", "sx", "sxx"], partial(_make, cls, o), carry=["end_rn"])
     return a.select(key, F.col("end_rn").alias("rn"), "warning", "change")

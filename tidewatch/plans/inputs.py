@@ -40,11 +40,17 @@ def requests(spark: SparkSession, sf_dir: str, fmt: LogFormat = LogFormat()) ->
     return requests_of(log_lines(spark, sf_dir, fmt), fmt)
 
 
-def request_signal(reqs: DataFrame) -> DataFrame:
-    """Per-row detector input of the flagship: first feature / 100 plus the
-    planted shift ``ts >= DRIFT_START``."""
+def flagship_signal(x, ts):
+    """Detector input of the flagship: first feature / 100 plus the planted
+    shift ``ts >= DRIFT_START``."""
+    d = ts >= F.lit(DRIFT_START).cast("timestamp_ntz")
+    return x / 100 + F.when(d, 1.0).otherwise(0.0)
+
+
+def request_signal(reqs: DataFrame, signal=None) -> DataFrame:
+    """One row per vector row: ``signal(first feature, ts)`` as ``x``."""
+    signal = signal or flagship_signal
     long = explode_vectors(reqs, ["model_id", "insert_id", "ts", "batch_id"])
-    d = F.col("ts") >= F.lit(DRIFT_START).cast("timestamp_ntz")
     return (long.filter(F.col("feature_idx") == 0)
                 .select("model_id", "insert_id", "ts", "batch_id", "row_idx",
-                        (F.col("x") / 100 + F.when(d, 1.0).otherwise(0.0)).alias("x")))
+                        signal(F.col("x"), F.col("ts")).alias("x")))

@@ -166,7 +166,7 @@ def _seqdrift1_sql() -> str:
     fold = seqdrift1_fold("fold", "bsrc", ["model_id"], o)
     return f"""WITH RECURSIVE {SIG},
 blocks AS (SELECT model_id, (rn - 1) // {o.block} AS block, count(*) AS n, sum({signal}) AS sx,
-                  sum({signal} * {signal}) AS sxx, max(rn) AS end_rn FROM sig GROUP BY ALL),
+                  sum({signal} * {signal}) AS sxx, max(rn) AS end_rn FROM sig GROUP BY ALL HAVING count(*) = {o.block}),
 bsrc AS (SELECT model_id, block + 1 AS rn, n, sx, sxx, end_rn FROM blocks),
 {fold}
 SELECT f.model_id, b.end_rn AS rn, f.warning, f.change FROM fold AS f JOIN bsrc AS b

@@ -116,12 +116,16 @@ def vector_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- state
 
 
-def request_states(reqs: DataFrame, detector=FLAGSHIP) -> DataFrame:
+def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str = "request_end") -> DataFrame:
     """Table-mode state per (model, batch) of parsed requests: fold the
-    detector over the flagship signal, poll at request end, latch."""
-    sig = I.request_signal(reqs)
-    alarms = fold_alarms(sig, [KEY], ["ts", "insert_id", "row_idx"], "x", _det(*detector),
-                         req="insert_id", carry=["batch_id"])
+    detector over the signal, poll at request end, latch.
+
+    ``detector`` is ``(name, options)`` or a factory returning an object with
+    ``step(x) -> (warning, change)``."""
+    sig = I.request_signal(reqs, signal)
+    det = detector if callable(detector) else _det(*detector)
+    alarms = fold_alarms(sig, [KEY], ["ts", "insert_id", "row_idx"], "x", det,
+                         req="insert_id", carry=["batch_id"], poll=poll)
     grid = batch_grid(reqs, KEY, "batch_id", order=["ts", "insert_id"], meta=["model", "axon"])
     return latch(grid, alarms_by(alarms, [KEY, "batch_id"]), KEY, "batch_id")
 

@@ -32,7 +32,7 @@ def get_session(master: str | None = None, app: str = "tidewatch",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
@@ -53,6 +53,31 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidewatch`` importable in the Python workers (once per context).
+
+    The package is zipped into the shared checkpoint folder and added with
+    ``addPyFile``. When that folder is not a local path (a cluster store),
+    ship the package with ``--py-files`` at submit time instead.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tidewatch_shipped", False):
+        return
+    root = checkpoint_root(spark)
+    if "://" in root and not root.startswith("file:"):
+        sc._tidewatch_shipped = True
+        return
+    import shutil
+
+    import tidewatch
+    pkg = os.path.dirname(os.path.abspath(tidewatch.__file__))
+    base = os.path.join(root.replace("file:", ""), "tidewatch-code", uuid.uuid4().hex[:8], "tidewatch")
+    os.makedirs(os.path.dirname(base), exist_ok=True)
+    zpath = shutil.make_archive(base, "zip", root_dir=os.path.dirname(pkg), base_dir="tidewatch")
+    sc.addPyFile(zpath)
+    sc._tidewatch_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")

@@ -12,8 +12,8 @@ from tidewatch.streaming.stateful import detector_factory, keyed_states, request
 
 
 def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
-          detector: tuple[str, dict] = ("CUSUM", dict(min_n=30, delta=0.005, lam=50.0)),
-          fmt: LogFormat = LogFormat(), max_files_per_trigger: int | None = None,
+          detector=("CUSUM", dict(min_n=30, delta=0.005, lam=50.0)),
+          fmt: LogFormat = LogFormat(), signal=None, max_files_per_trigger: int | None = None,
           available_now: bool = True, processing_time: str | None = None,
           publish_all_keys: bool = False, send=None) -> StreamingQuery:
     """Start the drift-state stream over text files appearing in ``landing``.
@@ -25,7 +25,7 @@ def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.load(landing).select("value")
-    states = keyed_states(request_inputs(lines, fmt), detector_factory(*detector))
+    states = keyed_states(request_inputs(lines, fmt, signal), detector_factory(detector))
     writer = (states.writeStream.outputMode("update")
               .option("checkpointLocation", checkpoint)
               .foreachBatch(make_batch_writer(out_dir, publish_all_keys=publish_all_keys, send=send)))

@@ -22,9 +22,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewatch.config import LogFormat
 from tidewatch.functions.metrics import CHANGE_PROBABILITY, WARNING_PROBABILITY
-from tidewatch.functions.signals import DRIFT_START
 from tidewatch.operators import detectors as D
-from tidewatch.plans.inputs import requests_of
+from tidewatch.plans.inputs import flagship_signal, requests_of
 
 STATE_SCHEMA = ("first_batch LONG, warning_detected BOOLEAN, change_detected BOOLEAN, "
                 "has_detector BOOLEAN, detector ARRAY<DOUBLE>")
@@ -35,14 +34,11 @@ OUTPUT_SCHEMA = ("model_id STRING, batch_id LONG, model STRING, axon STRING, n_r
 def request_inputs(lines: DataFrame, fmt: LogFormat = LogFormat(), signal: Callable | None = None) -> DataFrame:
     """``model_id, model, axon, insert_id, ts, batch_id, xs`` per request.
 
-    ``signal(row, ts)`` maps a vector row to the detector input; the default
-    is the flagship's: first feature / 100 plus the planted shift."""
+    ``signal(x, ts)`` maps the first feature of a vector row to the detector
+    input (default: the flagship's, as in the table mode)."""
     req = requests_of(lines, fmt)
-    if signal is None:
-        def signal(r, ts):
-            d = ts >= F.lit(DRIFT_START).cast("timestamp_ntz")
-            return r[0] / 100 + F.when(d, 1.0).otherwise(0.0)
-    xs = F.transform(F.col("data"), lambda r: signal(r, F.col("ts")))
+    signal = signal or flagship_signal
+    xs = F.transform(F.col("data"), lambda r: signal(r[0], F.col("ts")))
     return req.select("model_id", "model", "axon", "insert_id", "ts", "batch_id", xs.alias("xs"))
 
 
@@ -86,6 +82,10 @@ def keyed_states(inputs: DataFrame, detector: Callable[[], object]) -> DataFrame
         partial(_update, detector), OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
 
 
-def detector_factory(name: str, options: dict) -> Callable[[], object]:
+def detector_factory(detector) -> Callable[[], object]:
+    """``(name, options)`` -> validated factory; a callable passes through."""
+    if callable(detector):
+        return detector
+    name, options = detector
     D.make_detector(name, **options)              # validate on the driver
     return partial(D.make_detector, name, **options)
