@@ -54,3 +54,11 @@ def request_signal(reqs: DataFrame, signal=None) -> DataFrame:
     return (long.filter(F.col("feature_idx") == 0)
                 .select("model_id", "insert_id", "ts", "batch_id", "row_idx",
                         signal(F.col("x"), F.col("ts")).alias("x")))
+
+
+def with_inputs(reqs: DataFrame, signal=None) -> DataFrame:
+    """Requests with their detector inputs ``xs ARRAY<DOUBLE>``: ``signal(first
+    feature, ts)`` for every vector row (empty requests keep an empty array)."""
+    signal = signal or flagship_signal
+    xs = F.transform(F.col("data"), lambda r: signal(r[0], F.col("ts")))
+    return reqs.select("model_id", "model", "axon", "insert_id", "ts", "batch_id", xs.alias("xs"))

@@ -21,6 +21,7 @@ from tidewatch.operators import detectors as D
 from tidewatch.operators.fold import alarms_by, fold_alarms
 from tidewatch.operators.state import batch_grid, latch, snapshot_all_keys
 from tidewatch.operators.blocks import block_alarms
+from tidewatch.operators.keyed import fold_batch_states
 from tidewatch.operators.kl import kl_windows
 from tidewatch.operators.windows import cusum_first_alarm, ddm_first_alarm
 from tidewatch.plans import inputs as I
@@ -117,17 +118,16 @@ def vector_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str = "request_end") -> DataFrame:
-    """Table-mode state per (model, batch) of parsed requests: fold the
-    detector over the signal, poll at request end, latch.
+    """Table-mode state per (model, batch) of parsed requests: one sorted
+    pass per model folds the detector over the signal, polls at request end,
+    applies warm-up and latch (the same ``KeyState`` as the stream mode).
 
     ``detector`` is ``(name, options)`` or a factory returning an object with
     ``step(x) -> (warning, change)``."""
-    sig = I.request_signal(reqs, signal)
+    if poll not in ("request_end", "any_row"):
+        raise ValueError("poll must be 'request_end' or 'any_row'")
     det = detector if callable(detector) else _det(*detector)
-    alarms = fold_alarms(sig, [KEY], ["ts", "insert_id", "row_idx"], "x", det,
-                         req="insert_id", carry=["batch_id"], poll=poll)
-    grid = batch_grid(reqs, KEY, "batch_id", order=["ts", "insert_id"], meta=["model", "axon"])
-    return latch(grid, alarms_by(alarms, [KEY, "batch_id"]), KEY, "batch_id")
+    return fold_batch_states(I.with_inputs(reqs, signal), det, KEY, any_row=poll == "any_row")
 
 
 def state_batches(spark: SparkSession, sf_dir: str) -> DataFrame:

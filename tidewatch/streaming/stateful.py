@@ -21,65 +21,36 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewatch.config import LogFormat
-from tidewatch.functions.metrics import CHANGE_PROBABILITY, WARNING_PROBABILITY
 from tidewatch.operators import detectors as D
-from tidewatch.plans.inputs import flagship_signal, requests_of
-
-STATE_SCHEMA = ("first_batch LONG, warning_detected BOOLEAN, change_detected BOOLEAN, "
-                "has_detector BOOLEAN, detector ARRAY<DOUBLE>")
-OUTPUT_SCHEMA = ("model_id STRING, batch_id LONG, model STRING, axon STRING, n_requests LONG, "
-                 "warning_detected BOOLEAN, change_detected BOOLEAN, drift_probability DOUBLE")
-
+from tidewatch.operators.keyed import OUTPUT_COLUMNS, OUTPUT_SCHEMA, STATE_SCHEMA, KeyState
+from tidewatch.plans.inputs import requests_of, with_inputs
 
 def request_inputs(lines: DataFrame, fmt: LogFormat = LogFormat(), signal: Callable | None = None) -> DataFrame:
-    """``model_id, model, axon, insert_id, ts, batch_id, xs`` per request.
-
-    ``signal(x, ts)`` maps the first feature of a vector row to the detector
-    input (default: the flagship's, as in the table mode)."""
-    req = requests_of(lines, fmt)
-    signal = signal or flagship_signal
-    xs = F.transform(F.col("data"), lambda r: signal(r[0], F.col("ts")))
-    return req.select("model_id", "model", "axon", "insert_id", "ts", "batch_id", xs.alias("xs"))
+    """``model_id, model, axon, insert_id, ts, batch_id, xs`` per request."""
+    return with_inputs(requests_of(lines, fmt), signal)
 
 
-def _update(detector: Callable[[], object], key: tuple, pdfs: Iterator[pd.DataFrame],
+def _update(detector: Callable[[], object], any_row: bool, key: tuple, pdfs: Iterator[pd.DataFrame],
             state: GroupState) -> Iterator[pd.DataFrame]:
     # rows of one key in one micro-batch: bounded by the trigger size
     pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["batch_id", "ts", "insert_id"], kind="stable")
-    det = detector()
-    if state.exists:
-        first, warn, chg, has_det, dv = state.get
-        if has_det:
-            det.load(list(dv))
-    else:
-        first, warn, chg, has_det = None, False, False, False
+    st = KeyState(detector, state.get if state.exists else None, any_row)
     out = []
     for batch_id, g in pdf.groupby("batch_id", sort=True):
-        batch_id = int(batch_id)
-        if first is None:
-            first = batch_id
         w_b = c_b = False
         for xs in g["xs"]:
-            if xs is None or len(xs) == 0:
-                continue                      # empty request: counted, not fitted
-            has_det = True
-            w = c = False
-            for x in xs:                      # poll after the request's last row
-                w, c = det.step(float(x))
+            w, c = st.request(xs)
             w_b, c_b = w_b or w, c_b or c
-        if batch_id != first:                 # warm-up: the first batch never alarms
-            warn, chg = warn or w_b, chg or c_b
-        prob = CHANGE_PROBABILITY if chg else (WARNING_PROBABILITY if warn else 0.0)
         head = g.iloc[0]
-        out.append((key[0], batch_id, head["model"], head["axon"], len(g), warn, chg, prob))
-    state.update((first, warn, chg, has_det, det.dump()))
-    yield pd.DataFrame(out, columns=[c.split()[0] for c in OUTPUT_SCHEMA.split(", ")])
+        out.append((key[0], int(batch_id), head["model"], head["axon"], len(g), *st.close_batch(int(batch_id), w_b, c_b)))
+    state.update(st.dump())
+    yield pd.DataFrame(out, columns=OUTPUT_COLUMNS)
 
 
-def keyed_states(inputs: DataFrame, detector: Callable[[], object]) -> DataFrame:
+def keyed_states(inputs: DataFrame, detector: Callable[[], object], any_row: bool = False) -> DataFrame:
     """Per-model state updates of a streaming request DataFrame (update mode)."""
     return inputs.groupBy("model_id").applyInPandasWithState(
-        partial(_update, detector), OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+        partial(_update, detector, any_row), OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
 
 
 def detector_factory(detector) -> Callable[[], object]:
