@@ -115,3 +115,30 @@ def test_seed_shrinks_window_on_shift():
         if s.step(len(b), float(b.sum()), float((b * b).sum()))[1]:
             hits.append(k + 31)
     assert hits and 640 <= hits[0] < 760
+
+
+def test_adwin_histogram_detects_and_stays_small(mean_shift):
+    data, shifted = mean_shift
+    f = int(np.nonzero(shifted)[0][0])
+    a = alarms(D.make_detector("ADWIN", exact=False), data[:, f])
+    assert a[:1] == [127]
+    g = int(np.nonzero(~shifted)[0][0])
+    assert alarms(D.make_detector("ADWIN", exact=False), data[:, g]) == []
+    det = D.make_detector("ADWIN", exact=False)
+    for x in np.random.default_rng(1).normal(0, 1, 100_000):
+        det.step(float(x))
+    assert len(det.b) <= 5 * 18 and sum(b[0] for b in det.b) > 50_000   # O(M log n) buckets, long window
+
+
+def test_adwin_histogram_state_round_trip():
+    xs = np.concatenate([np.random.default_rng(2).normal(0, 1, 500), np.random.default_rng(3).normal(1, 1, 500)])
+    a = D.make_detector("ADWIN", exact=False)
+    ref = [a.step(float(x)) for x in xs]
+    b, got = D.make_detector("ADWIN", exact=False), []
+    for i, x in enumerate(xs):
+        if i % 41 == 0:
+            c = D.make_detector("ADWIN", exact=False)
+            c.load(b.dump())
+            b = c
+        got.append(b.step(float(x)))
+    assert got == ref

@@ -116,6 +116,8 @@ class AdwinOptions(Options):
     delta: float = opt(0.002, 0.0, 1.0)
     clock: int = opt(32, 1, BIG)
     min_side: int = opt(5, 1, BIG)
+    exact: bool = True          # False: exponential histogram, O(buckets * log n) state
+    buckets: int = opt(5, 2, 64)
 
 
 @dataclass(frozen=True)

@@ -34,12 +34,16 @@ def prefix_sum(df: DataFrame, key: str, chunk: str, order: list[str], col: str,
             .withColumn(name, F.col("_off") + F.col("_lsum")).drop("_off", "_lsum"))
 
 
-def prefix_min(df: DataFrame, key: str, chunk: str, order: list[str], col: str, name: str) -> DataFrame:
-    """Running minimum of ``col`` per key, chunk-parallel like ``prefix_sum``."""
-    upto = Window.partitionBy(key, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = df.withColumn("_lmin", F.min(col).over(upto))
-    mins = df.groupBy(key, chunk).agg(F.min(col).alias("_cmin"))
-    before = Window.partitionBy(key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    prev = mins.select(key, chunk, F.min("_cmin").over(before).alias("_pmin"))
-    return (local.join(prev, [key, chunk], "inner")
-            .withColumn(name, F.least(F.col("_lmin"), F.col("_pmin"))).drop("_lmin", "_pmin"))
+def prefix_min(df: DataFrame, key: str | list[str], chunk: str, order: list[str], col: str, name: str,
+               largest: bool = False) -> DataFrame:
+    """Running minimum (``largest``: maximum) of ``col`` per key, chunk-parallel
+    like ``prefix_sum``; nulls are skipped."""
+    keys = [key] if isinstance(key, str) else list(key)
+    agg, comb = (F.max, F.greatest) if largest else (F.min, F.least)
+    upto = Window.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = df.withColumn("_lmin", agg(col).over(upto))
+    mins = df.groupBy(*keys, chunk).agg(agg(col).alias("_cmin"))
+    before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    prev = mins.select(*keys, chunk, agg("_cmin").over(before).alias("_pmin"))
+    return (local.join(prev, [*keys, chunk], "inner")
+            .withColumn(name, comb(F.col("_lmin"), F.col("_pmin"))).drop("_lmin", "_pmin"))

@@ -23,6 +23,7 @@ from tidewatch.operators.state import batch_grid, latch, snapshot_all_keys
 from tidewatch.operators.blocks import block_alarms
 from tidewatch.operators.keyed import fold_batch_states
 from tidewatch.operators.kl import kl_windows
+from tidewatch.operators.ordering import prefix_min, row_index
 from tidewatch.operators.windows import cusum_first_alarm, ddm_first_alarm
 from tidewatch.plans import inputs as I
 from tidewatch.sources.loglines import file_log_lines, severity_log_rows
@@ -231,7 +232,6 @@ def ddm_first_alarm_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _requests_of_rows(sig: DataFrame) -> DataFrame:
     """Group every ROWS_PER_REQUEST consecutive rows of a key into one request."""
-    from tidewatch.operators.ordering import row_index
     d = row_index(sig, KEY, "batch_id", ORDER)
     return d.withColumn("req_id", F.floor((F.col("rn") - 1) / ROWS_PER_REQUEST).cast("bigint"))
 
@@ -286,16 +286,22 @@ def vote_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.filter(share > VOTE_THRESHOLD).select(KEY, "req_id", F.round(share, 6).alias("vote"))
 
 
+REQUEST_CHUNK = 1024
+
+
 def vote_logistic_decay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each feature votes ``1/(1+exp(age-5))``, age = requests since its last
-    change (0 before any change); alarm when the mean vote exceeds the threshold."""
+    change (no change yet: vote 0); alarm when the mean vote exceeds the
+    threshold. The last change so far is a running maximum over request ids,
+    computed per chunk of ``REQUEST_CHUNK`` requests (chunk-parallel)."""
     long = feature_long(spark, sf_dir)
     reqs = long.select(KEY, "feature_idx", "req_id").distinct()
     changed = feature_flags(spark, sf_dir).filter("change").select(KEY, "feature_idx", "req_id",
                                                                     F.col("req_id").alias("_alarm_req"))
-    j = reqs.join(changed, [KEY, "feature_idx", "req_id"], "left")
-    w = Window.partitionBy(KEY, "feature_idx").orderBy("req_id").rowsBetween(Window.unboundedPreceding, 0)
-    last = F.last("_alarm_req", ignorenulls=True).over(w)
+    j = (reqs.join(changed, [KEY, "feature_idx", "req_id"], "left")
+             .withColumn("_chunk", F.floor(F.col("req_id") / REQUEST_CHUNK)))
+    j = prefix_min(j, [KEY, "feature_idx"], "_chunk", ["req_id"], "_alarm_req", "_last", largest=True)
+    last = F.col("_last")
     vote = F.when(last.isNull(), F.lit(0.0)).otherwise(1.0 / (1.0 + F.exp((F.col("req_id") - last) - 5.0)))
     per_req = j.select(KEY, "req_id", vote.alias("v")).groupBy(KEY, "req_id").agg(F.avg("v").alias("score"))
     return per_req.filter(F.col("score") > VOTE_THRESHOLD).select(KEY, "req_id", F.round("score", 6).alias("score"))
