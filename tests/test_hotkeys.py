@@ -1,0 +1,36 @@
+"""Hot models: the parallel CUSUM rounds give the same states as the fold."""
+
+from tidewatch.plans import inputs as I
+from tidewatch.plans.queries import FLAGSHIP, request_states
+
+
+def _states(df):
+    return {(r.model_id, r.batch_id): (r.model, r.axon, r.n_requests, r.warning_detected, r.change_detected,
+                                       r.drift_probability) for r in df.collect()}
+
+
+def test_parallel_rounds_equal_fold(spark):
+    for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        reqs = I.requests(spark, sf)
+        fold = _states(request_states(reqs, hot_rows=None))
+        par = _states(request_states(reqs, hot_rows=0))           # every model is "hot"
+        assert par == fold
+        if sf.endswith("0.01"):
+            assert any(v[5] == 0.9 for v in fold.values())
+
+
+def test_restarts_in_warm_up_batch(spark):
+    # a tiny threshold makes CUSUM alarm inside the first batch; rounds must restart there
+    reqs = I.requests(spark, "/root/testdata/sf0.001")
+    det = ("CUSUM", dict(min_n=2, delta=0.005, lam=0.5))
+    fold = _states(request_states(reqs, detector=det, hot_rows=None))
+    par = _states(request_states(reqs, detector=det, hot_rows=0))
+    assert par == fold
+
+
+def test_round_cap_falls_back_to_fold(spark):
+    reqs = I.requests(spark, "/root/testdata/sf0.001")
+    det = ("CUSUM", dict(min_n=2, delta=0.005, lam=0.5))
+    fold = _states(request_states(reqs, detector=det, hot_rows=None))
+    par = _states(request_states(reqs, detector=det, hot_rows=0, hot_rounds=1))
+    assert par == fold

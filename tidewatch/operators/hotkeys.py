@@ -1,0 +1,102 @@
+"""Latched CUSUM state for hot models without a single-task fold.
+
+The sequential fold gives one model to one task. When one model holds a
+large share of all rows, its latched CUSUM state is computed in parallel
+rounds instead:
+
+* Up to its first alarm after a restart at row ``p``, CUSUM has a closed
+  form (Lindley): with ``v_t = x_t - mean(x_{p+1..t}) - delta`` and
+  ``P_t = sum_{p<j<=t} v_j``, the statistic is ``S_t = P_t - min(0,
+  min_{p<j<=t} P_j)``. Running sums and minima are chunk-parallel prefix
+  scans (``ordering``), so each round spreads a model over its batches.
+* The latch only needs the first reported change after the warm-up batch:
+  once set it never clears. A round finds each model's first alarm. If the
+  alarm is on a request's last row and after the first batch, the model is
+  resolved (change from that batch on). Otherwise (warm-up batch, or a row
+  inside a request, which restarts the detector silently) the next round
+  starts fresh after it.
+* Models still unresolved after ``max_rounds`` go to the exact sequential
+  fold, so the result is always whole.
+
+Rounds read a checkpointed row table (lineage cut, reused by every round);
+the per-model restart table is one row per hot model, broadcast with that
+bound. Running means here are differences of prefix sums, so the last bits
+can differ from the incremental fold; an alarm exactly at the threshold
+could tip either way.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidewatch import config as C
+from tidewatch.functions.metrics import drift_probability
+from tidewatch.operators.ordering import prefix_min, prefix_sum, row_index
+
+ORDER = ["ts", "insert_id", "row_idx"]
+
+
+def _rows(requests: DataFrame, key: str) -> DataFrame:
+    """One row per vector row: ``key, batch_id, ts, insert_id, row_idx, x, is_end``."""
+    r = requests.select(key, "batch_id", "ts", "insert_id", F.size("xs").alias("_n"),
+                        F.posexplode("xs").alias("row_idx", "x"))
+    return r.withColumn("is_end", F.col("row_idx") == F.col("_n") - 1).drop("_n")
+
+
+def hot_models(requests: DataFrame, key: str, hot_rows: int) -> DataFrame:
+    """Models with more than ``hot_rows`` vector rows (at most total/hot_rows of them)."""
+    sizes = requests.groupBy(key).agg(F.sum(F.size("xs")).alias("_rows"))
+    return sizes.filter(F.col("_rows") > hot_rows).select(key)
+
+
+def cusum_change_batches(requests: DataFrame, key: str, first_batch: DataFrame, o: C.CusumOptions,
+                         max_rounds: int = 8) -> tuple[DataFrame, DataFrame]:
+    """``(resolved, unresolved)``: resolved has ``key, change_batch`` (null: no
+    change ever); unresolved lists the models left for the exact fold."""
+    rows = _rows(requests, key)
+    r = row_index(rows, key, "batch_id", ORDER)
+    r = prefix_sum(r, key, "batch_id", ORDER, "x", "cx")
+    r = r.select(key, "batch_id", "rn", "x", "cx", "is_end").checkpoint()
+    pending = first_batch.select(key, F.lit(0).cast("bigint").alias("p"), F.lit(0.0).alias("cxp"),
+                                 "first_batch").checkpoint()
+    resolved = []
+    for _ in range(max_rounds):
+        j = r.join(F.broadcast(pending), key).filter(F.col("rn") > F.col("p"))
+        n = F.col("rn") - F.col("p")
+        j = j.withColumn("v", F.col("x") - (F.col("cx") - F.col("cxp")) / n - F.lit(o.delta))
+        j = prefix_sum(j, key, "batch_id", ["rn"], "v", "P")
+        j = prefix_min(j, key, "batch_id", ["rn"], "P", "PM")
+        hit = (n >= o.min_n) & (F.col("P") - F.least(F.lit(0.0), F.col("PM")) > o.lam)
+        first = (j.filter(hit).groupBy(key)
+                  .agg(F.min_by(F.struct("rn", "batch_id", "is_end", "cx"), F.col("rn")).alias("a")))
+        st = pending.join(first, key, "left")
+        reported = (F.col("a.batch_id") > F.col("first_batch")) & F.col("a.is_end")
+        done = F.col("a").isNull() | reported
+        resolved.append(st.filter(done).select(key, F.when(reported, F.col("a.batch_id")).alias("change_batch"))
+                        .checkpoint())
+        pending = st.filter(~done).select(key, F.col("a.rn").alias("p"), F.col("a.cx").alias("cxp"),
+                                          "first_batch").checkpoint()
+        if pending.isEmpty():
+            break
+    out = resolved[0]
+    for d in resolved[1:]:
+        out = out.unionByName(d)
+    return out, pending.select(key)
+
+
+def cusum_hot_states(requests: DataFrame, key: str, o: C.CusumOptions, max_rounds: int = 8) -> tuple[DataFrame, DataFrame]:
+    """State rows (same schema as ``keyed.fold_batch_states``) of the given
+    models' requests, plus the models left unresolved."""
+    grid = requests.groupBy(key, "batch_id").agg(
+        F.min_by(F.struct("model", "axon"), F.struct("ts", "insert_id")).alias("_m"),
+        F.count(F.lit(1)).alias("n_requests"))
+    first = grid.groupBy(key).agg(F.min("batch_id").alias("first_batch"))
+    resolved, unresolved = cusum_change_batches(requests, key, first, o, max_rounds)
+    g = grid.join(resolved, key, "inner")
+    chg = F.col("change_batch").isNotNull() & (F.col("batch_id") >= F.col("change_batch"))
+    out = g.select(key, "batch_id", F.col("_m.model").alias("model"), F.col("_m.axon").alias("axon"),
+                   "n_requests", F.lit(False).alias("warning_detected"), chg.alias("change_detected"))
+    out = out.withColumn("drift_probability",
+                         drift_probability(F.col("warning_detected"), F.col("change_detected")))
+    return out, unresolved

@@ -21,6 +21,7 @@ from tidewatch.operators import detectors as D
 from tidewatch.operators.fold import alarms_by, fold_alarms
 from tidewatch.operators.state import batch_grid, latch, snapshot_all_keys
 from tidewatch.operators.blocks import block_alarms
+from tidewatch.operators.hotkeys import cusum_hot_states, hot_models
 from tidewatch.operators.keyed import fold_batch_states
 from tidewatch.operators.kl import kl_windows
 from tidewatch.operators.ordering import prefix_min, row_index
@@ -118,17 +119,33 @@ def vector_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- state
 
 
-def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str = "request_end") -> DataFrame:
+HOT_ROWS = 50_000_000      # a model above this many vector rows takes the parallel CUSUM path
+
+
+def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str = "request_end",
+                   hot_rows: int | None = HOT_ROWS, hot_rounds: int = 8) -> DataFrame:
     """Table-mode state per (model, batch) of parsed requests: one sorted
     pass per model folds the detector over the signal, polls at request end,
     applies warm-up and latch (the same ``KeyState`` as the stream mode).
 
     ``detector`` is ``(name, options)`` or a factory returning an object with
-    ``step(x) -> (warning, change)``."""
+    ``step(x) -> (warning, change)``. For CUSUM, models with more than
+    ``hot_rows`` rows are computed by parallel rounds (``operators.hotkeys``)
+    instead of one task each."""
     if poll not in ("request_end", "any_row"):
         raise ValueError("poll must be 'request_end' or 'any_row'")
     det = detector if callable(detector) else _det(*detector)
-    return fold_batch_states(I.with_inputs(reqs, signal), det, KEY, any_row=poll == "any_row")
+    inputs = I.with_inputs(reqs, signal)
+    cusum = not callable(detector) and detector[0] == "CUSUM" and poll == "request_end"
+    if not cusum or hot_rows is None:
+        return fold_batch_states(inputs, det, KEY, any_row=poll == "any_row")
+    hot = hot_models(inputs, KEY, hot_rows)     # at most rows / hot_rows models: broadcast bound
+    cold = inputs.join(F.broadcast(hot), KEY, "left_anti")
+    hot_in = inputs.join(F.broadcast(hot), KEY, "left_semi")
+    hot_states, left = cusum_hot_states(hot_in, KEY, C.CusumOptions(**detector[1]), hot_rounds)
+    rest = inputs.join(F.broadcast(left), KEY, "left_semi")
+    folded = fold_batch_states(cold.unionByName(rest), det, KEY)
+    return folded.unionByName(hot_states)
 
 
 def state_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
