@@ -32,16 +32,19 @@ from pyspark.sql import functions as F
 
 from tidewatch import config as C
 from tidewatch.functions.metrics import drift_probability
+from tidewatch.functions.signals import chunk_of
 from tidewatch.operators.ordering import prefix_min, prefix_sum, row_index
 
 ORDER = ["ts", "insert_id", "row_idx"]
 
 
 def _rows(requests: DataFrame, key: str) -> DataFrame:
-    """One row per vector row: ``key, batch_id, ts, insert_id, row_idx, x, is_end``."""
+    """One row per vector row: ``key, batch_id, chunk, ts, insert_id, row_idx, x, is_end``
+    (``chunk`` = hour of ``ts``: the unit of the parallel scans)."""
     r = requests.select(key, "batch_id", "ts", "insert_id", F.size("xs").alias("_n"),
                         F.posexplode("xs").alias("row_idx", "x"))
-    return r.withColumn("is_end", F.col("row_idx") == F.col("_n") - 1).drop("_n")
+    return (r.withColumn("is_end", F.col("row_idx") == F.col("_n") - 1).drop("_n")
+             .withColumn("chunk", chunk_of("ts")))
 
 
 def hot_models(requests: DataFrame, key: str, hot_rows: int) -> DataFrame:
@@ -55,9 +58,9 @@ def cusum_change_batches(requests: DataFrame, key: str, first_batch: DataFrame,
     """``(resolved, unresolved)``: resolved has ``key, change_batch`` (null: no
     change ever); unresolved lists the models left for the exact fold."""
     rows = _rows(requests, key)
-    r = row_index(rows, key, "batch_id", ORDER)
-    r = prefix_sum(r, key, "batch_id", ORDER, "x", "cx")
-    r = r.select(key, "batch_id", "rn", "x", "cx", "is_end").checkpoint()
+    r = row_index(rows, key, "chunk", ORDER)
+    r = prefix_sum(r, key, "chunk", ORDER, "x", "cx")
+    r = r.select(key, "batch_id", "chunk", "rn", "x", "cx", "is_end").checkpoint()
     pending = first_batch.select(key, F.lit(0).cast("bigint").alias("p"), F.lit(0.0).alias("cxp"),
                                  "first_batch").checkpoint()
     resolved = []
@@ -65,8 +68,8 @@ def cusum_change_batches(requests: DataFrame, key: str, first_batch: DataFrame,
         j = r.join(F.broadcast(pending), key).filter(F.col("rn") > F.col("p"))
         n = F.col("rn") - F.col("p")
         j = j.withColumn("v", F.col("x") - (F.col("cx") - F.col("cxp")) / n - F.lit(o.delta))
-        j = prefix_sum(j, key, "batch_id", ["rn"], "v", "P")
-        j = prefix_min(j, key, "batch_id", ["rn"], "P", "PM")
+        j = prefix_sum(j, key, "chunk", ["rn"], "v", "P")
+        j = prefix_min(j, key, "chunk", ["rn"], "P", "PM")
         hit = (n >= o.min_n) & (F.col("P") - F.least(F.lit(0.0), F.col("PM")) > o.lam)
         first = (j.filter(hit).groupBy(key)
                   .agg(F.min_by(F.struct("rn", "batch_id", "is_end", "cx"), F.col("rn")).alias("a")))

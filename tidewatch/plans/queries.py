@@ -31,6 +31,7 @@ from tidewatch.sources.loglines import file_log_lines, severity_log_rows
 
 KEY = "model_id"
 ORDER = ["ts", "event_id"]
+CHUNK = "chunk"            # hour of ts: the unit of chunk-parallel scans (monotone in ORDER)
 
 # Detector settings of the registered queries.
 FLAGSHIP = ("CUSUM", dict(min_n=30, delta=0.005, lam=50.0))
@@ -217,7 +218,7 @@ def _block_query(name: str):
     det, signal, opts = BLOCK_QUERIES[name]
 
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return block_alarms(I.signals(spark, sf_dir), KEY, "batch_id", ORDER, signal, det, **opts)
+        return block_alarms(I.signals(spark, sf_dir), KEY, CHUNK, ORDER, signal, det, **opts)
     q.__name__ = name
     return q
 
@@ -226,7 +227,7 @@ def _kl_query(name: str):
     opts = KL_QUERIES[name]
 
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return kl_windows(I.signals(spark, sf_dir), KEY, "batch_id", ORDER, "s", C.KlOptions(**opts))
+        return kl_windows(I.signals(spark, sf_dir), KEY, CHUNK, ORDER, "s", C.KlOptions(**opts))
     q.__name__ = name
     return q
 
@@ -239,17 +240,17 @@ def vote_warning_equals_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cusum_first_alarm_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cusum_first_alarm(I.signals(spark, sf_dir), KEY, "batch_id", ORDER, "s",
+    return cusum_first_alarm(I.signals(spark, sf_dir), KEY, CHUNK, ORDER, "s",
                              C.CusumOptions(min_n=30, delta=0.005, lam=50.0))
 
 
 def ddm_first_alarm_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ddm_first_alarm(I.signals(spark, sf_dir), KEY, "batch_id", ORDER, "b")
+    return ddm_first_alarm(I.signals(spark, sf_dir), KEY, CHUNK, ORDER, "b")
 
 
 def _requests_of_rows(sig: DataFrame) -> DataFrame:
     """Group every ROWS_PER_REQUEST consecutive rows of a key into one request."""
-    d = row_index(sig, KEY, "batch_id", ORDER)
+    d = row_index(sig, KEY, CHUNK, ORDER)
     return d.withColumn("req_id", F.floor((F.col("rn") - 1) / ROWS_PER_REQUEST).cast("bigint"))
 
 
