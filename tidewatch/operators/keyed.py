@@ -43,19 +43,24 @@ class KeyState:
         return (self.first, self.warn, self.chg, self.has_det, self.det.dump())
 
     def request(self, xs) -> tuple[bool, bool]:
-        """Fit one request's rows; flags polled after its last row."""
+        """Fit one request's rows; flags polled after its last row. A row is a
+        number (univariate detector) or an array (``vector.VectorDetector``)."""
         w = c = False
         if xs is None or len(xs) == 0:
             return False, False
         self.has_det = True
-        step = self.det.step
+        det = self.det
+        step = det.step
+        vec = getattr(det, "vector", False)
         if self.any_row:
             for x in xs:
-                a, b = step(float(x))
+                a, b = step(x if vec else float(x))
                 w, c = w or a, c or b
         else:
             for x in xs:
-                w, c = step(float(x))
+                w, c = step(x if vec else float(x))
+        if vec:
+            det.end_request()
         return w, c
 
     def close_batch(self, batch_id: int, w_b: bool, c_b: bool) -> tuple[bool, bool, float]:

@@ -62,3 +62,18 @@ def with_inputs(reqs: DataFrame, signal=None) -> DataFrame:
     signal = signal or flagship_signal
     xs = F.transform(F.col("data"), lambda r: signal(r[0], F.col("ts")))
     return reqs.select("model_id", "model", "axon", "insert_id", "ts", "batch_id", xs.alias("xs"))
+
+
+def vector_signal(cell, i, ts):
+    """Per-cell input of the vector detectors: cell / 100, plus the planted
+    shift on the first feature (``f0 = value/100 + d``, ``f1 = user_id/100``,
+    ``f2 = k/100``)."""
+    d = ts >= F.lit(DRIFT_START).cast("timestamp_ntz")
+    return cell / 100 + F.when(d & (i == 0), 1.0).otherwise(0.0)
+
+
+def with_vector_inputs(reqs: DataFrame, signal=None) -> DataFrame:
+    """Requests with ``xs ARRAY<ARRAY<DOUBLE>>``: ``signal(cell, feature index, ts)`` per cell."""
+    signal = signal or vector_signal
+    xs = F.transform(F.col("data"), lambda r: F.transform(r, lambda c, i: signal(c, i, F.col("ts"))))
+    return reqs.select("model_id", "model", "axon", "insert_id", "ts", "batch_id", xs.alias("xs"))

@@ -15,17 +15,19 @@ def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
           detector=("CUSUM", dict(min_n=30, delta=0.005, lam=50.0)),
           fmt: LogFormat = LogFormat(), signal=None, max_files_per_trigger: int | None = None,
           available_now: bool = True, processing_time: str | None = None,
-          publish_all_keys: bool = False, send=None) -> StreamingQuery:
+          publish_all_keys: bool = False, send=None, vector: bool = False) -> StreamingQuery:
     """Start the drift-state stream over text files appearing in ``landing``.
 
     ``max_files_per_trigger`` bounds a micro-batch (back-pressure); the
     checkpoint keeps offsets and state, so a restart resumes where it stopped.
+    ``vector``: ``detector`` is a vector-detector factory fed whole rows
+    (``operators.vector.vector_factory``).
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.load(landing).select("value")
-    states = keyed_states(request_inputs(lines, fmt, signal), detector_factory(detector))
+    states = keyed_states(request_inputs(lines, fmt, signal, vector), detector_factory(detector))
     writer = (states.writeStream.outputMode("update")
               .option("checkpointLocation", checkpoint)
               .foreachBatch(make_batch_writer(out_dir, publish_all_keys=publish_all_keys, send=send)))

@@ -23,11 +23,14 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidewatch.config import LogFormat
 from tidewatch.operators import detectors as D
 from tidewatch.operators.keyed import OUTPUT_COLUMNS, OUTPUT_SCHEMA, STATE_SCHEMA, KeyState
-from tidewatch.plans.inputs import requests_of, with_inputs
+from tidewatch.plans.inputs import requests_of, with_inputs, with_vector_inputs
 
-def request_inputs(lines: DataFrame, fmt: LogFormat = LogFormat(), signal: Callable | None = None) -> DataFrame:
-    """``model_id, model, axon, insert_id, ts, batch_id, xs`` per request."""
-    return with_inputs(requests_of(lines, fmt), signal)
+def request_inputs(lines: DataFrame, fmt: LogFormat = LogFormat(), signal: Callable | None = None,
+                   vector: bool = False) -> DataFrame:
+    """``model_id, model, axon, insert_id, ts, batch_id, xs`` per request
+    (``xs`` holds whole vector rows when ``vector``)."""
+    reqs = requests_of(lines, fmt)
+    return with_vector_inputs(reqs, signal) if vector else with_inputs(reqs, signal)
 
 
 def _update(detector: Callable[[], object], any_row: bool, key: tuple, pdfs: Iterator[pd.DataFrame],
