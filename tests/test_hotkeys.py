@@ -34,3 +34,9 @@ def test_round_cap_falls_back_to_fold(spark):
     fold = _states(request_states(reqs, detector=det, hot_rows=None))
     par = _states(request_states(reqs, detector=det, hot_rows=0, hot_rounds=1))
     assert par == fold
+
+
+def test_known_hot_keys(spark):
+    reqs = I.requests(spark, "/root/testdata/sf0.01")
+    fold = _states(request_states(reqs))
+    assert _states(request_states(reqs, hot_keys=["click", "view"])) == fold

@@ -120,27 +120,37 @@ def vector_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- state
 
 
-HOT_ROWS = 50_000_000      # a model above this many vector rows takes the parallel CUSUM path
-
-
 def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str = "request_end",
-                   hot_rows: int | None = HOT_ROWS, hot_rounds: int = 8) -> DataFrame:
+                   hot_keys=None, hot_rows: int | None = None, hot_rounds: int = 8) -> DataFrame:
     """Table-mode state per (model, batch) of parsed requests: one sorted
     pass per model folds the detector over the signal, polls at request end,
     applies warm-up and latch (the same ``KeyState`` as the stream mode).
 
     ``detector`` is ``(name, options)`` or a factory returning an object with
-    ``step(x) -> (warning, change)``. For CUSUM, models with more than
-    ``hot_rows`` rows are computed by parallel rounds (``operators.hotkeys``)
-    instead of one task each."""
+    ``step(x) -> (warning, change)``.
+
+    Hot models (CUSUM): ``hot_keys`` (a list or a one-column DataFrame of
+    models known to be large) or ``hot_rows`` (detect models with more rows:
+    the parsed input is checkpointed once and counted) are computed by
+    parallel rounds (``operators.hotkeys``) instead of one task each. Without
+    either the plan is a single pass (one exchange)."""
     if poll not in ("request_end", "any_row"):
         raise ValueError("poll must be 'request_end' or 'any_row'")
     det = detector if callable(detector) else _det(*detector)
     inputs = I.with_inputs(reqs, signal)
     cusum = not callable(detector) and detector[0] == "CUSUM" and poll == "request_end"
-    if not cusum or hot_rows is None:
+    if not cusum or (hot_keys is None and hot_rows is None):
         return fold_batch_states(inputs, det, KEY, any_row=poll == "any_row")
-    hot = hot_models(inputs, KEY, hot_rows)     # at most rows / hot_rows models: broadcast bound
+    spark = reqs.sparkSession
+    if hot_keys is None:
+        inputs = inputs.checkpoint()                        # parse once; both passes read it
+        hot = hot_models(inputs, KEY, hot_rows).checkpoint()  # at most rows / hot_rows models
+    elif isinstance(hot_keys, DataFrame):
+        hot = hot_keys.select(KEY)
+    else:
+        hot = spark.createDataFrame([(k,) for k in hot_keys], f"{KEY} string")
+    if hot.isEmpty():
+        return fold_batch_states(inputs, det, KEY)
     cold = inputs.join(F.broadcast(hot), KEY, "left_anti")
     hot_in = inputs.join(F.broadcast(hot), KEY, "left_semi")
     hot_states, left = cusum_hot_states(hot_in, KEY, C.CusumOptions(**detector[1]), hot_rounds)
