@@ -75,3 +75,26 @@ def test_all_keys_latest_table(spark):
     last_epoch = latest.agg({"epoch": "max"}).first()[0]
     keys = latest.filter(latest.epoch == last_epoch).select("model_id").distinct().count()
     assert keys == 5
+
+
+def test_arrival_batches_follow_micro_batches(spark):
+    root = scratch_path(spark, "t-arrival")
+    lines, days = _days(spark)
+    _feed(lines, days[:12], f"{root}/landing")
+    q = job.start(spark, f"{root}/landing", f"{root}/out", f"{root}/ckpt", detector=FLAGSHIP,
+                  max_files_per_trigger=1, batch_by="arrival")
+    q.awaitTermination()
+    assert q.exception() is None
+    got = read_final_states(spark, f"{root}/out")
+    seq = {}
+    for r in got.orderBy("model_id", "batch_id").collect():
+        seq.setdefault(r.model_id, []).append(r.drift_probability)
+    table = _table(spark)
+    day_batches = sorted({b for (_, b) in table})[:12]
+    exp = {}
+    for (k, b), v in sorted(table.items()):
+        if b in day_batches:
+            exp.setdefault(k, []).append(v[2])
+    assert seq == exp
+    rows = spark.read.parquet(f"{root}/out/state_table").select("timestamp").distinct().count()
+    assert rows == 12                               # one trigger time per micro-batch

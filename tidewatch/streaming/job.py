@@ -15,22 +15,31 @@ def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
           detector=("CUSUM", dict(min_n=30, delta=0.005, lam=50.0)),
           fmt: LogFormat = LogFormat(), signal=None, max_files_per_trigger: int | None = None,
           available_now: bool = True, processing_time: str | None = None,
-          publish_all_keys: bool = False, send=None, vector: bool = False) -> StreamingQuery:
+          publish_all_keys: bool = False, send=None, vector: bool = False,
+          batch_by: str = "event_day") -> StreamingQuery:
     """Start the drift-state stream over text files appearing in ``landing``.
 
     ``max_files_per_trigger`` bounds a micro-batch (back-pressure); the
     checkpoint keeps offsets and state, so a restart resumes where it stopped.
     ``vector``: ``detector`` is a vector-detector factory fed whole rows
-    (``operators.vector.vector_factory``).
+    (``operators.vector.vector_factory``). ``batch_by``: ``"event_day"`` (the
+    day of each request; equals the table mode) or ``"arrival"`` (every
+    micro-batch is one batch, stamped with its trigger time).
     """
+    if batch_by not in ("event_day", "arrival"):
+        raise ValueError("batch_by must be 'event_day' or 'arrival'")
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.load(landing).select("value")
-    states = keyed_states(request_inputs(lines, fmt, signal, vector), detector_factory(detector))
+    inputs = request_inputs(lines, fmt, signal, vector)
+    if batch_by == "arrival":                 # one value per micro-batch
+        inputs = inputs.withColumn("batch_id", F.unix_micros(F.current_timestamp()))
+    states = keyed_states(inputs, detector_factory(detector))
     writer = (states.writeStream.outputMode("update")
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(make_batch_writer(out_dir, publish_all_keys=publish_all_keys, send=send)))
+              .foreachBatch(make_batch_writer(out_dir, publish_all_keys=publish_all_keys, send=send,
+                                              batch_unit="micros" if batch_by == "arrival" else "day")))
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     elif available_now:

@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 from tidewatch.functions.metrics import metric_line, push_url
 
 
-def _batch_time():
+def _batch_time(unit: str = "day"):
+    if unit == "micros":                      # arrival batches: trigger time in microseconds
+        return F.timestamp_micros(F.col("batch_id")).cast("timestamp_ntz")
     return F.date_from_unix_date(F.col("batch_id").cast("int")).cast("timestamp_ntz")
 
 
-def state_table_rows(states: DataFrame) -> DataFrame:
+def state_table_rows(states: DataFrame, batch_unit: str = "day") -> DataFrame:
     """``model_id, axon, drift_probability, timestamp`` (+ batch id)."""
-    return states.select("model_id", "axon", "drift_probability", _batch_time().alias("timestamp"), "batch_id")
+    return states.select("model_id", "axon", "drift_probability", _batch_time(batch_unit).alias("timestamp"),
+                         "batch_id")
 
 
 def metric_rows(states: DataFrame, metric: str, gateway: str, namespace: str, port: int) -> DataFrame:
@@ -32,7 +35,7 @@ def metric_rows(states: DataFrame, metric: str, gateway: str, namespace: str, po
 
 def make_batch_writer(out_dir: str, metric: str = "input_drift_probability",
                       gateway: dict | None = None, send: Callable | None = None,
-                      publish_all_keys: bool = False) -> Callable[[DataFrame, int], None]:
+                      publish_all_keys: bool = False, batch_unit: str = "day") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function writing states, state rows and metric lines.
 
     ``send(rows_iterator)`` (optional) runs per partition of the metric lines
@@ -51,7 +54,7 @@ def make_batch_writer(out_dir: str, metric: str = "input_drift_probability",
             states.write.mode("overwrite").parquet(f"{out_dir}/latest/{tag}")
             states = spark.read.parquet(f"{out_dir}/latest/{tag}")
         batch.write.mode("overwrite").parquet(f"{out_dir}/states/{tag}")
-        state_table_rows(states).write.mode("overwrite").parquet(f"{out_dir}/state_table/{tag}")
+        state_table_rows(states, batch_unit).write.mode("overwrite").parquet(f"{out_dir}/state_table/{tag}")
         lines = metric_rows(states, metric, **gw)
         lines.write.mode("overwrite").parquet(f"{out_dir}/metrics/{tag}")
         if send is not None:
