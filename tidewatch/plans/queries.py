@@ -27,6 +27,7 @@ from tidewatch.operators.kl import kl_windows
 from tidewatch.operators.ordering import prefix_min, row_index
 from tidewatch.operators.windows import cusum_first_alarm, ddm_first_alarm
 from tidewatch.plans import inputs as I
+from tidewatch.plans import reports as R
 from tidewatch.sources.loglines import file_log_lines, severity_log_rows
 
 KEY = "model_id"
@@ -366,23 +367,19 @@ def _state_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def state_recent_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _state_table(spark, sf_dir).orderBy(F.col("timestamp").desc(), F.col(KEY))
+    return R.recent_first(_state_table(spark, sf_dir))
 
 
 def state_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _state_table(spark, sf_dir)
-    old = F.to_timestamp_ntz(F.col("timestamp")) < (F.lit(RETENTION_ASOF).cast("timestamp_ntz") - F.expr("INTERVAL 10 MINUTES"))
-    return t.filter(~((F.col("axon") == RETENTION_AXON) & old))
+    return R.drop_axon_older_than(_state_table(spark, sf_dir), RETENTION_AXON, RETENTION_ASOF, minutes=10)
 
 
 def state_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _state_table(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    return R.row_count(_state_table(spark, sf_dir))
 
 
 def state_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _state_table(spark, sf_dir)
-    w = Window.partitionBy(KEY).orderBy(F.col("timestamp").desc())
-    return t.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+    return R.latest_per_model(_state_table(spark, sf_dir))
 
 
 def registry() -> dict:
