@@ -56,3 +56,78 @@ def kl_windows(df: DataFrame, key: str, chunk: str, order: list[str], x: str,
     thr = chi2_95(K - 1)
     change = (F.lit(2.0 * o.window) * kl > F.lit(thr)) if thr != float("inf") else F.lit(False)
     return j.select(key, "win", F.round(kl, 6).alias("kl"), change.alias("change"))
+
+
+def kmeans_cells(ref, k: int, iters: int = 20):
+    """Lloyd's k-means on the rows of ``ref`` (numpy 2-d), started from the
+    first ``k`` distinct rows in order (deterministic). Returns the centres."""
+    import numpy as np
+    seen, init = set(), []
+    for row in ref:
+        t = tuple(row)
+        if t not in seen:
+            seen.add(t)
+            init.append(row)
+        if len(init) == k:
+            break
+    c = np.array(init, dtype=float)
+    lab = None
+    for _ in range(iters):
+        d = ((ref[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
+        new = d.argmin(axis=1)
+        if lab is not None and (new == lab).all():
+            break
+        lab = new
+        for j in range(len(c)):
+            if (lab == j).any():
+                c[j] = ref[lab == j].mean(axis=0)
+    return c
+
+
+def kl_cells(ref, cur, k: int, window: int) -> tuple[float, bool]:
+    """KL between the cell shares of the reference and the current window over
+    the reference's k-means cells (+0.5 smoothing); change when ``2 W KL``
+    passes the chi-square quantile with (cells - 1) degrees of freedom."""
+    import numpy as np
+    c = kmeans_cells(ref, k)
+    K = len(c)
+
+    def shares(x):
+        lab = ((x[:, None, :] - c[None, :, :]) ** 2).sum(axis=2).argmin(axis=1)
+        counts = np.bincount(lab, minlength=K).astype(float)
+        return (counts + 0.5) / (len(x) + 0.5 * K)
+    p, q = shares(ref), shares(cur)
+    kl = float((p * np.log(p / q)).sum())
+    return kl, bool(2.0 * window * kl > chi2_95(K - 1))
+
+
+def kl_kmeans_windows(df: DataFrame, key: str, chunk: str, order: list[str], vector: str,
+                      o: C.KlOptions = C.KlOptions()) -> DataFrame:
+    """``key, win, kl, change`` with cells from k-means of the previous window.
+
+    Every row joins two groups: its own window (current side) and the next
+    one (reference side), so each ``(key, window)`` group holds at most
+    ``2 W`` rows and all window pairs are computed in parallel."""
+    import pandas as pd
+
+    d = row_index(df.select(key, chunk, *order, vector), key, chunk, order)
+    d = d.withColumn("win", F.floor((F.col("rn") - 1) / o.window).cast("bigint"))
+    sides = F.explode(F.array(F.struct(F.col("win").alias("g"), F.lit(False).alias("ref")),
+                              F.struct((F.col("win") + 1).alias("g"), F.lit(True).alias("ref"))))
+    pairs = d.select(key, "rn", vector, sides.alias("_s")).select(key, F.col("_s.g").alias("win"),
+                                                                  F.col("_s.ref").alias("ref"), "rn", vector)
+    W, K = o.window, o.bins
+
+    def per_pair(pdf: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+        pdf = pdf.sort_values("rn")
+        ref = pdf[pdf["ref"]]
+        cur = pdf[~pdf["ref"]]
+        if ref.empty or cur.empty:
+            return pd.DataFrame(columns=[key, "win", "kl", "change"])
+        kl, chg = kl_cells(np.vstack(ref[vector].to_numpy()), np.vstack(cur[vector].to_numpy()), K, W)
+        return pd.DataFrame({key: [pdf[key].iloc[0]], "win": [int(pdf["win"].iloc[0])],
+                             "kl": [round(kl, 6)], "change": [chg]})
+
+    schema = f"{key} string, win long, kl double, change boolean"
+    return pairs.groupBy(key, "win").applyInPandas(per_pair, schema)

@@ -23,7 +23,7 @@ from tidewatch.operators.state import batch_grid, latch, snapshot_all_keys
 from tidewatch.operators.blocks import block_alarms
 from tidewatch.operators.hotkeys import cusum_hot_states, hot_models
 from tidewatch.operators.keyed import fold_batch_states
-from tidewatch.operators.kl import kl_windows
+from tidewatch.operators.kl import kl_kmeans_windows, kl_windows
 from tidewatch.operators.ordering import prefix_min, row_index
 from tidewatch.operators.windows import cusum_first_alarm, ddm_first_alarm
 from tidewatch.plans import inputs as I
@@ -243,6 +243,14 @@ def _kl_query(name: str):
     return q
 
 
+def kl_kmeans_10_5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KL over k-means cells (10-row windows, 5 cells) of the feature vector
+    ``[value/100 + d, user_id/100, k/100]``."""
+    sig = I.signals(spark, sf_dir)
+    vec = F.array(F.col("s"), F.col("user_id") / 100.0, F.col("k") / 100.0)
+    return kl_kmeans_windows(sig.withColumn("vec", vec), KEY, CHUNK, ORDER, "vec", C.KlOptions(window=10, bins=5))
+
+
 def vote_warning_equals_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A vector detector whose warning query answers its change flag: the
     warning level (0.8) is unreachable, every alarm is a change."""
@@ -405,6 +413,7 @@ def registry() -> dict:
         "poll_request_end": poll_request_end,
         "vote_any": vote_any,
         "vote_warning_equals_change": vote_warning_equals_change,
+        "kl_kmeans_10_5": kl_kmeans_10_5,
         "vote_majority": vote_majority,
         "vote_logistic_decay": vote_logistic_decay,
         "state_recent_first": state_recent_first,
