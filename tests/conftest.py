@@ -14,7 +14,8 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from tidewatch.session import get_session
     s = get_session("local[4]", app="tidewatch-tests", shuffle_partitions=8,
-                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tw-test-ckpt-")})
+                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tw-test-ckpt-"),
+                           "spark.driver.memory": "8g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

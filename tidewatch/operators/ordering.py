@@ -29,9 +29,12 @@ def prefix_sum(df: DataFrame, key: str, chunk: str, order: list[str], col: str,
     local = df.withColumn("_lsum", F.sum(col).over(upto))
     tot = df.groupBy(key, chunk).agg(F.sum(col).alias("_tot"))
     before = Window.partitionBy(key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(key, chunk, F.coalesce(F.sum("_tot").over(before), F.lit(0.0)).alias("_off"))
+    offs = tot.select(key, chunk, F.sum("_tot").over(before).alias("_off"))
+    # SQL running-sum semantics: null only while the key has shown no value yet
+    total = (F.when(F.col("_off").isNull() & F.col("_lsum").isNull(), F.lit(None))
+             .otherwise(F.coalesce(F.col("_off"), F.lit(0.0)) + F.coalesce(F.col("_lsum"), F.lit(0.0))))
     return (local.join(offs, [key, chunk], "inner")
-            .withColumn(name, F.col("_off") + F.col("_lsum")).drop("_off", "_lsum"))
+            .withColumn(name, total.cast("double")).drop("_off", "_lsum"))
 
 
 def prefix_min(df: DataFrame, key: str | list[str], chunk: str, order: list[str], col: str, name: str,
