@@ -15,6 +15,8 @@ class LogFormat:
     are this build's own log format (used by the fixtures).
     """
 
+    # Fixed values of the log format (defaults of this build's fixtures; the
+    # labels field is the mesh proxy's label metadata field).
     request_marker: str = "FilterOnRequest:"
     response_marker: str = "FilterOnResponse:"
     labels_field: str = "ISTIO_METAJSON_LABELS"

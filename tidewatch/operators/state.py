@@ -62,13 +62,12 @@ def snapshot_all_keys(states: DataFrame, key: str = "model_id", batch: str = "ba
 
     An idle key keeps its last state (``last_value(.., ignoreNulls)``). The
     spine is ``explode(sequence(first, last))`` per key; the global last batch
-    comes from a one-row aggregate joined on a constant (size bound: 1 row).
+    is a scalar subquery (one value, no join).
     """
     carry = carry or [c for c in states.columns if c not in (key, batch)]
-    last = states.agg(F.max(batch).alias("_last")).withColumn("_j", F.lit(1))
-    firsts = states.groupBy(key).agg(F.min(batch).alias("_first")).withColumn("_j", F.lit(1))
-    spine = (firsts.join(F.broadcast(last), "_j")
-             .select(key, F.explode(F.sequence(F.col("_first"), F.col("_last"))).alias(batch)))
+    last = states.agg(F.max(batch)).scalar()            # uncorrelated scalar subquery, evaluated once
+    firsts = states.groupBy(key).agg(F.min(batch).alias("_first"))
+    spine = firsts.select(key, F.explode(F.sequence(F.col("_first"), last)).alias(batch))
     marked = states.withColumn("_has", F.lit(True))
     j = spine.join(marked, [key, batch], "left")
     w = Window.partitionBy(key).orderBy(batch).rowsBetween(Window.unboundedPreceding, Window.currentRow)
