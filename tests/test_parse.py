@@ -89,3 +89,19 @@ def test_severity_filter(spark):
     df = spark.createDataFrame(rows, "resource_type string, cluster_name string, severity string, text_payload string")
     out = P.severity_filter(df, cluster="c1").collect()
     assert [r.severity for r in out] == ["ERROR", "WARNING"]
+
+
+def test_severity_filter_pushes_down(spark):
+    from tidewatch.session import scratch_path
+    rows = [("k8s_container", "c1", "ERROR", "a " + FMT.request_marker)] * 3
+    path = scratch_path(spark, "t-sev")
+    spark.createDataFrame(rows, "resource_type string, cluster_name string, severity string, text_payload string") \
+        .write.parquet(path)
+    q = P.severity_filter(spark.read.parquet(path), cluster="c1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = q._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PushedFilters" in plan and "In(severity" in plan and "EqualTo(cluster_name,c1)" in plan
+    assert q.count() == 3

@@ -98,3 +98,19 @@ def test_arrival_batches_follow_micro_batches(spark):
     assert seq == exp
     rows = spark.read.parquet(f"{root}/out/state_table").select("timestamp").distinct().count()
     assert rows == 12                               # one trigger time per micro-batch
+
+
+def test_rocksdb_state_store(spark):
+    root = scratch_path(spark, "t-rocks")
+    lines, days = _days(spark)
+    _feed(lines, days[:5], f"{root}/landing")
+    try:
+        q = job.start(spark, f"{root}/landing", f"{root}/out", f"{root}/ckpt", detector=FLAGSHIP,
+                      max_files_per_trigger=2, rocksdb=True)
+        q.awaitTermination()
+        assert q.exception() is None
+        got = _stream(spark, f"{root}/out")
+        table = _table(spark)
+        assert got and got == {k: v for k, v in table.items() if k in got}
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")

@@ -186,6 +186,7 @@ def severity_filter(rows: DataFrame, cluster: str, min_severity: str = "WARNING"
     request or response marker in the payload."""
     rank = SEVERITY_ORDER.index(min_severity)
     text = F.col("text_payload")
+    # severity >= min as an IN list of names: pushed down to the scan like the equalities
     return rows.filter((F.col("resource_type") == resource_type) & (F.col("cluster_name") == cluster)
-                       & (severity_rank(F.col("severity")) >= rank)
+                       & F.col("severity").isin(SEVERITY_ORDER[rank:])
                        & (text.contains(fmt.request_marker) | text.contains(fmt.response_marker)))

@@ -16,7 +16,7 @@ def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
           fmt: LogFormat = LogFormat(), signal=None, max_files_per_trigger: int | None = None,
           available_now: bool = True, processing_time: str | None = None,
           publish_all_keys: bool = False, send=None, vector: bool = False,
-          batch_by: str = "event_day") -> StreamingQuery:
+          batch_by: str = "event_day", rocksdb: bool = False) -> StreamingQuery:
     """Start the drift-state stream over text files appearing in ``landing``.
 
     ``max_files_per_trigger`` bounds a micro-batch (back-pressure); the
@@ -28,6 +28,9 @@ def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
     """
     if batch_by not in ("event_day", "arrival"):
         raise ValueError("batch_by must be 'event_day' or 'arrival'")
+    if rocksdb:   # state off the JVM heap for many models; fixed by the checkpoint's first run
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                       "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
