@@ -38,6 +38,12 @@ class SeqDrift1:
         self.qw = math.log(4.0 / o.warn_delta)
         self.ln, self.ls, self.lq = 0, 0.0, 0.0
 
+    def dump(self) -> list[float]:
+        return [float(self.ln), self.ls, self.lq]
+
+    def load(self, v) -> None:
+        self.ln, self.ls, self.lq = int(v[0]), v[1], v[2]
+
     @staticmethod
     def bound(q, var, m):
         return 2.0 / (3.0 * m) * (q + math.sqrt(q * q + 18.0 * var * m * q))
@@ -101,6 +107,14 @@ class Seed:
         self.blocks = []
         self.added = 0
 
+    def dump(self) -> list[float]:
+        return [float(self.added)] + [v for b in self.blocks for v in b]
+
+    def load(self, v) -> None:
+        self.added = int(v[0])
+        rest = list(v[1:])
+        self.blocks = [rest[i:i + 3] for i in range(0, len(rest), 3)]
+
     def step(self, n, s, q):
         self.blocks.append([float(n), s, q])
         self.added += 1
@@ -128,6 +142,43 @@ class Seed:
                 i += 1
 
 
+class BlockRows:
+    """Row-at-a-time face of a block detector (streams, vector detectors):
+    values are summed into the current block, which is handed to the block
+    detector when it completes. Same alarms as the pre-aggregated plan."""
+
+    __slots__ = ("inner", "size", "n", "s", "q")
+
+    def __init__(self, inner, size: int):
+        self.inner, self.size = inner, size
+        self.n, self.s, self.q = 0, 0.0, 0.0
+
+    def step(self, x):
+        self.n += 1
+        self.s += x
+        self.q += x * x
+        if self.n < self.size:
+            return False, False
+        out = self.inner.step(self.n, self.s, self.q)
+        self.n, self.s, self.q = 0, 0.0, 0.0
+        return out
+
+    def dump(self) -> list[float]:
+        return [float(self.n), self.s, self.q] + self.inner.dump()
+
+    def load(self, v) -> None:
+        self.n, self.s, self.q = int(v[0]), v[1], v[2]
+        self.inner.load(list(v[3:]))
+
+
+def seed_rows(o: C.SeedOptions = C.SeedOptions()) -> BlockRows:
+    return BlockRows(Seed(o), o.block)
+
+
+def seqdrift1_rows(o: C.SeqDrift1Options = C.SeqDrift1Options()) -> BlockRows:
+    return BlockRows(SeqDrift1(o), o.block)
+
+
 def _make(cls, opts):
     return cls(opts)
 

@@ -489,9 +489,27 @@ UNIVARIATE = {
 }
 
 
+def _seed(o):
+    from tidewatch.operators.blocks import seed_rows
+    return seed_rows(o)
+
+
+def _seq1(o):
+    from tidewatch.operators.blocks import seqdrift1_rows
+    return seqdrift1_rows(o)
+
+
+UNIVARIATE["SEED"] = (_seed, C.SeedOptions)
+UNIVARIATE["SEQ1"] = (_seq1, C.SeqDrift1Options)
+
+
 def make_detector(name: str, **options):
     """Detector by name with range-checked options (``ValueError`` on bad input)."""
     if name not in UNIVARIATE:
         raise ValueError(f"drift detector {name!r} not implemented; choose from {sorted(UNIVARIATE)}")
     cls, opts = UNIVARIATE[name]
-    return cls(opts(**options))
+    try:
+        o = opts(**options)
+    except TypeError as e:
+        raise ValueError(f"bad options for {name}: {e}") from None
+    return cls(o)

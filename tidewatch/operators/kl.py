@@ -131,3 +131,41 @@ def kl_kmeans_windows(df: DataFrame, key: str, chunk: str, order: list[str], vec
 
     schema = f"{key} string, win long, kl double, change boolean"
     return pairs.groupBy(key, "win").applyInPandas(per_pair, schema)
+
+
+class KlKmeansRows:
+    """Streaming face of the k-means KL detector: keeps the previous and the
+    current window (at most ``2 W`` rows, bounded state) and tests when the
+    current window completes; its warning answers the change flag."""
+
+    vector = True
+    __slots__ = ("window", "cells", "prev", "cur", "req")
+
+    def __init__(self, window: int = 10, cells: int = 5):
+        C.KlOptions(window=window, bins=cells)          # range checks
+        self.window, self.cells = window, cells
+        self.prev, self.cur, self.req = [], [], 0
+
+    def step(self, row):
+        import numpy as np
+        self.cur.append([float(v) for v in row])
+        if len(self.cur) < self.window:
+            return False, False
+        hit = False
+        if self.prev and len({len(r) for r in self.prev + self.cur}) == 1:
+            _, hit = kl_cells(np.array(self.prev), np.array(self.cur), self.cells, self.window)
+        self.prev, self.cur = self.cur, []
+        return hit, hit
+
+    def end_request(self):
+        self.req += 1
+
+    def dump(self) -> list[float]:
+        dim = len((self.prev or self.cur or [[]])[0])
+        flat = [v for r in self.prev for v in r] + [v for r in self.cur for v in r]
+        return [float(dim), float(len(self.prev)), float(len(self.cur))] + flat
+
+    def load(self, v) -> None:
+        dim, npv, ncur = int(v[0]), int(v[1]), int(v[2])
+        rows = [list(v[3 + i * dim:3 + (i + 1) * dim]) for i in range(npv + ncur)] if dim else []
+        self.prev, self.cur = rows[:npv], rows[npv:]

@@ -77,3 +77,8 @@ def with_vector_inputs(reqs: DataFrame, signal=None) -> DataFrame:
     signal = signal or vector_signal
     xs = F.transform(F.col("data"), lambda r: F.transform(r, lambda c, i: signal(c, i, F.col("ts"))))
     return reqs.select("model_id", "model", "axon", "insert_id", "ts", "batch_id", xs.alias("xs"))
+
+
+def identity_cells(cell, i, ts):
+    """Vector detector input = the raw cell (no planted shift)."""
+    return cell

@@ -16,7 +16,7 @@ def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
           fmt: LogFormat = LogFormat(), signal=None, max_files_per_trigger: int | None = None,
           available_now: bool = True, processing_time: str | None = None,
           publish_all_keys: bool = False, send=None, vector: bool = False,
-          batch_by: str = "event_day", rocksdb: bool = False) -> StreamingQuery:
+          batch_by: str = "event_day", rocksdb: bool = False, job_conf: dict | None = None) -> StreamingQuery:
     """Start the drift-state stream over text files appearing in ``landing``.
 
     ``max_files_per_trigger`` bounds a micro-batch (back-pressure); the
@@ -26,6 +26,12 @@ def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
     day of each request; equals the table mode) or ``"arrival"`` (every
     micro-batch is one batch, stamped with its trigger time).
     """
+    if job_conf is not None:                 # the reference job's configuration vocabulary
+        from tidewatch.registry import detector_from_conf
+        detector, vector = detector_from_conf(job_conf)
+        if signal is None:
+            from tidewatch.plans.inputs import identity_cells
+            signal = identity_cells
     if batch_by not in ("event_day", "arrival"):
         raise ValueError("batch_by must be 'event_day' or 'arrival'")
     if rocksdb:   # state off the JVM heap for many models; fixed by the checkpoint's first run
