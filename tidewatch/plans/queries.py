@@ -187,7 +187,8 @@ def metric_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def state_snapshot_all_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     reqs = I.requests(spark, sf_dir).filter(~((F.col(KEY) == "error") & (F.col("batch_id") % 2 == 0)))
-    st = request_states(reqs).select(KEY, "batch_id", "axon", "drift_probability")
+    # the state history is stored once (models x batches rows); the spine reads it three times
+    st = request_states(reqs).select(KEY, "batch_id", "axon", "drift_probability").checkpoint()
     return snapshot_all_keys(st, KEY, "batch_id")
 
 

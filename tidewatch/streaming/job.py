@@ -13,14 +13,17 @@ from tidewatch.streaming.stateful import detector_factory, keyed_states, request
 
 def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
           detector=("CUSUM", dict(min_n=30, delta=0.005, lam=50.0)),
-          fmt: LogFormat = LogFormat(), signal=None, max_files_per_trigger: int | None = None,
+          fmt: LogFormat = LogFormat(), signal=None, max_files_per_trigger: int | None = 100,
           available_now: bool = True, processing_time: str | None = None,
           publish_all_keys: bool = False, send=None, vector: bool = False,
           batch_by: str = "event_day", rocksdb: bool = False, job_conf: dict | None = None) -> StreamingQuery:
     """Start the drift-state stream over text files appearing in ``landing``.
 
-    ``max_files_per_trigger`` bounds a micro-batch (back-pressure); the
-    checkpoint keeps offsets and state, so a restart resumes where it stopped.
+    ``max_files_per_trigger`` bounds a micro-batch (back-pressure, also under
+    ``availableNow``). One model's rows of one micro-batch are held by one
+    Python worker while they are folded, so size it to keep a hot model's
+    share of a micro-batch within a worker. The checkpoint keeps offsets and
+    state, so a restart resumes where it stopped.
     ``vector``: ``detector`` is a vector-detector factory fed whole rows
     (``operators.vector.vector_factory``). ``batch_by``: ``"event_day"`` (the
     day of each request; equals the table mode) or ``"arrival"`` (every
