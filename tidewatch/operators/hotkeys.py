@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tidewatch import config as C
 from tidewatch.functions.metrics import drift_probability
 from tidewatch.functions.signals import chunk_of
-from tidewatch.operators.ordering import prefix_min, prefix_sum, row_index
+from tidewatch.operators.ordering import running
 
 ORDER = ["ts", "insert_id", "row_idx"]
 
@@ -58,8 +58,7 @@ def cusum_change_batches(requests: DataFrame, key: str, first_batch: DataFrame,
     """``(resolved, unresolved)``: resolved has ``key, change_batch`` (null: no
     change ever); unresolved lists the models left for the exact fold."""
     rows = _rows(requests, key)
-    r = row_index(rows, key, "chunk", ORDER)
-    r = prefix_sum(r, key, "chunk", ORDER, "x", "cx")
+    r = running(rows, key, "chunk", ORDER, count="rn", sums={"cx": "x"})
     r = r.select(key, "batch_id", "chunk", "rn", "x", "cx", "is_end").checkpoint()
     pending = first_batch.select(key, F.lit(0).cast("bigint").alias("p"), F.lit(0.0).alias("cxp"),
                                  "first_batch").checkpoint()
@@ -68,8 +67,7 @@ def cusum_change_batches(requests: DataFrame, key: str, first_batch: DataFrame,
         j = r.join(F.broadcast(pending), key).filter(F.col("rn") > F.col("p"))
         n = F.col("rn") - F.col("p")
         j = j.withColumn("v", F.col("x") - (F.col("cx") - F.col("cxp")) / n - F.lit(o.delta))
-        j = prefix_sum(j, key, "chunk", ["rn"], "v", "P")
-        j = prefix_min(j, key, "chunk", ["rn"], "P", "PM")
+        j = running(j, key, "chunk", ["rn"], sums={"P": "v"}, min_of_sum={"PM": "P"})
         hit = (n >= o.min_n) & (F.col("P") - F.least(F.lit(0.0), F.col("PM")) > o.lam)
         first = (j.filter(hit).groupBy(key)
                   .agg(F.min_by(F.struct("rn", "batch_id", "is_end", "cx"), F.col("rn")).alias("a")))

@@ -1,11 +1,21 @@
-"""Row positions within a key without funnelling the key through one task.
-
-``row_index`` numbers rows per key in a total order. Rows are numbered
-inside ``(key, chunk)`` (a chunk is a time bucket such as the batch), and
-each chunk gets the count of its key's earlier chunks as offset. The window
-runs per chunk, so one hot key is spread over as many tasks as it has
-chunks; the offsets come from a ``(key, chunk)`` count table that is small
-(keys x chunks) and joined back by key and chunk.
+"""Running aggregates per key without funnelling a key through one task.
+
+A key's rows are cut into chunks (a time bucket such as the hour, monotone
+in the row order). ``running`` does one pass:
+
+1. one window per ``(key, chunk)`` computes the chunk-local running values
+   (row number, sums, minima, maxima, the minimum of a running sum);
+2. a chunk table (count, totals, minima per ``(key, chunk)``) is aggregated
+   from those same windowed rows - they are already partitioned by
+   ``(key, chunk)``, so no new exchange and the input is read once;
+3. offsets per chunk (what all earlier chunks of the key contribute) come
+   from a window over the small ``keys x chunks`` table;
+4. the offsets are joined back on ``(key, chunk)``; the big side keeps its
+   partitioning, the small side is shuffled (or broadcast by AQE by size).
+
+One hot key is therefore spread over as many tasks as it has chunks.
+Sums follow SQL running-sum semantics (null until a value is seen); minima
+and maxima skip nulls.
 """
 
 from __future__ import annotations
@@ -14,39 +24,83 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def running(df: DataFrame, key: str | list[str], chunk: str, order: list[str], count: str | None = None,
+            sums: dict | None = None, mins: dict | None = None, maxs: dict | None = None,
+            min_of_sum: dict | None = None) -> DataFrame:
+    """Add global running aggregates per key in ``order`` (chunks follow the order).
+
+    ``count``: name of a 1-based row number; ``sums``/``mins``/``maxs``:
+    ``{name: column}``; ``min_of_sum``: ``{name: sum_name}`` = running minimum
+    of the running sum ``sum_name`` (given in ``sums``).
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    sums, mins, maxs, mos = dict(sums or {}), dict(mins or {}), dict(maxs or {}), dict(min_of_sum or {})
+    part = Window.partitionBy(*keys, chunk).orderBy(*order)
+    upto = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = df
+    if count:
+        local = local.withColumn(f"_l_{count}", F.row_number().over(part))
+    for n, c in sums.items():
+        local = local.withColumn(f"_l_{n}", F.sum(c).over(upto))
+    for n, c in mins.items():
+        local = local.withColumn(f"_l_{n}", F.min(c).over(upto))
+    for n, c in maxs.items():
+        local = local.withColumn(f"_l_{n}", F.max(c).over(upto))
+    for n, s in mos.items():
+        local = local.withColumn(f"_l_{n}", F.min(f"_l_{s}").over(upto))
+
+    aggs = []
+    if count:
+        aggs.append(F.count(F.lit(1)).alias(f"_c_{count}"))
+    aggs += [F.sum(c).alias(f"_c_{n}") for n, c in sums.items()]
+    aggs += [F.min(c).alias(f"_c_{n}") for n, c in mins.items()]
+    aggs += [F.max(c).alias(f"_c_{n}") for n, c in maxs.items()]
+    aggs += [F.min(f"_l_{s}").alias(f"_c_{n}") for n, s in mos.items()]
+    ctab = local.groupBy(*keys, chunk).agg(*aggs)
+
+    before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    offs = ctab.select(*keys, chunk, *[F.col(f"_c_{n}") for n in mos],
+                       *([F.coalesce(F.sum(f"_c_{count}").over(before), F.lit(0)).alias(f"_o_{count}")] if count else []),
+                       *[F.sum(f"_c_{n}").over(before).alias(f"_o_{n}") for n in sums],
+                       *[F.min(f"_c_{n}").over(before).alias(f"_o_{n}") for n in mins],
+                       *[F.max(f"_c_{n}").over(before).alias(f"_o_{n}") for n in maxs])
+    if mos:   # earlier chunks' minimum of the global running sum: offset + chunk-local minimum
+        offs = offs.select("*", *[F.min(F.coalesce(F.col(f"_o_{s}"), F.lit(0.0)) + F.col(f"_c_{n}")).over(before)
+                                  .alias(f"_o_{n}") for n, s in mos.items()])
+    out = local.join(offs.select(*keys, chunk, *[c for c in offs.columns if c.startswith("_o_")]),
+                     [*keys, chunk], "inner")
+
+    def osum(n):
+        o, l_ = F.col(f"_o_{n}"), F.col(f"_l_{n}")
+        return F.when(o.isNull() & l_.isNull(), F.lit(None)).otherwise(
+            F.coalesce(o, F.lit(0.0)) + F.coalesce(l_, F.lit(0.0))).cast("double")
+
+    final = {}
+    if count:
+        final[count] = (F.col(f"_o_{count}") + F.col(f"_l_{count}")).cast("bigint")
+    for n in sums:
+        final[n] = osum(n)
+    for n in mins:
+        final[n] = F.least(F.col(f"_l_{n}"), F.col(f"_o_{n}"))
+    for n in maxs:
+        final[n] = F.greatest(F.col(f"_l_{n}"), F.col(f"_o_{n}"))
+    for n, s in mos.items():
+        final[n] = F.least(F.coalesce(F.col(f"_o_{s}"), F.lit(0.0)) + F.col(f"_l_{n}"), F.col(f"_o_{n}"))
+    out = out.withColumns(final)
+    return out.drop(*[c for c in out.columns if c.startswith(("_l_", "_o_"))])
+
+
 def row_index(df: DataFrame, key: str, chunk: str, order: list[str], name: str = "rn") -> DataFrame:
-    local = df.withColumn("_lrn", F.row_number().over(Window.partitionBy(key, chunk).orderBy(*order)))
-    counts = df.groupBy(key, chunk).agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key, chunk, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    return (local.join(offsets, [key, chunk], "inner")
-            .withColumn(name, (F.col("_off") + F.col("_lrn")).cast("bigint")).drop("_off", "_lrn"))
-
-
-def prefix_sum(df: DataFrame, key: str, chunk: str, order: list[str], col: str, name: str) -> DataFrame:
-    """Running sum of ``col`` per key in ``order`` (chunks must follow the order)."""
-    upto = Window.partitionBy(key, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = df.withColumn("_lsum", F.sum(col).over(upto))
-    tot = df.groupBy(key, chunk).agg(F.sum(col).alias("_tot"))
-    before = Window.partitionBy(key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(key, chunk, F.sum("_tot").over(before).alias("_off"))
-    # SQL running-sum semantics: null only while the key has shown no value yet
-    total = (F.when(F.col("_off").isNull() & F.col("_lsum").isNull(), F.lit(None))
-             .otherwise(F.coalesce(F.col("_off"), F.lit(0.0)) + F.coalesce(F.col("_lsum"), F.lit(0.0))))
-    return (local.join(offs, [key, chunk], "inner")
-            .withColumn(name, total.cast("double")).drop("_off", "_lsum"))
+    """1-based row number per key in ``order``."""
+    return running(df, key, chunk, order, count=name)
+
+
+def prefix_sum(df: DataFrame, key: str | list[str], chunk: str, order: list[str], col: str, name: str) -> DataFrame:
+    """Running sum of ``col`` per key."""
+    return running(df, key, chunk, order, sums={name: col})
 
 
 def prefix_min(df: DataFrame, key: str | list[str], chunk: str, order: list[str], col: str, name: str,
                largest: bool = False) -> DataFrame:
-    """Running minimum (``largest``: maximum) of ``col`` per key, chunk-parallel
-    like ``prefix_sum``; nulls are skipped."""
-    keys = [key] if isinstance(key, str) else list(key)
-    agg, comb = (F.max, F.greatest) if largest else (F.min, F.least)
-    upto = Window.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = df.withColumn("_lmin", agg(col).over(upto))
-    mins = df.groupBy(*keys, chunk).agg(agg(col).alias("_cmin"))
-    before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    prev = mins.select(*keys, chunk, agg("_cmin").over(before).alias("_pmin"))
-    return (local.join(prev, [*keys, chunk], "inner")
-            .withColumn(name, comb(F.col("_lmin"), F.col("_pmin"))).drop("_lmin", "_pmin"))
+    """Running minimum (``largest``: maximum) of ``col`` per key; nulls are skipped."""
+    return running(df, key, chunk, order, **({"maxs": {name: col}} if largest else {"mins": {name: col}}))

@@ -24,7 +24,7 @@ from tidewatch.operators.blocks import block_alarms
 from tidewatch.operators.hotkeys import cusum_hot_states, hot_models
 from tidewatch.operators.keyed import fold_batch_states
 from tidewatch.operators.kl import kl_kmeans_windows, kl_windows
-from tidewatch.operators.ordering import prefix_min, row_index
+from tidewatch.operators.ordering import row_index, running
 from tidewatch.operators.windows import cusum_first_alarm, ddm_first_alarm
 from tidewatch.plans import inputs as I
 from tidewatch.plans import reports as R
@@ -310,18 +310,14 @@ def vote_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alarms_by(feature_flags(spark, sf_dir), [KEY, "req_id"])
 
 
-def _n_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feature_long(spark, sf_dir).groupBy(KEY).agg((F.max("feature_idx") + 1).alias("n_features"))
-
-
 def vote_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Subsample-majority vote: share of features whose detector changed at the
-    request's end; alarm when the share exceeds the threshold."""
-    flags = feature_flags(spark, sf_dir).filter("change")
-    votes = flags.groupBy(KEY, "req_id").agg(F.count(F.lit(1)).alias("n_changed"))
-    v = votes.join(_n_features(spark, sf_dir), KEY)
-    share = F.col("n_changed") / F.col("n_features")
-    return v.filter(share > VOTE_THRESHOLD).select(KEY, "req_id", F.round(share, 6).alias("vote"))
+    """Subsample-majority vote: share of a request's features whose detector
+    changed at the request's end; alarm when the share exceeds the threshold.
+    One fold emits every (model, feature, request) end flag; one groupBy votes."""
+    flags = feature_flags(spark, sf_dir, emit_all=True)
+    share = F.sum(F.col("change").cast("int")) / F.count(F.lit(1))
+    votes = flags.groupBy(KEY, "req_id").agg(share.alias("_share"))
+    return votes.filter(F.col("_share") > VOTE_THRESHOLD).select(KEY, "req_id", F.round("_share", 6).alias("vote"))
 
 
 REQUEST_CHUNK = 1024
@@ -330,15 +326,14 @@ REQUEST_CHUNK = 1024
 def vote_logistic_decay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each feature votes ``1/(1+exp(age-5))``, age = requests since its last
     change (no change yet: vote 0); alarm when the mean vote exceeds the
-    threshold. The last change so far is a running maximum over request ids,
-    computed per chunk of ``REQUEST_CHUNK`` requests (chunk-parallel)."""
-    long = feature_long(spark, sf_dir)
-    reqs = long.select(KEY, "feature_idx", "req_id").distinct()
-    changed = feature_flags(spark, sf_dir).filter("change").select(KEY, "feature_idx", "req_id",
-                                                                    F.col("req_id").alias("_alarm_req"))
-    j = (reqs.join(changed, [KEY, "feature_idx", "req_id"], "left")
-             .withColumn("_chunk", F.floor(F.col("req_id") / REQUEST_CHUNK)))
-    j = prefix_min(j, [KEY, "feature_idx"], "_chunk", ["req_id"], "_alarm_req", "_last", largest=True)
+    threshold. One fold emits every (model, feature, request) end flag; the
+    last change so far is a running maximum over request ids, computed per
+    chunk of ``REQUEST_CHUNK`` requests (chunk-parallel)."""
+    # the fold output feeds two branches of the chunked scan: store it once, do not fold twice
+    flags = feature_flags(spark, sf_dir, emit_all=True).checkpoint()
+    j = (flags.select(KEY, "feature_idx", "req_id", F.when(F.col("change"), F.col("req_id")).alias("_alarm_req"))
+              .withColumn("_chunk", F.floor(F.col("req_id") / REQUEST_CHUNK)))
+    j = running(j, [KEY, "feature_idx"], "_chunk", ["req_id"], maxs={"_last": "_alarm_req"})
     last = F.col("_last")
     vote = F.when(last.isNull(), F.lit(0.0)).otherwise(1.0 / (1.0 + F.exp((F.col("req_id") - last) - 5.0)))
     per_req = j.select(KEY, "req_id", vote.alias("v")).groupBy(KEY, "req_id").agg(F.avg("v").alias("score"))
