@@ -3,9 +3,7 @@
 import datetime as dt
 import sys
 
-import pytest
 from pyspark import cloudpickle
-from pyspark.sql import functions as F
 
 from tidewatch.operators.state import snapshot_all_keys
 from tidewatch.plans.queries import request_states
