@@ -53,6 +53,12 @@ def run_table(spark, args) -> None:
 
 
 def run_stream(spark, args):
+    if args.split:                            # feature-split state: --detector per feature, combined
+        from tidewatch.streaming.split import start_split
+        return start_split(spark, args.landing, args.out, args.checkpoint,
+                           detector_factory((args.detector, json.loads(args.options or "{}"))),
+                           args.combine, args.threshold, signal=I.identity_cells,
+                           max_files_per_trigger=args.max_files_per_trigger)
     factory, vector = _detector(args)
     q = job.start(spark, args.landing, args.out, args.checkpoint, detector=factory, vector=vector,
                   signal=I.identity_cells if vector else (lambda x, ts: x),
@@ -88,6 +94,9 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--batch-by", default="event_day", choices=["event_day", "arrival"])
             s.add_argument("--publish-all-keys", action="store_true")
             s.add_argument("--rocksdb", action="store_true")
+            s.add_argument("--split", action="store_true", help="state per (model, feature), combined per request")
+            s.add_argument("--combine", default="any", choices=["any", "majority", "logistic"])
+            s.add_argument("--threshold", type=float, default=0.5)
     return p
 
 
