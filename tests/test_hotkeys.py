@@ -40,3 +40,14 @@ def test_known_hot_keys(spark):
     reqs = I.requests(spark, "/root/testdata/sf0.01")
     fold = _states(request_states(reqs))
     assert _states(request_states(reqs, hot_keys=["click", "view"])) == fold
+
+
+def test_parallel_rounds_page_hinkley_and_gma(spark):
+    reqs = I.requests(spark, "/root/testdata/sf0.01")
+    for det in [("PAGE_HINKLEY", dict(min_n=30, delta=0.005, lam=20.0, alpha=0.9999)),
+                ("PAGE_HINKLEY", dict(min_n=5, delta=0.005, lam=2.0, alpha=0.99)),
+                ("GEOMETRIC_MOVING_AVERAGE", dict(min_n=30, lam=0.2, alpha=0.99))]:
+        fold = _states(request_states(reqs, detector=det))
+        par = _states(request_states(reqs, detector=det, hot_rows=0))
+        assert par == fold, det
+        assert any(v[5] == 0.9 for v in fold.values())

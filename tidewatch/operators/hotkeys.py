@@ -27,7 +27,7 @@ could tip either way.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch import config as C
@@ -86,14 +86,19 @@ def cusum_change_batches(requests: DataFrame, key: str, first_batch: DataFrame,
     return out, pending.select(key)
 
 
-def cusum_hot_states(requests: DataFrame, key: str, o: C.CusumOptions, max_rounds: int = 8) -> tuple[DataFrame, DataFrame]:
+def cusum_hot_states(requests: DataFrame, key: str, o, max_rounds: int = 8,
+                     detector: str = "CUSUM") -> tuple[DataFrame, DataFrame]:
     """State rows (same schema as ``keyed.fold_batch_states``) of the given
-    models' requests, plus the models left unresolved."""
+    models' requests, plus the models left unresolved (CUSUM, PAGE_HINKLEY,
+    GEOMETRIC_MOVING_AVERAGE)."""
     grid = requests.groupBy(key, "batch_id").agg(
         F.min_by(F.struct("model", "axon"), F.struct("ts", "insert_id")).alias("_m"),
         F.count(F.lit(1)).alias("n_requests"))
     first = grid.groupBy(key).agg(F.min("batch_id").alias("first_batch"))
-    resolved, unresolved = cusum_change_batches(requests, key, first, o, max_rounds)
+    if detector == "CUSUM":
+        resolved, unresolved = cusum_change_batches(requests, key, first, o, max_rounds)
+    else:
+        resolved, unresolved = affine_change_batches(requests, key, first, detector, o, max_rounds)
     g = grid.join(resolved, key, "inner")
     chg = F.col("change_batch").isNotNull() & (F.col("batch_id") >= F.col("change_batch"))
     out = g.select(key, "batch_id", F.col("_m.model").alias("model"), F.col("_m.axon").alias("axon"),
@@ -101,3 +106,98 @@ def cusum_hot_states(requests: DataFrame, key: str, o: C.CusumOptions, max_round
     out = out.withColumn("drift_probability",
                          drift_probability(F.col("warning_detected"), F.col("change_detected")))
     return out, unresolved
+
+
+# ---------------------------------------------------------------------------
+# Page-Hinkley and GMA: statistics of the form S_t = max(c, alpha*S_{t-1} + v_t)
+# (Page-Hinkley: c = 0; GMA: no floor, v_t = (1-alpha)(x_t - mean_t)). Each step
+# is a map s -> max(C, A*s + D); maps compose associatively, so chunks compose
+# their rows in parallel and a small per-model scan over chunk totals gives
+# every chunk its starting statistic.
+
+_NEG = float("-inf")
+
+
+def _chunk_maps(rows: DataFrame, key: str, alpha: float, floor: bool) -> DataFrame:
+    """Per row: the composed map (C, A, D) from its chunk's start, in ``rn``
+    order, plus ``_last`` marking the chunk's final row."""
+    import pandas as pd
+
+    src = (rows.select(key, "chunk", "rn", "v").repartition(key, "chunk").sortWithinPartitions(key, "chunk", "rn"))
+
+    def run(batches):
+        cur = None
+        C, A, D = _NEG, 1.0, 0.0
+        for pdf in batches:
+            ks, cs, vs = pdf[key].tolist(), pdf["chunk"].tolist(), pdf["v"].tolist()
+            oc, oa, od = [], [], []
+            for i in range(len(vs)):
+                if (ks[i], cs[i]) != cur:
+                    cur, C, A, D = (ks[i], cs[i]), _NEG, 1.0, 0.0
+                v = vs[i]
+                C = max(0.0, alpha * C + v) if floor else _NEG
+                A = alpha * A
+                D = alpha * D + v
+                oc.append(C)
+                oa.append(A)
+                od.append(D)
+            yield pdf.assign(C=oc, A=oa, D=od)
+
+    return src.mapInPandas(run, f"{key} string, chunk long, rn long, v double, C double, A double, D double")
+
+
+def _chunk_starts(maps: DataFrame, key: str, floor: bool) -> DataFrame:
+    """Statistic at the start of every chunk (fresh start: 0), composing the
+    chunk totals in order; one small group per model (chunks of one model)."""
+    import pandas as pd
+
+    w = Window.partitionBy(key, "chunk").orderBy(F.col("rn").desc())
+    tot = maps.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(key, "chunk", "C", "A", "D")
+
+    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("chunk")
+        s, starts = 0.0, []
+        for C, A, D in zip(pdf["C"], pdf["A"], pdf["D"]):
+            starts.append(s)
+            s = max(C, A * s + D) if floor else A * s + D
+        return pd.DataFrame({key: pdf[key].to_numpy(), "chunk": pdf["chunk"].to_numpy(), "s0": starts})
+
+    return tot.groupBy(key).applyInPandas(scan, f"{key} string, chunk long, s0 double")
+
+
+def affine_change_batches(requests: DataFrame, key: str, first_batch: DataFrame, detector: str, o,
+                          max_rounds: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Like ``cusum_change_batches`` for Page-Hinkley (``floor`` at 0) and GMA."""
+    floor = detector == "PAGE_HINKLEY"
+    rows = _rows(requests, key)
+    r = running(rows, key, "chunk", ORDER, count="rn", sums={"cx": "x"})
+    r = r.select(key, "batch_id", "chunk", "rn", "x", "cx", "is_end").checkpoint()
+    pending = first_batch.select(key, F.lit(0).cast("bigint").alias("p"), F.lit(0.0).alias("cxp"),
+                                 "first_batch").checkpoint()
+    resolved = []
+    for _ in range(max_rounds):
+        j = r.join(F.broadcast(pending), key).filter(F.col("rn") > F.col("p"))
+        n = F.col("rn") - F.col("p")
+        mean = (F.col("cx") - F.col("cxp")) / n
+        v = (F.col("x") - mean - F.lit(o.delta)) if floor else F.lit(1.0 - o.alpha) * (F.col("x") - mean)
+        j = j.withColumn("v", v).withColumn("n", n).checkpoint()
+        maps = _chunk_maps(j, key, o.alpha, floor)
+        starts = _chunk_starts(maps, key, floor)
+        stat = F.greatest(F.col("C"), F.col("A") * F.col("s0") + F.col("D")) if floor else \
+            F.col("A") * F.col("s0") + F.col("D")
+        st_rows = maps.join(starts, [key, "chunk"]).withColumn("S", stat).select(key, "rn", "S")
+        hits = j.join(st_rows, [key, "rn"]).filter((F.col("n") >= o.min_n) & (F.col("S") > o.lam))
+        first = hits.groupBy(key).agg(F.min_by(F.struct("rn", "batch_id", "is_end", "cx"), F.col("rn")).alias("a"))
+        st = pending.join(first, key, "left")
+        reported = (F.col("a.batch_id") > F.col("first_batch")) & F.col("a.is_end")
+        done = F.col("a").isNull() | reported
+        resolved.append(st.filter(done).select(key, F.when(reported, F.col("a.batch_id")).alias("change_batch"))
+                        .checkpoint())
+        pending = st.filter(~done).select(key, F.col("a.rn").alias("p"), F.col("a.cx").alias("cxp"),
+                                          "first_batch").checkpoint()
+        if pending.isEmpty():
+            break
+    out = resolved[0]
+    for d in resolved[1:]:
+        out = out.unionByName(d)
+    return out, pending.select(key)

@@ -121,6 +121,11 @@ def vector_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- state
 
 
+# detectors whose latched state has the parallel hot-model path
+PARALLEL_LATCH = {"CUSUM": C.CusumOptions, "PAGE_HINKLEY": C.PageHinkleyOptions,
+                  "GEOMETRIC_MOVING_AVERAGE": C.GmaOptions}
+
+
 def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str = "request_end",
                    hot_keys=None, hot_rows: int | None = None, hot_rounds: int = 8) -> DataFrame:
     """Table-mode state per (model, batch) of parsed requests: one sorted
@@ -139,8 +144,8 @@ def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str =
         raise ValueError("poll must be 'request_end' or 'any_row'")
     det = detector if callable(detector) else _det(*detector)
     inputs = I.with_inputs(reqs, signal)
-    cusum = not callable(detector) and detector[0] == "CUSUM" and poll == "request_end"
-    if not cusum or (hot_keys is None and hot_rows is None):
+    parallel = not callable(detector) and detector[0] in PARALLEL_LATCH and poll == "request_end"
+    if not parallel or (hot_keys is None and hot_rows is None):
         return fold_batch_states(inputs, det, KEY, any_row=poll == "any_row")
     spark = reqs.sparkSession
     if hot_keys is None:
@@ -154,7 +159,8 @@ def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str =
         return fold_batch_states(inputs, det, KEY)
     cold = inputs.join(F.broadcast(hot), KEY, "left_anti")
     hot_in = inputs.join(F.broadcast(hot), KEY, "left_semi")
-    hot_states, left = cusum_hot_states(hot_in, KEY, C.CusumOptions(**detector[1]), hot_rounds)
+    opts = PARALLEL_LATCH[detector[0]](**detector[1])
+    hot_states, left = cusum_hot_states(hot_in, KEY, opts, hot_rounds, detector[0])
     rest = inputs.join(F.broadcast(left), KEY, "left_semi")
     folded = fold_batch_states(cold.unionByName(rest), det, KEY)
     return folded.unionByName(hot_states)
