@@ -63,15 +63,30 @@ def make_batch_writer(out_dir: str, metric: str = "input_drift_probability",
     return write
 
 
+def latest_epoch_path(spark: SparkSession, base: str, before: int) -> str | None:
+    """Path of the newest ``base/epoch=<e>`` folder with ``e < before`` (one
+    listing through the Hadoop FileSystem API, any store)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    best = None
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("epoch="):
+            try:
+                e = int(name.split("=", 1)[1])
+            except ValueError:
+                continue
+            if e < before and (best is None or e > best):
+                best = e
+    return None if best is None else f"{base}/epoch={best}"
+
+
 def _merge_latest(spark: SparkSession, batch: DataFrame, out_dir: str, epoch_id: int) -> DataFrame:
-    prev = None
-    for e in range(epoch_id - 1, -1, -1):         # the last epoch that wrote a latest table
-        try:
-            prev = spark.read.parquet(f"{out_dir}/latest/epoch={e}")
-            break
-        except Exception:  # noqa: BLE001 - path absent
-            continue
-    both = batch if prev is None else prev.unionByName(batch)
+    prev_path = latest_epoch_path(spark, f"{out_dir}/latest", epoch_id)
+    both = batch if prev_path is None else spark.read.parquet(prev_path).unionByName(batch)
     w = Window.partitionBy("model_id").orderBy(F.col("batch_id").desc())
     return both.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
 

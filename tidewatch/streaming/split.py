@@ -31,7 +31,7 @@ from tidewatch.config import LogFormat
 from tidewatch.functions.metrics import drift_probability
 from tidewatch.operators.vector import COMBINE
 from tidewatch.plans.inputs import requests_of
-from tidewatch.streaming.sinks import metric_rows, state_table_rows
+from tidewatch.streaming.sinks import latest_epoch_path, metric_rows, state_table_rows
 
 FEATURE_STATE = "req LONG, last_change LONG, detector ARRAY<DOUBLE>"
 FLAGS_SCHEMA = ("model_id STRING, feature_idx LONG, batch_id LONG, ts TIMESTAMP_NTZ, insert_id STRING, "
@@ -130,12 +130,8 @@ def latch_batch(spark: SparkSession, requests: DataFrame, prev: DataFrame | None
 
 
 def _latest_models(spark: SparkSession, out_dir: str, epoch_id: int) -> DataFrame | None:
-    for e in range(epoch_id - 1, -1, -1):
-        try:
-            return spark.read.parquet(f"{out_dir}/models/epoch={e}")
-        except Exception:  # noqa: BLE001 - path absent
-            continue
-    return None
+    path = latest_epoch_path(spark, f"{out_dir}/models", epoch_id)
+    return None if path is None else spark.read.parquet(path)
 
 
 def make_split_writer(out_dir: str, combine: str, threshold: float, metric: str = "input_drift_probability",
