@@ -51,3 +51,15 @@ def test_parallel_rounds_page_hinkley_and_gma(spark):
         par = _states(request_states(reqs, detector=det, hot_rows=0))
         assert par == fold, det
         assert any(v[5] == 0.9 for v in fold.values())
+
+
+def test_parallel_rounds_with_warnings(spark):
+    # EWMA and DDM raise warnings too: the latch needs the first reported warning and change
+    sf = "/root/testdata/sf0.01"
+    sig = lambda x, ts: (x > 100.0).cast("double")           # noqa: E731 - binary error signal
+    reqs = I.requests(spark, sf)
+    for det in [("EWMA", {}), ("DDM", {}), ("DDM", dict(min_n=5, warn_level=1.5, out_level=2.0))]:
+        fold = _states(request_states(reqs, detector=det, signal=sig))
+        par = _states(request_states(reqs, detector=det, signal=sig, hot_rows=0))
+        assert par == fold, det
+        assert any(v[3] for v in fold.values()), det

@@ -1,41 +1,51 @@
-"""Latched CUSUM state for hot models without a single-task fold.
+"""Latched drift state for hot models without a single-task fold.
 
 The sequential fold gives one model to one task. When one model holds a
-large share of all rows, its latched CUSUM state is computed in parallel
-rounds instead:
-
-* Up to its first alarm after a restart at row ``p``, CUSUM has a closed
-  form (Lindley): with ``v_t = x_t - mean(x_{p+1..t}) - delta`` and
-  ``P_t = sum_{p<j<=t} v_j``, the statistic is ``S_t = P_t - min(0,
-  min_{p<j<=t} P_j)``. Running sums and minima are chunk-parallel prefix
-  scans (``ordering``), so each round spreads a model over its batches.
-* The latch only needs the first reported change after the warm-up batch:
-  once set it never clears. A round finds each model's first alarm. If the
-  alarm is on a request's last row and after the first batch, the model is
-  resolved (change from that batch on). Otherwise (warm-up batch, or a row
-  inside a request, which restarts the detector silently) the next round
-  starts fresh after it.
-* Models still unresolved after ``max_rounds`` go to the exact sequential
-  fold, so the result is always whole.
+large share of all rows, its latched state is computed in parallel rounds
+instead, for the detectors whose statistic has a parallel form up to the
+first change after a restart at row ``p``:
+
+* CUSUM: with ``v_t = x_t - mean(x_{p+1..t}) - delta`` and ``P_t`` the
+  running sum of ``v``, the statistic is ``S_t = P_t - min(0, min P_j)``
+  (Lindley): running sums and minima are chunk-parallel scans (``ordering``).
+* Page-Hinkley, GMA, EWMA: every step is a map ``s -> max(C, A*s + D)``
+  (Page-Hinkley floors at 0; GMA and the EWMA chart have no floor). Maps
+  compose associatively: chunks compose their rows in parallel
+  (``mapInPandas`` over sorted ``(model, chunk)`` partitions), and a
+  per-model scan over the chunk totals gives every chunk its start value.
+* DDM: the running minimum of ``(p+s, p, s)`` is a chunk-parallel scan.
+
+The latch only needs the first *reported* change after the warm-up batch
+(a change on a request's last row; a change inside a request or in the
+warm-up batch restarts the detector silently), and the first reported
+warning after warm-up (DDM, EWMA). A round finds every model's first change
+after its restart point and its first reported warning before that change.
+A model is resolved when its first reported change is found (and, for
+detectors with warnings, its first reported warning) or when its rows run
+out; otherwise the next round restarts after the change. Models still open
+after ``max_rounds`` go to the exact sequential fold, so the result is whole.
 
 Rounds read a checkpointed row table (lineage cut, reused by every round);
-the per-model restart table is one row per hot model, broadcast with that
-bound. Running means here are differences of prefix sums, so the last bits
-can differ from the incremental fold; an alarm exactly at the threshold
-could tip either way.
+the per-model restart table has one row per hot model and is broadcast with
+that bound. Running means here are differences of prefix sums, so the last
+bits can differ from the incremental fold; a statistic exactly at a
+threshold could tip either way.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch import config as C
 from tidewatch.functions.metrics import drift_probability
 from tidewatch.functions.signals import chunk_of
+from tidewatch.operators.detectors import ECDD_L
 from tidewatch.operators.ordering import running
 
 ORDER = ["ts", "insert_id", "row_idx"]
+_NEG = float("-inf")
 
 
 def _rows(requests: DataFrame, key: str) -> DataFrame:
@@ -53,92 +63,35 @@ def hot_models(requests: DataFrame, key: str, hot_rows: int) -> DataFrame:
     return sizes.filter(F.col("_rows") > hot_rows).select(key)
 
 
-def cusum_change_batches(requests: DataFrame, key: str, first_batch: DataFrame, o: C.CusumOptions,
-                         max_rounds: int = 8) -> tuple[DataFrame, DataFrame]:
-    """``(resolved, unresolved)``: resolved has ``key, change_batch`` (null: no
-    change ever); unresolved lists the models left for the exact fold."""
-    rows = _rows(requests, key)
-    r = running(rows, key, "chunk", ORDER, count="rn", sums={"cx": "x"})
-    r = r.select(key, "batch_id", "chunk", "rn", "x", "cx", "is_end").checkpoint()
-    pending = first_batch.select(key, F.lit(0).cast("bigint").alias("p"), F.lit(0.0).alias("cxp"),
-                                 "first_batch").checkpoint()
-    resolved = []
-    for _ in range(max_rounds):
-        j = r.join(F.broadcast(pending), key).filter(F.col("rn") > F.col("p"))
-        n = F.col("rn") - F.col("p")
-        j = j.withColumn("v", F.col("x") - (F.col("cx") - F.col("cxp")) / n - F.lit(o.delta))
-        j = running(j, key, "chunk", ["rn"], sums={"P": "v"}, min_of_sum={"PM": "P"})
-        hit = (n >= o.min_n) & (F.col("P") - F.least(F.lit(0.0), F.col("PM")) > o.lam)
-        first = (j.filter(hit).groupBy(key)
-                  .agg(F.min_by(F.struct("rn", "batch_id", "is_end", "cx"), F.col("rn")).alias("a")))
-        st = pending.join(first, key, "left")
-        reported = (F.col("a.batch_id") > F.col("first_batch")) & F.col("a.is_end")
-        done = F.col("a").isNull() | reported
-        resolved.append(st.filter(done).select(key, F.when(reported, F.col("a.batch_id")).alias("change_batch"))
-                        .checkpoint())
-        pending = st.filter(~done).select(key, F.col("a.rn").alias("p"), F.col("a.cx").alias("cxp"),
-                                          "first_batch").checkpoint()
-        if pending.isEmpty():
-            break
-    out = resolved[0]
-    for d in resolved[1:]:
-        out = out.unionByName(d)
-    return out, pending.select(key)
+def _n() -> Column:
+    return F.col("rn") - F.col("p")
 
 
-def cusum_hot_states(requests: DataFrame, key: str, o, max_rounds: int = 8,
-                     detector: str = "CUSUM") -> tuple[DataFrame, DataFrame]:
-    """State rows (same schema as ``keyed.fold_batch_states``) of the given
-    models' requests, plus the models left unresolved (CUSUM, PAGE_HINKLEY,
-    GEOMETRIC_MOVING_AVERAGE)."""
-    grid = requests.groupBy(key, "batch_id").agg(
-        F.min_by(F.struct("model", "axon"), F.struct("ts", "insert_id")).alias("_m"),
-        F.count(F.lit(1)).alias("n_requests"))
-    first = grid.groupBy(key).agg(F.min("batch_id").alias("first_batch"))
-    if detector == "CUSUM":
-        resolved, unresolved = cusum_change_batches(requests, key, first, o, max_rounds)
-    else:
-        resolved, unresolved = affine_change_batches(requests, key, first, detector, o, max_rounds)
-    g = grid.join(resolved, key, "inner")
-    chg = F.col("change_batch").isNotNull() & (F.col("batch_id") >= F.col("change_batch"))
-    out = g.select(key, "batch_id", F.col("_m.model").alias("model"), F.col("_m.axon").alias("axon"),
-                   "n_requests", F.lit(False).alias("warning_detected"), chg.alias("change_detected"))
-    out = out.withColumn("drift_probability",
-                         drift_probability(F.col("warning_detected"), F.col("change_detected")))
-    return out, unresolved
+def _mean() -> Column:
+    return (F.col("cx") - F.col("cxp")) / _n()
 
 
-# ---------------------------------------------------------------------------
-# Page-Hinkley and GMA: statistics of the form S_t = max(c, alpha*S_{t-1} + v_t)
-# (Page-Hinkley: c = 0; GMA: no floor, v_t = (1-alpha)(x_t - mean_t)). Each step
-# is a map s -> max(C, A*s + D); maps compose associatively, so chunks compose
-# their rows in parallel and a small per-model scan over chunk totals gives
-# every chunk its starting statistic.
-
-_NEG = float("-inf")
+# ---------------------------------------------------------------- composed maps
 
 
 def _chunk_maps(rows: DataFrame, key: str, alpha: float, floor: bool) -> DataFrame:
-    """Per row: the composed map (C, A, D) from its chunk's start, in ``rn``
-    order, plus ``_last`` marking the chunk's final row."""
-    import pandas as pd
-
-    src = (rows.select(key, "chunk", "rn", "v").repartition(key, "chunk").sortWithinPartitions(key, "chunk", "rn"))
+    """Per row: the composed map (C, A, D) from its chunk's start, in ``rn`` order."""
+    src = rows.select(key, "chunk", "rn", "v").repartition(key, "chunk").sortWithinPartitions(key, "chunk", "rn")
 
     def run(batches):
         cur = None
-        C, A, D = _NEG, 1.0, 0.0
+        Cm, A, D = _NEG, 1.0, 0.0
         for pdf in batches:
             ks, cs, vs = pdf[key].tolist(), pdf["chunk"].tolist(), pdf["v"].tolist()
             oc, oa, od = [], [], []
             for i in range(len(vs)):
                 if (ks[i], cs[i]) != cur:
-                    cur, C, A, D = (ks[i], cs[i]), _NEG, 1.0, 0.0
+                    cur, Cm, A, D = (ks[i], cs[i]), _NEG, 1.0, 0.0
                 v = vs[i]
-                C = max(0.0, alpha * C + v) if floor else _NEG
+                Cm = max(0.0, alpha * Cm + v) if floor else _NEG
                 A = alpha * A
                 D = alpha * D + v
-                oc.append(C)
+                oc.append(Cm)
                 oa.append(A)
                 od.append(D)
             yield pdf.assign(C=oc, A=oa, D=od)
@@ -148,56 +101,149 @@ def _chunk_maps(rows: DataFrame, key: str, alpha: float, floor: bool) -> DataFra
 
 def _chunk_starts(maps: DataFrame, key: str, floor: bool) -> DataFrame:
     """Statistic at the start of every chunk (fresh start: 0), composing the
-    chunk totals in order; one small group per model (chunks of one model)."""
-    import pandas as pd
-
+    chunk totals in order; one small group (the model's chunks) per model."""
     w = Window.partitionBy(key, "chunk").orderBy(F.col("rn").desc())
     tot = maps.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(key, "chunk", "C", "A", "D")
 
     def scan(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("chunk")
         s, starts = 0.0, []
-        for C, A, D in zip(pdf["C"], pdf["A"], pdf["D"]):
+        for Cm, A, D in zip(pdf["C"], pdf["A"], pdf["D"]):
             starts.append(s)
-            s = max(C, A * s + D) if floor else A * s + D
+            s = max(Cm, A * s + D) if floor else A * s + D
         return pd.DataFrame({key: pdf[key].to_numpy(), "chunk": pdf["chunk"].to_numpy(), "s0": starts})
 
     return tot.groupBy(key).applyInPandas(scan, f"{key} string, chunk long, s0 double")
 
 
-def affine_change_batches(requests: DataFrame, key: str, first_batch: DataFrame, detector: str, o,
-                          max_rounds: int = 8) -> tuple[DataFrame, DataFrame]:
-    """Like ``cusum_change_batches`` for Page-Hinkley (``floor`` at 0) and GMA."""
-    floor = detector == "PAGE_HINKLEY"
+def _composed_stat(j: DataFrame, key: str, alpha: float, floor: bool) -> DataFrame:
+    """``j`` (with ``v``) plus ``S``, the statistic after each row."""
+    j = j.checkpoint()                         # feeds the maps and the join back
+    maps = _chunk_maps(j, key, alpha, floor)
+    starts = _chunk_starts(maps, key, floor)
+    stat = (F.greatest(F.col("C"), F.col("A") * F.col("s0") + F.col("D")) if floor
+            else F.col("A") * F.col("s0") + F.col("D"))
+    s = maps.join(starts, [key, "chunk"]).select(key, "rn", stat.alias("S"))
+    return j.join(s, [key, "rn"])
+
+
+# ---------------------------------------------------------------- per-detector flags of a round
+
+
+def _cusum_flags(j: DataFrame, key: str, o: C.CusumOptions) -> DataFrame:
+    j = j.withColumn("v", F.col("x") - _mean() - F.lit(o.delta))
+    j = running(j, key, "chunk", ["rn"], sums={"P": "v"}, min_of_sum={"PM": "P"})
+    chg = (_n() >= o.min_n) & (F.col("P") - F.least(F.lit(0.0), F.col("PM")) > o.lam)
+    return j.withColumn("chg", chg).withColumn("wrn", F.lit(False))
+
+
+def _ph_flags(j: DataFrame, key: str, o: C.PageHinkleyOptions) -> DataFrame:
+    j = _composed_stat(j.withColumn("v", F.col("x") - _mean() - F.lit(o.delta)), key, o.alpha, True)
+    return j.withColumn("chg", (_n() >= o.min_n) & (F.col("S") > o.lam)).withColumn("wrn", F.lit(False))
+
+
+def _gma_flags(j: DataFrame, key: str, o: C.GmaOptions) -> DataFrame:
+    j = _composed_stat(j.withColumn("v", F.lit(1.0 - o.alpha) * (F.col("x") - _mean())), key, o.alpha, False)
+    return j.withColumn("chg", (_n() >= o.min_n) & (F.col("S") > o.lam)).withColumn("wrn", F.lit(False))
+
+
+def _ewma_flags(j: DataFrame, key: str, o: C.EwmaOptions) -> DataFrame:
+    oml = 1.0 - o.lam
+    j = _composed_stat(j.withColumn("v", F.lit(o.lam) * F.col("x")), key, oml, False)
+    p = _mean()
+    rad = p * (1.0 - p) * F.lit(o.lam / (2.0 - o.lam)) * (1.0 - F.pow(F.lit(oml), 2 * _n()))
+    a, b, c, d, e = ECDD_L
+    lim = F.lit(a) - b * p + c * F.pow(p, 3) - d * F.pow(p, 5) + e * F.pow(p, 7)
+    ok = (_n() >= o.min_n) & (rad >= 0)
+    sd = F.sqrt(rad)
+    chg = ok & (F.col("S") > p + lim * sd)
+    wrn = ok & ~chg & (F.col("S") > p + F.lit(0.5) * lim * sd)
+    return j.withColumn("chg", chg).withColumn("wrn", wrn)
+
+
+def _ddm_flags(j: DataFrame, key: str, o: C.DdmOptions) -> DataFrame:
+    p = _mean()
+    rad = p * (1.0 - p) / _n()
+    ok = (rad >= 0) & (_n() >= o.min_n)
+    j = (j.withColumn("_ok", ok).withColumn("_p", p).withColumn("_s", F.sqrt(F.when(ok, rad)))
+          .withColumn("_ps", F.when(F.col("_ok"), F.struct((F.col("_p") + F.col("_s")).alias("ps"),
+                                                           F.col("_p").alias("p"), F.col("_s").alias("s")))))
+    j = running(j, key, "chunk", ["rn"], mins={"_m": "_ps"})
+    ps = F.col("_p") + F.col("_s")
+    chg = F.col("_ok") & (ps > F.col("_m.p") + F.lit(o.out_level) * F.col("_m.s"))
+    wrn = F.col("_ok") & ~chg & (ps > F.col("_m.p") + F.lit(o.warn_level) * F.col("_m.s"))
+    return j.withColumn("chg", chg).withColumn("wrn", wrn)
+
+
+# detector -> (options class, flags of a round, has warnings)
+PARALLEL = {
+    "CUSUM": (C.CusumOptions, _cusum_flags, False),
+    "PAGE_HINKLEY": (C.PageHinkleyOptions, _ph_flags, False),
+    "GEOMETRIC_MOVING_AVERAGE": (C.GmaOptions, _gma_flags, False),
+    "EWMA": (C.EwmaOptions, _ewma_flags, True),
+    "DDM": (C.DdmOptions, _ddm_flags, True),
+}
+
+
+def latch_batches(requests: DataFrame, key: str, first_batch: DataFrame, detector: str, o,
+                  max_rounds: int = 8) -> tuple[DataFrame, DataFrame]:
+    """``(resolved, unresolved)``: resolved has ``key, change_batch, warn_batch``
+    (null: never); unresolved lists the models left for the exact fold."""
+    _, flags_of, warns = PARALLEL[detector]
     rows = _rows(requests, key)
     r = running(rows, key, "chunk", ORDER, count="rn", sums={"cx": "x"})
     r = r.select(key, "batch_id", "chunk", "rn", "x", "cx", "is_end").checkpoint()
+    none = F.lit(None).cast("bigint")
     pending = first_batch.select(key, F.lit(0).cast("bigint").alias("p"), F.lit(0.0).alias("cxp"),
-                                 "first_batch").checkpoint()
+                                 "first_batch", none.alias("change_batch"), none.alias("warn_batch")).checkpoint()
     resolved = []
     for _ in range(max_rounds):
         j = r.join(F.broadcast(pending), key).filter(F.col("rn") > F.col("p"))
-        n = F.col("rn") - F.col("p")
-        mean = (F.col("cx") - F.col("cxp")) / n
-        v = (F.col("x") - mean - F.lit(o.delta)) if floor else F.lit(1.0 - o.alpha) * (F.col("x") - mean)
-        j = j.withColumn("v", v).withColumn("n", n).checkpoint()
-        maps = _chunk_maps(j, key, o.alpha, floor)
-        starts = _chunk_starts(maps, key, floor)
-        stat = F.greatest(F.col("C"), F.col("A") * F.col("s0") + F.col("D")) if floor else \
-            F.col("A") * F.col("s0") + F.col("D")
-        st_rows = maps.join(starts, [key, "chunk"]).withColumn("S", stat).select(key, "rn", "S")
-        hits = j.join(st_rows, [key, "rn"]).filter((F.col("n") >= o.min_n) & (F.col("S") > o.lam))
-        first = hits.groupBy(key).agg(F.min_by(F.struct("rn", "batch_id", "is_end", "cx"), F.col("rn")).alias("a"))
-        st = pending.join(first, key, "left")
+        f = flags_of(j, key, o).select(key, "rn", "batch_id", "is_end", "cx", "chg", "wrn", "first_batch")
+        if warns:
+            f = f.checkpoint()                 # read twice: changes and warnings
+        a = f.filter("chg").groupBy(key).agg(F.min_by(F.struct("rn", "batch_id", "is_end", "cx"), F.col("rn")).alias("a"))
+        st = pending.join(a, key, "left")
+        if warns:
+            before = F.col("_arn").isNull() | (F.col("rn") < F.col("_arn"))
+            w = (f.join(a.select(key, F.col("a.rn").alias("_arn")), key, "left")
+                  .filter(F.col("wrn") & F.col("is_end") & (F.col("batch_id") > F.col("first_batch")) & before)
+                  .groupBy(key).agg(F.min("batch_id").alias("_wb")))
+            st = st.join(w, key, "left").withColumn("warn_batch", F.least("warn_batch", "_wb"))
         reported = (F.col("a.batch_id") > F.col("first_batch")) & F.col("a.is_end")
-        done = F.col("a").isNull() | reported
-        resolved.append(st.filter(done).select(key, F.when(reported, F.col("a.batch_id")).alias("change_batch"))
-                        .checkpoint())
+        st = st.withColumn("change_batch", F.coalesce("change_batch", F.when(reported, F.col("a.batch_id"))))
+        known = F.col("change_batch").isNotNull() & (F.col("warn_batch").isNotNull() if warns else F.lit(True))
+        done = F.col("a").isNull() | known
+        resolved.append(st.filter(done).select(key, "change_batch", "warn_batch").checkpoint())
         pending = st.filter(~done).select(key, F.col("a.rn").alias("p"), F.col("a.cx").alias("cxp"),
-                                          "first_batch").checkpoint()
+                                          "first_batch", "change_batch", "warn_batch").checkpoint()
         if pending.isEmpty():
             break
     out = resolved[0]
     for d in resolved[1:]:
         out = out.unionByName(d)
     return out, pending.select(key)
+
+
+def hot_states(requests: DataFrame, key: str, detector: str, o, max_rounds: int = 8) -> tuple[DataFrame, DataFrame]:
+    """State rows (same schema as ``keyed.fold_batch_states``) of the given
+    models' requests, plus the models left unresolved."""
+    grid = requests.groupBy(key, "batch_id").agg(
+        F.min_by(F.struct("model", "axon"), F.struct("ts", "insert_id")).alias("_m"),
+        F.count(F.lit(1)).alias("n_requests"))
+    first = grid.groupBy(key).agg(F.min("batch_id").alias("first_batch"))
+    resolved, unresolved = latch_batches(requests, key, first, detector, o, max_rounds)
+    g = grid.join(resolved, key, "inner")
+    chg = F.col("change_batch").isNotNull() & (F.col("batch_id") >= F.col("change_batch"))
+    wrn = F.col("warn_batch").isNotNull() & (F.col("batch_id") >= F.col("warn_batch"))
+    out = g.select(key, "batch_id", F.col("_m.model").alias("model"), F.col("_m.axon").alias("axon"),
+                   "n_requests", wrn.alias("warning_detected"), chg.alias("change_detected"))
+    out = out.withColumn("drift_probability",
+                         drift_probability(F.col("warning_detected"), F.col("change_detected")))
+    return out, unresolved
+
+
+def cusum_hot_states(requests: DataFrame, key: str, o, max_rounds: int = 8,
+                     detector: str = "CUSUM") -> tuple[DataFrame, DataFrame]:
+    return hot_states(requests, key, detector, o, max_rounds)
+

@@ -21,7 +21,7 @@ from tidewatch.operators import detectors as D
 from tidewatch.operators.fold import alarms_by, fold_alarms
 from tidewatch.operators.state import batch_grid, latch, snapshot_all_keys
 from tidewatch.operators.blocks import block_alarms
-from tidewatch.operators.hotkeys import cusum_hot_states, hot_models
+from tidewatch.operators.hotkeys import PARALLEL, hot_models, hot_states
 from tidewatch.operators.keyed import fold_batch_states
 from tidewatch.operators.kl import kl_kmeans_windows, kl_windows
 from tidewatch.operators.ordering import row_index, running
@@ -121,11 +121,6 @@ def vector_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- state
 
 
-# detectors whose latched state has the parallel hot-model path
-PARALLEL_LATCH = {"CUSUM": C.CusumOptions, "PAGE_HINKLEY": C.PageHinkleyOptions,
-                  "GEOMETRIC_MOVING_AVERAGE": C.GmaOptions}
-
-
 def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str = "request_end",
                    hot_keys=None, hot_rows: int | None = None, hot_rounds: int = 8) -> DataFrame:
     """Table-mode state per (model, batch) of parsed requests: one sorted
@@ -135,7 +130,7 @@ def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str =
     ``detector`` is ``(name, options)`` or a factory returning an object with
     ``step(x) -> (warning, change)``.
 
-    Hot models (CUSUM): ``hot_keys`` (a list or a one-column DataFrame of
+    Hot models (CUSUM, Page-Hinkley, GMA, EWMA, DDM): ``hot_keys`` (a list or a one-column DataFrame of
     models known to be large) or ``hot_rows`` (detect models with more rows:
     the parsed input is checkpointed once and counted) are computed by
     parallel rounds (``operators.hotkeys``) instead of one task each. Without
@@ -144,7 +139,7 @@ def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str =
         raise ValueError("poll must be 'request_end' or 'any_row'")
     det = detector if callable(detector) else _det(*detector)
     inputs = I.with_inputs(reqs, signal)
-    parallel = not callable(detector) and detector[0] in PARALLEL_LATCH and poll == "request_end"
+    parallel = not callable(detector) and detector[0] in PARALLEL and poll == "request_end"
     if not parallel or (hot_keys is None and hot_rows is None):
         return fold_batch_states(inputs, det, KEY, any_row=poll == "any_row")
     spark = reqs.sparkSession
@@ -159,11 +154,11 @@ def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str =
         return fold_batch_states(inputs, det, KEY)
     cold = inputs.join(F.broadcast(hot), KEY, "left_anti")
     hot_in = inputs.join(F.broadcast(hot), KEY, "left_semi")
-    opts = PARALLEL_LATCH[detector[0]](**detector[1])
-    hot_states, left = cusum_hot_states(hot_in, KEY, opts, hot_rounds, detector[0])
+    opts = PARALLEL[detector[0]][0](**detector[1])
+    hot, left = hot_states(hot_in, KEY, detector[0], opts, hot_rounds)
     rest = inputs.join(F.broadcast(left), KEY, "left_semi")
     folded = fold_batch_states(cold.unionByName(rest), det, KEY)
-    return folded.unionByName(hot_states)
+    return folded.unionByName(hot)
 
 
 def state_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
