@@ -44,6 +44,9 @@ CASES = [
     ("json_null_cell", envelope(body([[1, None, 3]])), "bad_vector"),
     ("text_cell", envelope(body([[1, "abc", 3]])), "bad_vector"),
     ("longer_second_row", envelope(body([[1, 2], [1, 2, 3]])), "ragged_vector"),
+    ("rank_one", envelope(body([1, 2, 3])), "bad_vector"),
+    ("rank_four", envelope(body([[[[1]]]])), "bad_vector"),
+    ("null_ndarray", envelope(body(None)), "missing_field"),
 ]
 
 
@@ -105,3 +108,12 @@ def test_severity_filter_pushes_down(spark):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "PushedFilters" in plan and "In(severity" in plan and "EqualTo(cluster_name,c1)" in plan
     assert q.count() == 3
+
+
+def test_rank_three_rows_are_flattened(spark):
+    from pyspark.sql import functions as F
+
+    from tidewatch.functions.vectors import vector_dim
+    df = spark.createDataFrame([(envelope(body([[[1, 2], [3, 4]], [[5, 6], [7, 8]]])),)], "value string")
+    r = P.parse_requests(df).select("data", vector_dim(F.col("data")).alias("dim")).first()
+    assert r.data == [[1.0, 2.0, 3.0, 4.0], [5.0, 6.0, 7.0, 8.0]] and r.dim == 4

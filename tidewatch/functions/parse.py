@@ -33,7 +33,7 @@ def body_schema(fmt: LogFormat) -> T.StructType:
         T.StructField(":authority", T.StringType()),
         T.StructField(fmt.labels_field, T.MapType(T.StringType(), T.StringType())),
         T.StructField("requestBody", T.StructType([
-            T.StructField("data", T.StructType([T.StructField("ndarray", NDARRAY_TEXT)]))])),
+            T.StructField("data", T.StructType([T.StructField("ndarray", T.StringType())]))])),
         T.StructField(CORRUPT, T.StringType()),
     ])
 
@@ -52,6 +52,20 @@ def unescape(col: Column) -> Column:
     return F.replace(col, F.lit('\\"'), F.lit('"'))
 
 
+NDARRAY_RANK3 = T.ArrayType(T.ArrayType(T.ArrayType(T.StringType())))
+
+
+def ndarray_rows(raw: Column) -> Column:
+    """Rows of a request's ``ndarray`` (its raw JSON text) as arrays of cell
+    texts. Rank 2 is read as is; for rank 3 every row is flattened, so a row
+    has the product of its shape as dimension. Anything else (rank 1, a cell
+    nested deeper) leaves null rows or non-numeric cells: a ``bad_vector``."""
+    r2 = F.from_json(raw, NDARRAY_TEXT)
+    nested = F.exists(r2, lambda r: F.exists(r, lambda c: c.startswith("[")))
+    r3 = F.transform(F.from_json(raw, NDARRAY_RANK3), lambda r: F.flatten(r))
+    return F.when(nested, r3).otherwise(r2)
+
+
 def cast_cells(ndarray: Column) -> Column:
     """array<array<string>> -> array<array<double>>; numeric strings and
     booleans cast, anything else (JSON null included) becomes null."""
@@ -93,8 +107,8 @@ def parse_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str =
     labels = F.col("_body").getField(fmt.labels_field)
     app = labels.getItem(fmt.app_label)
     path = F.col("_body").getField(":path")
-    nd = F.col("_body.requestBody.data.ndarray")
-    df = df.withColumn("data", cast_cells(nd))
+    nd = F.col("_body.requestBody.data.ndarray")          # raw JSON text of the array
+    df = df.withColumn("_rows", ndarray_rows(nd)).withColumn("data", cast_cells(F.col("_rows")))
     model_id, model, axon = (labels.getItem(fmt.model_id_label), labels.getItem(fmt.model_label),
                              labels.getItem(fmt.axon_label))
     reason = (F.when(v.isNull(), "null_line")
@@ -106,7 +120,7 @@ def parse_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str =
               .when(~((path == fmt.predict_path) & app.endswith(fmt.proxy_suffix)), "not_predict_or_proxy")
               .when(model_id.isNull() | model.isNull() | axon.isNull() | F.col("_env.timestamp").isNull()
                     | nd.isNull(), "missing_field")
-              .when(has_null_cell(F.col("data")), "bad_vector")
+              .when(F.col("_rows").isNull() | has_null_cell(F.col("data")), "bad_vector")
               .when(is_ragged(F.col("data")), "ragged_vector"))
     return _fence(df, [
         F.col("_env.insertId").alias("insert_id"),
@@ -144,14 +158,14 @@ def parse_file_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col:
     raw = after_marker(v, fmt.request_marker)
     df = lines.filter(v.contains(fmt.request_marker)).withColumn("_body", parse_body(raw, fmt))
     nd = F.col("_body.requestBody.data.ndarray")
-    df = df.withColumn("data", cast_cells(nd))
+    df = df.withColumn("_rows", ndarray_rows(nd)).withColumn("data", cast_cells(F.col("_rows")))
     authority = F.col("_body").getField(":authority")
     path = F.col("_body").getField(":path")
     reason = (F.when(F.col("_body").isNull() | F.col(f"_body.{CORRUPT}").isNotNull(), "bad_json")
               .when(path.isNull(), "missing_field")
               .when(path != fmt.predict_path, "not_predict")
               .when(authority.isNull() | nd.isNull(), "missing_field")
-              .when(has_null_cell(F.col("data")), "bad_vector")
+              .when(F.col("_rows").isNull() | has_null_cell(F.col("data")), "bad_vector")
               .when(is_ragged(F.col("data")), "ragged_vector"))
     return _fence(df, [F.substring_index(authority, ":", 1).alias("model"),
                        F.lit(0).cast("bigint").alias("timestamp"), F.col("data"), reason.alias("reason")])
