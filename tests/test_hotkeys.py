@@ -63,3 +63,13 @@ def test_parallel_rounds_with_warnings(spark):
         par = _states(request_states(reqs, detector=det, signal=sig, hot_rows=0))
         assert par == fold, det
         assert any(v[3] for v in fold.values()), det
+
+
+def test_parallel_rounds_on_raw_values(spark):
+    # large raw values make alarms frequent (many rounds); names must not clash case-insensitively
+    reqs = I.requests(spark, "/root/testdata/sf0.01")
+    raw = lambda x, ts: x                                      # noqa: E731
+    for det in [("CUSUM", dict(lam=5.0)), ("PAGE_HINKLEY", dict(lam=5.0))]:
+        fold = _states(request_states(reqs, detector=det, signal=raw))
+        par = _states(request_states(reqs, detector=det, signal=raw, hot_rows=0, hot_rounds=30))
+        assert par == fold, det

@@ -41,10 +41,17 @@ def run_table(spark, args) -> None:
     fmt = LogFormat()
     reader = spark.read.format(args.format)
     lines = reader.load(args.lines).select(F.col(args.value_col).cast("string").alias("value"))
-    factory, vector = _detector(args)
     reqs = I.requests_of(lines, fmt)
-    inputs = I.with_vector_inputs(reqs, I.identity_cells) if vector else I.with_inputs(reqs, lambda x, ts: x)
-    states = fold_batch_states(inputs, factory).checkpoint()       # reused by three sinks
+    if not args.job_conf:          # univariate detector: hot models may take the parallel latch rounds
+        from tidewatch.plans.queries import request_states
+        detector = (args.detector, json.loads(args.options or "{}"))
+        hot_keys = args.hot_keys.split(",") if args.hot_keys else None
+        states = request_states(reqs, detector=detector, signal=lambda x, ts: x, hot_keys=hot_keys,
+                                hot_rows=args.hot_rows)
+    else:
+        factory, _ = _detector(args)
+        states = fold_batch_states(I.with_vector_inputs(reqs, I.identity_cells), factory)
+    states = states.checkpoint()                                    # reused by three sinks
     states.write.mode("overwrite").parquet(f"{args.out}/states")
     state_table_rows(states).write.mode("overwrite").parquet(f"{args.out}/state_table")
     metric_rows(states, args.metric, args.gateway, args.namespace, args.port) \
@@ -86,6 +93,9 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--lines", required=True)
             s.add_argument("--format", default="text", choices=["text", "parquet", "json", "orc"])
             s.add_argument("--value-col", default="value")
+            s.add_argument("--hot-rows", type=int, default=None,
+                           help="models above this many rows take the parallel latch rounds")
+            s.add_argument("--hot-keys", default=None, help="comma-separated models known to be hot")
         else:
             s.add_argument("--landing", required=True)
             s.add_argument("--checkpoint", required=True)

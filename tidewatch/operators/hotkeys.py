@@ -94,21 +94,21 @@ def _chunk_maps(rows: DataFrame, key: str, alpha: float, floor: bool) -> DataFra
                 oc.append(Cm)
                 oa.append(A)
                 od.append(D)
-            yield pdf.assign(C=oc, A=oa, D=od)
+            yield pdf.assign(_mc=oc, _ma=oa, _md=od)
 
-    return src.mapInPandas(run, f"{key} string, chunk long, rn long, v double, C double, A double, D double")
+    return src.mapInPandas(run, f"{key} string, chunk long, rn long, v double, _mc double, _ma double, _md double")
 
 
 def _chunk_starts(maps: DataFrame, key: str, floor: bool) -> DataFrame:
     """Statistic at the start of every chunk (fresh start: 0), composing the
     chunk totals in order; one small group (the model's chunks) per model."""
     w = Window.partitionBy(key, "chunk").orderBy(F.col("rn").desc())
-    tot = maps.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(key, "chunk", "C", "A", "D")
+    tot = maps.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(key, "chunk", "_mc", "_ma", "_md")
 
     def scan(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("chunk")
         s, starts = 0.0, []
-        for Cm, A, D in zip(pdf["C"], pdf["A"], pdf["D"]):
+        for Cm, A, D in zip(pdf["_mc"], pdf["_ma"], pdf["_md"]):
             starts.append(s)
             s = max(Cm, A * s + D) if floor else A * s + D
         return pd.DataFrame({key: pdf[key].to_numpy(), "chunk": pdf["chunk"].to_numpy(), "s0": starts})
@@ -117,13 +117,13 @@ def _chunk_starts(maps: DataFrame, key: str, floor: bool) -> DataFrame:
 
 
 def _composed_stat(j: DataFrame, key: str, alpha: float, floor: bool) -> DataFrame:
-    """``j`` (with ``v``) plus ``S``, the statistic after each row."""
+    """``j`` (with ``v``) plus ``_stat``, the statistic after each row."""
     j = j.checkpoint()                         # feeds the maps and the join back
     maps = _chunk_maps(j, key, alpha, floor)
     starts = _chunk_starts(maps, key, floor)
-    stat = (F.greatest(F.col("C"), F.col("A") * F.col("s0") + F.col("D")) if floor
-            else F.col("A") * F.col("s0") + F.col("D"))
-    s = maps.join(starts, [key, "chunk"]).select(key, "rn", stat.alias("S"))
+    stat = (F.greatest(F.col("_mc"), F.col("_ma") * F.col("s0") + F.col("_md")) if floor
+            else F.col("_ma") * F.col("s0") + F.col("_md"))
+    s = maps.join(starts, [key, "chunk"]).select(key, "rn", stat.alias("_stat"))
     return j.join(s, [key, "rn"])
 
 
@@ -131,20 +131,21 @@ def _composed_stat(j: DataFrame, key: str, alpha: float, floor: bool) -> DataFra
 
 
 def _cusum_flags(j: DataFrame, key: str, o: C.CusumOptions) -> DataFrame:
+    # names differ from "p" (the restart row) in more than case: Spark resolves names case-insensitively
     j = j.withColumn("v", F.col("x") - _mean() - F.lit(o.delta))
-    j = running(j, key, "chunk", ["rn"], sums={"P": "v"}, min_of_sum={"PM": "P"})
-    chg = (_n() >= o.min_n) & (F.col("P") - F.least(F.lit(0.0), F.col("PM")) > o.lam)
+    j = running(j, key, "chunk", ["rn"], sums={"_vsum": "v"}, min_of_sum={"_vsum_min": "_vsum"})
+    chg = (_n() >= o.min_n) & (F.col("_vsum") - F.least(F.lit(0.0), F.col("_vsum_min")) > o.lam)
     return j.withColumn("chg", chg).withColumn("wrn", F.lit(False))
 
 
 def _ph_flags(j: DataFrame, key: str, o: C.PageHinkleyOptions) -> DataFrame:
     j = _composed_stat(j.withColumn("v", F.col("x") - _mean() - F.lit(o.delta)), key, o.alpha, True)
-    return j.withColumn("chg", (_n() >= o.min_n) & (F.col("S") > o.lam)).withColumn("wrn", F.lit(False))
+    return j.withColumn("chg", (_n() >= o.min_n) & (F.col("_stat") > o.lam)).withColumn("wrn", F.lit(False))
 
 
 def _gma_flags(j: DataFrame, key: str, o: C.GmaOptions) -> DataFrame:
     j = _composed_stat(j.withColumn("v", F.lit(1.0 - o.alpha) * (F.col("x") - _mean())), key, o.alpha, False)
-    return j.withColumn("chg", (_n() >= o.min_n) & (F.col("S") > o.lam)).withColumn("wrn", F.lit(False))
+    return j.withColumn("chg", (_n() >= o.min_n) & (F.col("_stat") > o.lam)).withColumn("wrn", F.lit(False))
 
 
 def _ewma_flags(j: DataFrame, key: str, o: C.EwmaOptions) -> DataFrame:
@@ -156,8 +157,8 @@ def _ewma_flags(j: DataFrame, key: str, o: C.EwmaOptions) -> DataFrame:
     lim = F.lit(a) - b * p + c * F.pow(p, 3) - d * F.pow(p, 5) + e * F.pow(p, 7)
     ok = (_n() >= o.min_n) & (rad >= 0)
     sd = F.sqrt(rad)
-    chg = ok & (F.col("S") > p + lim * sd)
-    wrn = ok & ~chg & (F.col("S") > p + F.lit(0.5) * lim * sd)
+    chg = ok & (F.col("_stat") > p + lim * sd)
+    wrn = ok & ~chg & (F.col("_stat") > p + F.lit(0.5) * lim * sd)
     return j.withColumn("chg", chg).withColumn("wrn", wrn)
 
 
