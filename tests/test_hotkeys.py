@@ -73,3 +73,17 @@ def test_parallel_rounds_on_raw_values(spark):
         fold = _states(request_states(reqs, detector=det, signal=raw))
         par = _states(request_states(reqs, detector=det, signal=raw, hot_rows=0, hot_rounds=30))
         assert par == fold, det
+
+
+def test_parallel_rounds_hddm_a(spark):
+    from pyspark.sql import functions as F
+    reqs = I.requests(spark, "/root/testdata/sf0.01")
+
+    def u(x, ts):            # least(value/500 + 0.4 d, 1), the planted [0,1] signal
+        d = ts >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+        return F.least(x / 500 + F.when(d, 0.4).otherwise(0.0), F.lit(1.0))
+    for det in [("HDDM_A", dict(two_sided=True)), ("HDDM_A", dict(two_sided=False))]:
+        fold = _states(request_states(reqs, detector=det, signal=u))
+        par = _states(request_states(reqs, detector=det, signal=u, hot_rows=0, hot_rounds=30))
+        assert par == fold, det
+        assert any(v[5] == 0.9 for v in fold.values())

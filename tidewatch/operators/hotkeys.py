@@ -14,6 +14,8 @@ first change after a restart at row ``p``:
   (``mapInPandas`` over sorted ``(model, chunk)`` partitions), and a
   per-model scan over the chunk totals gives every chunk its start value.
 * DDM: the running minimum of ``(p+s, p, s)`` is a chunk-parallel scan.
+* HDDM_A: the cut is a running argmin (argmax) of ``mean +- eps(n)``, a
+  chunk-parallel scan; the tests against the cut are pointwise.
 
 The latch only needs the first *reported* change after the warm-up batch
 (a change on a request's last row; a change inside a request or in the
@@ -176,6 +178,39 @@ def _ddm_flags(j: DataFrame, key: str, o: C.DdmOptions) -> DataFrame:
     return j.withColumn("chg", chg).withColumn("wrn", wrn)
 
 
+def _hddm_a_flags(j: DataFrame, key: str, o: C.HddmAOptions) -> DataFrame:
+    """The cut is the running argmin of ``mean + eps(n)`` (argmax of ``mean -
+    eps(n)`` for decreases); ties move it to the later row, as in the fold."""
+    import math
+    ln_d, ln_w = math.log(1.0 / o.drift_conf), math.log(1.0 / o.warn_conf)
+    n, mean = _n(), _mean()
+    eps = F.sqrt(F.lit(ln_d) / (2.0 * n))
+    j = j.withColumn("_mean", mean).withColumn(
+        "_gi", F.struct((mean + eps).alias("g"), (-F.col("rn")).alias("r"), n.alias("n"), mean.alias("m")))
+    maxs = {}
+    if o.two_sided:
+        j = j.withColumn("_gd", F.struct((mean - eps).alias("g"), F.col("rn").alias("r"), n.alias("n"),
+                                         mean.alias("m")))
+        maxs = {"_cutd": "_gd"}
+    j = running(j, key, "chunk", ["rn"], mins={"_cut": "_gi"}, maxs=maxs)
+
+    def thr(cut, ln):
+        return F.sqrt((n - F.col(f"{cut}.n")) / (2.0 * F.col(f"{cut}.n") * n) * F.lit(ln))
+
+    inc = n > F.col("_cut.n")
+    dinc = F.col("_mean") - F.col("_cut.m")
+    chg_i = inc & (dinc >= thr("_cut", ln_d))
+    wrn_i = inc & ~chg_i & (dinc >= thr("_cut", ln_w))
+    chg, wrn = chg_i, wrn_i
+    if o.two_sided:
+        dec = n > F.col("_cutd.n")
+        ddec = F.col("_cutd.m") - F.col("_mean")
+        chg_d = ~chg_i & dec & (ddec >= thr("_cutd", ln_d))
+        wrn_d = ~chg_i & dec & ~chg_d & (ddec >= thr("_cutd", ln_w))
+        chg, wrn = chg_i | chg_d, wrn_i | wrn_d
+    return j.withColumn("chg", chg).withColumn("wrn", ~chg & wrn)
+
+
 # detector -> (options class, flags of a round, has warnings)
 PARALLEL = {
     "CUSUM": (C.CusumOptions, _cusum_flags, False),
@@ -183,6 +218,7 @@ PARALLEL = {
     "GEOMETRIC_MOVING_AVERAGE": (C.GmaOptions, _gma_flags, False),
     "EWMA": (C.EwmaOptions, _ewma_flags, True),
     "DDM": (C.DdmOptions, _ddm_flags, True),
+    "HDDM_A": (C.HddmAOptions, _hddm_a_flags, True),
 }
 
 
