@@ -87,3 +87,17 @@ def test_parallel_rounds_hddm_a(spark):
         par = _states(request_states(reqs, detector=det, signal=u, hot_rows=0, hot_rounds=30))
         assert par == fold, det
         assert any(v[5] == 0.9 for v in fold.values())
+
+
+def test_parallel_rounds_eddm(spark):
+    from pyspark.sql import functions as F
+    reqs = I.requests(spark, "/root/testdata/sf0.01")
+
+    def b(x, ts):            # value > (50 if drifted else 100): the planted 0/1 signal
+        d = ts >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+        return F.when(x > F.when(d, 50.0).otherwise(100.0), 1.0).otherwise(0.0)
+    for det in [("EDDM", {}), ("EDDM", dict(min_n=5, min_events=5))]:
+        fold = _states(request_states(reqs, detector=det, signal=b))
+        par = _states(request_states(reqs, detector=det, signal=b, hot_rows=0, hot_rounds=30))
+        assert par == fold, det
+        assert any(v[5] > 0 for v in fold.values())

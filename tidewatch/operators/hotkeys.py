@@ -16,6 +16,9 @@ first change after a restart at row ``p``:
 * DDM: the running minimum of ``(p+s, p, s)`` is a chunk-parallel scan.
 * HDDM_A: the cut is a running argmin (argmax) of ``mean +- eps(n)``, a
   chunk-parallel scan; the tests against the cut are pointwise.
+* EDDM: events are numbered by a running count, the previous event joins on
+  ``k = k' + 1``, and distance moments and the running maximum of
+  ``mean + 2 sd`` are chunk-parallel scans.
 
 The latch only needs the first *reported* change after the warm-up batch
 (a change on a request's last row; a change inside a request or in the
@@ -211,6 +214,32 @@ def _hddm_a_flags(j: DataFrame, key: str, o: C.HddmAOptions) -> DataFrame:
     return j.withColumn("chg", chg).withColumn("wrn", ~chg & wrn)
 
 
+def _eddm_flags(j: DataFrame, key: str, o: C.EddmOptions) -> DataFrame:
+    """Only event rows (x = 1) can alarm. Events are numbered by a running
+    count; the previous event comes from an equi-join on ``k = k' + 1`` (no
+    per-model window); distance sums, squares and the running maximum of
+    ``mean + 2 sd`` are chunk-parallel scans. A test uses the inclusive
+    maximum: when the current value is the new maximum the ratio is 1."""
+    e = j.filter(F.col("x") == 1.0).withColumn("_one", F.lit(1.0))
+    e = running(e, key, "chunk", ["rn"], sums={"_k": "_one"})
+    prev = e.select(key, (F.col("_k") + 1.0).alias("_k"), F.col("rn").alias("_prev"))
+    e = e.join(prev, [key, "_k"], "left")
+    dist = (F.col("rn") - F.coalesce(F.col("_prev"), F.col("p"))).cast("double")
+    e = e.withColumn("_d", dist).withColumn("_d2", dist * dist)
+    e = running(e, key, "chunk", ["rn"], sums={"_dsum": "_d", "_d2sum": "_d2"})
+    mean = F.col("_dsum") / F.col("_k")
+    var = F.col("_d2sum") / F.col("_k") - mean * mean
+    m2s = mean + 2.0 * F.when(var > 0, F.sqrt(var)).otherwise(F.lit(0.0))
+    gate = _n() >= o.min_n
+    e = e.withColumn("_m2s", m2s).withColumn("_gm", F.when(gate, F.col("_m2s")))
+    e = running(e, key, "chunk", ["rn"], maxs={"_mx": "_gm"})
+    ratio = F.col("_m2s") / F.col("_mx")
+    tst = gate & (F.col("_k") >= o.min_events)
+    chg = tst & (ratio < o.out_ratio)
+    wrn = tst & ~chg & (ratio < o.warn_ratio)
+    return e.withColumn("chg", chg).withColumn("wrn", wrn)
+
+
 # detector -> (options class, flags of a round, has warnings)
 PARALLEL = {
     "CUSUM": (C.CusumOptions, _cusum_flags, False),
@@ -219,6 +248,7 @@ PARALLEL = {
     "EWMA": (C.EwmaOptions, _ewma_flags, True),
     "DDM": (C.DdmOptions, _ddm_flags, True),
     "HDDM_A": (C.HddmAOptions, _hddm_a_flags, True),
+    "EDDM": (C.EddmOptions, _eddm_flags, True),
 }
 
 
