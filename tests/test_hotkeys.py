@@ -101,3 +101,33 @@ def test_parallel_rounds_eddm(spark):
         par = _states(request_states(reqs, detector=det, signal=b, hot_rows=0, hot_rounds=30))
         assert par == fold, det
         assert any(v[5] > 0 for v in fold.values())
+
+
+def test_all_alarms_equal_fold(spark):
+    from functools import partial
+
+    from tidewatch import config as C
+    from tidewatch.operators.detectors import make_detector
+    from tidewatch.operators.fold import fold_alarms
+    from tidewatch.operators.hotkeys import all_alarms
+    from tidewatch.plans.queries import CHUNK, DETECTOR_QUERIES, KEY, ORDER
+
+    sig = I.signals(spark, "/root/testdata/sf0.01")
+    opts = {"CUSUM": C.CusumOptions, "PAGE_HINKLEY": C.PageHinkleyOptions, "GEOMETRIC_MOVING_AVERAGE": C.GmaOptions,
+            "DDM": C.DdmOptions, "EDDM": C.EddmOptions, "EWMA": C.EwmaOptions, "HDDM_A": C.HddmAOptions}
+    for name in ["det_cusum", "det_page_hinkley", "det_gma", "det_ddm", "det_eddm", "det_ewma", "det_hddm_a"]:
+        det, signal, o = DETECTOR_QUERIES[name]
+        fold = {tuple(r) for r in fold_alarms(sig, [KEY], ORDER, signal, partial(make_detector, det, **o)).collect()}
+        for rounds in (16, 2):                 # 2: the fold finishes the keys with more changes
+            par = {tuple(r) for r in all_alarms(sig, KEY, CHUNK, ORDER, signal, det, opts[det](**o), rounds)
+                   .select(KEY, "rn", "warning", "change").collect()}
+            assert par == fold, (name, rounds, len(par ^ fold))
+
+
+def test_routed_detector_alarms(spark):
+    from tidewatch.plans.queries import detector_alarms
+    sf = "/root/testdata/sf0.01"
+    for name in ["det_ewma", "det_adwin"]:            # ADWIN has no parallel form: always the fold
+        base = {tuple(r) for r in detector_alarms(spark, sf, name).collect()}
+        routed = {tuple(r) for r in detector_alarms(spark, sf, name, hot_keys=["click", "view"]).collect()}
+        assert routed == base

@@ -314,3 +314,74 @@ def cusum_hot_states(requests: DataFrame, key: str, o, max_rounds: int = 8,
                      detector: str = "CUSUM") -> tuple[DataFrame, DataFrame]:
     return hot_states(requests, key, detector, o, max_rounds)
 
+
+
+def all_alarms(df: DataFrame, key: str, chunk: str, order: list[str], x: str, detector: str, o,
+               max_rounds: int = 16) -> DataFrame:
+    """Every alarm row (``key, rn, warning, change``) of a detector with a
+    parallel form, like ``fold.fold_alarms`` with one row per request.
+
+    Round ``r`` emits the warning rows before the next change and the change
+    row, then restarts after it. Keys with changes left after ``max_rounds``
+    are folded from their last restart with a fresh detector (exact: a
+    restart means a fresh state)."""
+    from functools import partial
+
+    from tidewatch.operators.detectors import make_detector
+    from tidewatch.operators.fold import fold_alarms
+
+    _, flags_of, _ = PARALLEL[detector]
+    rows = df.select(key, chunk, *order, F.col(x).cast("double").alias("x"))
+    r = running(rows, key, chunk, order, count="rn", sums={"cx": "x"})
+    r = (r.select(key, F.col(chunk).alias("chunk"), *order, "rn", "x", "cx")
+          .withColumn("batch_id", F.lit(0).cast("bigint")).withColumn("is_end", F.lit(True)).checkpoint())
+    pending = (r.select(key).distinct().withColumn("p", F.lit(0).cast("bigint")).withColumn("cxp", F.lit(0.0))
+                .withColumn("first_batch", F.lit(-1).cast("bigint")).checkpoint())
+    outs = []
+    for _ in range(max_rounds):
+        j = r.join(F.broadcast(pending), key).filter(F.col("rn") > F.col("p"))
+        f = flags_of(j, key, o).select(key, "rn", "cx", "chg", "wrn").checkpoint()
+        a = f.filter("chg").groupBy(key).agg(F.min_by(F.struct("rn", "cx"), F.col("rn")).alias("a"))
+        upto = F.col("a").isNull() | (F.col("rn") <= F.col("a.rn"))
+        outs.append(f.join(a, key, "left").filter(upto & (F.col("chg") | F.col("wrn")))
+                     .select(key, "rn", F.col("wrn").alias("warning"), F.col("chg").alias("change")).checkpoint())
+        pending = (pending.select(key, "first_batch").join(a, key)
+                   .select(key, F.col("a.rn").alias("p"), F.col("a.cx").alias("cxp"), "first_batch").checkpoint())
+        if pending.isEmpty():
+            break
+    if not pending.isEmpty():                  # the rest: exact fold from each key's last restart
+        rest = r.join(F.broadcast(pending.select(key, "p")), key).filter(F.col("rn") > F.col("p"))
+        det = partial(make_detector, detector, **{f.name: getattr(o, f.name) for f in o.__dataclass_fields__.values()})
+        tail = fold_alarms(rest, [key], ["rn"], "x", det, carry=["p"])
+        outs.append(tail.select(key, (F.col("rn") + F.col("p")).alias("rn"), "warning", "change"))
+    out = outs[0]
+    for d in outs[1:]:
+        out = out.unionByName(d)
+    return out
+
+
+def routed_alarms(df: DataFrame, key: str, chunk: str, order: list[str], x: str, detector: str,
+                  options: dict, hot_keys=None, hot_rows: int | None = None, max_rounds: int = 16) -> DataFrame:
+    """All alarms of ``detector``: keys listed in ``hot_keys`` (or with more
+    than ``hot_rows`` rows, counted once; at most rows / hot_rows of them, so
+    the list is broadcast) take the parallel rounds, the rest the fold."""
+    from functools import partial
+
+    from tidewatch.operators.detectors import make_detector
+    from tidewatch.operators.fold import fold_alarms
+
+    det = partial(make_detector, detector, **options)
+    if detector not in PARALLEL or (hot_keys is None and hot_rows is None):
+        return fold_alarms(df, [key], order, x, det)
+    if hot_keys is None:
+        hot = df.groupBy(key).count().filter(F.col("count") > hot_rows).select(key).checkpoint()
+    elif isinstance(hot_keys, DataFrame):
+        hot = hot_keys.select(key)
+    else:
+        hot = df.sparkSession.createDataFrame([(k,) for k in hot_keys], f"{key} string")
+    if hot.isEmpty():
+        return fold_alarms(df, [key], order, x, det)
+    cold = fold_alarms(df.join(F.broadcast(hot), key, "left_anti"), [key], order, x, det)
+    o = PARALLEL[detector][0](**options)
+    par = all_alarms(df.join(F.broadcast(hot), key, "left_semi"), key, chunk, order, x, detector, o, max_rounds)
+    return cold.unionByName(par.select(key, "rn", "warning", "change"))

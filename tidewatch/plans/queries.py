@@ -21,7 +21,7 @@ from tidewatch.operators import detectors as D
 from tidewatch.operators.fold import alarms_by, fold_alarms
 from tidewatch.operators.state import batch_grid, latch, snapshot_all_keys
 from tidewatch.operators.blocks import block_alarms
-from tidewatch.operators.hotkeys import PARALLEL, hot_models, hot_states
+from tidewatch.operators.hotkeys import PARALLEL, hot_models, hot_states, routed_alarms
 from tidewatch.operators.keyed import fold_batch_states
 from tidewatch.operators.kl import kl_kmeans_windows, kl_windows
 from tidewatch.operators.ordering import row_index, running
@@ -218,11 +218,16 @@ def score_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- detectors
 
 
-def _detector_query(name: str):
+def detector_alarms(spark: SparkSession, sf_dir: str, name: str, hot_keys=None, hot_rows: int | None = None):
+    """All alarms of a registered detector query; hot models (given or
+    counted) take the parallel rounds where the detector has them."""
     det, signal, opts = DETECTOR_QUERIES[name]
+    return routed_alarms(I.signals(spark, sf_dir), KEY, CHUNK, ORDER, signal, det, opts, hot_keys, hot_rows)
+
 
+def _detector_query(name: str):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fold_alarms(I.signals(spark, sf_dir), [KEY], ORDER, signal, _det(det, opts))
+        return detector_alarms(spark, sf_dir, name)
     q.__name__ = name
     return q
 
