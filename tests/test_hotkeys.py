@@ -131,3 +131,14 @@ def test_routed_detector_alarms(spark):
         base = {tuple(r) for r in detector_alarms(spark, sf, name).collect()}
         routed = {tuple(r) for r in detector_alarms(spark, sf, name, hot_keys=["click", "view"]).collect()}
         assert routed == base
+
+
+def test_seqdrift1_rounds_equal_fold(spark):
+    from tidewatch.operators.blocks import block_alarms
+    from tidewatch.plans.queries import CHUNK, KEY, ORDER
+    sig = I.signals(spark, "/root/testdata/sf0.01")
+    keys = ["click", "error", "purchase", "signup", "view"]
+    for opts in [dict(delta=0.01, warn_delta=0.1, block=200), dict(delta=0.9, warn_delta=1.0, block=100)]:
+        fold = {tuple(r) for r in block_alarms(sig, KEY, CHUNK, ORDER, "s", "SEQ1", **opts).collect()}
+        par = {tuple(r) for r in block_alarms(sig, KEY, CHUNK, ORDER, "s", "SEQ1", hot_keys=keys, **opts).collect()}
+        assert par == fold and fold, opts
