@@ -25,3 +25,15 @@ def test_rewrite_applies_delete(spark):
     dst = scratch_path(spark, "t-rewrite")
     out = R.rewrite(spark, R.drop_axon_older_than(t, "ax-1", "2024-01-01 01:00:00", minutes=10), dst, "axon")
     assert out.count() == 3
+
+
+def test_metric_push_grouping(spark):
+    from pyspark.sql import Row
+
+    from tidewatch.streaming.push import group_lines
+    rows = [Row(url="http://g/metrics/job/a/pod/", line="m_ax__1 0.9\n"),
+            Row(url="http://g/metrics/job/b/pod/", line="m_ax__2 0.0\n"),
+            Row(url="http://g/metrics/job/a/pod/", line="m_ax__0 0.8\n")]
+    assert group_lines(rows) == {"http://g/metrics/job/a/pod/": "m_ax__1 0.9\nm_ax__0 0.8\n",
+                                 "http://g/metrics/job/b/pod/": "m_ax__2 0.0\n"}
+    assert group_lines([("u", "x 1\n")]) == {"u": "x 1\n"}
