@@ -117,3 +117,13 @@ def test_rank_three_rows_are_flattened(spark):
     df = spark.createDataFrame([(envelope(body([[[1, 2], [3, 4]], [[5, 6], [7, 8]]])),)], "value string")
     r = P.parse_requests(df).select("data", vector_dim(F.col("data")).alias("dim")).first()
     assert r.data == [[1.0, 2.0, 3.0, 4.0], [5.0, 6.0, 7.0, 8.0]] and r.dim == 4
+
+
+def test_message_sources(spark):
+    from tidewatch.sources.messages import lines_from
+    good = envelope(body([[1, 2]]))
+    binary = spark.createDataFrame([(bytearray(good.encode()),), (None,)], "value binary")
+    got = [r.reason for r in P.parse_lines(lines_from(binary)).collect()]
+    assert got == [None, "null_line"]
+    multi = spark.createDataFrame([([good, good],), (None,)], "value array<string>")
+    assert [r.reason for r in P.parse_lines(lines_from(multi)).collect()] == [None, None, "null_line"]
