@@ -114,3 +114,14 @@ def test_rocksdb_state_store(spark):
         assert got and got == {k: v for k, v in table.items() if k in got}
     finally:
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_any_streaming_source(spark):
+    root = scratch_path(spark, "t-source")
+    lines, days = _days(spark)
+    _feed(lines, days, f"{root}/landing")
+    src = spark.readStream.format("text").load(f"{root}/landing").selectExpr("CAST(value AS BINARY) AS payload")
+    q = job.start(spark, None, f"{root}/out", f"{root}/ckpt", detector=FLAGSHIP, source=src, source_col="payload")
+    q.awaitTermination()
+    assert q.exception() is None
+    assert _stream(spark, f"{root}/out") == _table(spark)

@@ -16,7 +16,8 @@ def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
           fmt: LogFormat = LogFormat(), signal=None, max_files_per_trigger: int | None = 100,
           available_now: bool = True, processing_time: str | None = None,
           publish_all_keys: bool = False, send=None, vector: bool = False,
-          batch_by: str = "event_day", rocksdb: bool = False, job_conf: dict | None = None) -> StreamingQuery:
+          batch_by: str = "event_day", rocksdb: bool = False, job_conf: dict | None = None,
+          source: DataFrame | None = None, source_col: str = "value") -> StreamingQuery:
     """Start the drift-state stream over text files appearing in ``landing``.
 
     ``max_files_per_trigger`` bounds a micro-batch (back-pressure, also under
@@ -40,10 +41,14 @@ def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
     if rocksdb:   # state off the JVM heap for many models; fixed by the checkpoint's first run
         spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = reader.load(landing).select("value")
+    if source is not None:
+        from tidewatch.sources.messages import lines_from
+        lines = lines_from(source, source_col)
+    else:
+        reader = spark.readStream.format("text")
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        lines = reader.load(landing).select("value")
     inputs = request_inputs(lines, fmt, signal, vector)
     if batch_by == "arrival":                 # one value per micro-batch
         inputs = inputs.withColumn("batch_id", F.unix_micros(F.current_timestamp()))
