@@ -114,8 +114,10 @@ def test_all_alarms_equal_fold(spark):
 
     sig = I.signals(spark, "/root/testdata/sf0.01")
     opts = {"CUSUM": C.CusumOptions, "PAGE_HINKLEY": C.PageHinkleyOptions, "GEOMETRIC_MOVING_AVERAGE": C.GmaOptions,
-            "DDM": C.DdmOptions, "EDDM": C.EddmOptions, "EWMA": C.EwmaOptions, "HDDM_A": C.HddmAOptions}
-    for name in ["det_cusum", "det_page_hinkley", "det_gma", "det_ddm", "det_eddm", "det_ewma", "det_hddm_a"]:
+            "DDM": C.DdmOptions, "EDDM": C.EddmOptions, "EWMA": C.EwmaOptions, "HDDM_A": C.HddmAOptions,
+            "HDDM_W": C.HddmWOptions}
+    for name in ["det_cusum", "det_page_hinkley", "det_gma", "det_ddm", "det_eddm", "det_ewma", "det_hddm_a",
+                 "det_hddm_w"]:
         det, signal, o = DETECTOR_QUERIES[name]
         fold = {tuple(r) for r in fold_alarms(sig, [KEY], ORDER, signal, partial(make_detector, det, **o)).collect()}
         for rounds in (16, 2):                 # 2: the fold finishes the keys with more changes
@@ -142,3 +144,17 @@ def test_seqdrift1_rounds_equal_fold(spark):
         fold = {tuple(r) for r in block_alarms(sig, KEY, CHUNK, ORDER, "s", "SEQ1", **opts).collect()}
         par = {tuple(r) for r in block_alarms(sig, KEY, CHUNK, ORDER, "s", "SEQ1", hot_keys=keys, **opts).collect()}
         assert par == fold and fold, opts
+
+
+def test_parallel_rounds_hddm_w(spark):
+    from pyspark.sql import functions as F
+    reqs = I.requests(spark, "/root/testdata/sf0.01")
+
+    def u(x, ts):
+        d = ts >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+        return F.least(x / 500 + F.when(d, 0.4).otherwise(0.0), F.lit(1.0))
+    for det in [("HDDM_W", dict(two_sided=False)), ("HDDM_W", dict(drift_conf=0.05, warn_conf=0.2, lam=0.1))]:
+        fold = _states(request_states(reqs, detector=det, signal=u))
+        par = _states(request_states(reqs, detector=det, signal=u, hot_rows=0, hot_rounds=30))
+        assert par == fold, det
+        assert any(v[5] == 0.9 for v in fold.values())

@@ -19,6 +19,8 @@ first change after a restart at row ``p``:
 * EDDM: events are numbered by a running count, the previous event joins on
   ``k = k' + 1``, and distance moments and the running maximum of
   ``mean + 2 sd`` are chunk-parallel scans.
+* HDDM_W (one-sided): the cut is a running argmin of ``z + sqrt(ibc h)``; the
+  EWMA after the cut is a difference of the global EWMA accumulator.
 
 The latch only needs the first *reported* change after the warm-up batch
 (a change on a request's last row; a change inside a request or in the
@@ -240,6 +242,44 @@ def _eddm_flags(j: DataFrame, key: str, o: C.EddmOptions) -> DataFrame:
     return e.withColumn("chg", chg).withColumn("wrn", wrn)
 
 
+def _hddm_w_flags(j: DataFrame, key: str, o: C.HddmWOptions) -> DataFrame:
+    """One-sided HDDM_W. The total EWMA (first value taken as is) is a
+    composed affine scan plus ``(1-l)^k x_{p+1}``; ``ibc`` has a closed form
+    in the count; the cut is a running argmin of ``z + sqrt(ibc h)`` (ties
+    move it); the EWMA after the cut is ``D_t - (1-l)^(t-c) D_c`` plus
+    ``(1-l)^(t-c) x_{c+1}``, with ``x_{c+1}`` fetched by an equi-join on
+    ``(key, rn)``."""
+    import math
+    lam, oml = o.lam, 1.0 - o.lam
+    hd, hw = math.log(1.0 / o.drift_conf) / 2.0, math.log(1.0 / o.warn_conf) / 2.0
+    oml2 = oml * oml
+    first_x = j.filter(F.col("rn") == F.col("p") + 1).select(key, F.col("x").alias("_x1"))
+    j = _composed_stat(j.withColumn("v", F.lit(lam) * F.col("x")), key, oml, False)   # _stat = D_t
+    j = j.join(F.broadcast(first_x), key)
+    k = _n()
+
+    def ibc(cnt):
+        q = F.pow(F.lit(oml2), cnt - 1)
+        return F.lit(lam * lam) * (F.lit(1.0) - q) / F.lit(1.0 - oml2) + q
+
+    z = F.col("_stat") + F.pow(F.lit(oml), k) * F.col("_x1")
+    j = j.withColumn("_z", z).withColumn("_ibc", ibc(k))
+    g = F.col("_z") + F.sqrt(F.col("_ibc") * F.lit(hd))
+    j = j.withColumn("_g", F.struct(g.alias("g"), (-F.col("rn")).alias("r"), F.col("rn").alias("c"),
+                                    F.col("_z").alias("z"), F.col("_ibc").alias("ibc"), F.col("_stat").alias("d")))
+    j = running(j, key, "chunk", ["rn"], mins={"_cut": "_g"})
+    nxt = j.select(key, (F.col("rn") - 1).alias("_c"), F.col("x").alias("_xc1"))
+    j = j.withColumn("_c", F.col("_cut.c")).join(nxt, [key, "_c"], "left")
+    k2 = F.col("rn") - F.col("_c")
+    z2 = F.col("_stat") - F.pow(F.lit(oml), k2) * F.col("_cut.d") + F.pow(F.lit(oml), k2) * F.col("_xc1")
+    ib = F.col("_cut.ibc") + ibc(k2)
+    has = k2 > 0
+    diff = z2 - F.col("_cut.z")
+    chg = has & (diff > F.sqrt(ib * F.lit(hd)))
+    wrn = has & ~chg & (diff > F.sqrt(ib * F.lit(hw)))
+    return j.withColumn("chg", chg).withColumn("wrn", wrn)
+
+
 # detector -> (options class, flags of a round, has warnings)
 PARALLEL = {
     "CUSUM": (C.CusumOptions, _cusum_flags, False),
@@ -249,9 +289,17 @@ PARALLEL = {
     "DDM": (C.DdmOptions, _ddm_flags, True),
     "HDDM_A": (C.HddmAOptions, _hddm_a_flags, True),
     "EDDM": (C.EddmOptions, _eddm_flags, True),
+    "HDDM_W": (C.HddmWOptions, _hddm_w_flags, True),
 }
 
 
+def parallel_ok(detector: str, options: dict) -> bool:
+    """Whether ``detector`` with ``options`` has the parallel rounds."""
+    if detector not in PARALLEL:
+        return False
+    return not (detector == "HDDM_W" and options.get("two_sided", False))
+
+
 def latch_batches(requests: DataFrame, key: str, first_batch: DataFrame, detector: str, o,
                   max_rounds: int = 8) -> tuple[DataFrame, DataFrame]:
     """``(resolved, unresolved)``: resolved has ``key, change_batch, warn_batch``
@@ -371,7 +419,7 @@ def routed_alarms(df: DataFrame, key: str, chunk: str, order: list[str], x: str,
     from tidewatch.operators.fold import fold_alarms
 
     det = partial(make_detector, detector, **options)
-    if detector not in PARALLEL or (hot_keys is None and hot_rows is None):
+    if not parallel_ok(detector, options) or (hot_keys is None and hot_rows is None):
         return fold_alarms(df, [key], order, x, det)
     if hot_keys is None:
         hot = df.groupBy(key).count().filter(F.col("count") > hot_rows).select(key).checkpoint()

@@ -21,7 +21,7 @@ from tidewatch.operators import detectors as D
 from tidewatch.operators.fold import alarms_by, fold_alarms
 from tidewatch.operators.state import batch_grid, latch, snapshot_all_keys
 from tidewatch.operators.blocks import block_alarms
-from tidewatch.operators.hotkeys import PARALLEL, hot_models, hot_states, routed_alarms
+from tidewatch.operators.hotkeys import PARALLEL, hot_models, hot_states, parallel_ok, routed_alarms
 from tidewatch.operators.keyed import fold_batch_states
 from tidewatch.operators.kl import kl_kmeans_windows, kl_windows
 from tidewatch.operators.ordering import row_index, running
@@ -130,7 +130,7 @@ def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str =
     ``detector`` is ``(name, options)`` or a factory returning an object with
     ``step(x) -> (warning, change)``.
 
-    Hot models (CUSUM, Page-Hinkley, GMA, EWMA, DDM, HDDM_A, EDDM): ``hot_keys`` (a list or a one-column DataFrame of
+    Hot models (CUSUM, Page-Hinkley, GMA, EWMA, DDM, HDDM_A, EDDM, one-sided HDDM_W): ``hot_keys`` (a list or a one-column DataFrame of
     models known to be large) or ``hot_rows`` (detect models with more rows:
     the parsed input is checkpointed once and counted) are computed by
     parallel rounds (``operators.hotkeys``) instead of one task each. Without
@@ -139,7 +139,7 @@ def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str =
         raise ValueError("poll must be 'request_end' or 'any_row'")
     det = detector if callable(detector) else _det(*detector)
     inputs = I.with_inputs(reqs, signal)
-    parallel = not callable(detector) and detector[0] in PARALLEL and poll == "request_end"
+    parallel = not callable(detector) and parallel_ok(*detector) and poll == "request_end"
     if not parallel or (hot_keys is None and hot_rows is None):
         return fold_batch_states(inputs, det, KEY, any_row=poll == "any_row")
     spark = reqs.sparkSession
