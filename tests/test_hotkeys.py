@@ -116,9 +116,12 @@ def test_all_alarms_equal_fold(spark):
     opts = {"CUSUM": C.CusumOptions, "PAGE_HINKLEY": C.PageHinkleyOptions, "GEOMETRIC_MOVING_AVERAGE": C.GmaOptions,
             "DDM": C.DdmOptions, "EDDM": C.EddmOptions, "EWMA": C.EwmaOptions, "HDDM_A": C.HddmAOptions,
             "HDDM_W": C.HddmWOptions}
-    for name in ["det_cusum", "det_page_hinkley", "det_gma", "det_ddm", "det_eddm", "det_ewma", "det_hddm_a",
-                 "det_hddm_w"]:
+    cases = [(n, {}) for n in ["det_cusum", "det_page_hinkley", "det_gma", "det_ddm", "det_eddm", "det_ewma",
+                                "det_hddm_a", "det_hddm_w"]]
+    cases.append(("det_hddm_w", dict(two_sided=True, drift_conf=0.05, warn_conf=0.2)))   # both cuts
+    for name, override in cases:
         det, signal, o = DETECTOR_QUERIES[name]
+        o = dict(o, **override)
         fold = {tuple(r) for r in fold_alarms(sig, [KEY], ORDER, signal, partial(make_detector, det, **o)).collect()}
         for rounds in (16, 2):                 # 2: the fold finishes the keys with more changes
             par = {tuple(r) for r in all_alarms(sig, KEY, CHUNK, ORDER, signal, det, opts[det](**o), rounds)
@@ -153,8 +156,27 @@ def test_parallel_rounds_hddm_w(spark):
     def u(x, ts):
         d = ts >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
         return F.least(x / 500 + F.when(d, 0.4).otherwise(0.0), F.lit(1.0))
-    for det in [("HDDM_W", dict(two_sided=False)), ("HDDM_W", dict(drift_conf=0.05, warn_conf=0.2, lam=0.1))]:
+    for det in [("HDDM_W", dict(two_sided=False)), ("HDDM_W", dict(drift_conf=0.05, warn_conf=0.2, lam=0.1)),
+                ("HDDM_W", dict(two_sided=True, drift_conf=0.05, warn_conf=0.2))]:
         fold = _states(request_states(reqs, detector=det, signal=u))
         par = _states(request_states(reqs, detector=det, signal=u, hot_rows=0, hot_rounds=30))
         assert par == fold, det
         assert any(v[5] == 0.9 for v in fold.values())
+
+
+def test_hddm_w_two_sided_decrease(spark):
+    from functools import partial
+
+    from pyspark.sql import functions as F
+
+    from tidewatch import config as C
+    from tidewatch.operators.detectors import make_detector
+    from tidewatch.operators.fold import fold_alarms
+    from tidewatch.operators.hotkeys import all_alarms
+    sig = I.signals(spark, "/root/testdata/sf0.01").withColumn("du", 1.0 - F.col("u"))     # a downward shift
+    o = dict(two_sided=True, drift_conf=0.05, warn_conf=0.2)
+    fold = {tuple(r) for r in fold_alarms(sig, ["model_id"], ["ts", "event_id"], "du",
+                                          partial(make_detector, "HDDM_W", **o)).collect()}
+    par = {tuple(r) for r in all_alarms(sig, "model_id", "chunk", ["ts", "event_id"], "du", "HDDM_W",
+                                        C.HddmWOptions(**o), 16).select("model_id", "rn", "warning", "change").collect()}
+    assert par == fold and sum(1 for r in fold if r[3]) > 0

@@ -19,8 +19,9 @@ first change after a restart at row ``p``:
 * EDDM: events are numbered by a running count, the previous event joins on
   ``k = k' + 1``, and distance moments and the running maximum of
   ``mean + 2 sd`` are chunk-parallel scans.
-* HDDM_W (one-sided): the cut is a running argmin of ``z + sqrt(ibc h)``; the
-  EWMA after the cut is a difference of the global EWMA accumulator.
+* HDDM_W: the cut is a running argmin of ``z + sqrt(ibc h)`` (argmax of
+  ``z - sqrt(ibc h)`` for decreases); the EWMA after a cut is a difference of
+  the global EWMA accumulator.
 
 The latch only needs the first *reported* change after the warm-up batch
 (a change on a request's last row; a change inside a request or in the
@@ -243,12 +244,12 @@ def _eddm_flags(j: DataFrame, key: str, o: C.EddmOptions) -> DataFrame:
 
 
 def _hddm_w_flags(j: DataFrame, key: str, o: C.HddmWOptions) -> DataFrame:
-    """One-sided HDDM_W. The total EWMA (first value taken as is) is a
-    composed affine scan plus ``(1-l)^k x_{p+1}``; ``ibc`` has a closed form
-    in the count; the cut is a running argmin of ``z + sqrt(ibc h)`` (ties
-    move it); the EWMA after the cut is ``D_t - (1-l)^(t-c) D_c`` plus
-    ``(1-l)^(t-c) x_{c+1}``, with ``x_{c+1}`` fetched by an equi-join on
-    ``(key, rn)``."""
+    """HDDM_W. The total EWMA (first value taken as is) is a composed affine
+    scan plus ``(1-l)^k x_{p+1}``; ``ibc`` has a closed form in the count; the
+    increase cut is a running argmin of ``z + sqrt(ibc h)`` (the decrease cut,
+    two-sided, a running argmax of ``z - sqrt(ibc h)``; ties move them); the
+    EWMA after a cut is ``D_t - (1-l)^(t-c) D_c`` plus ``(1-l)^(t-c) x_{c+1}``,
+    with ``x_{c+1}`` fetched by an equi-join on ``(key, rn)``."""
     import math
     lam, oml = o.lam, 1.0 - o.lam
     hd, hw = math.log(1.0 / o.drift_conf) / 2.0, math.log(1.0 / o.warn_conf) / 2.0
@@ -262,22 +263,44 @@ def _hddm_w_flags(j: DataFrame, key: str, o: C.HddmWOptions) -> DataFrame:
         q = F.pow(F.lit(oml2), cnt - 1)
         return F.lit(lam * lam) * (F.lit(1.0) - q) / F.lit(1.0 - oml2) + q
 
-    z = F.col("_stat") + F.pow(F.lit(oml), k) * F.col("_x1")
-    j = j.withColumn("_z", z).withColumn("_ibc", ibc(k))
-    g = F.col("_z") + F.sqrt(F.col("_ibc") * F.lit(hd))
-    j = j.withColumn("_g", F.struct(g.alias("g"), (-F.col("rn")).alias("r"), F.col("rn").alias("c"),
-                                    F.col("_z").alias("z"), F.col("_ibc").alias("ibc"), F.col("_stat").alias("d")))
-    j = running(j, key, "chunk", ["rn"], mins={"_cut": "_g"})
-    nxt = j.select(key, (F.col("rn") - 1).alias("_c"), F.col("x").alias("_xc1"))
-    j = j.withColumn("_c", F.col("_cut.c")).join(nxt, [key, "_c"], "left")
-    k2 = F.col("rn") - F.col("_c")
-    z2 = F.col("_stat") - F.pow(F.lit(oml), k2) * F.col("_cut.d") + F.pow(F.lit(oml), k2) * F.col("_xc1")
-    ib = F.col("_cut.ibc") + ibc(k2)
-    has = k2 > 0
-    diff = z2 - F.col("_cut.z")
-    chg = has & (diff > F.sqrt(ib * F.lit(hd)))
-    wrn = has & ~chg & (diff > F.sqrt(ib * F.lit(hw)))
-    return j.withColumn("chg", chg).withColumn("wrn", wrn)
+    j = j.withColumn("_z", F.col("_stat") + F.pow(F.lit(oml), k) * F.col("_x1")).withColumn("_ibc", ibc(k))
+    eps = F.sqrt(F.col("_ibc") * F.lit(hd))
+
+    def cut_struct(g, r):
+        return F.struct(g.alias("g"), r.alias("r"), F.col("rn").alias("c"), F.col("_z").alias("z"),
+                        F.col("_ibc").alias("ibc"), F.col("_stat").alias("d"))
+
+    j = j.withColumn("_gi", cut_struct(F.col("_z") + eps, -F.col("rn")))
+    maxs = {}
+    if o.two_sided:
+        j = j.withColumn("_gd", cut_struct(F.col("_z") - eps, F.col("rn")))
+        maxs = {"_cutd": "_gd"}
+    j = running(j, key, "chunk", ["rn"], mins={"_cut": "_gi"}, maxs=maxs)
+    nxt = j.select(key, F.col("rn").alias("_nrn"), F.col("x").alias("_nx"))
+
+    def after_cut(cut, tag):
+        """(has samples, EWMA after the cut, its ibc); the value right after the
+        cut comes from an equi-join on (key, rn = cut + 1)."""
+        nonlocal j
+        j = j.withColumn(f"_c{tag}", F.col(f"{cut}.c")).join(
+            nxt.select(key, (F.col("_nrn") - 1).alias(f"_c{tag}"), F.col("_nx").alias(f"_x{tag}")),
+            [key, f"_c{tag}"], "left")
+        k2 = F.col("rn") - F.col(f"_c{tag}")
+        z2 = F.col("_stat") - F.pow(F.lit(oml), k2) * F.col(f"{cut}.d") + F.pow(F.lit(oml), k2) * F.col(f"_x{tag}")
+        return k2 > 0, z2, F.col(f"{cut}.ibc") + ibc(k2)
+
+    has_i, z2i, ibi = after_cut("_cut", "i")
+    diff_i = z2i - F.col("_cut.z")
+    chg_i = has_i & (diff_i > F.sqrt(ibi * F.lit(hd)))
+    wrn_i = has_i & ~chg_i & (diff_i > F.sqrt(ibi * F.lit(hw)))
+    chg, wrn = chg_i, wrn_i
+    if o.two_sided:
+        has_d, z2d, ibd = after_cut("_cutd", "d")
+        diff_d = F.col("_cutd.z") - z2d
+        chg_d = ~chg_i & has_d & (diff_d > F.sqrt(ibd * F.lit(hd)))
+        wrn_d = ~chg_i & has_d & ~chg_d & (diff_d > F.sqrt(ibd * F.lit(hw)))
+        chg, wrn = chg_i | chg_d, wrn_i | wrn_d
+    return j.withColumn("chg", chg).withColumn("wrn", ~chg & wrn)
 
 
 # detector -> (options class, flags of a round, has warnings)
@@ -295,9 +318,7 @@ PARALLEL = {
 
 def parallel_ok(detector: str, options: dict) -> bool:
     """Whether ``detector`` with ``options`` has the parallel rounds."""
-    if detector not in PARALLEL:
-        return False
-    return not (detector == "HDDM_W" and options.get("two_sided", False))
+    return detector in PARALLEL
 
 
 def latch_batches(requests: DataFrame, key: str, first_batch: DataFrame, detector: str, o,

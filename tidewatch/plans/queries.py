@@ -130,7 +130,7 @@ def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str =
     ``detector`` is ``(name, options)`` or a factory returning an object with
     ``step(x) -> (warning, change)``.
 
-    Hot models (CUSUM, Page-Hinkley, GMA, EWMA, DDM, HDDM_A, EDDM, one-sided HDDM_W): ``hot_keys`` (a list or a one-column DataFrame of
+    Hot models (CUSUM, Page-Hinkley, GMA, EWMA, DDM, HDDM_A, EDDM, HDDM_W): ``hot_keys`` (a list or a one-column DataFrame of
     models known to be large) or ``hot_rows`` (detect models with more rows:
     the parsed input is checkpointed once and counted) are computed by
     parallel rounds (``operators.hotkeys``) instead of one task each. Without
