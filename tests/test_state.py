@@ -74,3 +74,11 @@ def test_real_detector_runs(spark):
     reqs = [req("k", b, m, [0.0]) for b in range(1, 4) for m in range(20)] + [req("k", 4, m, [50.0]) for m in range(5)]
     s = states(spark, reqs, detector=("CUSUM", dict(min_n=30, delta=0.005, lam=5.0)))
     assert s[("k", 3)].drift_probability == 0.0 and s[("k", 4)].drift_probability == 0.9
+
+
+def test_empty_row_request_does_not_fail(spark):
+    # under ANSI mode an out-of-range index raises: a request with an empty row must not
+    s = states(spark, [req("a", 1, 0, [0]), ("a", "m", "ax-1", "a-2-0", dt.datetime(2024, 1, 3), 2, [[]]),
+                       req("a", 3, 0, [2])])
+    assert [s[("a", b)].drift_probability for b in (1, 2, 3)] == [0.0, 0.0, 0.9]
+    assert s[("a", 2)].n_requests == 1

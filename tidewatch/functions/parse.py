@@ -80,7 +80,7 @@ def has_null_cell(data: Column) -> Column:
 
 
 def is_ragged(data: Column) -> Column:
-    return F.exists(data, lambda r: F.size(r) != F.size(data[0]))
+    return F.exists(data, lambda r: F.size(r) != F.size(F.get(data, 0)))
 
 
 def parse_body(body: Column, fmt: LogFormat) -> Column:

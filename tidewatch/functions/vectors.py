@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def vector_dim(data: Column) -> Column:
     """Dimension of a request: length of its first row (null when empty)."""
-    return F.when(F.size(data) > 0, F.size(data[0]))
+    return F.when(F.size(data) > 0, F.size(F.get(data, 0)))
 
 
 def explode_vectors(requests: DataFrame, keep: list[str]) -> DataFrame:

@@ -52,6 +52,8 @@ class KeyState:
         det = self.det
         step = det.step
         vec = getattr(det, "vector", False)
+        if not vec:                        # a null / NaN input (a row without features) fits nothing
+            xs = [x for x in xs if x is not None and x == x]
         if self.any_row:
             for x in xs:
                 a, b = step(x if vec else float(x))

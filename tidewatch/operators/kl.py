@@ -148,6 +148,8 @@ class KlKmeansRows:
 
     def step(self, row):
         import numpy as np
+        if len(row) == 0:                   # a row without features is not a point
+            return False, False
         self.cur.append([float(v) for v in row])
         if len(self.cur) < self.window:
             return False, False

@@ -43,7 +43,9 @@ class VectorDetector:
         self.w, self.c, self.last = [False] * dim, [False] * dim, [-1] * dim
 
     def step(self, row):
-        if self.dets is None:
+        if len(row) == 0:                  # a row without features fits nothing
+            return self.poll()
+        if self.dets is None:               # the first non-empty row fixes the dimension
             self._create(len(row))
         if len(row) <= self.dim:
             for i, e in enumerate(row):

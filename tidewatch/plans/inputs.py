@@ -60,7 +60,8 @@ def with_inputs(reqs: DataFrame, signal=None) -> DataFrame:
     """Requests with their detector inputs ``xs ARRAY<DOUBLE>``: ``signal(first
     feature, ts)`` for every vector row (empty requests keep an empty array)."""
     signal = signal or flagship_signal
-    xs = F.transform(F.col("data"), lambda r: signal(r[0], F.col("ts")))
+    # get(): null-tolerant under ANSI mode; an empty row gives a null input, which is skipped
+    xs = F.transform(F.col("data"), lambda r: signal(F.get(r, 0), F.col("ts")))
     return reqs.select("model_id", "model", "axon", "insert_id", "ts", "batch_id", xs.alias("xs"))
 
 

@@ -81,7 +81,7 @@ def log_parse_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = P.parse_requests(I.log_lines(spark, sf_dir))
     return r.select("model_id", "model", "axon", "insert_id", "timestamp",
                     F.size("data").cast("bigint").alias("n_rows"),
-                    F.col("data")[0][0].alias("f0"), F.col("data")[0][1].alias("f1"), F.col("data")[0][2].alias("f2"))
+                    *[F.get(F.get(F.col("data"), 0), i).alias(f"f{i}") for i in range(3)])
 
 
 def log_reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,8 +90,7 @@ def log_reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_parse_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = P.parse_file_lines(file_log_lines(I.events(spark, sf_dir))).filter(F.col("reason").isNull())
-    return r.select("model", "timestamp", F.col("data")[0][0].alias("f0"), F.col("data")[0][1].alias("f1"),
-                    F.col("data")[0][2].alias("f2"))
+    return r.select("model", "timestamp", *[F.get(F.get(F.col("data"), 0), i).alias(f"f{i}") for i in range(3)])
 
 
 def log_parse_responses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,10 +43,11 @@ def feature_rows(lines: DataFrame, fmt: LogFormat = LogFormat(), signal: Callabl
     """``model_id, feature_idx, batch_id, ts, insert_id, model, axon, xs``: one
     row per (request, feature) with that feature's values over the request's rows."""
     reqs = requests_of(lines, fmt).filter(F.size("data") > 0)
-    dim = F.size(F.col("data")[0])
+    reqs = reqs.filter(F.size(F.get(F.col("data"), 0)) > 0)      # rows without features fit nothing
+    dim = F.size(F.get(F.col("data"), 0))
     per_feature = F.transform(F.sequence(F.lit(0), dim - 1),
                               lambda i: F.struct(i.cast("long").alias("f"),
-                                                 F.transform(F.col("data"), lambda r: r[i]).alias("v")))
+                                                 F.transform(F.col("data"), lambda r: F.get(r, i)).alias("v")))
     out = reqs.select("model_id", "batch_id", "ts", "insert_id", "model", "axon",
                       F.inline(per_feature).alias("feature_idx", "xs"))
     if signal is not None:
