@@ -47,6 +47,7 @@ CASES = [
     ("rank_one", envelope(body([1, 2, 3])), "bad_vector"),
     ("rank_four", envelope(body([[[[1]]]])), "bad_vector"),
     ("null_ndarray", envelope(body(None)), "missing_field"),
+    ("bad_timestamp", envelope(body([[1]])).replace("2024-01-01T00:00:00.000000Z", "yesterday"), "bad_timestamp"),
 ]
 
 

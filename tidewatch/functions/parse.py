@@ -55,6 +55,19 @@ def unescape(col: Column) -> Column:
 NDARRAY_RANK3 = T.ArrayType(T.ArrayType(T.ArrayType(T.StringType())))
 
 
+ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]'Z'"
+
+
+def parse_ts(text: Column) -> Column:
+    """Event time of a request as TIMESTAMP_NTZ (UTC wall clock); null when
+    unparseable (``try_``: no failure under ANSI mode). A ``...Z`` text is
+    read as a wall clock and cast back in the same session zone, so the
+    result does not depend on the session time zone; other ISO forms go
+    through the general cast."""
+    wall = F.try_to_timestamp(text, F.lit(ISO_UTC)).cast("timestamp_ntz")
+    return F.coalesce(wall, F.try_to_timestamp(text).cast("timestamp_ntz"))
+
+
 def ndarray_rows(raw: Column) -> Column:
     """Rows of a request's ``ndarray`` (its raw JSON text) as arrays of cell
     texts. Rank 2 is read as is; for rank 3 every row is flattened, so a row
@@ -121,7 +134,8 @@ def parse_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str =
               .when(model_id.isNull() | model.isNull() | axon.isNull() | F.col("_env.timestamp").isNull()
                     | nd.isNull(), "missing_field")
               .when(F.col("_rows").isNull() | has_null_cell(F.col("data")), "bad_vector")
-              .when(is_ragged(F.col("data")), "ragged_vector"))
+              .when(is_ragged(F.col("data")), "ragged_vector")
+              .when(parse_ts(F.col("_env.timestamp")).isNull(), "bad_timestamp"))
     return _fence(df, [
         F.col("_env.insertId").alias("insert_id"),
         model_id.alias("model_id"), model.alias("model"), axon.alias("axon"),

@@ -32,7 +32,7 @@ def chunk_of(ts: str = "ts") -> Column:
 
 
 def props_k(col: str = "props") -> Column:
-    return F.get_json_object(F.col(col), "$.k").cast("bigint")
+    return F.get_json_object(F.col(col), "$.k").try_cast("bigint")
 
 
 def with_signals(events: DataFrame) -> DataFrame:

@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.config import LogFormat
-from tidewatch.functions.parse import parse_requests
+from tidewatch.functions.parse import parse_requests, parse_ts
 from tidewatch.functions.signals import DRIFT_START, with_signals
 from tidewatch.functions.vectors import explode_vectors
 from tidewatch.sources.loglines import request_log_lines
 from tidewatch.sources.tables import read_events
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
-ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +30,7 @@ def log_lines(spark: SparkSession, sf_dir: str, fmt: LogFormat = LogFormat()) ->
 def requests_of(lines: DataFrame, fmt: LogFormat = LogFormat()) -> DataFrame:
     """Parsed requests with event time and batch (day) columns."""
     req = parse_requests(lines, fmt)
-    ts = F.to_timestamp_ntz(F.col("timestamp"), F.lit(ISO))
+    ts = parse_ts(F.col("timestamp"))
     return (req.withColumn("ts", ts)
                .withColumn("batch_id", F.unix_date(F.to_date(ts)).cast("bigint")))
 
