@@ -180,3 +180,27 @@ def test_hddm_w_two_sided_decrease(spark):
     par = {tuple(r) for r in all_alarms(sig, "model_id", "chunk", ["ts", "event_id"], "du", "HDDM_W",
                                         C.HddmWOptions(**o), 16).select("model_id", "rn", "warning", "change").collect()}
     assert par == fold and sum(1 for r in fold if r[3]) > 0
+
+
+def test_null_inputs_skipped_alike(spark):
+    from functools import partial
+
+    from pyspark.sql import functions as F
+
+    from tidewatch import config as C
+    from tidewatch.operators.detectors import make_detector
+    from tidewatch.operators.fold import fold_alarms
+    from tidewatch.operators.hotkeys import all_alarms
+    sig = I.signals(spark, "/root/testdata/sf0.01").withColumn(
+        "sn", F.when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.col("s")))
+    o = dict(min_n=30, delta=0.005, lam=20.0, alpha=0.9999)
+    fold = {tuple(r) for r in fold_alarms(sig, ["model_id"], ["ts", "event_id"], "sn",
+                                          partial(make_detector, "PAGE_HINKLEY", **o)).collect()}
+    par = {tuple(r) for r in all_alarms(sig, "model_id", "chunk", ["ts", "event_id"], "sn", "PAGE_HINKLEY",
+                                        C.PageHinkleyOptions(**o), 16).select("model_id", "rn", "warning", "change").collect()}
+    assert par == fold and fold
+    reqs = I.requests(spark, "/root/testdata/sf0.01")
+    holes = lambda x, ts: F.when(F.hour(ts) % 5 == 0, F.lit(None)).otherwise(x / 100)
+    det = ("CUSUM", dict(min_n=30, lam=5.0))
+    assert _states(request_states(reqs, detector=det, signal=holes, hot_rows=0)) == \
+        _states(request_states(reqs, detector=det, signal=holes))

@@ -34,7 +34,7 @@ def fold_alarms(df: DataFrame, keys: list[str], order: list[str], x: str | list[
     ``x`` may name several columns; the detector then gets ``step(*values)``.
     Output: ``*keys, rn, *carry, warning, change`` for every polled request
     whose flags are set (``emit_all``: every polled request). ``rn`` is the
-    1-based position of the polled row in its key. With ``req`` the flags are
+    1-based position of the polled row among its key's non-null inputs. With ``req`` the flags are
     polled after the last row of each request (``poll="request_end"``) or
     after any row (``poll="any_row"``); without it every row is a request.
     """
@@ -76,14 +76,11 @@ def fold_alarms(df: DataFrame, keys: list[str], order: list[str], x: str | list[
                         out.append(pending)
                     pending = None
                     cur, det, rn = key, detector(), 0
-                rn += 1
                 xi = xs[i]
-                if multi:
-                    w, c = det.step(*xi)
-                elif xi is None or xi != xi:      # null / NaN cells carry no information
-                    w, c = False, False
-                else:
-                    w, c = det.step(float(xi))
+                if not multi and (xi is None or xi != xi):
+                    continue                      # null / NaN inputs carry no information: skipped, not counted
+                rn += 1
+                w, c = det.step(*xi) if multi else det.step(float(xi))
                 kt = key if nk > 1 else (key,)
                 row = (*kt, rn, *[col[i] for col in cv], w, c)
                 if req is None:

@@ -59,8 +59,9 @@ _NEG = float("-inf")
 def _rows(requests: DataFrame, key: str) -> DataFrame:
     """One row per vector row: ``key, batch_id, chunk, ts, insert_id, row_idx, x, is_end``
     (``chunk`` = hour of ``ts``: the unit of the parallel scans)."""
-    r = requests.select(key, "batch_id", "ts", "insert_id", F.size("xs").alias("_n"),
-                        F.posexplode("xs").alias("row_idx", "x"))
+    xs = F.filter("xs", lambda v: v.isNotNull() & ~F.isnan(v))      # null / NaN inputs are skipped
+    r = requests.select(key, "batch_id", "ts", "insert_id", F.size(xs).alias("_n"),
+                        F.posexplode(xs).alias("row_idx", "x"))
     return (r.withColumn("is_end", F.col("row_idx") == F.col("_n") - 1).drop("_n")
              .withColumn("chunk", chunk_of("ts")))
 
@@ -400,7 +401,8 @@ def all_alarms(df: DataFrame, key: str, chunk: str, order: list[str], x: str, de
     from tidewatch.operators.fold import fold_alarms
 
     _, flags_of, _ = PARALLEL[detector]
-    rows = df.select(key, chunk, *order, F.col(x).cast("double").alias("x"))
+    rows = (df.select(key, chunk, *order, F.col(x).cast("double").alias("x"))
+              .filter(F.col("x").isNotNull() & ~F.isnan("x")))            # skipped, as in the fold
     r = running(rows, key, chunk, order, count="rn", sums={"cx": "x"})
     r = (r.select(key, F.col(chunk).alias("chunk"), *order, "rn", "x", "cx")
           .withColumn("batch_id", F.lit(0).cast("bigint")).withColumn("is_end", F.lit(True)).checkpoint())
