@@ -48,11 +48,3 @@ def with_signals(events: DataFrame) -> DataFrame:
             .withColumn("s", F.col("value") / 100 + F.when(d, 1.0).otherwise(0.0))
             .withColumn("b", F.when(F.col("value") > F.when(d, 50.0).otherwise(100.0), 1.0).otherwise(0.0))
             .withColumn("u", F.least(F.col("value") / 500 + F.when(d, 0.4).otherwise(0.0), F.lit(1.0))))
-
-
-def feature_values(events: DataFrame) -> DataFrame:
-    """Long form of the 3-feature vector used by the per-feature detectors:
-    ``f0 = value/100 + d`` (drifts), ``f1 = user_id/100``, ``f2 = k/100``."""
-    sig = with_signals(events)
-    feats = F.array(F.col("s"), F.col("user_id") / 100.0, F.col("k") / 100.0)
-    return sig.select("model_id", "event_id", "ts", "batch_id", F.posexplode(feats).alias("feature_idx", "x"))

@@ -380,12 +380,6 @@ def hot_states(requests: DataFrame, key: str, detector: str, o, max_rounds: int
     return out, unresolved
 
 
-def cusum_hot_states(requests: DataFrame, key: str, o, max_rounds: int = 8,
-                     detector: str = "CUSUM") -> tuple[DataFrame, DataFrame]:
-    return hot_states(requests, key, detector, o, max_rounds)
-
-
-
 def all_alarms(df: DataFrame, key: str, chunk: str, order: list[str], x: str, detector: str, o,
                max_rounds: int = 16) -> DataFrame:
     """Every alarm row (``key, rn, warning, change``) of a detector with a

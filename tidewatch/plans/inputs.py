@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tidewatch.config import LogFormat
 from tidewatch.functions.parse import parse_requests, parse_ts
 from tidewatch.functions.signals import DRIFT_START, with_signals
-from tidewatch.functions.vectors import explode_vectors
 from tidewatch.sources.loglines import request_log_lines
 from tidewatch.sources.tables import read_events
 
@@ -46,15 +45,6 @@ def flagship_signal(x, ts):
     return x / 100 + F.when(d, 1.0).otherwise(0.0)
 
 
-def request_signal(reqs: DataFrame, signal=None) -> DataFrame:
-    """One row per vector row: ``signal(first feature, ts)`` as ``x``."""
-    signal = signal or flagship_signal
-    long = explode_vectors(reqs, ["model_id", "insert_id", "ts", "batch_id"])
-    return (long.filter(F.col("feature_idx") == 0)
-                .select("model_id", "insert_id", "ts", "batch_id", "row_idx",
-                        signal(F.col("x"), F.col("ts")).alias("x")))
-
-
 def with_inputs(reqs: DataFrame, signal=None) -> DataFrame:
     """Requests with their detector inputs ``xs ARRAY<DOUBLE>``: ``signal(first
     feature, ts)`` for every vector row (empty requests keep an empty array)."""
