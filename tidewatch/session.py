@@ -39,15 +39,17 @@ def get_session(master: str | None = None, app: str = "tidewatch",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read.
-    When it is unset (local runs and tests) a fresh folder is created once
-    and recorded in the session, so every later caller sees the same one.
+    On a cluster this setting points at shared storage and is only read; a
+    cluster session without it is refused. A local session (tests) gets a
+    fresh folder, recorded in the session so that later callers see it too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
@@ -56,23 +58,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 def ship_package(spark: SparkSession) -> None:
     """Make ``tidewatch`` importable in the Python workers (once per context).
 
-    The package is zipped into the shared checkpoint folder and added with
-    ``addPyFile``. When that folder is not a local path (a cluster store),
-    ship the package with ``--py-files`` at submit time instead.
+    The zip is made in a folder of the driver and handed to ``addPyFile``: the
+    executors fetch it from the driver, so no shared folder is needed for it.
     """
     sc = spark.sparkContext
     if getattr(sc, "_tidewatch_shipped", False):
         return
-    root = checkpoint_root(spark)
-    if "://" in root and not root.startswith("file:"):
-        sc._tidewatch_shipped = True
-        return
     import shutil
 
     import tidewatch
     pkg = os.path.dirname(os.path.abspath(tidewatch.__file__))
-    base = os.path.join(root.replace("file:", ""), "tidewatch-code", uuid.uuid4().hex[:8], "tidewatch")
-    os.makedirs(os.path.dirname(base), exist_ok=True)
+    base = os.path.join(tempfile.mkdtemp(prefix="tidewatch-code-"), "tidewatch")
     zpath = shutil.make_archive(base, "zip", root_dir=os.path.dirname(pkg), base_dir="tidewatch")
     sc.addPyFile(zpath)
     sc._tidewatch_shipped = True
