@@ -14,8 +14,10 @@ from tidewatch.llm import stages
 from tidewatch.session import scratch_path, ship_package, table_path
 
 STAGES = [
+    ("toxicity", stages.drop_toxic),
     ("pii", stages.redact_pii),
     ("mix", stages.mix_sources),
+    ("tokens", stages.count_tokens),
 ]
 
 # A trained classifier, md5-keyed sampling over its survivors and the merges of a tokenizer: not SQL.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import mixing, pii, sharding
+from tidewatch.llm import bpe, ctw, mixing, pii, sharding, toxicity
 from tidewatch.session import table_path
 
 
@@ -19,6 +19,15 @@ def op3_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    scored = toxicity.score(docs.select("doc_id", "text", "lang"), model)
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+                         "threshold", "flagged")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
@@ -32,9 +41,19 @@ def op7_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "size", "source_size", "target", "taken", "epochs")
 
 
+def op9_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    scored = ctw.score(_table(spark, sf_dir, "documents"), ~held)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(_table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op3_label_propagation_shards, op6_pii, op7_mixed_sources,
+        op3_label_propagation_shards, op5_toxicity, op6_pii, op7_mixed_sources, op9_context_tree_weighting, op10_bpe,
     )}
 
 

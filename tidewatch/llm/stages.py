@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import mixing, pii
+from tidewatch.llm import bpe, mixing, pii, toxicity
 from tidewatch.session import ship_package, table_path
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score reaches their language's threshold go; the classifier learns from all documents."""
+    ship_package(spark)
+    whole = spark.read.parquet(table_path(sf_dir, "documents"))
+    model = toxicity.train(whole, spark.read.parquet(table_path(sf_dir, "labels")))
+    return toxicity.score(docs, model).where(~F.col("flagged")).select(*docs.columns)
+
+
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data become ``[KIND]``; n_chars follows the new text."""
     return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
@@ -17,3 +25,9 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.mixed_documents(docs, spark.read.parquet(table_path(sf_dir, "labels")))
+
+
+def count_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of every document that is left."""
+    ship_package(spark)
+    return bpe.encode(docs)
