@@ -15,6 +15,7 @@ from tidewatch.session import scratch_path, ship_package, table_path
 
 STAGES = [
     ("toxicity", stages.drop_toxic),
+    ("near_duplicates", stages.drop_near_duplicates),
     ("pii", stages.redact_pii),
     ("mix", stages.mix_sources),
     ("tokens", stages.count_tokens),

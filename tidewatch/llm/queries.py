@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, ctw, mixing, pii, sharding, toxicity
+from tidewatch.llm import bpe, ctw, embed_join, jaccard_join, maxscore, mixing, oracles as sql, pii, sharding, substring, toxicity
 from tidewatch.session import table_path
 
 
@@ -15,10 +15,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def op1_vector_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links = embed_join.join_vectors(_table(spark, sf_dir, "embeddings"))
+    return links.select("vec_id", "n_links", "component_id", "kept")
+
+
+def op2_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(_table(spark, sf_dir, "documents")).select("doc_id", "n_links", "class_id")
+
+
 def op3_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sound = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) > 1.7976931348623157e308))
+    z = F.transform("embedding", lambda x: F.floor(x.cast("double") * 64).cast("int"))
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", F.when(sound, z).alias("vector"))
+    return maxscore.top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
@@ -41,6 +57,10 @@ def op7_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "size", "source_size", "target", "taken", "epochs")
 
 
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op9_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
     scored = ctw.score(_table(spark, sf_dir, "documents"), ~held)
@@ -53,9 +73,16 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op3_label_propagation_shards, op5_toxicity, op6_pii, op7_mixed_sources, op9_context_tree_weighting, op10_bpe,
+        op1_vector_range_join, op2_chosen_path_join, op3_label_propagation_shards, op4_maxscore_top_k, op5_toxicity, op6_pii,
+        op7_mixed_sources, op8_repeated_passages, op9_context_tree_weighting, op10_bpe,
     )}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {
+        "op1_vector_range_join": sql.VECTOR_LINKS,
+        "op2_chosen_path_join": sql.JACCARD_GROUPS,
+        "op4_maxscore_top_k": sql.TOP_PRODUCTS,
+        "op7_mixed_sources": sql.MIX,
+        "op8_repeated_passages": sql.REPEATS,
+    }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, mixing, pii, toxicity
+from tidewatch.llm import bpe, jaccard_join, mixing, pii, toxicity
 from tidewatch.session import ship_package, table_path
 
 
@@ -17,6 +17,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).where(~F.col("flagged")).select(*docs.columns)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    ship_package(spark)
+    return jaccard_join.one_of_each(docs)
+
+
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data become ``[KIND]``; n_chars follows the new text."""
     return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
