@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.scan import split_join
 from tidewatch.session import checkpoint_root
 
 
@@ -32,10 +33,10 @@ def components(edges: DataFrame) -> DataFrame:
     while was[0]:
         both = e.union(e.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = split_join(both, low, ["u"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (split_join(large, low, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))))
         e = cut(small.where("u <> v").distinct())
         now = _state(e)

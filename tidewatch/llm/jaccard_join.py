@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.graph import components, cut
+from tidewatch.llm.scan import split_join
 from tidewatch.llm.stream import deal_tiles, forest, whole_groups
 from tidewatch.llm.text import Words, mix64, slices, window_hashes, polynomial, _WORD_P
 from tidewatch.session import scratch_path
@@ -277,7 +278,7 @@ def join_documents(docs: DataFrame, words: int = WORDS, similarity: float = SIMI
     nodes = classes.select("cid", "sketch").mapInArrow(split(True), "path long, cid binary")
     for level in range(LEVELS + 1):
         sizes = nodes.groupBy("path").agg(F.count("*").alias("n"), F.min("cid").alias("head")).where("n > 1")
-        met = nodes.join(sizes, "path")
+        met = split_join(nodes, sizes, ["path"])
         if level:
             met = cut(met)
         last = level == LEVELS
@@ -321,7 +322,7 @@ def join_documents(docs: DataFrame, words: int = WORDS, similarity: float = SIMI
 
 def _tiles_of(texts: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
     """``deal_tiles`` for rows whose group sizes are known, so that the texts are read once."""
-    t = texts.join(sizes, "component").withColumn("_k", F.ceil(F.col("_n") / block).cast("int"))
+    t = split_join(texts, sizes, ["component"]).withColumn("_k", F.ceil(F.col("_n") / block).cast("int"))
     t = t.withColumn("_b", F.pmod(F.xxhash64("cid", F.lit(11)), F.col("_k")).cast("int"))
     t = t.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
     return t.select(F.xxhash64("component", F.least("_b", "_o"), F.greatest("_b", "_o")).alias("tile"),

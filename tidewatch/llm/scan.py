@@ -33,3 +33,14 @@ def running_sum(df: DataFrame, keys: list[str], chunk: str, order: list[str], va
     return (v.withColumn("_w", F.sum("_v").over(within))
             .join(offsets, [*keys, chunk])
             .withColumn(out, F.col("_w") + F.col("_o")).drop("_v", "_w", "_o"))
+
+
+def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join whose hot keys adaptive execution can split.
+
+    Where one side is an aggregate by the same keys, Spark would join in the
+    aggregate's own partitions, which cannot be split. One more key, a hash
+    of the others, gives both sides a shuffle of the join's own.
+    """
+    h = F.xxhash64(*keys)
+    return left.withColumn("_h", h).join(right.withColumn("_h", h), [*keys, "_h"], how).drop("_h")

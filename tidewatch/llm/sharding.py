@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.graph import cut
-from tidewatch.llm.scan import hash_chunk, running_sum
+from tidewatch.llm.scan import hash_chunk, running_sum, split_join
 
 SHARDS = 40
 ROUNDS = 4
@@ -58,7 +58,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     part = max(1, (n // shards) // 2)
 
     sizes = rows.where("gid is not null").groupBy("gid").agg(F.count("*").alias("n")).where("n > 1")
-    rows = cut(rows.join(sizes, "gid", "left").withColumn(
+    rows = cut(split_join(rows, sizes, ["gid"], "left").withColumn(
         "sub", F.when(F.col("n").isNotNull(), F.pmod("key", F.ceil(F.col("n") / part)).cast("int"))))
     votes = rows.where("n is not null").groupBy(
         "gid", "sub", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(shards)).cast("int").alias("label")).agg(F.count("*").alias("c"))

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.scan import split_join
+
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of whole groups (rows come sorted by the long ``key``), with the offsets of the groups."""
@@ -42,7 +44,7 @@ def deal_tiles(df: DataFrame, group: str, member: Column, block: int) -> DataFra
     ``block`` rows is one tile; one of n rows sends each row to n / block tiles.
     """
     sizes = df.groupBy(group).agg(F.count("*").alias("_n"))
-    t = df.join(sizes, group).withColumn("_k", F.ceil(F.col("_n") / block).cast("int"))
+    t = split_join(df, sizes, [group]).withColumn("_k", F.ceil(F.col("_n") / block).cast("int"))
     t = t.withColumn("_b", F.pmod(F.xxhash64(member, F.lit(11)), F.col("_k")).cast("int"))
     t = t.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
     return (t.withColumn("tile", F.xxhash64(group, F.least("_b", "_o"), F.greatest("_b", "_o")))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.graph import cut
+from tidewatch.llm.scan import split_join
 from tidewatch.llm.text import _ODD, _WORD_P, Words, mix64, polynomial, slices, window_hashes
 from tidewatch.session import scratch_path
 
@@ -165,7 +166,7 @@ def repeated_paths(docs: DataFrame, window: int = WINDOW, id: str = "doc_id", te
     base = base.select("id", F.xxhash64("text").alias("k1"), (F.shiftleft(F.crc32("text"), 32) + F.octet_length("text")).alias("k2"), "text")
     anchors = base.select("k1", "text").mapInArrow(_anchors(window), "akey long, k1 long")
     twice = anchors.groupBy("akey").agg(F.count("*").alias("c")).where("c > 1").select("akey")
-    hot = anchors.join(twice, "akey").groupBy("k1").agg(F.collect_set("akey").alias("akeys"))
+    hot = split_join(anchors, twice, ["akey"]).groupBy("k1").agg(F.collect_set("akey").alias("akeys"))
     classes = base.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min("id").alias("rep"))
     wanted = hot.join(classes, "k1").select(F.col("k1").alias("_1"), F.col("k2").alias("_2"), "n", "rep", "akeys")
     same = (F.col("k1") == F.col("_1")) & (F.col("k2") == F.col("_2")) & F.col("id").eqNullSafe(F.col("rep"))
@@ -179,12 +180,12 @@ def repeated_paths(docs: DataFrame, window: int = WINDOW, id: str = "doc_id", te
         F.sum("n").alias("c"), F.min(F.struct("tid", "start")).alias("at"),
         (F.min("after") == F.max("after")).alias("one_after"), (F.min("before") == F.max("before")).alias("one_before")))
     branching = paths.groupBy("akey").agg(F.count("*").alias("k")).where("k > 1").select("akey")
-    apart = paths.join(branching, "akey").groupBy(F.col("at.tid").alias("tid")).agg(
+    apart = split_join(paths, branching, ["akey"]).groupBy(F.col("at.tid").alias("tid")).agg(
         F.collect_list(F.struct(F.col("at.start").alias("start"), "nwin", "c")).alias("blocks"))
     edges = cut(texts.select("tid", "text").join(apart, "tid").select("tid", "text", "blocks").mapInArrow(
         _windows(window), "w1 long, w2 long, c long, tid long, pos int"))
     again = edges.groupBy("w1", "w2").agg(F.sum("c").alias("t")).where("t > 1").select("w1", "w2")
-    single = edges.where("c = 1").join(again, ["w1", "w2"]).select("tid", F.col("pos").alias("start"), F.lit(1).alias("nwin"), F.lit(False).alias("glued"), F.lit(False).alias("open"))
+    single = split_join(edges.where("c = 1"), again, ["w1", "w2"]).select("tid", F.col("pos").alias("start"), F.lit(1).alias("nwin"), F.lit(False).alias("glued"), F.lit(False).alias("open"))
     whole = blocks.join(paths.where("c > 1").select("b1", "b2", "one_after", "one_before"), ["b1", "b2"]).select(
         "tid", "start", "nwin", (F.col("one_before") & (F.col("before") != 0)).alias("glued"), (F.col("one_after") & (F.col("after") != 0)).alias("open"))
     return texts, single.union(whole)
