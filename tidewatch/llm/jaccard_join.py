@@ -29,7 +29,7 @@ WORDS = 5
 SIMILARITY = 0.8
 RECALL = 0.99999  # of a pair at the threshold, over all runs
 TOKENS = 64
-BUCKET = 512  # sets compared by brute force in one task; larger buckets split on
+BUCKET = 4_096  # sets compared by brute force in one task; larger buckets split on
 LEVELS = 5  # deeper ones are compared in tiles of BUCKET sets
 TILE = 512
 PART_BYTES = 1 << 20
@@ -69,16 +69,20 @@ def set_keys(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketches(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """16-bit min-hash tokens of the non-empty sets."""
+def min_hashes(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Min-hash tokens of the non-empty sets, 64 bits each."""
     n = np.diff(first)
     some = first[:-1][n > 0]
-    out = np.zeros((len(some), TOKENS), np.uint16)
+    out = np.zeros((len(some), TOKENS), _U)
     low = (h >> _U(32)).astype(np.uint32)
     for i in range(TOKENS if len(some) else 0):
-        m = np.minimum.reduceat(low * _ODD32[i], some)
-        out[:, i] = (mix64(m.astype(_U) + (_U(i) << _U(40))) >> _U(48)).astype(np.uint16)
-    return out
+        out[:, i] = np.minimum.reduceat(low * _ODD32[i], some)
+    return mix64(out + (np.arange(TOKENS, dtype=_U) << _U(40)))
+
+
+def sketches(tokens: np.ndarray) -> np.ndarray:
+    """16 bits of each token, enough to compare two sets."""
+    return (tokens >> _U(48)).astype(np.uint16)
 
 
 def runs_for(recall: float, similarity: float) -> int:
@@ -92,7 +96,7 @@ def runs_for(recall: float, similarity: float) -> int:
 
 def children(paths: np.ndarray, tokens: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """(rows, child paths): row r goes on with each of its tokens that the node samples."""
-    t = tokens.astype(_U) + (np.arange(TOKENS, dtype=_U) << _U(16))[None, :]
+    t = tokens.astype(_U) + np.arange(TOKENS, dtype=_U)[None, :] * _U(0x9FB21C651E98DF25)
     h = mix64(t * _U(0x9E3779B97F4A7C15) ^ paths[:, None])
     rows, cols = np.nonzero(h < _U(int(2.0**64 / (similarity * TOKENS))))
     return rows, mix64(h[rows, cols] + _U(1))
@@ -122,16 +126,7 @@ def _compare(least: int):
             v += [names[i + 1] for i in two]
             for g in np.flatnonzero(size > 2):
                 a, b = at[g], at[g + 1]
-                x, s = tokens[a:b], side[a:b]
-                left = np.flatnonzero(s == 0)
-                right = np.flatnonzero(s == 1) if s.any() else left
-                pairs = []
-                for i in range(0, len(left), 32):
-                    eq = (x[left[i:i + 32], None, :] == x[None, right, :]).sum(2) >= least
-                    r, c = np.nonzero(eq)
-                    r, c = left[i + r], right[c]
-                    pairs.append(np.stack([r, c], 1)[r < c] if right is left else np.stack([r, c], 1))
-                for i, r in forest(b - a, np.concatenate(pairs)):
+                for i, r in _bucket_forest(tokens[a:b], side[a:b], least):
                     u.append(names[a + i])
                     v.append(names[a + r])
             yield _edges(u, v)
@@ -139,6 +134,30 @@ def _compare(least: int):
     return work
 
 
+def _bucket_forest(x: np.ndarray, side: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Edges (row, root) of the groups made by pairs with ``least`` equal tokens (between the sides, if there are two).
+
+    Each row is compared once with the rows that no group holds yet, so a
+    bucket of much the same sets takes few steps.
+    """
+    two = side.any()
+    open_ = np.arange(len(x))
+    out = []
+    while len(open_):
+        root, open_ = int(open_[0]), open_[1:]
+        queue = [root]
+        while queue and len(open_):
+            i = queue.pop()
+            near = (x[open_] == x[i]).sum(1) >= least
+            if two:
+                near &= side[open_] != side[i]
+            joined = open_[near].tolist()
+            out += [(k, root) for k in joined]
+            queue += joined
+            open_ = open_[~near]
+    return out
+
+
 def _links(words: int, similarity: float):
     """Exact comparison of the texts of a tile: (u, v) edges of a forest, (u, null, m) linked documents of a set."""
 
@@ -239,6 +258,7 @@ def join_documents(docs: DataFrame, words: int = WORDS, similarity: float = SIMI
     """
     spark = docs.sparkSession
     kind = docs.schema[id].dataType.simpleString()
+    runs = runs_for(recall, similarity)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -246,36 +266,40 @@ def join_documents(docs: DataFrame, words: int = WORDS, similarity: float = SIMI
                 h, first = shingle_sets(data, offsets, words)
                 full = np.diff(first) > 0
                 keys = iter(set_keys(h, first)[full])
-                sk = iter(sketches(h, first))
+                tokens = min_hashes(h, first)
+                sk = iter(sketches(tokens))
+                into = [children(np.full(len(tokens), r, _U), tokens, similarity) for r in mix64(np.arange(1, runs + 1, dtype=_U))]
+                owner = np.flatnonzero(full)[np.concatenate([x[0] for x in into])]
+                order = np.argsort(owner, kind="stable")
+                starts = pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[order], np.arange(j - i + 1)), pa.int32()),
+                                                  pa.array(np.concatenate([x[1] for x in into])[order].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0)[i:j], b.column(2)[i:j], pa.array([next(keys).tobytes() if f else None for f in full], pa.binary()),
-                     pa.array([next(sk).tobytes() if f else None for f in full], pa.binary())], names=["id", "text_key", "cid", "sketch"])
+                     pa.array([next(sk).tobytes() if f else None for f in full], pa.binary()), starts],
+                    names=["id", "text_key", "cid", "sketch", "starts"])
 
     path = scratch_path(spark, "jaccard-sets")
     source = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_key"))
-    source.mapInArrow(sketch, f"id {kind}, text_key long, cid binary, sketch binary").write.parquet(path)
+    source.mapInArrow(sketch, f"id {kind}, text_key long, cid binary, sketch binary, starts array<long>").write.parquet(path)
     sets = spark.read.parquet(path)
     classes = cut(sets.where("cid is not null").groupBy("cid").agg(
-        F.count("*").alias("m"), F.min("sketch").alias("sketch"), F.min(F.struct("id", "text_key")).alias("rep")))
+        F.count("*").alias("m"), F.min("sketch").alias("sketch"), F.min("starts").alias("starts"), F.min(F.struct("id", "text_key")).alias("rep")))
 
-    runs = runs_for(recall, similarity)
     deviation = math.sqrt(similarity * (1 - similarity) / TOKENS)
     least = max(1, math.floor((similarity - 5 * deviation) * TOKENS))
-    inner = math.ceil((1 + similarity) / 2 * TOKENS)
-
-    def split(first: bool):
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                tokens = _read(b.column("sketch"), np.uint16, TOKENS)
-                starts = mix64(np.arange(1, runs + 1, dtype=_U)) if first else [None]
-                for s in starts:
-                    paths = np.full(len(b), s, _U) if first else b.column("path").to_numpy().view(_U)
-                    rows, paths = children(paths, tokens, similarity)
-                    yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), b.column("cid").take(pa.array(rows))], names=["path", "cid"])
-        return work
+    # beside the smallest member of a large bucket: a set near it (inner) has all its partners within
+    # the distance of a link more, which even with four deviations of error is still joined
+    joined = TOKENS // 5
+    low = joined / TOKENS + 4 * math.sqrt(0.16 / TOKENS) + (1 - similarity)
+    inner = math.ceil((low + 4 * math.sqrt(low * (1 - low) / TOKENS)) * TOKENS)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, paths = children(b.column("path").to_numpy().view(_U), _read(b.column("sketch"), np.uint16, TOKENS), similarity)
+            yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), b.column("cid").take(pa.array(rows))], names=["path", "cid"])
 
     found: list[DataFrame] = []
-    nodes = classes.select("cid", "sketch").mapInArrow(split(True), "path long, cid binary")
+    nodes = classes.select(F.explode("starts").alias("path"), "cid")
     for level in range(LEVELS + 1):
         sizes = nodes.groupBy("path").agg(F.count("*").alias("n"), F.min("cid").alias("head")).where("n > 1")
         met = split_join(nodes, sizes, ["path"])
@@ -293,12 +317,12 @@ def join_documents(docs: DataFrame, words: int = WORDS, similarity: float = SIMI
         heads = large.select("path", "head").distinct().join(classes.select(F.col("cid").alias("head"), F.col("sketch").alias("head_sketch")), "head")
         large = cut(large.drop("head").join(classes.select("cid", "sketch"), "cid").join(heads, "path").mapInArrow(
             _beside_head, "path long, cid binary, sketch binary, head binary, equal int"))
-        found.append(large.where(F.col("equal") >= least // 2).select(F.col("cid").alias("u"), F.col("head").alias("v")).distinct())
-        nodes = large.where(F.col("equal") < inner).select("path", "cid", "sketch").mapInArrow(split(False), "path long, cid binary")
+        found.append(large.where(F.col("equal") >= joined).select(F.col("cid").alias("u"), F.col("head").alias("v")).distinct())
+        nodes = large.where(F.col("equal") < inner).select("path", "cid", "sketch").mapInArrow(split, "path long, cid binary")
     edges = found[0]
     for f in found[1:]:
         edges = edges.union(f)
-    groups = cut(components(edges).withColumnRenamed("node", "cid").join(classes.drop("sketch"), "cid"))
+    groups = cut(components(edges).withColumnRenamed("node", "cid").join(classes.select("cid", "m", "rep"), "cid"))
 
     mine = groups.select("cid", "m", "component", F.col("rep.id").alias("_i"), F.col("rep.text_key").alias("_t"))
     texts = source.join(mine, source["text_key"].eqNullSafe(F.col("_t")) & source["id"].eqNullSafe(F.col("_i"))).select("component", "cid", "m", "text")
