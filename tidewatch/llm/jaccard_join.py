@@ -302,9 +302,7 @@ def join_documents(docs: DataFrame, words: int = WORDS, similarity: float = SIMI
     nodes = classes.select(F.explode("starts").alias("path"), "cid")
     for level in range(LEVELS + 1):
         sizes = nodes.groupBy("path").agg(F.count("*").alias("n"), F.min("cid").alias("head")).where("n > 1")
-        met = split_join(nodes, sizes, ["path"])
-        if level:
-            met = cut(met)
+        met = cut(split_join(nodes, sizes, ["path"]))
         last = level == LEVELS
         small = (met if last else met.where(F.col("n") <= BUCKET)).join(classes.select("cid", "sketch"), "cid")
         small = deal_tiles(small.select("path", "cid", "sketch"), "path", F.col("cid"), BUCKET) if last else small.select(
