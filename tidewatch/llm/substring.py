@@ -156,9 +156,9 @@ def repeated_paths(docs: DataFrame, window: int = WINDOW, id: str = "doc_id", te
     """(texts, spans): distinct texts with repeated anchors, and their repeated spans.
 
     texts: tid, k1, k2 (key of the text), n (rows with it), text. spans: tid,
-    start (word), nwin (windows), glued (whether the span always follows the
-    one before it in the text, without a branch between them). Each document
-    row counts, so all windows of a text with two rows are repeated.
+    start (word), nwin (windows), glued and open (whether everywhere the same
+    path comes before and after it). Each document row counts, so all windows
+    of a text with two rows are repeated.
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -185,14 +185,15 @@ def repeated_paths(docs: DataFrame, window: int = WINDOW, id: str = "doc_id", te
     edges = cut(texts.select("tid", "text").join(apart, "tid").select("tid", "text", "blocks").mapInArrow(
         _windows(window), "w1 long, w2 long, c long, tid long, pos int"))
     again = edges.groupBy("w1", "w2").agg(F.sum("c").alias("t")).where("t > 1").select("w1", "w2")
-    single = split_join(edges.where("c = 1"), again, ["w1", "w2"]).select("tid", F.col("pos").alias("start"), F.lit(1).alias("nwin"), F.lit(False).alias("glued"), F.lit(False).alias("open"))
+    single = split_join(edges.where("c = 1"), again, ["w1", "w2"]).select("tid", F.col("pos").alias("start"), F.lit(1).alias("nwin"),
+        F.lit(False).alias("glued"), F.lit(False).alias("open"))
     whole = blocks.join(paths.where("c > 1").select("b1", "b2", "one_after", "one_before"), ["b1", "b2"]).select(
         "tid", "start", "nwin", (F.col("one_before") & (F.col("before") != 0)).alias("glued"), (F.col("one_after") & (F.col("after") != 0)).alias("open"))
     return texts, single.union(whole)
 
 
 def _cut_words(window: int):
-    """Join the spans of a text to maximal ones, drop the words they cover, and hash the rest."""
+    """Join the paths of a text to maximal spans, drop the words they cover, and hash the rest."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -204,10 +205,12 @@ def _cut_words(window: int):
                 glued, open_ = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("glued", "open"))
                 order = np.argsort(start, kind="stable")
                 start, end = start[order], (start + nwin - 1 + window)[order]
-                # source coordinates: a path goes on where the next block starts at the window after its last
-                follows = np.zeros(len(start), bool)
-                follows[1:] = glued[order][1:] & open_[order][:-1] & (start[1:] == end[:-1] - window + 1)
+                # source coordinates: a span goes on where the next windows start right behind its last one
+                follows, branch = np.zeros(len(start), bool), np.zeros(len(start), bool)
+                follows[1:] = start[1:] <= end[:-1] - window + 1
+                branch[1:] = follows[1:] & ~(glued[order][1:] & open_[order][:-1])
                 head = np.flatnonzero(~follows)
+                branches = np.add.reduceat(branch.astype(np.int64), head)
                 start, end = start[head], np.append(end[head[1:] - 1], end[-1])
                 change = np.zeros(len(words) + 1, np.int64)
                 np.add.at(change, start, 1)
@@ -216,11 +219,11 @@ def _cut_words(window: int):
                 left = b" ".join([w for w, k in zip(words, keep.tolist(), strict=True) if k])
                 removed.append(int((~keep).sum()))
                 sha.append(hashlib.sha256(left).hexdigest())
-                spans.append([{"start": int(p), "end": int(q)} for p, q in zip(start, end, strict=True)])
+                spans.append([{"start": int(p), "end": int(q), "branches": int(k)} for p, q, k in zip(start, end, branches, strict=True)])
                 kept_text.append(left.decode())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(removed, pa.int64()), pa.array(sha, pa.string()),
-                 pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(kept_text, pa.string())],
+                 pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("branches", pa.int32())]))), pa.array(kept_text, pa.string())],
                 names=["k1", "k2", "n_removed", "sha_left", "spans", "kept"])
 
     return work
@@ -233,8 +236,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id: str = "doc_id", te
     anywhere else, in the same document or another; windows are those of the
     input. Words are runs of bytes other than space and tab to carriage
     return, unchanged; kept words are joined by one space. spans: maximal
-    repeated paths (word ranges, end exclusive), null with kept where nothing
-    repeats.
+    word ranges whose windows all repeat (end exclusive) with the number of
+    branchings between the paths they consist of; null, as is kept, where
+    nothing repeats.
 
     A null text has no words; texts shorter than a window lose nothing.
     Repeated rows are separate documents, so their windows repeat. An empty
@@ -242,7 +246,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id: str = "doc_id", te
     """
     texts, spans = repeated_paths(docs, window, id, text)
     lists = spans.groupBy("tid").agg(F.collect_list(F.struct("start", "nwin", "glued", "open")).alias("spans"))
-    shape = "k1 long, k2 long, n_removed long, sha_left string, spans array<struct<start:int,end:int>>, kept string"
+    shape = "k1 long, k2 long, n_removed long, sha_left string, spans array<struct<start:int,end:int,branches:int>>, kept string"
     done = texts.select("tid", "k1", "k2", "text").join(lists, "tid").select("k1", "k2", "text", "spans").mapInArrow(_cut_words(window), shape)
     if not texts_too:
         done = done.select("k1", "k2", "n_removed", "sha_left")
