@@ -54,6 +54,8 @@ def opt(default, lo, hi):
 
 BIG = float("inf")
 
+# The defaults and bounds below are those of the job vocabulary and of the published methods.
+
 
 @dataclass(frozen=True)
 class CusumOptions(Options):
@@ -144,9 +146,3 @@ class KlOptions(Options):
     bins: int = opt(5, 1, 10)
     lo: float = 0.0
     hi: float = 5.0
-
-
-@dataclass(frozen=True)
-class VoteOptions(Options):
-    threshold: float = opt(0.5, 0.0, 1.0)
-    sample_fraction: float = opt(1.0, 0.0, 1.0)

@@ -100,6 +100,17 @@ def parse_body(body: Column, fmt: LogFormat) -> Column:
     return F.from_json(unescape(body), body_schema(fmt), _JSON_OPTS)
 
 
+def one_value(text: Column) -> Column:
+    """Whether the text is one JSON value and nothing else.
+
+    ``from_json`` reads the first value and ignores what follows it. Inside
+    brackets the rest makes the array invalid. Text with NaN or Infinity,
+    which only ``from_json`` takes, is left to it.
+    """
+    single = F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+    return single | text.rlike("NaN|Infinity")
+
+
 def _fence(df: DataFrame, cols: list[Column]) -> DataFrame:
     """Project ``cols`` through a one-row ``inline`` generator.
 
@@ -125,10 +136,11 @@ def parse_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str =
     model_id, model, axon = (labels.getItem(fmt.model_id_label), labels.getItem(fmt.model_label),
                              labels.getItem(fmt.axon_label))
     reason = (F.when(v.isNull(), "null_line")
-              .when(F.col("_env").isNull() | F.col(f"_env.{CORRUPT}").isNotNull(), "bad_json")
+              .when(F.col("_env").isNull() | F.col(f"_env.{CORRUPT}").isNotNull() | ~one_value(v), "bad_json")
               .when(F.col("_env.insertId").isNull() | F.col("_env.textPayload").isNull(), "missing_field")
               .when(F.col("_raw").isNull(), "no_request_marker")
-              .when(F.col("_body").isNull() | F.col(f"_body.{CORRUPT}").isNotNull(), "bad_json")
+              .when(F.col("_body").isNull() | F.col(f"_body.{CORRUPT}").isNotNull()
+                    | ~one_value(unescape(F.col("_raw"))), "bad_json")
               .when(labels.isNull() | app.isNull() | path.isNull(), "missing_field")
               .when(~((path == fmt.predict_path) & app.endswith(fmt.proxy_suffix)), "not_predict_or_proxy")
               .when(model_id.isNull() | model.isNull() | axon.isNull() | F.col("_env.timestamp").isNull()
@@ -175,7 +187,7 @@ def parse_file_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col:
     df = df.withColumn("_rows", ndarray_rows(nd)).withColumn("data", cast_cells(F.col("_rows")))
     authority = F.col("_body").getField(":authority")
     path = F.col("_body").getField(":path")
-    reason = (F.when(F.col("_body").isNull() | F.col(f"_body.{CORRUPT}").isNotNull(), "bad_json")
+    reason = (F.when(F.col("_body").isNull() | F.col(f"_body.{CORRUPT}").isNotNull() | ~one_value(unescape(raw)), "bad_json")
               .when(path.isNull(), "missing_field")
               .when(path != fmt.predict_path, "not_predict")
               .when(authority.isNull() | nd.isNull(), "missing_field")
@@ -186,9 +198,9 @@ def parse_file_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col:
 
 
 def parse_responses(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str = "value") -> DataFrame:
-    """Text after the response marker, else the literal ``{}``."""
+    """Text after the response marker, else the literal ``{}``; a line without an insert id keeps a null one."""
     env = F.from_json(F.col(value_col), ENVELOPE, _JSON_OPTS)
-    df = lines.withColumn("_env", env).filter(F.col("_env.insertId").isNotNull())
+    df = lines.withColumn("_env", env).filter(F.col("_env").isNotNull() & F.col(f"_env.{CORRUPT}").isNull())
     resp = after_marker(F.col("_env.textPayload"), fmt.response_marker)
     return df.select(F.col("_env.insertId").alias("insert_id"), F.coalesce(resp, F.lit("{}")).alias("response"))
 

@@ -58,9 +58,10 @@ def kl_windows(df: DataFrame, key: str, chunk: str, order: list[str], x: str,
     return j.select(key, "win", F.round(kl, 6).alias("kl"), change.alias("change"))
 
 
-def kmeans_cells(ref, k: int, iters: int = 20):
+def kmeans_cells(ref, k: int):
     """Lloyd's k-means on the rows of ``ref`` (numpy 2-d), started from the
-    first ``k`` distinct rows in order (deterministic). Returns the centres."""
+    first ``k`` distinct rows in order (deterministic), until no row changes its
+    cell; labels met before (rounding) end it too. Returns the centres."""
     import numpy as np
     seen, init = set(), []
     for row in ref:
@@ -71,13 +72,12 @@ def kmeans_cells(ref, k: int, iters: int = 20):
         if len(init) == k:
             break
     c = np.array(init, dtype=float)
-    lab = None
-    for _ in range(iters):
-        d = ((ref[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
-        new = d.argmin(axis=1)
-        if lab is not None and (new == lab).all():
+    met: set[bytes] = set()
+    while True:
+        lab = ((ref[:, None, :] - c[None, :, :]) ** 2).sum(axis=2).argmin(axis=1)
+        if lab.tobytes() in met:
             break
-        lab = new
+        met.add(lab.tobytes())
         for j in range(len(c)):
             if (lab == j).any():
                 c[j] = ref[lab == j].mean(axis=0)
@@ -163,11 +163,14 @@ class KlKmeansRows:
         self.req += 1
 
     def dump(self) -> list[float]:
-        dim = len((self.prev or self.cur or [[]])[0])
-        flat = [v for r in self.prev for v in r] + [v for r in self.cur for v in r]
-        return [float(dim), float(len(self.prev)), float(len(self.cur))] + flat
+        rows = self.prev + self.cur
+        return ([float(len(self.prev)), float(len(self.cur))] + [float(len(r)) for r in rows]
+                + [v for r in rows for v in r])
 
     def load(self, v) -> None:
-        dim, npv, ncur = int(v[0]), int(v[1]), int(v[2])
-        rows = [list(v[3 + i * dim:3 + (i + 1) * dim]) for i in range(npv + ncur)] if dim else []
+        npv, n = int(v[0]), int(v[0]) + int(v[1])
+        rows, at = [], 2 + n
+        for size in v[2:2 + n]:
+            rows.append(list(v[at:at + int(size)]))
+            at += int(size)
         self.prev, self.cur = rows[:npv], rows[npv:]

@@ -18,7 +18,9 @@ def recent_first(states: DataFrame) -> DataFrame:
 
 
 def latest_per_model(states: DataFrame) -> DataFrame:
-    w = Window.partitionBy("model_id").orderBy(_ts(states).desc())
+    """Newest row of each model; of several with its timestamp, the latest epoch's (stream output)."""
+    newest = [F.col(c).desc() for c in ("batch_id", "epoch") if c in states.columns]
+    w = Window.partitionBy("model_id").orderBy(_ts(states).desc(), *newest)
     return states.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
 
 

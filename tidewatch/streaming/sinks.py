@@ -48,13 +48,14 @@ def make_batch_writer(out_dir: str, metric: str = "input_drift_probability",
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         tag = f"epoch={epoch_id}"
-        states = batch
+        # stored once: the stateful stage runs for this write only, all other sinks read it back
+        batch.write.mode("overwrite").parquet(f"{out_dir}/states/{tag}")
+        batch = states = spark.read.schema(batch.schema).parquet(f"{out_dir}/states/{tag}")
         if publish_all_keys:
             states = _merge_latest(spark, batch, out_dir, epoch_id)
             states.write.mode("overwrite").parquet(f"{out_dir}/latest/{tag}")
-            states = spark.read.parquet(f"{out_dir}/latest/{tag}")
-        batch.write.mode("overwrite").parquet(f"{out_dir}/states/{tag}")
-        state_table_rows(states, batch_unit).write.mode("overwrite").parquet(f"{out_dir}/state_table/{tag}")
+            states = spark.read.schema(batch.schema).parquet(f"{out_dir}/latest/{tag}")
+        state_table_rows(batch, batch_unit).write.mode("overwrite").parquet(f"{out_dir}/state_table/{tag}")
         lines = metric_rows(states, metric, **gw)
         lines.write.mode("overwrite").parquet(f"{out_dir}/metrics/{tag}")
         if send is not None:
@@ -86,9 +87,13 @@ def latest_epoch_path(spark: SparkSession, base: str, before: int) -> str | None
 
 def _merge_latest(spark: SparkSession, batch: DataFrame, out_dir: str, epoch_id: int) -> DataFrame:
     prev_path = latest_epoch_path(spark, f"{out_dir}/latest", epoch_id)
-    both = batch if prev_path is None else spark.read.parquet(prev_path).unionByName(batch)
-    w = Window.partitionBy("model_id").orderBy(F.col("batch_id").desc())
-    return both.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+    if prev_path is None:
+        both = batch.withColumn("_new", F.lit(1))
+    else:
+        both = spark.read.parquet(prev_path).withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)))
+    # of two rows of the same batch the newer epoch's holds
+    w = Window.partitionBy("model_id").orderBy(F.col("batch_id").desc(), F.col("_new").desc())
+    return both.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r", "_new")
 
 
 def read_final_states(spark: SparkSession, out_dir: str) -> DataFrame:
