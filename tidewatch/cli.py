@@ -23,6 +23,7 @@ from tidewatch.functions.parse import reject_lines
 from tidewatch.operators.keyed import fold_batch_states
 from tidewatch.plans import inputs as I
 from tidewatch.registry import detector_from_conf
+from tidewatch.streaming.push import http_sender
 from tidewatch.session import get_session
 from tidewatch.streaming import job
 from tidewatch.streaming.sinks import metric_rows, state_table_rows
@@ -37,8 +38,13 @@ def _detector(args):
     return detector_factory((args.detector, json.loads(args.options or "{}"))), False
 
 
+def _format(args) -> LogFormat:
+    """The log markers and label keys given on the command line, as JSON of ``LogFormat`` fields."""
+    return LogFormat(**json.loads(args.log_format)) if args.log_format else LogFormat()
+
+
 def run_table(spark, args) -> None:
-    fmt = LogFormat()
+    fmt = _format(args)
     reader = spark.read.format(args.format)
     lines = reader.load(args.lines).select(F.col(args.value_col).cast("string").alias("value"))
     reqs = I.requests_of(lines, fmt)
@@ -60,11 +66,19 @@ def run_table(spark, args) -> None:
 
 
 def run_stream(spark, args):
-    if args.split:                            # feature-split state: --detector per feature, combined
+    gateway = dict(gateway=args.gateway, namespace=args.namespace, port=args.port)
+    if args.split:
+        unused = [f"--{k.replace('_', '-')}" for k, default in (
+            ("job_conf", None), ("trigger_seconds", None), ("batch_by", "event_day"), ("publish_all_keys", False),
+            ("rocksdb", False), ("metric", "input_drift_probability"), ("gateway", "pushgateway"),
+            ("namespace", "monitoring"), ("port", 9091), ("push", False)) if getattr(args, k) != default]
+        if unused:
+            raise SystemExit(f"--split does not take {', '.join(unused)}")
+        # feature-split state: --detector per feature, combined
         from tidewatch.streaming.split import start_split
         return start_split(spark, args.landing, args.out, args.checkpoint,
                            detector_factory((args.detector, json.loads(args.options or "{}"))),
-                           args.combine, args.threshold, signal=I.identity_cells,
+                           args.combine, args.threshold, signal=I.identity_cells, fmt=_format(args),
                            max_files_per_trigger=args.max_files_per_trigger)
     factory, vector = _detector(args)
     q = job.start(spark, args.landing, args.out, args.checkpoint, detector=factory, vector=vector,
@@ -72,7 +86,8 @@ def run_stream(spark, args):
                   max_files_per_trigger=args.max_files_per_trigger,
                   available_now=args.trigger_seconds is None,
                   processing_time=f"{args.trigger_seconds} seconds" if args.trigger_seconds else None,
-                  publish_all_keys=args.publish_all_keys, batch_by=args.batch_by, rocksdb=args.rocksdb)
+                  publish_all_keys=args.publish_all_keys, batch_by=args.batch_by, rocksdb=args.rocksdb,
+                  fmt=_format(args), metric=args.metric, gateway=gateway, send=http_sender() if args.push else None)
     return q
 
 
@@ -85,6 +100,7 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--detector", default="CUSUM")
         s.add_argument("--options", default=None, help="JSON options of --detector")
         s.add_argument("--job-conf", default=None, help="JSON job configuration (overrides --detector)")
+        s.add_argument("--log-format", default=None, help="JSON of LogFormat fields: markers and label keys of the logs")
         s.add_argument("--metric", default="input_drift_probability")
         s.add_argument("--gateway", default="pushgateway")
         s.add_argument("--namespace", default="monitoring")
@@ -103,6 +119,7 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--max-files-per-trigger", type=int, default=100)
             s.add_argument("--batch-by", default="event_day", choices=["event_day", "arrival"])
             s.add_argument("--publish-all-keys", action="store_true")
+            s.add_argument("--push", action="store_true", help="send the metric lines over HTTP as well")
             s.add_argument("--rocksdb", action="store_true")
             s.add_argument("--split", action="store_true", help="state per (model, feature), combined per request")
             s.add_argument("--combine", default="any", choices=["any", "majority", "logistic"])

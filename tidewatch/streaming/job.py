@@ -17,7 +17,8 @@ def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
           available_now: bool = True, processing_time: str | None = None,
           publish_all_keys: bool = False, send=None, vector: bool = False,
           batch_by: str = "event_day", rocksdb: bool = False, job_conf: dict | None = None,
-          source: DataFrame | None = None, source_col: str = "value") -> StreamingQuery:
+          source: DataFrame | None = None, source_col: str = "value",
+          metric: str = "input_drift_probability", gateway: dict | None = None) -> StreamingQuery:
     """Start the drift-state stream over text files appearing in ``landing``.
 
     ``max_files_per_trigger`` bounds a micro-batch (back-pressure, also under
@@ -55,7 +56,7 @@ def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
     states = keyed_states(inputs, detector_factory(detector))
     writer = (states.writeStream.outputMode("update")
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(make_batch_writer(out_dir, publish_all_keys=publish_all_keys, send=send,
+              .foreachBatch(make_batch_writer(out_dir, metric, gateway, publish_all_keys=publish_all_keys, send=send,
                                               batch_unit="micros" if batch_by == "arrival" else "day")))
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
