@@ -26,6 +26,7 @@ DEPTH = 4
 LOW = 2  # shards share this many nearest bytes; less deep nodes are summed over shards (at most 65,536 of them)
 BLOCK_BYTES = 24 << 20
 PART_BYTES = 1 << 20
+MERGE_KEYS = 400_000  # keys that a worker gathers before it merges them
 EDGE = 0xFF  # no byte of UTF-8: stands before and behind a text
 _U = np.uint64
 
@@ -215,7 +216,7 @@ def _distinct(kind: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, blob in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                keys, counts, held = [], [], 0
+                keys, counts, held, most = [], [], 0, MERGE_KEYS
                 for t in _unpack(blob.as_py()):
                     train = t.column(2).to_numpy(zero_copy_only=False).astype(bool)
                     for i, j, data, offsets in slices(t.column(1), PART_BYTES):
@@ -228,9 +229,10 @@ def _distinct(kind: str):
                             keys.append(x)
                             counts.append(c)
                             held += len(x)
-                        if held > 2_000_000:
+                        if held > most:
                             k, c = _merge(keys, counts)
                             keys, counts, held = [k], [c], 0
+                            most = MERGE_KEYS + 2 * len(k)
                 k, c = _merge(keys, counts)
                 for i in range(0, len(k), 100_000):
                     yield pa.RecordBatch.from_arrays([pa.array(k[i:i + 100_000].view(np.int64)), pa.array(np.full(len(k[i:i + 100_000]), block, np.int64)),
