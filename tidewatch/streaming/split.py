@@ -12,7 +12,8 @@ spread over as many state keys as it has features.
 
 Differences from ``VectorDetector`` (one state per model): every feature
 present in a request is fitted (no dimension fixed by the first request),
-and a feature missing from a request votes nothing for it.
+and a feature missing from a request votes nothing for it, nor does any in a
+request without features.
 """
 
 from __future__ import annotations
@@ -36,18 +37,24 @@ from tidewatch.streaming.sinks import latest_epoch_path, metric_rows, state_tabl
 FEATURE_STATE = "req LONG, last_change LONG, detector ARRAY<DOUBLE>"
 FLAGS_SCHEMA = ("model_id STRING, feature_idx LONG, batch_id LONG, ts TIMESTAMP_NTZ, insert_id STRING, "
                 "model STRING, axon STRING, warning BOOLEAN, change BOOLEAN, vote DOUBLE")
+NO_FEATURE = -1
 FLAG_COLUMNS = [c.split()[0] for c in FLAGS_SCHEMA.split(", ")]
 
 
 def feature_rows(lines: DataFrame, fmt: LogFormat = LogFormat(), signal: Callable | None = None) -> DataFrame:
     """``model_id, feature_idx, batch_id, ts, insert_id, model, axon, xs``: one
-    row per (request, feature) with that feature's values over the request's rows."""
-    reqs = requests_of(lines, fmt).filter(F.size("data") > 0)
-    reqs = reqs.filter(F.size(F.get(F.col("data"), 0)) > 0)      # rows without features fit nothing
-    dim = F.size(F.get(F.col("data"), 0))
-    per_feature = F.transform(F.sequence(F.lit(0), dim - 1),
-                              lambda i: F.struct(i.cast("long").alias("f"),
-                                                 F.transform(F.col("data"), lambda r: F.get(r, i)).alias("v")))
+    row per (request, feature) with that feature's values over the request's rows.
+    A request without features keeps one row, of no feature and no values: it
+    fits nothing but counts, and its batch may be the model's warm-up."""
+    reqs = requests_of(lines, fmt)
+    dim = F.coalesce(F.size(F.get(F.col("data"), 0)), F.lit(0))
+
+    def values(i):
+        return F.struct(i.cast("long").alias("f"), F.transform(F.col("data"), lambda r: F.get(r, i)).alias("v"))
+
+    none = F.struct(F.lit(NO_FEATURE).cast("long").alias("f"),
+                    F.slice(F.transform(F.col("data"), lambda r: F.get(r, 0)), 1, 0).alias("v"))
+    per_feature = F.when(dim > 0, F.transform(F.sequence(F.lit(0), dim - 1), values)).otherwise(F.array(none))
     out = reqs.select("model_id", "batch_id", "ts", "insert_id", "model", "axon",
                       F.inline(per_feature).alias("feature_idx", "xs"))
     if signal is not None:
