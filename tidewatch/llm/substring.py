@@ -256,7 +256,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id: str = "doc_id", te
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(body).alias("k1"), (F.shiftleft(F.crc32(body), 32) + F.octet_length(body)).alias("k2"), body.alias("text"))
     kind = docs.schema[id].dataType.simpleString()
     rows = rows.mapInArrow(_stats, f"id {kind}, k1 long, k2 long, n_words long, sha string")
-    out = rows.join(done, ["k1", "k2"], "left")
+    out = split_join(rows, done, ["k1", "k2"], "left")
     more = ["spans", "kept"] if texts_too else []
     return out.select(F.col("id").alias(id), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
                       F.coalesce("sha_left", "sha").alias("kept_sha256"), *more)
