@@ -44,18 +44,46 @@ def kl_windows(df: DataFrame, key: str, chunk: str, order: list[str], x: str,
     prev = counts.select(key, (F.col("win") + 1).alias("win"), F.col("n").alias("pn"),
                          *[F.col(f"c{b}").alias(f"p{b}") for b in range(K)])
     j = counts.join(prev, [key, "win"], "inner")
-    half = 0.5 * K
+    kl, change = _divergence(o)
+    return j.select(key, "win", F.round(kl, 6).alias("kl"), change.alias("change"))
+
+
+def _divergence(o: C.KlOptions) -> tuple[Column, Column]:
+    """KL and change flag from the bin counts ``p*`` (of ``pn`` rows) and ``c*`` (of ``n`` rows)."""
+    half = 0.5 * o.bins
     terms = []
-    for b in range(K):
+    for b in range(o.bins):
         p = (F.col(f"p{b}") + 0.5) / (F.col("pn") + half)
         q = (F.col(f"c{b}") + 0.5) / (F.col("n") + half)
         terms.append(p * F.log(p / q))
     kl = terms[0]
     for t in terms[1:]:
         kl = kl + t
-    thr = chi2_95(K - 1)
-    change = (F.lit(2.0 * o.window) * kl > F.lit(thr)) if thr != float("inf") else F.lit(False)
-    return j.select(key, "win", F.round(kl, 6).alias("kl"), change.alias("change"))
+    thr = chi2_95(o.bins - 1)
+    return kl, (F.lit(2.0 * o.window) * kl > F.lit(thr)) if thr != float("inf") else F.lit(False)
+
+
+def kl_vector_windows(df: DataFrame, key: str, chunk: str, order: list[str], vec: str, batch: str,
+                      o: C.KlOptions = C.KlOptions()) -> DataFrame:
+    """``key, win, batch, n_changed, change`` of every full window of vector rows with a predecessor.
+
+    Every feature is binned and compared on its own; the window changes when any
+    feature does. ``batch`` is the one of the window's last row (batches follow
+    the row order), where the window fills up and is tested. Rows of a key must
+    have one length (``operators.state.split_dims``)."""
+    d = row_index(df.select(key, chunk, *order, batch, vec), key, chunk, order)
+    d = d.withColumn("win", F.floor((F.col("rn") - 1) / o.window).cast("bigint"))
+    cells = d.select(key, "win", batch, F.posexplode(vec).alias("_f", "_x")).withColumn("_bin", bin_of(F.col("_x"), o))
+    K = o.bins
+    counts = cells.groupBy(key, "win", "_f").agg(
+        F.count(F.lit(1)).alias("n"), F.max(batch).alias(batch),
+        *[F.sum(F.when(F.col("_bin") == b, 1).otherwise(0)).alias(f"c{b}") for b in range(K)]).filter(F.col("n") == o.window)
+    prev = counts.select(key, (F.col("win") + 1).alias("win"), "_f", F.col("n").alias("pn"),
+                         *[F.col(f"c{b}").alias(f"p{b}") for b in range(K)])
+    _, change = _divergence(o)
+    j = counts.join(prev, [key, "win", "_f"], "inner").withColumn("_c", change)
+    return j.groupBy(key, "win").agg(F.max(batch).alias(batch), F.count_if("_c").alias("n_changed"),
+                                     F.bool_or("_c").alias("change"))
 
 
 def kmeans_cells(ref, k: int):

@@ -55,7 +55,10 @@ src AS (SELECT model_id, rn, {signal} AS x FROM {rows}),
 ba AS (SELECT g.model_id, g.batch_id, bool_or(f.warning) AS warning, bool_or(f.change) AS change
        FROM fold AS f JOIN {rows} AS g ON f.model_id = g.model_id AND f.rn = g.rn
        WHERE f.rn > 0 AND (f.warning OR f.change) GROUP BY g.model_id, g.batch_id),
-grid AS (SELECT model_id, batch_id, count(*) AS n_requests{meta_cols} FROM {rows} GROUP BY model_id, batch_id),
+grid AS (SELECT model_id, batch_id, count(*) AS n_requests{meta_cols} FROM {rows} GROUP BY model_id, batch_id){LATCH}"""
+
+
+LATCH = f""",
 gf AS (SELECT *, min(batch_id) OVER (PARTITION BY model_id) AS fb FROM grid),
 lt AS (
   SELECT gf.* EXCLUDE (fb),
@@ -196,6 +199,38 @@ j AS (SELECT c.*, p.n AS pn, {pcols} FROM c JOIN c AS p ON c.model_id = p.model_
 SELECT model_id, win, round({kl}, 6) AS kl, {change} AS change FROM j"""
 
 
+def _kl_vector_sql(rows: str) -> str:
+    """CTE ``kv``: full windows of the whole-vector KL detector over a row CTE with model_id, rn, batch_id."""
+    o = C.KlOptions(**Q.KL_QUERIES["kl_10_5"])
+    K, W = o.bins, o.window
+    width = (o.hi - o.lo) / K
+    counts = ", ".join(f"sum(CASE WHEN bin = {b} THEN 1 ELSE 0 END) AS c{b}" for b in range(K))
+    half = lit(0.5 * K)
+    terms = []
+    for b in range(K):
+        p = f"((CAST(p.c{b} AS DOUBLE) + {lit(0.5)}) / (CAST(p.n AS DOUBLE) + {half}))"
+        q = f"((CAST(c.c{b} AS DOUBLE) + {lit(0.5)}) / (CAST(c.n AS DOUBLE) + {half}))"
+        terms.append(f"{p} * ln({p} / {q})")
+    cells = " UNION ALL ".join(f"SELECT model_id, rn, batch_id, {i} AS f, {x} AS x FROM {rows}" for i, x in enumerate(
+        ["s", f"user_id / {lit(100.0)}", f"k / {lit(100.0)}"]))
+    return f""",
+cells AS ({cells}),
+bb AS (SELECT model_id, (rn - 1) // {W} AS win, f, batch_id,
+       least(greatest(floor((x - {lit(o.lo)}) / {lit(width)}), 0), {K - 1}) AS bin FROM cells),
+c AS (SELECT model_id, win, f, count(*) AS n, max(batch_id) AS batch_id, {counts} FROM bb GROUP BY model_id, win, f
+      HAVING count(*) = {W}),
+kf AS (SELECT c.model_id, c.win, c.batch_id, {lit(2.0 * W)} * ({" + ".join(terms)}) > {lit(chi2_95(K - 1))} AS ch
+      FROM c JOIN c AS p ON c.model_id = p.model_id AND c.f = p.f AND c.win = p.win + 1),
+kv AS (SELECT model_id, win, max(batch_id) AS batch_id, count(*) FILTER (WHERE ch) AS n_changed, bool_or(ch) AS change
+      FROM kf GROUP BY model_id, win)"""
+
+
+INS = "'ins-' || CAST(event_id AS VARCHAR)"
+GOOD_BY_INSERT = f"""WITH {EV},
+good AS (SELECT *, row_number() OVER (PARTITION BY model_id ORDER BY ts, {INS}) AS rn
+         FROM sig0 WHERE event_id % 10 < 4)"""
+
+
 def _sev_list() -> str:
     return "[" + ", ".join(f"'{s}'" for s in SEVERITY_ORDER) + "]"
 
@@ -258,6 +293,15 @@ FROM good GROUP BY model_id, batch_id"""
     o["state_latch"] = latch + "\nSELECT model_id, batch_id, warning_detected, change_detected FROM st"
     o["score_map"] = latch + "\nSELECT model_id, batch_id, drift_probability FROM st"
 
+    o["kl_vector_10_5"] = f"WITH {SIG}" + _kl_vector_sql("sig") + "\nSELECT * FROM kv"
+    o["job_kl_states"] = GOOD_BY_INSERT + _kl_vector_sql("good") + """,
+ba AS (SELECT model_id, batch_id, TRUE AS warning, TRUE AS change FROM kv WHERE change GROUP BY model_id, batch_id),
+grid AS (SELECT model_id, batch_id, arg_min(axon, rn) AS axon FROM good GROUP BY model_id, batch_id)""" + LATCH + "\n" + STATE_ROWS
+    o["log_dim_mismatch"] = GOOD_BY_INSERT + f""",
+d AS (SELECT *, CASE WHEN event_id % 10 = 3 THEN 4 ELSE 3 END AS dim FROM good)
+SELECT d.model_id, {INS} AS insert_id, 'dim_mismatch' AS reason
+FROM d JOIN (SELECT model_id, dim FROM d WHERE rn = 1) AS f ON d.model_id = f.model_id WHERE d.dim <> f.dim"""
+
     for name in Q.DETECTOR_QUERIES:
         o[name] = _adwin_det_sql() if name == "det_adwin" else _detector_sql(name)
     for name in Q.FEATURE_QUERIES:

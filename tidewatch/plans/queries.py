@@ -16,14 +16,15 @@ from pyspark.sql import functions as F
 from tidewatch import config as C
 from tidewatch.functions import metrics as M
 from tidewatch.functions import parse as P
+from tidewatch.functions.signals import chunk_of
 from tidewatch.functions.vectors import explode_vectors, vector_dim
 from tidewatch.operators import detectors as D
 from tidewatch.operators.fold import alarms_by, fold_alarms
-from tidewatch.operators.state import batch_grid, latch, snapshot_all_keys
+from tidewatch.operators.state import batch_grid, latch, snapshot_all_keys, split_dims
 from tidewatch.operators.blocks import block_alarms
 from tidewatch.operators.hotkeys import PARALLEL, hot_models, hot_states, parallel_ok, routed_alarms
 from tidewatch.operators.keyed import fold_batch_states
-from tidewatch.operators.kl import kl_kmeans_windows, kl_windows
+from tidewatch.operators.kl import kl_kmeans_windows, kl_vector_windows, kl_windows
 from tidewatch.operators.ordering import row_index, running
 from tidewatch.operators.windows import cusum_first_alarm, ddm_first_alarm
 from tidewatch.plans import inputs as I
@@ -45,13 +46,13 @@ DETECTOR_QUERIES = {
     "det_ewma": ("EWMA", "b", {}),
     "det_hddm_a": ("HDDM_A", "u", dict(two_sided=True)),
     "det_hddm_w": ("HDDM_W", "u", dict(two_sided=False)),
-    "det_adwin": ("ADWIN", "s", dict(delta=0.002)),
+    "det_adwin": ("ADWIN", "s", dict(delta=0.002, exact=True)),
 }
 FEATURE_QUERIES = {
     "feat_eddm": ("EDDM", True, {}),
     "feat_page_hinkley": ("PAGE_HINKLEY", False, dict(min_n=30, delta=0.005, lam=20.0, alpha=0.9999)),
     "feat_ddm": ("DDM", True, {}),
-    "feat_adwin": ("ADWIN", False, dict(delta=0.002)),
+    "feat_adwin": ("ADWIN", False, dict(delta=0.002, exact=True)),
 }
 BLOCK_QUERIES = {
     "det_seqdrift1": ("SEQ1", "s", dict(delta=0.01, warn_delta=0.1, block=200)),
@@ -192,6 +193,44 @@ def state_snapshot_all_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_all_keys(st, KEY, "batch_id")
 
 
+def kl_states(reqs: DataFrame, o: C.KlOptions = C.KlOptions(**KL_QUERIES["kl_10_5"])) -> DataFrame:
+    """State per (model, batch) of requests ``xs ARRAY<ARRAY<DOUBLE>>`` under the KL
+    detector over all features, without a sequential fold: windows, alarms and
+    the latch are set operations. A window's alarm belongs to the batch of its
+    last row; its warning answers the change flag. Requests with another
+    dimension than the model's first are left to ``split_dims``' rejects."""
+    reqs = reqs.withColumn(CHUNK, chunk_of()).checkpoint()   # parsed once; grid, dimensions and windows read it
+    kept, _ = split_dims(reqs, KEY, ["ts", "insert_id"], "xs")
+    rows = kept.select(KEY, CHUNK, "ts", "insert_id", "batch_id", F.posexplode("xs").alias("row_idx", "vec"))
+    windows = kl_vector_windows(rows, KEY, CHUNK, ["ts", "insert_id", "row_idx"], "vec", "batch_id", o)
+    alarms = windows.filter("change").groupBy(KEY, "batch_id").agg(
+        F.bool_or("change").alias("warning"), F.bool_or("change").alias("change"))
+    grid = batch_grid(kept, KEY, "batch_id", order=["ts", "insert_id"], meta=["axon"])
+    return latch(grid, alarms, KEY, "batch_id")
+
+
+def job_kl_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deployed job: log lines -> whole vectors -> KL(10, 5) -> latch -> state rows."""
+    return state_rows_of(kl_states(I.with_vector_inputs(I.requests(spark, sf_dir))))
+
+
+def kl_vector_10_5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of the whole-vector KL detector with the number of changed features."""
+    sig = I.signals(spark, sf_dir)
+    vec = F.array(F.col("s"), F.col("user_id") / 100.0, F.col("k") / 100.0)
+    return kl_vector_windows(sig.withColumn("vec", vec), KEY, CHUNK, ORDER, "vec", "batch_id",
+                             C.KlOptions(**KL_QUERIES["kl_10_5"]))
+
+
+def log_dim_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected requests of models whose row length varies (one more cell where the event id ends in 3)."""
+    reqs = I.with_vector_inputs(I.requests(spark, sf_dir), I.identity_cells)
+    longer = F.transform("xs", lambda r: F.concat(r, F.array(F.lit(0.0))))
+    reqs = reqs.withColumn("xs", F.when(F.col("insert_id").endswith("3"), longer).otherwise(F.col("xs"))).checkpoint()
+    _, rejected = split_dims(reqs, KEY, ["ts", "insert_id"], "xs")
+    return rejected.select(KEY, "insert_id", "reason")
+
+
 def state_metadata_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = batch_grid(I.requests(spark, sf_dir), KEY, "batch_id", order=["ts", "insert_id"], meta=["model", "axon"])
     return g.select(KEY, "batch_id", "model", "axon", "n_requests")
@@ -406,6 +445,9 @@ def registry() -> dict:
         "state_rows": state_rows,
         "metric_lines": metric_lines,
         "state_snapshot_all_keys": state_snapshot_all_keys,
+        "job_kl_states": job_kl_states,
+        "kl_vector_10_5": kl_vector_10_5,
+        "log_dim_mismatch": log_dim_mismatch,
         "state_metadata_first": state_metadata_first,
         "state_latch": state_latch,
         "score_map": score_map,
