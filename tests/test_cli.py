@@ -27,6 +27,7 @@ def test_table_and_stream_agree(spark, tmp_path):
     s = {(r.model_id, r.batch_id): r.drift_probability for r in read_final_states(spark, f"{root}/stream").collect()}
     assert t == s and len(t) > 0
     assert spark.read.parquet(f"{root}/table/rejects").count() == 600
+    assert spark.read.parquet(f"{root}/stream/rejects").count() == 600
     assert spark.read.parquet(f"{root}/table/metrics").count() == len(t)
 
 

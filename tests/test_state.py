@@ -82,3 +82,26 @@ def test_empty_row_request_does_not_fail(spark):
                        req("a", 3, 0, [2])])
     assert [s[("a", b)].drift_probability for b in (1, 2, 3)] == [0.0, 0.0, 0.9]
     assert s[("a", 2)].n_requests == 1
+
+
+def test_rows_of_another_length_are_rejected(spark):
+    from tidewatch.operators.state import split_dims
+    rows = [("a", 1, []), ("a", 2, [[1.0, 2.0]]), ("a", 3, [[1.0, 2.0], [3.0]]), ("a", 4, [[1.0, 2.0, 3.0]]), ("b", 1, [[1.0]])]
+    df = spark.createDataFrame(rows, "model_id string, t int, xs array<array<double>>")
+    kept, rejected = split_dims(df, "model_id", ["t"], "xs")
+    assert {(r.model_id, r.t) for r in kept.collect()} == {("a", 1), ("a", 2), ("b", 1)}
+    assert {(r.model_id, r.t, r.reason) for r in rejected.collect()} == {("a", 3, "dim_mismatch"), ("a", 4, "dim_mismatch")}
+
+
+def test_vector_kl_states_latch_on_any_feature(spark):
+    from tidewatch.plans.queries import kl_states
+    rows = []
+    for b in range(4):                       # 10 rows a batch; the third feature jumps in batch 2 and returns
+        for m in range(10):
+            x = [[0.5, 0.5, 4.5 if b == 2 else 0.5]]
+            rows.append(("a", "m", "ax", f"{b}-{m}", dt.datetime(2024, 1, 1 + b, 0, m), b, x))
+        rows.append(("b", "m", "ax", f"b{b}", dt.datetime(2024, 1, 1 + b), b, [[0.5]]))   # never a full window
+    df = spark.createDataFrame(rows, SCHEMA.replace("data", "xs"))
+    s = {(r.model_id, r.batch_id): r.drift_probability for r in kl_states(df).collect()}
+    assert [s[("a", b)] for b in range(4)] == [0.0, 0.0, 0.9, 0.9]
+    assert [s[("b", b)] for b in range(4)] == [0.0] * 4

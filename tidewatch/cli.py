@@ -7,7 +7,8 @@ Detector flags: ``--detector CUSUM --options '{"lam": 20}'`` for a
 univariate detector on the first feature, or ``--job-conf conf.json`` with a
 job configuration in the reference vocabulary (vector detectors, ensembles).
 Outputs of ``table``: ``states/`` (per model and batch), ``state_table/``,
-``metrics/`` and ``rejects/`` (parquet, overwritten).
+``metrics/`` and ``rejects/`` (parquet, overwritten). ``stream`` writes the
+same per epoch, and ``rejects/`` by a query of its own (``<checkpoint>-rejects``).
 """
 
 from __future__ import annotations
@@ -133,8 +134,12 @@ def main(argv: list[str] | None = None, spark=None):
     if args.mode == "table":
         run_table(spark, args)
         return None
+    every = None if args.trigger_seconds is None else f"{args.trigger_seconds} seconds"
     q = run_stream(spark, args)
+    rejects = job.start_rejects(spark, args.landing, args.out, args.checkpoint.rstrip("/") + "-rejects", _format(args),
+                                args.max_files_per_trigger, every is None, every)
     q.awaitTermination()
+    rejects.awaitTermination()
     return q
 
 

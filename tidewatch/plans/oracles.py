@@ -246,6 +246,13 @@ FROM ev WHERE event_id % 10 < 4"""
   WHEN 7 THEN 'not_predict_or_proxy' WHEN 6 THEN 'no_request_marker' WHEN 5 THEN 'no_request_marker'
   ELSE 'bad_vector' END AS reason, count(*) AS n
 FROM events WHERE event_id % 10 >= 4 GROUP BY 1"""
+    o["stream_rejects"] = o["log_reject_report"]
+    o["log_message_rejects"] = """WITH l AS (
+  SELECT event_id, event_id % 5 = 0 AS empty FROM events
+  UNION ALL SELECT event_id, event_id % 3 = 0 FROM events WHERE event_id % 5 <> 0)
+SELECT CASE WHEN empty THEN 'null_line' WHEN event_id % 10 = 9 THEN 'bad_json' WHEN event_id % 10 IN (7, 8) THEN 'not_predict_or_proxy'
+  WHEN event_id % 10 = 6 THEN 'no_request_marker' ELSE 'bad_vector' END AS reason, count(*) AS n
+FROM l WHERE empty OR event_id % 10 >= 4 GROUP BY 1"""
     o["log_parse_file_lines"] = f"""WITH {EV}
 SELECT model, CAST(0 AS BIGINT) AS timestamp, value AS f0, CAST(user_id AS DOUBLE) AS f1, CAST(k AS DOUBLE) AS f2
 FROM ev WHERE event_id % 10 IN (0, 1, 2, 3, 7)"""
@@ -297,6 +304,8 @@ FROM good GROUP BY model_id, batch_id"""
     o["job_kl_states"] = GOOD_BY_INSERT + _kl_vector_sql("good") + """,
 ba AS (SELECT model_id, batch_id, TRUE AS warning, TRUE AS change FROM kv WHERE change GROUP BY model_id, batch_id),
 grid AS (SELECT model_id, batch_id, arg_min(axon, rn) AS axon FROM good GROUP BY model_id, batch_id)""" + LATCH + "\n" + STATE_ROWS
+    o["state_expired"] = (o["job_kl_states"].replace(STATE_ROWS, f"SELECT * FROM ({STATE_ROWS})")
+                          + f" WHERE CAST(timestamp AS TIMESTAMP) >= TIMESTAMP '{Q.RETENTION_ASOF}' - INTERVAL {Q.EXPIRY_SECONDS} SECOND")
     o["log_dim_mismatch"] = GOOD_BY_INSERT + f""",
 d AS (SELECT *, CASE WHEN event_id % 10 = 3 THEN 4 ELSE 3 END AS dim FROM good)
 SELECT d.model_id, {INS} AS insert_id, 'dim_mismatch' AS reason

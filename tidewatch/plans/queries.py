@@ -29,7 +29,8 @@ from tidewatch.operators.ordering import row_index, running
 from tidewatch.operators.windows import cusum_first_alarm, ddm_first_alarm
 from tidewatch.plans import inputs as I
 from tidewatch.plans import reports as R
-from tidewatch.sources.loglines import file_log_lines, severity_log_rows
+from tidewatch.sources.loglines import file_log_lines, request_log_lines, severity_log_rows
+from tidewatch.sources.messages import lines_from
 
 KEY = "model_id"
 ORDER = ["ts", "event_id"]
@@ -69,6 +70,7 @@ GATEWAY = dict(gateway="pushgateway", namespace="monitoring", port=9091)
 METRIC = "input_drift_probability"
 RETENTION_AXON = "ax-0"
 RETENTION_ASOF = "2024-01-20 00:00:00"
+EXPIRY_SECONDS = 7 * 86_400
 
 
 def _det(name: str, opts: dict):
@@ -89,6 +91,16 @@ def log_reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.reject_report(I.log_lines(spark, sf_dir))
 
 
+def log_message_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of binary messages: two lines in a message, no message at all for every
+    fifth event (its line is null), a null second line where the event id divides by 3."""
+    line = F.encode(F.col("value"), "UTF-8")
+    second = F.when(F.col("event_id") % 3 != 0, line)
+    messages = request_log_lines(I.events(spark, sf_dir), keep_ids=True).select(
+        F.when(F.col("event_id") % 5 != 0, F.array(line, second)).alias("message"))
+    return P.reject_report(lines_from(messages, "message"))
+
+
 def log_parse_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = P.parse_file_lines(file_log_lines(I.events(spark, sf_dir))).filter(F.col("reason").isNull())
     return r.select("model", "timestamp", *[F.get(F.get(F.col("data"), 0), i).alias(f"f{i}") for i in range(3)])
@@ -407,6 +419,21 @@ def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.select(KEY, "batch_id", "warning_detected", "change_detected", "drift_probability")
 
 
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of the streaming job by reason; equal to the table mode (``log_reject_report``)."""
+    from tidewatch.session import scratch_path
+    from tidewatch.sources.loglines import request_log_lines
+    from tidewatch.streaming import job
+
+    root = scratch_path(spark, "stream_rejects")
+    job.write_landing(request_log_lines(I.events(spark, sf_dir), keep_ids=True), f"{root}/landing")
+    q = job.start_rejects(spark, f"{root}/landing", f"{root}/out", f"{root}/checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
+    return spark.read.parquet(f"{root}/out/rejects").groupBy("reason").agg(F.count("*").alias("n"))
+
+
 # ---------------------------------------------------------------- reports
 
 
@@ -430,6 +457,12 @@ def state_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.latest_per_model(_state_table(spark, sf_dir))
 
 
+def state_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State rows that table expiry keeps: at most a week old at the as-of time."""
+    return R.expire(state_rows_of(kl_states(I.with_vector_inputs(I.requests(spark, sf_dir)))),
+                    RETENTION_ASOF, EXPIRY_SECONDS)
+
+
 def registry() -> dict:
     q = {
         "log_parse_requests": log_parse_requests,
@@ -442,6 +475,9 @@ def registry() -> dict:
         "vector_explode": vector_explode,
         "state_batches": state_batches,
         "stream_state": stream_state,
+        "stream_rejects": stream_rejects,
+        "log_message_rejects": log_message_rejects,
+        "state_expired": state_expired,
         "state_rows": state_rows,
         "metric_lines": metric_lines,
         "state_snapshot_all_keys": state_snapshot_all_keys,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.config import LogFormat
+from tidewatch.functions.parse import reject_lines
 from tidewatch.streaming.sinks import make_batch_writer
 from tidewatch.streaming.stateful import detector_factory, keyed_states, request_inputs
 
@@ -42,14 +43,7 @@ def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
     if rocksdb:   # state off the JVM heap for many models; fixed by the checkpoint's first run
         spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    if source is not None:
-        from tidewatch.sources.messages import lines_from
-        lines = lines_from(source, source_col)
-    else:
-        reader = spark.readStream.format("text")
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        lines = reader.load(landing).select("value")
+    lines = _lines(spark, landing, max_files_per_trigger, source, source_col)
     inputs = request_inputs(lines, fmt, signal, vector)
     if batch_by == "arrival":                 # one value per micro-batch
         inputs = inputs.withColumn("batch_id", F.unix_micros(F.current_timestamp()))
@@ -58,11 +52,39 @@ def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
               .option("checkpointLocation", checkpoint)
               .foreachBatch(make_batch_writer(out_dir, metric, gateway, publish_all_keys=publish_all_keys, send=send,
                                               batch_unit="micros" if batch_by == "arrival" else "day")))
+    return _triggered(writer, available_now, processing_time).start()
+
+
+def start_rejects(spark: SparkSession, landing: str, out_dir: str, checkpoint: str, fmt: LogFormat = LogFormat(),
+                  max_files_per_trigger: int | None = 100, available_now: bool = True,
+                  processing_time: str | None = None, source: DataFrame | None = None,
+                  source_col: str = "value") -> StreamingQuery:
+    """Write the lines that the state stream drops, with their reason, to ``out_dir/rejects``.
+
+    A query of its own beside ``start`` or ``start_split``, with its own
+    ``checkpoint``: the state stage reads good requests only, and neither query
+    waits for the other. The file sink writes each line once.
+    """
+    lines = _lines(spark, landing, max_files_per_trigger, source, source_col)
+    writer = (reject_lines(lines, fmt).writeStream.outputMode("append").format("parquet")
+              .option("path", f"{out_dir}/rejects").option("checkpointLocation", checkpoint))
+    return _triggered(writer, available_now, processing_time).start()
+
+
+def _lines(spark: SparkSession, landing: str, max_files: int | None, source: DataFrame | None, source_col: str) -> DataFrame:
+    if source is not None:
+        from tidewatch.sources.messages import lines_from
+        return lines_from(source, source_col)
+    reader = spark.readStream.format("text")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.load(landing).select("value")
+
+
+def _triggered(writer, available_now: bool, processing_time: str | None):
     if processing_time:
-        writer = writer.trigger(processingTime=processing_time)
-    elif available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+        return writer.trigger(processingTime=processing_time)
+    return writer.trigger(availableNow=True) if available_now else writer
 
 
 def write_landing(lines: DataFrame, landing: str, ts_col: str = "ts") -> None:
