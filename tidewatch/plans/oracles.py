@@ -176,6 +176,43 @@ SELECT f.model_id, b.end_rn AS rn, f.warning, f.change FROM fold AS f JOIN bsrc
   ON f.model_id = b.model_id AND f.rn = b.rn WHERE f.warning OR f.change"""
 
 
+def _seed_sql() -> str:
+    """SEED as a recursion over (blocks taken, window of blocks): add a block, cut while a border
+    qualifies, and merge neighbours after every ``compress`` blocks, one action a step."""
+    _, signal, opts = Q.BLOCK_QUERIES["det_seed"]
+    o = C.SeedOptions(**opts)
+    one, two, three = D1, lit(2.0), lit(3.0)
+    n0, s0 = "list_sum(list_transform(b[1:j], lambda x: x.n))", "list_sum(list_transform(b[1:j], lambda x: x.s))"
+    inv = f"({one} / {n0} + {one} / (nn - {n0}))"
+    border = (f"abs({s0} / {n0} - (ss - {s0}) / (nn - {n0})) > sqrt({two} * {inv} * v * dd) + {two} * {inv} / {three} * dd")
+    near = (f"abs(b[i + 1].s / b[i + 1].n - b[i + 2].s / b[i + 2].n) < "
+            f"{lit(o.eps_prime)} * ({one} + {lit(o.alpha)} * (len(b) - 2 - i))")
+    return f"""WITH RECURSIVE {SIG},
+blk AS (SELECT model_id, (rn - 1) // {o.block} AS k, CAST(count(*) AS DOUBLE) AS n, sum({signal}) AS s, sum({signal} * {signal}) AS q
+        FROM sig GROUP BY ALL HAVING count(*) = {o.block}),
+bls AS (SELECT model_id, list({{'n': n, 's': s, 'q': q}} ORDER BY k) AS bl FROM blk GROUP BY model_id),
+run AS (
+  SELECT model_id, bl, CAST(1 AS BIGINT) AS t, bl[1:1] AS b, 'cut' AS mode, CAST(0 AS BIGINT) AS i, FALSE AS chg FROM bls
+  UNION ALL
+  SELECT model_id, bl, CASE WHEN mode = 'add' THEN t + 1 ELSE t END,
+    CASE WHEN mode = 'add' THEN list_append(b, bl[t + 1]) WHEN best IS NOT NULL THEN b[best + 1:]
+         WHEN merge THEN list_concat(list_append(b[1:i], {{'n': b[i + 1].n + b[i + 2].n, 's': b[i + 1].s + b[i + 2].s,
+                                                            'q': b[i + 1].q + b[i + 2].q}}), b[i + 3:])
+         ELSE b END,
+    CASE WHEN mode = 'add' OR best IS NOT NULL THEN 'cut'
+         WHEN mode = 'cut' AND t % {o.compress} = 0 THEN 'merge'
+         WHEN mode = 'merge' AND i < len(b) - 1 THEN 'merge' ELSE 'add' END,
+    CASE WHEN mode = 'merge' AND NOT merge THEN i + 1 WHEN mode = 'merge' THEN i ELSE 0 END,
+    best IS NOT NULL
+  FROM (
+    SELECT *, CASE WHEN mode = 'cut' AND len(b) >= 2 THEN list_max(list_filter(range(1, len(b)), lambda j: {border})) END AS best,
+      mode = 'merge' AND i < len(b) - 1 AND {near} AS merge
+    FROM (SELECT *, greatest(qq / nn - (ss / nn) * (ss / nn), {D0}) AS v, ln({two} * ln(nn) / {lit(o.delta)}) AS dd
+      FROM (SELECT *, list_sum(list_transform(b, lambda x: x.n)) AS nn, list_sum(list_transform(b, lambda x: x.s)) AS ss,
+                   list_sum(list_transform(b, lambda x: x.q)) AS qq FROM run WHERE mode <> 'add' OR t < len(bl)) AS r1) AS r2) AS r3)
+SELECT DISTINCT model_id, t * {o.block} AS rn, FALSE AS warning, TRUE AS change FROM run WHERE chg"""
+
+
 def _kl_sql(name: str, signal: str = "s") -> str:
     o = C.KlOptions(**Q.KL_QUERIES[name])
     K, W = o.bins, o.window
@@ -225,6 +262,39 @@ kv AS (SELECT model_id, win, max(batch_id) AS batch_id, count(*) FILTER (WHERE c
       FROM kf GROUP BY model_id, win)"""
 
 
+def _kl_kmeans_sql(window: int = 10, bins: int = 5) -> str:
+    """k-means of the previous window by recursion: labels, means, labels, until the labels stay."""
+    def dist(r: str, q: str) -> str:
+        return " + ".join(f"({r}[{d}] - {q}[{d}]) * ({r}[{d}] - {q}[{d}])" for d in (1, 2, 3))
+
+    def labels(x: str, c: str) -> str:
+        near = f"list_transform({c}, lambda q: {dist('r', 'q')})"
+        return f"list_transform({x}, lambda r: list_position({near}, list_min({near})))"
+
+    means = ("list_transform(c, lambda q, j: CASE WHEN list_contains(lab, j) THEN list_transform([1, 2, 3], lambda d: "
+             "list_reduce(list_transform(list_filter(ref, lambda r, i: lab[i] = j), lambda r: r[d]), lambda a, b: a + b) "
+             "/ len(list_filter(lab, lambda l: l = j))) ELSE q END)")
+    quantiles = "[" + ", ".join(lit(chi2_95(i)) for i in range(1, bins)) + "]"
+    half = lit(0.5)
+    share = "(len(list_filter({l}, lambda l: l = j)) + " + half + ") / (len({l}) + " + half + " * len(c))"
+    p, q = share.format(l="lab"), share.format(l="cl")
+    return f"""WITH RECURSIVE {SIG},
+w AS (SELECT model_id, (rn - 1) // {window} AS win, list([s, user_id / {lit(100.0)}, k / {lit(100.0)}] ORDER BY rn) AS pts
+      FROM sig GROUP BY ALL),
+pr AS (SELECT a.model_id, a.win, b.pts AS ref, a.pts AS cur FROM w AS a JOIN w AS b
+       ON a.model_id = b.model_id AND a.win = b.win + 1),
+st AS (SELECT *, list_filter(ref, lambda r, i: list_position(ref, r) = i)[1:{bins}] AS c FROM pr),
+km AS (
+  SELECT model_id, win, ref, cur, c, {labels('ref', 'c')} AS lab, FALSE AS done FROM st
+  UNION ALL
+  SELECT model_id, win, ref, cur, c2, lab2, lab2 = lab FROM (
+    SELECT *, {labels('ref', 'c2')} AS lab2 FROM (SELECT *, {means} AS c2 FROM km WHERE NOT done) AS m) AS n),
+f AS (SELECT model_id, win, c, lab, {labels('cur', 'c')} AS cl FROM km WHERE done),
+d AS (SELECT model_id, win, len(c) AS cells, list_reduce(list_transform(range(1, len(c) + 1),
+        lambda j: ({p}) * ln(({p}) / ({q}))), lambda a, b: a + b) AS kl FROM f)
+SELECT model_id, win, round(kl, 6) AS kl, cells > 1 AND {lit(2.0 * window)} * kl > {quantiles}[cells - 1] AS change FROM d"""
+
+
 INS = "'ins-' || CAST(event_id AS VARCHAR)"
 GOOD_BY_INSERT = f"""WITH {EV},
 good AS (SELECT *, row_number() OVER (PARTITION BY model_id ORDER BY ts, {INS}) AS rn
@@ -304,6 +374,7 @@ FROM good GROUP BY model_id, batch_id"""
     o["job_kl_states"] = GOOD_BY_INSERT + _kl_vector_sql("good") + """,
 ba AS (SELECT model_id, batch_id, TRUE AS warning, TRUE AS change FROM kv WHERE change GROUP BY model_id, batch_id),
 grid AS (SELECT model_id, batch_id, arg_min(axon, rn) AS axon FROM good GROUP BY model_id, batch_id)""" + LATCH + "\n" + STATE_ROWS
+    o["kl_kmeans_10_5"] = _kl_kmeans_sql()
     o["state_expired"] = (o["job_kl_states"].replace(STATE_ROWS, f"SELECT * FROM ({STATE_ROWS})")
                           + f" WHERE CAST(timestamp AS TIMESTAMP) >= TIMESTAMP '{Q.RETENTION_ASOF}' - INTERVAL {Q.EXPIRY_SECONDS} SECOND")
     o["log_dim_mismatch"] = GOOD_BY_INSERT + f""",
@@ -316,6 +387,7 @@ FROM d JOIN (SELECT model_id, dim FROM d WHERE rn = 1) AS f ON d.model_id = f.mo
     for name in Q.FEATURE_QUERIES:
         o[name] = _adwin_feat_sql() if name == "feat_adwin" else _feature_sql(name)
 
+    o["det_seed"] = _seed_sql()
     o["det_seqdrift1"] = _seqdrift1_sql()
     for name in Q.KL_QUERIES:
         o[name] = _kl_sql(name)
