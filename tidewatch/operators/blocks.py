@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidewatch import config as C
 from tidewatch.operators.fold import fold_alarms
 from tidewatch.operators.ordering import row_index
+from tidewatch.operators.sizes import broadcast_small
 
 
 def block_stats(df: DataFrame, key: str, chunk: str, order: list[str], x: str, block: int) -> DataFrame:
@@ -194,8 +195,8 @@ def block_alarms(df: DataFrame, key: str, chunk: str, order: list[str], x: str,
     stats = block_stats(df, key, chunk, order, x, o.block).filter(F.col("n") == o.block)
     if hot_keys is not None and detector == "SEQ1":
         hot = df.sparkSession.createDataFrame([(k,) for k in hot_keys], f"{key} string")
-        cold = stats.join(F.broadcast(hot), key, "left_anti")
-        par = seqdrift1_rounds(stats.join(F.broadcast(hot), key, "left_semi"), key, o)
+        cold = stats.join(broadcast_small(hot), key, "left_anti")
+        par = seqdrift1_rounds(stats.join(broadcast_small(hot), key, "left_semi"), key, o)
         a = fold_alarms(cold, [key], ["block"], ["n", "sx", "sxx"], partial(_make, cls, o), carry=["end_rn"])
         return a.select(key, F.col("end_rn").alias("rn"), "warning", "change").unionByName(par)
     a = fold_alarms(stats, [key], ["block"], ["n", "sx", "sxx"], partial(_make, cls, o), carry=["end_rn"])
@@ -228,7 +229,7 @@ def seqdrift1_rounds(stats: DataFrame, key: str, o: C.SeqDrift1Options, max_roun
 
     outs = []
     for _ in range(max_rounds):
-        j = s.join(F.broadcast(pending), key).filter(F.col("block") > F.col("r"))
+        j = s.join(broadcast_small(pending), key).filter(F.col("block") > F.col("r"))
         ln = F.col("_cn") - F.col("n") - F.col("_bn")          # reservoir: blocks r .. b-1
         ls = F.col("_cs") - F.col("sx") - F.col("_bs")
         lq = F.col("_cq") - F.col("sxx") - F.col("_bq")
@@ -253,7 +254,7 @@ def seqdrift1_rounds(stats: DataFrame, key: str, o: C.SeqDrift1Options, max_roun
         if pending.isEmpty():
             break
     if not pending.isEmpty():
-        rest = s.join(F.broadcast(pending.select(key, "r")), key).filter(F.col("block") >= F.col("r"))
+        rest = s.join(broadcast_small(pending.select(key, "r")), key).filter(F.col("block") >= F.col("r"))
         tail = fold_alarms(rest, [key], ["block"], ["n", "sx", "sxx"], partial(_make, SeqDrift1, o), carry=["end_rn"])
         outs.append(tail.select(key, F.col("end_rn").alias("rn"), "warning", "change"))
     out = outs[0]

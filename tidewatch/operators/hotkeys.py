@@ -51,6 +51,7 @@ from tidewatch.functions.metrics import drift_probability
 from tidewatch.functions.signals import chunk_of
 from tidewatch.operators.detectors import ECDD_L
 from tidewatch.operators.ordering import running
+from tidewatch.operators.sizes import broadcast_small
 
 ORDER = ["ts", "insert_id", "row_idx"]
 _NEG = float("-inf")
@@ -257,7 +258,7 @@ def _hddm_w_flags(j: DataFrame, key: str, o: C.HddmWOptions) -> DataFrame:
     oml2 = oml * oml
     first_x = j.filter(F.col("rn") == F.col("p") + 1).select(key, F.col("x").alias("_x1"))
     j = _composed_stat(j.withColumn("v", F.lit(lam) * F.col("x")), key, oml, False)   # _stat = D_t
-    j = j.join(F.broadcast(first_x), key)
+    j = j.join(first_x, key)
     k = _n()
 
     def ibc(cnt):
@@ -335,7 +336,7 @@ def latch_batches(requests: DataFrame, key: str, first_batch: DataFrame, detecto
                                  "first_batch", none.alias("change_batch"), none.alias("warn_batch")).checkpoint()
     resolved = []
     for _ in range(max_rounds):
-        j = r.join(F.broadcast(pending), key).filter(F.col("rn") > F.col("p"))
+        j = r.join(broadcast_small(pending), key).filter(F.col("rn") > F.col("p"))
         f = flags_of(j, key, o).select(key, "rn", "batch_id", "is_end", "cx", "chg", "wrn", "first_batch")
         if warns:
             f = f.checkpoint()                 # read twice: changes and warnings
@@ -404,7 +405,7 @@ def all_alarms(df: DataFrame, key: str, chunk: str, order: list[str], x: str, de
                 .withColumn("first_batch", F.lit(-1).cast("bigint")).checkpoint())
     outs = []
     for _ in range(max_rounds):
-        j = r.join(F.broadcast(pending), key).filter(F.col("rn") > F.col("p"))
+        j = r.join(broadcast_small(pending), key).filter(F.col("rn") > F.col("p"))
         f = flags_of(j, key, o).select(key, "rn", "cx", "chg", "wrn").checkpoint()
         a = f.filter("chg").groupBy(key).agg(F.min_by(F.struct("rn", "cx"), F.col("rn")).alias("a"))
         upto = F.col("a").isNull() | (F.col("rn") <= F.col("a.rn"))
@@ -415,7 +416,7 @@ def all_alarms(df: DataFrame, key: str, chunk: str, order: list[str], x: str, de
         if pending.isEmpty():
             break
     if not pending.isEmpty():                  # the rest: exact fold from each key's last restart
-        rest = r.join(F.broadcast(pending.select(key, "p")), key).filter(F.col("rn") > F.col("p"))
+        rest = r.join(broadcast_small(pending.select(key, "p")), key).filter(F.col("rn") > F.col("p"))
         det = partial(make_detector, detector, **{f.name: getattr(o, f.name) for f in o.__dataclass_fields__.values()})
         tail = fold_alarms(rest, [key], ["rn"], "x", det, carry=["p"])
         outs.append(tail.select(key, (F.col("rn") + F.col("p")).alias("rn"), "warning", "change"))
@@ -429,7 +430,7 @@ def routed_alarms(df: DataFrame, key: str, chunk: str, order: list[str], x: str,
                   options: dict, hot_keys=None, hot_rows: int | None = None, max_rounds: int = 16) -> DataFrame:
     """All alarms of ``detector``: keys listed in ``hot_keys`` (or with more
     than ``hot_rows`` rows, counted once; at most rows / hot_rows of them, so
-    the list is broadcast) take the parallel rounds, the rest the fold."""
+    the list is broadcast if small) take the parallel rounds, the rest the fold."""
     from functools import partial
 
     from tidewatch.operators.detectors import make_detector
@@ -446,7 +447,7 @@ def routed_alarms(df: DataFrame, key: str, chunk: str, order: list[str], x: str,
         hot = df.sparkSession.createDataFrame([(k,) for k in hot_keys], f"{key} string")
     if hot.isEmpty():
         return fold_alarms(df, [key], order, x, det)
-    cold = fold_alarms(df.join(F.broadcast(hot), key, "left_anti"), [key], order, x, det)
+    cold = fold_alarms(df.join(broadcast_small(hot), key, "left_anti"), [key], order, x, det)
     o = PARALLEL[detector][0](**options)
-    par = all_alarms(df.join(F.broadcast(hot), key, "left_semi"), key, chunk, order, x, detector, o, max_rounds)
+    par = all_alarms(df.join(broadcast_small(hot), key, "left_semi"), key, chunk, order, x, detector, o, max_rounds)
     return cold.unionByName(par.select(key, "rn", "warning", "change"))

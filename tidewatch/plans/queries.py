@@ -31,6 +31,7 @@ from tidewatch.plans import inputs as I
 from tidewatch.plans import reports as R
 from tidewatch.sources.loglines import file_log_lines, request_log_lines, severity_log_rows
 from tidewatch.sources.messages import lines_from
+from tidewatch.operators.sizes import broadcast_small
 
 KEY = "model_id"
 ORDER = ["ts", "event_id"]
@@ -164,11 +165,11 @@ def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str =
         hot = spark.createDataFrame([(k,) for k in hot_keys], f"{KEY} string")
     if hot.isEmpty():
         return fold_batch_states(inputs, det, KEY)
-    cold = inputs.join(F.broadcast(hot), KEY, "left_anti")
-    hot_in = inputs.join(F.broadcast(hot), KEY, "left_semi")
+    cold = inputs.join(broadcast_small(hot), KEY, "left_anti")
+    hot_in = inputs.join(broadcast_small(hot), KEY, "left_semi")
     opts = PARALLEL[detector[0]][0](**detector[1])
     hot, left = hot_states(hot_in, KEY, detector[0], opts, hot_rounds)
-    rest = inputs.join(F.broadcast(left), KEY, "left_semi")
+    rest = inputs.join(broadcast_small(left), KEY, "left_semi")
     folded = fold_batch_states(cold.unionByName(rest), det, KEY)
     return folded.unionByName(hot)
 
