@@ -76,6 +76,29 @@ def test_personal_data(spark, odd_docs, no_docs):
     assert pii.redact(odd_docs).columns == odd_docs.columns and pii.redact(no_docs).count() == 0
 
 
+def test_account_and_local_numbers_beside_words_numbers_and_stops(spark):
+    de, gb, no = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947"
+    tel = "555-123-4567"
+    ibans = [(f"IBAN {de} Thanks", [de]), ("IBAN DE89 3704 0044 0532 0130 00 OR pay", ["DE89 3704 0044 0532 0130 00"]), (f"{de} 2024", [de]),
+             (f"{de}.", [de]), (f"Pay {gb} NOW.", [gb]), (f"{no} 12 A {de} {gb} AND {gb}", [no, de, gb, gb]), (f"AB12 {gb} X", [gb]),
+             (f"{de} DE89370400440532013001 X", [de]), (f"{de}X {de}x x{de}", []), ("DE89 3704 0044 0532 0130 00 7", ["DE89 3704 0044 0532 0130 00"]),
+             (f"{de} " * 3000, [de] * 3000), ("AB12 " * 6000, [])]
+    # a country that is not registered: 98 less the remainder of the number with 00
+    body = "1234567890AB"
+    check = 98 - int("".join(str(int(c, 36)) for c in f"{body}ZZ00")) % 97
+    ibans.append((f"ZZ{check:02d}{body} Then", [f"ZZ{check:02d}{body}"]))
+    tels = [(f"Tel. {tel}", [tel]), (f"call - {tel}", [tel]), (f"(phone) {tel}.", [tel]), (f"Call us ({tel}) or", [f"({tel}"]), (f"phone...{tel} Ask", [tel]),
+            (f"call 12 {tel}", []), (f"call 1-{tel}", []), (f"call 5{tel}", []), ("call 1 (555) 123-4567", []), ("tel +1 555-123-4567", [])]
+    rows = [(i, t) for i, (t, _) in enumerate(ibans + tels)]
+    got = {r["doc_id"]: r["spans"] for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (t, want) in enumerate(ibans + tels):
+        found = [s for s in got[i] if s["kind"] == ("iban" if i < len(ibans) else "tel")]
+        assert [s["text"] for s in found] == want, t[:80]
+        assert all(t[s["start"]:s["end"]] == s["text"] for s in found)
+    clean = pii.redact(spark.createDataFrame([(0, f"IBAN {de} Thanks. Tel. {tel}")], "doc_id long, text string")).first()["text"]
+    assert clean == "IBAN [IBAN] Thanks. Tel. [TEL]"
+
+
 def test_toxicity_learns_a_word_and_scores_odd_documents(spark, odd_docs, no_docs):
     rng = np.random.default_rng(0)
     vocabulary = [f"w{i}" for i in range(300)]

@@ -21,9 +21,20 @@ PATTERNS = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     # added by this method
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
-    "tel": r"(?<![0-9+().-])(?<![0-9+().-]\x20)\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])",
+    # Only the four characters in front are matched; group 1 is the longest run an account number could fill, and
+    # one character more, so that the number may end before the words that follow and the next one is tried as well.
+    "iban": r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+[A-Za-z0-9]?))[A-Z]{2}[0-9]{2}",
+    # not behind a digit, or a digit and separators: that is a longer number
+    "tel": r"(?<![0-9])(?<![0-9][\x20().-])(?<![0-9][\x20.-]\()\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])",
 }
+IBAN_HEAD = 4
+IBAN_SIZES = range(34, 14, -1)
+# Characters of an account number by country, as registered; of any other country each size is tried, the longest first.
+IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 "
+    "FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 "
+    "LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 "
+    "SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
 BASE = ("email", "ip", "card", "phone")
 KINDS = tuple(PATTERNS)
 # A character without which no match exists: most texts skip the pattern.
@@ -62,6 +73,15 @@ def mod97(iban: Column) -> Column:
         c == "", a).when(F.ascii(c) >= 65, (a * 100 + value(c)) % 97).otherwise((a * 10 + value(c)) % 97)) == 1
 
 
+def account(run: Column) -> Column:
+    """The account number that a run (group 1 of the pattern) starts with, or null: it ends with a word and passes mod 97."""
+    ends = F.array(*[F.regexp_extract(run, rf"^[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - IBAN_HEAD}}}(?![A-Za-z0-9])", 0) for n in IBAN_SIZES])
+    lengths = F.create_map(*[F.lit(x) for c in IBAN_LENGTHS.items() for x in c])
+    size = lambda c: F.length(F.regexp_replace(c, " ", ""))
+    fits = F.filter(ends, lambda c: (c != "") & (size(c) == F.coalesce(lengths[F.substr(c, F.lit(1), F.lit(2))], size(c))))
+    return F.get(F.filter(fits, mod97), F.lit(0))
+
+
 def _valid(kind: str, m: Column) -> Column:
     if kind == "ip":
         value = lambda p: F.regexp_replace(p, "^0+(?=.)", "")
@@ -71,14 +91,17 @@ def _valid(kind: str, m: Column) -> Column:
     if kind == "phone":
         return F.length(_digits(m)).between(9, 15)
     if kind == "iban":
-        return mod97(m)
+        return m.isNotNull()
     return F.lit(True)
 
 
 def _proposed(kind: str, text: Column) -> tuple[Column, Column]:
-    """The matches of one kind, and the pieces of text between them, whose lengths add up to the starts."""
+    """The matches of one kind, and the pieces of text between them, whose lengths add up to the starts.
+
+    Of account numbers the whole number or null, while the pieces are those between their heads.
+    """
     p = F.lit(PATTERNS[kind])
-    hits = F.regexp_extract_all(text, p, F.lit(0))
+    hits = F.transform(F.regexp_extract_all(text, p, F.lit(1)), account) if kind == "iban" else F.regexp_extract_all(text, p, F.lit(0))
     if kind in NEEDS:
         hits = F.when(F.instr(text, NEEDS[kind]) > 0, hits).otherwise(F.array().cast("array<string>"))
     gaps = F.when(F.size("_hits") > 0, F.split(text, PATTERNS[kind], -1)).otherwise(F.array().cast("array<string>"))
@@ -86,13 +109,18 @@ def _proposed(kind: str, text: Column) -> tuple[Column, Column]:
 
 
 def _spans(kind: str, text: Column) -> Column:
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,text:string>>").alias("got"))
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("to"), F.array().cast("array<struct<start:int,end:int,text:string>>").alias("got"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["gap"])
         end = start + F.length(x["hit"])
         one = F.array(F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("text")))
-        return F.struct(end.alias("at"), F.when(_valid(kind, x["hit"]), F.concat(acc["got"], one)).otherwise(acc["got"]).alias("got"))
+        valid = _valid(kind, x["hit"])
+        at = end
+        if kind == "iban":  # heads are matched inside a number as well
+            valid, at = valid & (start >= acc["to"]), start + IBAN_HEAD
+        return F.struct(at.alias("at"), F.when(valid, end).otherwise(acc["to"]).alias("to"),
+                        F.when(valid, F.concat(acc["got"], one)).otherwise(acc["got"]).alias("got"))
 
     pairs = F.zip_with("_hits", F.slice("_gaps", 1, F.size("_hits")), lambda h, g: F.struct(h.alias("hit"), g.alias("gap")))
     found = F.aggregate(pairs, zero, step, lambda acc: acc["got"])
@@ -112,7 +140,7 @@ def find_pii(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFra
 
     A span has its kind, start and end (code points, end exclusive), text and
     score. Emails, addresses, cards and phones always stay; account numbers
-    must pass mod 97, and local phone numbers (``tel``) must reach ``least``,
+    must pass mod 97 in the length of their country, whatever word follows, and local phone numbers (``tel``) must reach ``least``,
     which takes a context word within 40 characters, and must not touch a
     card or phone. A null or empty text has no spans. Each row is judged by
     itself, so repeated rows get equal spans. An existing column ``spans`` is
