@@ -7,7 +7,7 @@ from tidewatch.plans.queries import FLAGSHIP, request_states
 from tidewatch.session import scratch_path
 from tidewatch.sources.loglines import request_log_lines
 from tidewatch.streaming import job
-from tidewatch.streaming.sinks import read_final_states
+from tidewatch.streaming.sinks import make_batch_writer, read_final_states
 
 SF = "/root/testdata/sf0.001"
 
@@ -77,6 +77,25 @@ def test_all_keys_latest_table(spark):
     assert keys == 5
 
 
+def test_state_table_gets_idle_keys_of_every_micro_batch(spark):
+    from tidewatch.operators.keyed import OUTPUT_SCHEMA
+    root = scratch_path(spark, "t-idle")
+    row = lambda m, b, p: (m, b, "m", f"axon-{m}", 1, p > 0, p > 0.8, p)
+    batches = [[row("a", 1, 0.0), row("a", 2, 0.8), row("b", 1, 0.0)], [row("b", 3, 0.9)], []]
+    write = make_batch_writer(f"{root}/all", publish_all_keys=True)
+    plain = make_batch_writer(f"{root}/plain")
+    for epoch, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, OUTPUT_SCHEMA)
+        write(df, epoch)
+        plain(df, epoch)
+    write(spark.createDataFrame(batches[1], OUTPUT_SCHEMA), 1)     # a retried micro-batch
+    read = lambda out: sorted((r.epoch, r.model_id, r.batch_id, r.drift_probability)
+                              for r in spark.read.parquet(f"{root}/{out}/state_table").collect())
+    assert read("all") == [(0, "a", 1, 0.0), (0, "a", 2, 0.8), (0, "b", 1, 0.0), (1, "a", 2, 0.8), (1, "b", 3, 0.9),
+                           (2, "a", 2, 0.8), (2, "b", 3, 0.9)]
+    assert read("plain") == [(0, "a", 1, 0.0), (0, "a", 2, 0.8), (0, "b", 1, 0.0), (1, "b", 3, 0.9)]
+
+
 def test_arrival_batches_follow_micro_batches(spark):
     root = scratch_path(spark, "t-arrival")
     lines, days = _days(spark)

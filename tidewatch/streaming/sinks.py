@@ -41,7 +41,9 @@ def make_batch_writer(out_dir: str, metric: str = "input_drift_probability",
     ``send(rows_iterator)`` (optional) runs per partition of the metric lines
     (an HTTP push, a queue producer). With ``publish_all_keys`` the latest
     state of every key seen so far is kept in ``latest/epoch=<id>`` and
-    re-published each micro-batch, idle keys included.
+    re-published each micro-batch, idle keys included; the state table gets
+    the rows of the micro-batch and, with their last batch and its time, the
+    latest rows of the keys that the micro-batch lacks.
     """
     gw = gateway or dict(gateway="pushgateway", namespace="monitoring", port=9091)
 
@@ -51,11 +53,14 @@ def make_batch_writer(out_dir: str, metric: str = "input_drift_probability",
         # stored once: the stateful stage runs for this write only, all other sinks read it back
         batch.write.mode("overwrite").parquet(f"{out_dir}/states/{tag}")
         batch = states = spark.read.schema(batch.schema).parquet(f"{out_dir}/states/{tag}")
+        table = batch
         if publish_all_keys:
             states = _merge_latest(spark, batch, out_dir, epoch_id)
             states.write.mode("overwrite").parquet(f"{out_dir}/latest/{tag}")
             states = spark.read.schema(batch.schema).parquet(f"{out_dir}/latest/{tag}")
-        state_table_rows(batch, batch_unit).write.mode("overwrite").parquet(f"{out_dir}/state_table/{tag}")
+            here = batch.select(F.col("model_id").alias("_k")).distinct()
+            table = batch.unionByName(states.join(here, F.col("model_id").eqNullSafe(F.col("_k")), "left_anti"))
+        state_table_rows(table, batch_unit).write.mode("overwrite").parquet(f"{out_dir}/state_table/{tag}")
         lines = metric_rows(states, metric, **gw)
         lines.write.mode("overwrite").parquet(f"{out_dir}/metrics/{tag}")
         if send is not None:
