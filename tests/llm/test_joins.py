@@ -119,6 +119,31 @@ def test_jaccard_of_buckets_that_split_and_tile(spark, monkeypatch):
     assert got == brute_jaccard(rows)
 
 
+def test_jaccard_of_mixed_frequent_passages(spark, monkeypatch):
+    """Near copies whose common tokens all lie in buckets that split several times keep the recall asked for."""
+    monkeypatch.setattr(jaccard_join, "BUCKET", 4)
+    rnd = random.Random(11)
+    rows = []
+    for _ in range(300):
+        t = [f"p{k}w{i}" for k in rnd.sample(range(200), 20) for i in range(8)]
+        near = list(t)
+        for i in (1, 20, 60, 100):
+            near[i] = f"x{rnd.randint(0, 9999)}"
+        rows += [(len(rows), " ".join(t)), (len(rows) + 1, " ".join(near))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.join_documents(df, recall=0.9).select("doc_id", "n_links", "class_id").collect()
+    assert all(r["n_links"] <= 1 and r["class_id"] == r["doc_id"] - (r["doc_id"] % 2) * r["n_links"] for r in got)
+    assert sum(r["n_links"] for r in got) >= 0.9 * len(rows)
+
+
+def test_runs_follow_the_splits():
+    left = 1 - jaccard_join.RECALL
+    for splits in range(jaccard_join.LEVELS + 1):
+        runs = jaccard_join.runs_for(jaccard_join.RECALL, 0.8, splits)
+        assert jaccard_join.missed(0.8, splits + 1) ** runs <= left
+    assert jaccard_join.runs_for(jaccard_join.RECALL, 0.8) == 15
+
+
 def test_repeats_of_odd_documents(odd_docs, no_docs):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     count = collections.Counter(tuple(w[i:i + 35]) for _, t in rows for w in [words(t)] for i in range(len(w) - 34))

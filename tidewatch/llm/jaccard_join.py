@@ -5,7 +5,8 @@ starts with all sets in one node; a node samples tokens with probability
 1 / (similarity x 64) by a hash of its path, and each set goes to a child for
 every sampled token it holds. Similar sets share a child with about one
 expected token a level, others thin out. Small buckets are compared by brute
-force on the tokens; independent runs repeat until the target recall. Groups
+force on the tokens; independent runs repeat until the target recall, and go
+on for the sets of buckets that had to be split. Groups
 of candidates are then compared exactly on their whole texts.
 """
 
@@ -85,13 +86,30 @@ def sketches(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> _U(48)).astype(np.uint16)
 
 
-def runs_for(recall: float, similarity: float) -> int:
-    """Runs after which a pair at the threshold has met in a child with probability ``recall``.
+def missed(similarity: float, levels: int) -> float:
+    """Chance that a pair at the threshold does not stay together for ``levels`` levels of one run.
 
     Reckoned with the share of equal tokens three deviations below the similarity.
     """
+    equal = TOKENS * similarity - 3 * math.sqrt(TOKENS * similarity * (1 - similarity))
+    together = 1.0
+    for _ in range(levels):
+        together = 1 - (1 - together / (similarity * TOKENS)) ** equal
+    return 1 - together
+
+
+def runs_for(recall: float, similarity: float, splits: int = 0) -> int:
+    """Runs after which a pair at the threshold has met in a bucket that is compared with probability ``recall``.
+
+    Of a pair that meets in buckets split up to ``splits`` times only: the
+    chance to have met in none of the first runs is taken off first.
+    """
     low = similarity - 3 * math.sqrt(similarity * (1 - similarity) / TOKENS)
-    return math.ceil(math.log(1 / (1 - recall)) * similarity / low)
+    runs = math.ceil(math.log(1 / (1 - recall)) * similarity / low)
+    if splits:
+        left = (1 - recall) - missed(similarity, 1) ** runs
+        runs = max(runs, math.ceil(math.log(left) / math.log(missed(similarity, splits + 1))))
+    return runs
 
 
 def children(paths: np.ndarray, tokens: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -242,7 +260,8 @@ def join_documents(docs: DataFrame, words: int = WORDS, similarity: float = SIMI
     reachable by links; ``first`` marks the row that stands for its group (of
     rows equal in id and text all are marked). Links are exact: a pair is
     reported only after comparing the whole texts, and one at the threshold
-    is missed with probability 1 - ``recall`` at most (see ``runs_for``).
+    is missed with probability 1 - ``recall`` at most, whatever the sizes of its
+    buckets (see ``runs_for``).
 
     Words are runs of bytes other than space and tab to carriage return. A
     text of fewer words than an n-gram is one n-gram; a null, empty or blank
@@ -253,8 +272,9 @@ def join_documents(docs: DataFrame, words: int = WORDS, similarity: float = SIMI
     Equal sets are joined as one with their number. A bucket too large to
     compare goes to its children, and is joined to its smallest member: those
     nearly equal to it need not go on, as all their partners are joined to it
-    too. Buckets still too large after ``LEVELS``, and candidate groups of any
-    size, are compared in tiles.
+    too. A pair may lose sight of each other at each split, so the sets that
+    went on get more runs, by the number of splits. Buckets still too large
+    after ``LEVELS``, and candidate groups of any size, are compared in tiles.
     """
     spark = docs.sparkSession
     kind = docs.schema[id].dataType.simpleString()
@@ -299,24 +319,40 @@ def join_documents(docs: DataFrame, words: int = WORDS, similarity: float = SIMI
             yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), b.column("cid").take(pa.array(rows))], names=["path", "cid"])
 
     found: list[DataFrame] = []
-    nodes = classes.select(F.explode("starts").alias("path"), "cid")
-    for level in range(LEVELS + 1):
-        sizes = nodes.groupBy("path").agg(F.count("*").alias("n"), F.min("cid").alias("head")).where("n > 1")
-        met = cut(split_join(nodes, sizes, ["path"]))
-        last = level == LEVELS
-        small = (met if last else met.where(F.col("n") <= BUCKET)).join(classes.select("cid", "sketch"), "cid")
-        small = deal_tiles(small.select("path", "cid", "sketch"), "path", F.col("cid"), BUCKET) if last else small.select(
-            F.col("path").alias("tile"), F.lit(0).cast("byte").alias("side"), "cid", "sketch")
-        small = small.select("tile", "side", "cid", "sketch").repartition("tile").sortWithinPartitions("tile", "side")
-        found.append(cut(small.mapInArrow(_compare(least), "u binary, v binary").distinct()))
-        large = met.where(F.col("n") > BUCKET)
-        if last or large.isEmpty():
-            break
-        heads = large.select("path", "head").distinct().join(classes.select(F.col("cid").alias("head"), F.col("sketch").alias("head_sketch")), "head")
-        large = cut(large.drop("head").join(classes.select("cid", "sketch"), "cid").join(heads, "path").mapInArrow(
-            _beside_head, "path long, cid binary, sketch binary, head binary, equal int"))
-        found.append(large.where(F.col("equal") >= joined).select(F.col("cid").alias("u"), F.col("head").alias("v")).distinct())
-        nodes = large.where(F.col("equal") < inner).select("path", "cid", "sketch").mapInArrow(split, "path long, cid binary")
+
+    def descend(nodes: DataFrame) -> tuple[int, DataFrame | None]:
+        """Add the edges under ``nodes`` to ``found``; the number of splits, and the sets that the first split sent on."""
+        splits, sent = 0, None
+        for level in range(LEVELS + 1):
+            sizes = nodes.groupBy("path").agg(F.count("*").alias("n"), F.min("cid").alias("head")).where("n > 1")
+            met = cut(split_join(nodes, sizes, ["path"]))
+            last = level == LEVELS
+            small = (met if last else met.where(F.col("n") <= BUCKET)).join(classes.select("cid", "sketch"), "cid")
+            small = deal_tiles(small.select("path", "cid", "sketch"), "path", F.col("cid"), BUCKET) if last else small.select(
+                F.col("path").alias("tile"), F.lit(0).cast("byte").alias("side"), "cid", "sketch")
+            small = small.select("tile", "side", "cid", "sketch").repartition("tile").sortWithinPartitions("tile", "side")
+            found.append(cut(small.mapInArrow(_compare(least), "u binary, v binary").distinct()))
+            large = met.where(F.col("n") > BUCKET)
+            if last or large.isEmpty():
+                break
+            heads = large.select("path", "head").distinct().join(classes.select(F.col("cid").alias("head"), F.col("sketch").alias("head_sketch")), "head")
+            large = cut(large.drop("head").join(classes.select("cid", "sketch"), "cid").join(heads, "path").mapInArrow(
+                _beside_head, "path long, cid binary, sketch binary, head binary, equal int"))
+            found.append(large.where(F.col("equal") >= joined).select(F.col("cid").alias("u"), F.col("head").alias("v")).distinct())
+            onward = large.where(F.col("equal") < inner).select("path", "cid", "sketch")
+            if onward.isEmpty():
+                break
+            splits = level + 1
+            sent = onward.select("cid", "sketch").dropDuplicates(["cid"]) if sent is None else sent
+            nodes = onward.mapInArrow(split, "path long, cid binary")
+        return splits, sent
+
+    splits, sent = descend(classes.select(F.explode("starts").alias("path"), "cid"))
+    while (more := runs_for(recall, similarity, splits)) > runs:
+        salts = mix64(np.arange(runs + 1, more + 1, dtype=_U)).view(np.int64).tolist()
+        again = sent.withColumn("path", F.explode(F.array(*[F.lit(x) for x in salts])))
+        deeper, _ = descend(again.mapInArrow(split, "path long, cid binary"))
+        runs, splits = more, max(splits, deeper)
     edges = found[0]
     for f in found[1:]:
         edges = edges.union(f)
