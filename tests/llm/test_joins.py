@@ -119,6 +119,17 @@ def test_jaccard_of_buckets_that_split_and_tile(spark, monkeypatch):
     assert got == brute_jaccard(rows)
 
 
+def test_jaccard_of_null_ids_and_rows_without_a_set(spark):
+    same = "one two three four five six"
+    rows = [(None, same, "s0"), (7, same, "s0"), (9, same, "s1"), (None, None, "s0"), (None, None, "s1"), (None, "", "s0"), (None, "", "s1"),
+            (3, " \t", "s0"), (3, " \t", "s1"), (4, "x y", "s0"), (4, "x y", "s0")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    joined = sorted(((r["doc_id"], r["n_links"], r["class_id"]) for r in jaccard_join.join_documents(df).collect()), key=str)
+    assert joined == sorted([(None, 2, 7), (7, 2, 7), (9, 2, 7), *[(None, 0, None)] * 4, *[(3, 0, 3)] * 2, *[(4, 1, 4)] * 2], key=str)
+    kept = sorted((tuple(r) for r in jaccard_join.one_of_each(df).collect()), key=str)
+    assert kept == sorted([rows[0], *rows[3:9], rows[9]], key=str)
+
+
 def test_jaccard_of_mixed_frequent_passages(spark, monkeypatch):
     """Near copies whose common tokens all lie in buckets that split several times keep the recall asked for."""
     monkeypatch.setattr(jaccard_join, "BUCKET", 4)

@@ -303,7 +303,8 @@ def join_documents(docs: DataFrame, words: int = WORDS, similarity: float = SIMI
     source.mapInArrow(sketch, f"id {kind}, text_key long, cid binary, sketch binary, starts array<long>").write.parquet(path)
     sets = spark.read.parquet(path)
     classes = cut(sets.where("cid is not null").groupBy("cid").agg(
-        F.count("*").alias("m"), F.min("sketch").alias("sketch"), F.min("starts").alias("starts"), F.min(F.struct("id", "text_key")).alias("rep")))
+        F.count("*").alias("m"), F.min("sketch").alias("sketch"), F.min("starts").alias("starts"), F.min(F.struct("id", "text_key")).alias("rep"),
+        F.min("id").alias("low")))
 
     deviation = math.sqrt(similarity * (1 - similarity) / TOKENS)
     least = max(1, math.floor((similarity - 5 * deviation) * TOKENS))
@@ -367,8 +368,8 @@ def join_documents(docs: DataFrame, words: int = WORDS, similarity: float = SIMI
 
     linked = compared.where("v is null").groupBy(F.col("u").alias("cid")).agg(F.sum("m").alias("linked"))
     parts = components(compared.where("v is not null").select("u", "v")).withColumnRenamed("node", "cid")
-    named = classes.select("cid", "m", "rep").join(parts, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    least_id = named.groupBy("component").agg(F.min("rep").alias("head"), F.min("rep.id").alias("class_id"))
+    named = classes.select("cid", "m", "rep", "low").join(parts, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    least_id = named.groupBy("component").agg(F.min("rep").alias("head"), F.min("low").alias("class_id"))
     info = named.join(least_id, "component").join(linked, "cid", "left").select(
         "cid", (F.col("m") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), "class_id", "head")
     # a row without a set, or whose group has no id, stands alone
@@ -397,9 +398,13 @@ def _beside_head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without near-duplicates: of each group the row with the smallest (id, text key) stays."""
+    """``docs`` without near-duplicates: of each group the row with the smallest (id, text key) stays.
+
+    Every row with a null, empty or blank text is its own group, so all of them stay.
+    """
     joined = cut(join_documents(docs, **options))
     keep = joined.where("first").select(F.col("doc_id").alias("_i"), F.col("text_key").alias("_t"))
     again = keep.count() - (unique := keep.distinct()).count()
     kept = docs.join(unique, docs["doc_id"].eqNullSafe(F.col("_i")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("_t"))).select(*docs.columns)
-    return kept.dropDuplicates(["doc_id", "text"]) if again else kept
+    own = F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(0)).otherwise(F.monotonically_increasing_id() + 1)
+    return kept.withColumn("_own", own).dropDuplicates(["doc_id", "text", "_own"]).drop("_own") if again else kept
