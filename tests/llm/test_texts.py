@@ -123,6 +123,19 @@ def test_toxicity_learns_a_word_and_scores_odd_documents(spark, odd_docs, no_doc
     assert toxicity.train(docs, labels.limit(0)).out_bias < 0
 
 
+def test_toxicity_fits_one_row_per_id(spark, monkeypatch):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1]
+    hot = ids[0]
+    rows = [(i, f"text of {i}", "en") for i in ids] + [(hot, f"copy {k % 7}", "fr") for k in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    fitted = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y, lang, weight: fitted.append(([x.tolist() for x in texts], y.tolist(), lang)))
+    for k in (1, -1):
+        toxicity.train(spark.createDataFrame(rows[::k], "doc_id long, text string, lang string"), labels)
+    assert len(fitted[0][0]) == len(ids) and fitted[0] == fitted[1]
+    assert fitted[0][1] == [i % 2 for i in ids]
+
+
 def test_code_lengths_against_a_recursive_tree(spark, odd_docs, no_docs):
     texts, train = ["abab", "abba abab", None, "", "ba é", "zzz"], [True, True, True, False, False, True]
     df = spark.createDataFrame(list(zip(range(6), texts, train)), "doc_id long, text string, t boolean")
