@@ -85,3 +85,55 @@ kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t, count(*) AS n FROM w
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
 """
+
+HARD_NEGATIVES = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS z
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.z, b.z)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r
+), pos AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS nth FROM pairs WHERE same QUALIFY nth <= 5
+), neg AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.r, p.nth ORDER BY n.score DESC, n.vec_id)::INT AS rank
+  FROM pos p JOIN pairs n ON p.r = n.r AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3
+"""
+
+RESAMPLED = """
+WITH table_rows AS (
+  SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS crc
+  FROM (SELECT unnest(range(256))::BIGINT AS n)
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM benchmark
+), f AS (SELECT r, unnest(ws) AS w FROM d),
+words AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM f UNION SELECT w FROM b)),
+hashed AS (
+  SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(h), 2), lambda i: ('0x' || h[i:i+1])::BIGINT)),
+    lambda c, x: xor(crc[(xor(c, x) & 255) + 1], c >> 8))) % 10000 AS bucket FROM words, table_rows
+), s AS (SELECT bucket, count(*) AS s FROM f JOIN hashed USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM b JOIN hashed USING (w) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM f) + 10000)::DOUBLE
+    / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM b) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM (SELECT DISTINCT bucket FROM hashed) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)
+), sums AS (SELECT r, count(*) AS n, sum(gain)::BIGINT AS gain FROM f JOIN hashed USING (w) JOIN gains USING (bucket) GROUP BY r),
+weights AS (
+  SELECT d.r, doc_id, coalesce(n, 0) AS n_features, CASE WHEN n > 0 THEN floor(gain::DOUBLE / n)::BIGINT ELSE 0 END AS weight,
+         ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+  FROM d LEFT JOIN sums USING (r)
+), scored AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM weights),
+ranked AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS rank FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score,
+       CASE WHEN rank <= (SELECT 10 * count(*) // 100 FROM ranked) THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (r)
+"""

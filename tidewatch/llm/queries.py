@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, ctw, embed_join, jaccard_join, maxscore, mixing, oracles as sql, pii, sharding, substring, toxicity
+from tidewatch.llm import (
+    bpe, ctw, edits, embed_join, hard_negatives, jaccard_join, maxscore, mixing, oracles as sql, pii, resampling, sharding, substring, toxicity,
+)
 from tidewatch.session import table_path
 
 
@@ -71,10 +73,26 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_table(spark, sf_dir, "documents"))
 
 
+def op11_consistent_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = edits.edited_fingerprints(_table(spark, sf_dir, "documents"))
+    text = lambda c: F.lower(F.hex(c)).alias(c)
+    return prints.select("doc_id", "n_chars", "edited_sha256", text("fingerprint"), text("edited_fingerprint"), "near_edited", "near_next")
+
+
+def op12_residue_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), n=1)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_vector_range_join, op2_chosen_path_join, op3_label_propagation_shards, op4_maxscore_top_k, op5_toxicity, op6_pii,
-        op7_mixed_sources, op8_repeated_passages, op9_context_tree_weighting, op10_bpe,
+        op7_mixed_sources, op8_repeated_passages, op9_context_tree_weighting, op10_bpe, op11_consistent_weighted_sampling,
+        op12_residue_hard_negatives, op13_importance_resampling,
     )}
 
 
@@ -85,4 +103,6 @@ def oracles() -> dict[str, str]:
         "op4_maxscore_top_k": sql.TOP_PRODUCTS,
         "op7_mixed_sources": sql.MIX,
         "op8_repeated_passages": sql.REPEATS,
+        "op12_residue_hard_negatives": sql.HARD_NEGATIVES,
+        "op13_importance_resampling": sql.RESAMPLED,
     }
