@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.llm.text import Words, buffers, slices
 from tidewatch.session import scratch_path
@@ -104,7 +105,7 @@ def _cross(docs: DataFrame, n: int, buckets: int) -> DataFrame:
                 _, of, crc = _features(data, offsets, n, buckets, True)
                 yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, _packed(of, crc, j - i)], names=[*b.schema.names, "cross"])
 
-    return docs.mapInArrow(run, docs.schema.add("cross", "binary"))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("cross", T.BinaryType())]))
 
 
 def line_features(texts: DataFrame, n: int, buckets: int) -> DataFrame:
