@@ -1,8 +1,8 @@
 """Online drift detectors as small step objects.
 
 Each detector consumes one value at a time: ``step(x) -> (warning, change)``.
-After a change it restarts at the next value (ADWIN and SEED shrink their
-window instead). The arithmetic follows the published methods and is the
+After a change it restarts at the next value (``restarts``; ADWIN and SEED
+shrink their window instead). The arithmetic follows the published methods and is the
 specification the SQL oracles reproduce operation by operation, so keep the
 evaluation order of every expression as written.
 
@@ -49,6 +49,7 @@ class _Stateful:
 
 
 class Cusum(_Stateful):
+    restarts = True
     __slots__ = ("o", "n", "mean", "s")
     STATE = ("n", "mean", "s")
 
@@ -70,6 +71,7 @@ class Cusum(_Stateful):
 
 
 class PageHinkley(_Stateful):
+    restarts = True
     __slots__ = ("o", "n", "mean", "s")
     STATE = ("n", "mean", "s")
 
@@ -91,6 +93,7 @@ class PageHinkley(_Stateful):
 
 
 class Gma(_Stateful):
+    restarts = True
     __slots__ = ("o", "oma", "n", "mean", "s")
     STATE = ("n", "mean", "s")
 
@@ -113,6 +116,7 @@ class Gma(_Stateful):
 
 
 class Ddm(_Stateful):
+    restarts = True
     __slots__ = ("o", "n", "p", "pmin", "smin", "psmin")
     STATE = ("n", "p", "pmin", "smin", "psmin")
 
@@ -142,6 +146,7 @@ class Ddm(_Stateful):
 class Eddm(_Stateful):
     """Distances between events (x = 1): ratio of mean + 2 sd to its maximum."""
 
+    restarts = True
     __slots__ = ("o", "n", "last", "k", "mean", "m2", "m2smax")
     STATE = ("n", "last", "k", "mean", "m2", "m2smax")
 
@@ -177,6 +182,7 @@ class Eddm(_Stateful):
 
 
 class Ewma(_Stateful):
+    restarts = True
     __slots__ = ("o", "c1", "oml", "n", "sum", "z")
     STATE = ("n", "sum", "z")
 
@@ -209,6 +215,7 @@ class Ewma(_Stateful):
 class HddmA(_Stateful):
     """Hoeffding bound on the mean before the best cut point vs the whole."""
 
+    restarts = True
     __slots__ = ("o", "ln_d", "ln_w", "N", "S", "cn", "cs", "mn", "ms")
     STATE = ("N", "S", "cn", "cs", "mn", "ms")
 
@@ -267,6 +274,7 @@ class _Ewm:
 class HddmW:
     """Weighted (EWMA) variant: best cut of the total EWMA, second EWMA after it."""
 
+    restarts = True
     __slots__ = ("o", "oml", "lam2", "oml2", "h_d", "h_w", "tot", "inc_set", "inc_z", "inc_ibc", "inc2",
                  "dec_set", "dec_z", "dec_ibc", "dec2")
 
