@@ -38,13 +38,3 @@ def test_univariate_flags(spark):
               "--options", json.dumps({"lam": 5.0})], spark)
     assert spark.read.parquet(f"{root}/out/state_table").count() > 0
 
-
-def test_hot_rows_flag_same_states(spark):
-    root = scratch_path(spark, "t-cli3")
-    request_log_lines(I.events(spark, "/root/testdata/sf0.01")).write.text(f"{root}/lines")
-    base = ["table", "--lines", f"{root}/lines", "--detector", "CUSUM", "--options", json.dumps({"lam": 5.0})]
-    cli.main(base + ["--out", f"{root}/a"], spark)
-    cli.main(base + ["--out", f"{root}/b", "--hot-rows", "0"], spark)
-    a = {tuple(r) for r in spark.read.parquet(f"{root}/a/states").collect()}
-    b = {tuple(r) for r in spark.read.parquet(f"{root}/b/states").collect()}
-    assert a == b and any(r[7] == 0.9 for r in a)

@@ -36,7 +36,7 @@ def test_split_equals_vector_state(spark, combine, thr):
     q.awaitTermination()
     assert q.exception() is None
     q2 = job.start(spark, f"{root}/landing", f"{root}/vec", f"{root}/ck2",
-                   detector=vector_factory(*PH, combine=combine, threshold=thr), vector=True, max_files_per_trigger=4)
+                   detector=vector_factory(*PH, combine=combine, threshold=thr), max_files_per_trigger=4)
     q2.awaitTermination()
     got, exp = _states(spark, f"{root}/split"), _states(spark, f"{root}/vec")
     assert got == exp and len(got) > 0
@@ -59,7 +59,7 @@ def test_empty_requests_spend_the_warm_up(spark):
     q.awaitTermination()
     assert q.exception() is None
     q2 = job.start(spark, f"{root}/landing", f"{root}/vec", f"{root}/ck2",
-                   detector=vector_factory(*eager, combine="any"), vector=True, max_files_per_trigger=1)
+                   detector=vector_factory(*eager, combine="any"), max_files_per_trigger=1)
     q2.awaitTermination()
     got, exp = _states(spark, f"{root}/split"), _states(spark, f"{root}/vec")
     first, second = sorted({b for _, b in got})[:2]

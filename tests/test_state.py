@@ -6,6 +6,7 @@ import sys
 from pyspark import cloudpickle
 
 from tidewatch.operators.state import snapshot_all_keys
+from tidewatch.plans.inputs import identity_cells
 from tidewatch.plans.queries import request_states
 
 sys.path.insert(0, __file__.rsplit("/", 1)[0])
@@ -24,7 +25,7 @@ def req(key, batch, minute, rows, axon="ax-1", model="m"):
 
 def states(spark, reqs, detector=scripted.Scripted, poll="request_end"):
     df = spark.createDataFrame(reqs, SCHEMA)
-    out = request_states(df, detector=detector, signal=lambda x, ts: x, poll=poll)
+    out = request_states(df, detector=detector, signal=identity_cells, poll=poll)
     return {(r.model_id, r.batch_id): r for r in out.collect()}
 
 
@@ -63,7 +64,7 @@ def test_poll_at_request_end(spark):
 def test_idle_key_is_republished(spark):
     df = spark.createDataFrame([req("a", 1, 0, [0]), req("a", 2, 0, [2]), req("a", 3, 0, [0]),
                                 req("b", 1, 0, [0]), req("b", 3, 0, [0])], SCHEMA)
-    st = request_states(df, detector=scripted.Scripted, signal=lambda x, ts: x)
+    st = request_states(df, detector=scripted.Scripted, signal=identity_cells)
     snap = snapshot_all_keys(st.select("model_id", "batch_id", "axon", "drift_probability"))
     got = {(r.model_id, r.batch_id): (r.drift_probability, r.idle) for r in snap.collect()}
     assert got[("b", 2)] == (0.0, True) and got[("a", 3)] == (0.9, False)

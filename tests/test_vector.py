@@ -79,7 +79,7 @@ def test_vector_stream_equals_table(spark):
     root = scratch_path(spark, "t-vector")
     job.write_landing(request_log_lines(I.events(spark, SF), keep_ids=True), f"{root}/landing")
     q = job.start(spark, f"{root}/landing", f"{root}/out", f"{root}/ckpt",
-                  detector=vector_factory(*PH, combine="any"), vector=True)
+                  detector=vector_factory(*PH, combine="any"))
     q.awaitTermination()
     assert q.exception() is None
     got = {(r.model_id, r.batch_id): (r.warning_detected, r.change_detected, r.drift_probability)

@@ -4,7 +4,7 @@
     python -m tidewatch.cli stream --landing <dir> --out <dir> --checkpoint <dir> [--trigger-seconds 30]
 
 Detector flags: ``--detector CUSUM --options '{"lam": 20}'`` for a
-univariate detector on the first feature, or ``--job-conf conf.json`` with a
+univariate detector on every feature (any feature's alarm counts), or ``--job-conf conf.json`` with a
 job configuration in the reference vocabulary (vector detectors, ensembles).
 Outputs of ``table``: ``states/`` (per model and batch), ``state_table/``,
 ``metrics/`` and ``rejects/`` (parquet, overwritten). ``stream`` writes the
@@ -16,13 +16,15 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from functools import partial
 
 from pyspark.sql import functions as F
 
 from tidewatch.config import LogFormat
 from tidewatch.functions.parse import reject_lines
-from tidewatch.operators.keyed import fold_batch_states
+from tidewatch.operators.detectors import make_detector
 from tidewatch.plans import inputs as I
+from tidewatch.plans.queries import request_states
 from tidewatch.registry import detector_from_conf
 from tidewatch.streaming.push import http_sender
 from tidewatch.session import get_session
@@ -34,9 +36,8 @@ from tidewatch.streaming.stateful import detector_factory
 def _detector(args):
     if args.job_conf:
         with open(args.job_conf) as fh:
-            factory, vector = detector_from_conf(json.load(fh))
-        return factory, vector
-    return detector_factory((args.detector, json.loads(args.options or "{}"))), False
+            return detector_from_conf(json.load(fh))[0]
+    return detector_factory((args.detector, json.loads(args.options or "{}")))
 
 
 def _format(args) -> LogFormat:
@@ -49,15 +50,8 @@ def run_table(spark, args) -> None:
     reader = spark.read.format(args.format)
     lines = reader.load(args.lines).select(F.col(args.value_col).cast("string").alias("value"))
     reqs = I.requests_of(lines, fmt)
-    if not args.job_conf:          # univariate detector: hot models may take the parallel latch rounds
-        from tidewatch.plans.queries import request_states
-        detector = (args.detector, json.loads(args.options or "{}"))
-        hot_keys = args.hot_keys.split(",") if args.hot_keys else None
-        states = request_states(reqs, detector=detector, signal=lambda x, ts: x, hot_keys=hot_keys,
-                                hot_rows=args.hot_rows)
-    else:
-        factory, _ = _detector(args)
-        states = fold_batch_states(I.with_vector_inputs(reqs, I.identity_cells), factory)
+    detector = _detector(args) if args.job_conf else (args.detector, json.loads(args.options or "{}"))
+    states = request_states(reqs, detector=detector, signal=I.identity_cells)
     states = states.checkpoint()                                    # reused by three sinks
     states.write.mode("overwrite").parquet(f"{args.out}/states")
     state_table_rows(states).write.mode("overwrite").parquet(f"{args.out}/state_table")
@@ -78,12 +72,10 @@ def run_stream(spark, args):
         # feature-split state: --detector per feature, combined
         from tidewatch.streaming.split import start_split
         return start_split(spark, args.landing, args.out, args.checkpoint,
-                           detector_factory((args.detector, json.loads(args.options or "{}"))),
+                           partial(make_detector, args.detector, **json.loads(args.options or "{}")),
                            args.combine, args.threshold, signal=I.identity_cells, fmt=_format(args),
                            max_files_per_trigger=args.max_files_per_trigger)
-    factory, vector = _detector(args)
-    q = job.start(spark, args.landing, args.out, args.checkpoint, detector=factory, vector=vector,
-                  signal=I.identity_cells if vector else (lambda x, ts: x),
+    q = job.start(spark, args.landing, args.out, args.checkpoint, detector=_detector(args), signal=I.identity_cells,
                   max_files_per_trigger=args.max_files_per_trigger,
                   available_now=args.trigger_seconds is None,
                   processing_time=f"{args.trigger_seconds} seconds" if args.trigger_seconds else None,
@@ -110,9 +102,6 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--lines", required=True)
             s.add_argument("--format", default="text", choices=["text", "parquet", "json", "orc"])
             s.add_argument("--value-col", default="value")
-            s.add_argument("--hot-rows", type=int, default=None,
-                           help="models above this many rows take the parallel latch rounds")
-            s.add_argument("--hot-keys", default=None, help="comma-separated models known to be hot")
         else:
             s.add_argument("--landing", required=True)
             s.add_argument("--checkpoint", required=True)

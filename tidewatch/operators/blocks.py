@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from tidewatch import config as C
 from tidewatch.operators.fold import fold_alarms
 from tidewatch.operators.ordering import row_index
-from tidewatch.operators.sizes import broadcast_small
 
 
 def block_stats(df: DataFrame, key: str, chunk: str, order: list[str], x: str, block: int) -> DataFrame:
@@ -31,6 +30,7 @@ def block_stats(df: DataFrame, key: str, chunk: str, order: list[str], x: str, b
 class SeqDrift1:
     """Left reservoir (all blocks since the last change) against the newest block."""
 
+    restarts = True        # after a change the state is that of the block alone
     __slots__ = ("o", "qd", "qw", "ln", "ls", "lq")
 
     def __init__(self, o: C.SeqDrift1Options = C.SeqDrift1Options()):
@@ -150,6 +150,10 @@ class BlockRows:
 
     __slots__ = ("inner", "size", "n", "s", "q")
 
+    @property
+    def restarts(self) -> bool:
+        return getattr(self.inner, "restarts", False)
+
     def __init__(self, inner, size: int):
         self.inner, self.size = inner, size
         self.n, self.s, self.q = 0, 0.0, 0.0
@@ -184,80 +188,11 @@ def _make(cls, opts):
     return cls(opts)
 
 
-def block_alarms(df: DataFrame, key: str, chunk: str, order: list[str], x: str, detector: str,
-                 hot_keys=None, **options) -> DataFrame:
-    """``key, rn, warning, change`` (``rn`` = last row of the alarming block).
-
-    ``hot_keys`` (SEQ1): these keys take ``seqdrift1_rounds`` instead of the fold."""
+def block_alarms(df: DataFrame, key: str, chunk: str, order: list[str], x: str, detector: str, **options) -> DataFrame:
+    """``key, rn, warning, change`` (``rn`` = last row of the alarming block)."""
     cls, ocls = {"SEQ1": (SeqDrift1, C.SeqDrift1Options), "SEED": (Seed, C.SeedOptions)}[detector]
     o = ocls(**options)
     # a block is tested when it completes: a trailing partial block waits
     stats = block_stats(df, key, chunk, order, x, o.block).filter(F.col("n") == o.block)
-    if hot_keys is not None and detector == "SEQ1":
-        hot = df.sparkSession.createDataFrame([(k,) for k in hot_keys], f"{key} string")
-        cold = stats.join(broadcast_small(hot), key, "left_anti")
-        par = seqdrift1_rounds(stats.join(broadcast_small(hot), key, "left_semi"), key, o)
-        a = fold_alarms(cold, [key], ["block"], ["n", "sx", "sxx"], partial(_make, cls, o), carry=["end_rn"])
-        return a.select(key, F.col("end_rn").alias("rn"), "warning", "change").unionByName(par)
     a = fold_alarms(stats, [key], ["block"], ["n", "sx", "sxx"], partial(_make, cls, o), carry=["end_rn"])
     return a.select(key, F.col("end_rn").alias("rn"), "warning", "change")
-
-
-def seqdrift1_rounds(stats: DataFrame, key: str, o: C.SeqDrift1Options, max_rounds: int = 16) -> DataFrame:
-    """All SeqDrift1 alarms from block statistics without a per-key fold.
-
-    After a change at block ``r`` (initially the first block) the left
-    reservoir of block ``b > r`` is blocks ``r .. b-1``: a running sum over
-    blocks, chunk-parallel (``ordering.running``; chunks of 1024 blocks). A
-    round tests every later block against its reservoir, emits the warnings
-    before the first change and the change, and restarts there. Keys with
-    changes left after ``max_rounds`` are folded from their last restart.
-    Output: ``key, rn, warning, change`` (``rn`` = last row of the block)."""
-    from tidewatch.operators.ordering import running
-
-    qd, qw = math.log(4.0 / o.delta), math.log(4.0 / o.warn_delta)
-    s = (stats.filter(F.col("n") == o.block).withColumn("_bc", F.floor(F.col("block") / 1024))
-              .select(key, "block", "_bc", F.col("n").cast("double").alias("n"), "sx", "sxx", "end_rn"))
-    s = running(s, key, "_bc", ["block"], sums={"_cn": "n", "_cs": "sx", "_cq": "sxx"}).checkpoint()
-    first = s.groupBy(key).agg(F.min("block").alias("r"))
-    pending = (s.join(first, key).filter(F.col("block") == F.col("r"))
-                .select(key, "r", (F.col("_cn") - F.col("n")).alias("_bn"), (F.col("_cs") - F.col("sx")).alias("_bs"),
-                        (F.col("_cq") - F.col("sxx")).alias("_bq")).checkpoint())
-
-    def bound(q, var, m):
-        return F.lit(2.0) / (F.lit(3.0) * m) * (F.lit(q) + F.sqrt(F.lit(q * q) + F.lit(18.0) * var * m * F.lit(q)))
-
-    outs = []
-    for _ in range(max_rounds):
-        j = s.join(broadcast_small(pending), key).filter(F.col("block") > F.col("r"))
-        ln = F.col("_cn") - F.col("n") - F.col("_bn")          # reservoir: blocks r .. b-1
-        ls = F.col("_cs") - F.col("sx") - F.col("_bs")
-        lq = F.col("_cq") - F.col("sxx") - F.col("_bq")
-        ntot = ln + F.col("n")
-        mu = (ls + F.col("sx")) / ntot
-        var = F.greatest((lq + F.col("sxx")) / ntot - mu * mu, F.lit(0.0))
-        m = F.lit(1.0) / (F.lit(1.0) / ln + F.lit(1.0) / F.col("n"))
-        diff = F.abs(ls / ln - F.col("sx") / F.col("n"))
-        chg = diff > bound(qd, var, m)
-        f = (j.withColumn("chg", chg).withColumn("wrn", ~F.col("chg") & (diff > bound(qw, var, m)))
-              .select(key, "block", "end_rn", "n", "sx", "sxx", "_cn", "_cs", "_cq", "chg", "wrn").checkpoint())
-        a = f.filter("chg").groupBy(key).agg(F.min_by(F.struct("block", "n", "sx", "sxx", "_cn", "_cs", "_cq"),
-                                                      F.col("block")).alias("a"))
-        upto = F.col("a").isNull() | (F.col("block") <= F.col("a.block"))
-        outs.append(f.join(a, key, "left").filter(upto & (F.col("chg") | F.col("wrn")))
-                     .select(key, F.col("end_rn").alias("rn"), F.col("wrn").alias("warning"),
-                             F.col("chg").alias("change")).checkpoint())
-        # the new reservoir starts with the changed block: prefix sums before it
-        pending = a.select(key, F.col("a.block").alias("r"), (F.col("a._cn") - F.col("a.n")).alias("_bn"),
-                           (F.col("a._cs") - F.col("a.sx")).alias("_bs"),
-                           (F.col("a._cq") - F.col("a.sxx")).alias("_bq")).checkpoint()
-        if pending.isEmpty():
-            break
-    if not pending.isEmpty():
-        rest = s.join(broadcast_small(pending.select(key, "r")), key).filter(F.col("block") >= F.col("r"))
-        tail = fold_alarms(rest, [key], ["block"], ["n", "sx", "sxx"], partial(_make, SeqDrift1, o), carry=["end_rn"])
-        outs.append(tail.select(key, F.col("end_rn").alias("rn"), "warning", "change"))
-    out = outs[0]
-    for d in outs[1:]:
-        out = out.unionByName(d)
-    return out

@@ -1,13 +1,13 @@
-"""Ordered stream fold: a detector per stream key over a sorted partition.
+"""Ordered stream fold: a detector per stream key over sorted rows.
 
-The input is hash-partitioned by the stream key and sorted inside each
+Detectors that restart after a change are folded chunk by chunk (``relay``).
+For the others (ADWIN, SEED) the input is hash-partitioned by the stream key and sorted inside each
 partition (one exchange + one sort, both spillable), then folded with
 ``mapInPandas``: rows arrive as Arrow batches in sort order, the detector
 state of the current key lives in a few Python scalars, and only alarms are
 emitted. No group is ever materialised, so a key longer than memory still
-streams. A single key is inherently sequential (the detector is a
-recurrence with restarts); parallelism comes from keys, and from features
-when the detector runs per (key, feature).
+streams. Their parallelism comes from keys, and from features when the
+detector runs per (key, feature).
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.operators.relay import Relay
+
 
 def sorted_streams(df: DataFrame, keys: list[str], order: list[str], num_partitions: int | None = None) -> DataFrame:
     parts = df.repartition(num_partitions, *keys) if num_partitions else df.repartition(*keys)
@@ -37,6 +39,9 @@ def fold_alarms(df: DataFrame, keys: list[str], order: list[str], x: str | list[
     1-based position of the polled row among its key's non-null inputs. With ``req`` the flags are
     polled after the last row of each request (``poll="request_end"``) or
     after any row (``poll="any_row"``); without it every row is a request.
+
+    Detectors that restart after a change run through ``relay`` (chunks of the
+    global order side by side); others, and ``emit_all``, through one task a key.
     """
     if poll not in ("request_end", "any_row"):
         raise ValueError("poll must be 'request_end' or 'any_row'")
@@ -45,6 +50,10 @@ def fold_alarms(df: DataFrame, keys: list[str], order: list[str], x: str | list[
         carry = [req] + carry
     xcols = [x] if isinstance(x, str) else list(x)
     multi = len(xcols) > 1
+    if not emit_all and getattr(detector(), "restarts", False):
+        xs = F.array(*[F.col(c).cast("double") for c in xcols]) if multi else F.col(x if isinstance(x, str) else xcols[0])
+        run = Relay(df.withColumn("_xs", xs), keys, order, "_xs", detector, req=req, carry=carry, any_row=poll == "any_row")
+        return run.alarms().select(*keys, "rn", *carry, "warning", "change")
     cols = list(dict.fromkeys(keys + order + xcols + carry))
     src = sorted_streams(df.select(*cols), keys, order)
     in_fields = {f.name: f for f in src.schema.fields}

@@ -42,6 +42,10 @@ class KeyState:
     def dump(self) -> tuple:
         return (self.first, self.warn, self.chg, self.has_det, self.det.dump())
 
+    def fits(self, xs) -> bool:
+        """Whether a request's rows have the model's dimension; others are refused."""
+        return not hasattr(self.det, "fits") or xs is None or self.det.fits(xs)
+
     def request(self, xs) -> tuple[bool, bool]:
         """Fit one request's rows; flags polled after its last row. A row is a
         number (univariate detector) or an array (``vector.VectorDetector``)."""
@@ -94,6 +98,8 @@ def fold_batch_states(requests: DataFrame, detector: Callable[[], object], key:
             models, axons, xss = pdf["model"].tolist(), pdf["axon"].tolist(), pdf["xs"].tolist()
             for i in range(len(keys)):
                 k, b = keys[i], bids[i]
+                if k == cur_key and not st.fits(xss[i]):
+                    continue                  # another dimension: neither fitted nor counted
                 if k != cur_key or b != cur_batch:
                     if st is not None:
                         out.append((cur_key, cur_batch, *head, n, *st.close_batch(cur_batch, w_b, c_b)))

@@ -187,6 +187,11 @@ class KlKmeansRows:
         self.prev, self.cur = self.cur, []
         return hit, hit
 
+    def fits(self, rows) -> bool:
+        """Whether all non-empty rows have the dimension of the windows so far."""
+        sizes = {len(r) for r in rows if len(r)} | {len(r) for r in (self.prev + self.cur)[:1]}
+        return len(sizes) <= 1
+
     def end_request(self):
         self.req += 1
 

@@ -85,9 +85,9 @@ class Segment:
         """All features run as the speculation does from here on."""
         return self.joins is not None and bool(self.dets) and not self.active and self.open is None
 
-    def _step(self, f: int, x: float) -> tuple[bool, bool, bool]:
+    def _step(self, f: int, x) -> tuple[bool, bool, bool]:
         """(warning, change, whether the run joins the speculation here)."""
-        w, c = self.dets[f].step(x)
+        w, c = self.dets[f].step(*x) if isinstance(x, list) else self.dets[f].step(x)
         if not c:
             return w, c, False
         if self.joins is not None:
@@ -96,8 +96,8 @@ class Segment:
             self.restarts[f].append(self.steps)
         return w, c, False
 
-    def value(self, i: int, x: float, req, out: list) -> None:
-        """One value; with ``req`` the flags are polled at the end of its request."""
+    def value(self, i: int, x, req, out: list) -> None:
+        """One value (a number, or a list of arguments of the detector); with ``req`` the flags are polled at the end of its request."""
         if x != x:                       # null and NaN carry no information: skipped, not counted
             return
         if not self.dets:
@@ -197,25 +197,23 @@ def _floats(column: pa.Array) -> list:
     return column.cast(pa.float64()).to_numpy(zero_copy_only=False).tolist()
 
 
-def _vectors(column: pa.Array) -> list:
-    """array<array<double>> as lists of lists; null arrays are empty."""
-    rows = column.flatten()
-    cells = rows.flatten()
-    flat = cells.to_pylist() if cells.null_count else cells.to_numpy().tolist()
-
-    def parts(c: pa.Array, of: list) -> list:
-        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(c), 0).to_numpy())]).tolist()
-        return [of[a:b] for a, b in zip(ends[:-1], ends[1:])]
-
-    return parts(column, parts(rows, flat))
+def _lists(column: pa.Array) -> list:
+    """Arrays of numbers, or of such arrays, as lists; null arrays are empty."""
+    inner = column.flatten()
+    if pa.types.is_list(inner.type) or pa.types.is_large_list(inner.type):
+        of = _lists(inner)
+    else:
+        of = inner.to_pylist() if inner.null_count else inner.to_numpy().tolist()
+    ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())]).tolist()
+    return [of[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
 class Fold:
     """What the tasks do: sorted Arrow batches into segments, and segments' results into tagged rows."""
 
-    def __init__(self, keys: list[str], kept: list[str], detector: Callable[[], object], nested: bool, req: str | None, any_row: bool,
+    def __init__(self, keys: list[str], kept: list[str], detector: Callable[[], object], depth: int, req: str | None, any_row: bool,
                  heads_by: str | None, schema: T.StructType):
-        self.keys, self.kept, self.detector, self.nested = keys, kept, detector, nested
+        self.keys, self.kept, self.detector, self.depth = keys, kept, detector, depth
         self.req, self.any_row, self.heads_by, self.schema = req, any_row, heads_by, schema
 
     def _arrow(self, batch: pa.RecordBatch) -> pa.Schema:
@@ -249,7 +247,7 @@ class Fold:
         for i in range(a, b):
             if seg.over():
                 break
-            if not self.nested:
+            if self.depth < 2:
                 seg.value(i, xs[i], reqs and reqs[i], alarms)
             elif not seg.request(i, xs[i], alarms):
                 rejects.append((i, 1))
@@ -276,7 +274,7 @@ class Fold:
                 batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
                 a, seg.open_row = 1, 0
             ks = list(zip(*[batch.column(c).to_pylist() for c in by]))
-            xs = _vectors(batch.column("_x")) if self.nested else _floats(batch.column("_x"))
+            xs = _lists(batch.column("_x")) if self.depth else _floats(batch.column("_x"))
             reqs = batch.column(self.req).to_pylist() if self.req else None
             groups = batch.column(self.heads_by).to_pylist() if self.heads_by else None
             while a < len(ks):
@@ -348,9 +346,10 @@ class Fold:
 class Relay:
     """The three passes over ``df``; ``alarms``, ``heads`` and ``rejects`` give their results.
 
-    ``x``: a column of numbers, or of arrays of rows (array<array<double>>),
-    where each request is one row of ``df`` and a key's first row of numbers
-    fixes its dimension. ``detector``: a factory of detectors that restart
+    ``x``: a column of numbers, of arrays of numbers (the arguments of a
+    detector's step), or of arrays of rows (array<array<double>>), where each
+    request is one row of ``df`` and a key's first row of numbers fixes its
+    dimension. ``detector``: a factory of detectors that restart
     after a change (``restarts``). ``carry``: columns handed through. With
     ``heads`` (a column of the order), the first request of each run of its
     values is reported, with the number of the run's requests in the chunk.
@@ -368,8 +367,10 @@ class Relay:
             own("_kind", T.IntegerType()), own("_pid", T.IntegerType()), own("_first", T.BooleanType()), own("_seq", T.LongType()),
             *[own(c, fields[c]) for c in self.kept], own("_x", fields[x]), own("_feature", T.IntegerType()), own("_n", T.LongType()),
             own("_warning", T.BooleanType()), own("_change", T.BooleanType()), own("_info", T.StringType())])
-        nested = isinstance(fields[x], T.ArrayType)
-        self.fold = Fold(keys, self.kept, detector, nested, req, any_row, heads, self.schema)
+        depth, kind = 0, fields[x]
+        while isinstance(kind, T.ArrayType):
+            depth, kind = depth + 1, kind.elementType
+        self.fold = Fold(keys, self.kept, detector, depth, req, any_row, heads, self.schema)
         # the only exchange of rows: chunks of the global order, of about equal size
         ranged = src.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
         path = scratch_path(self.spark, "relay")

@@ -1,10 +1,10 @@
 """A model's vector detector: one univariate detector per feature.
 
-Detectors are created at the model's first non-empty request, with the
-dimension fixed then; a later row longer than that is not fitted, a
-shorter one updates the leading features only. Each feature keeps the flags
-of its last update, and a request is polled after its last row by combining
-the features:
+Detectors are created at the model's first non-empty row, which fixes the
+dimension; a request with a row of another length is refused as a whole
+(``fits``; a ``dim_mismatch``). Null and NaN cells are skipped. A feature has
+the flags of its last update within a request, and a request is polled after
+its last row by combining the features:
 
 * ``any``       warning / change if any feature's detector has it (OR)
 * ``majority``  change if the share of changed features exceeds ``threshold``;
@@ -47,16 +47,22 @@ class VectorDetector:
             return self.poll()
         if self.dets is None:               # the first non-empty row fixes the dimension
             self._create(len(row))
-        if len(row) <= self.dim:
-            for i, e in enumerate(row):
-                w, c = self.dets[i].step(float(e))
-                self.w[i], self.c[i] = w, c
-                if c:
-                    self.last[i] = self.req
+        for d, e, i in zip(self.dets, row, range(self.dim)):
+            if e is None or e != e:
+                continue
+            self.w[i], self.c[i] = d.step(float(e))
+            if self.c[i]:
+                self.last[i] = self.req
         return self.poll()
 
+    def fits(self, rows) -> bool:
+        """Whether all non-empty rows have the model's dimension (that of the first one, if none is fixed yet)."""
+        sizes = {len(r) for r in rows if len(r)}
+        return len(sizes) <= 1 and (not sizes or not self.dim or sizes == {self.dim})
+
     def end_request(self):
         self.req += 1
+        self.w, self.c = [False] * self.dim, [False] * self.dim
 
     def poll(self) -> tuple[bool, bool]:
         if not self.dim:
@@ -96,6 +102,12 @@ class VectorDetector:
             k += 1 + n
 
 
+def any_feature(detector: Callable[[], object]):
+    """Picklable factory of a vector detector that alarms when any feature's ``detector()`` does."""
+    from functools import partial
+    return partial(VectorDetector, detector, "any")
+
+
 def vector_factory(name: str, options: dict | None = None, combine: str = "any", threshold: float = 0.5):
     """Picklable factory of a validated vector detector over univariate ``name``."""
     from functools import partial

@@ -38,22 +38,6 @@ def requests(spark: SparkSession, sf_dir: str, fmt: LogFormat = LogFormat()) ->
     return requests_of(log_lines(spark, sf_dir, fmt), fmt)
 
 
-def flagship_signal(x, ts):
-    """Detector input of the flagship: first feature / 100 plus the planted
-    shift ``ts >= DRIFT_START``."""
-    d = ts >= F.lit(DRIFT_START).cast("timestamp_ntz")
-    return x / 100 + F.when(d, 1.0).otherwise(0.0)
-
-
-def with_inputs(reqs: DataFrame, signal=None) -> DataFrame:
-    """Requests with their detector inputs ``xs ARRAY<DOUBLE>``: ``signal(first
-    feature, ts)`` for every vector row (empty requests keep an empty array)."""
-    signal = signal or flagship_signal
-    # get(): null-tolerant under ANSI mode; an empty row gives a null input, which is skipped
-    xs = F.transform(F.col("data"), lambda r: signal(F.get(r, 0), F.col("ts")))
-    return reqs.select("model_id", "model", "axon", "insert_id", "ts", "batch_id", xs.alias("xs"))
-
-
 def vector_signal(cell, i, ts):
     """Per-cell input of the vector detectors: cell / 100, plus the planted
     shift on the first feature (``f0 = value/100 + d``, ``f1 = user_id/100``,

@@ -41,16 +41,20 @@ good AS (SELECT *, row_number() OVER (PARTITION BY model_id ORDER BY ts, event_i
 UPTO = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
 
+FEATURES = ["s", f"user_id / {lit(100.0)}", f"k / {lit(100.0)}"]   # the cells of a request, the shift planted in the first
+
+
 def _prob(warn: str, chg: str) -> str:
     return f"CASE WHEN {chg} THEN {lit(0.9)} WHEN {warn} THEN {lit(0.8)} ELSE {D0} END"
 
 
-def _states_sql(rows: str, detector: str, signal: str, opts: dict, meta: bool) -> str:
-    """CTEs fold, ba, grid, st over a row CTE with model_id, rn, batch_id, ts."""
-    fold = detector_fold("fold", "src", ["model_id"], detector, **opts)
+def _states_sql(rows: str, detector: str, signals: list[str], opts: dict, meta: bool) -> str:
+    """CTEs fold, ba, grid, st over a row CTE with model_id, rn, batch_id, ts; a fold per model and signal."""
+    fold = detector_fold("fold", "src", ["model_id", "feature_idx"], detector, **opts)
+    src = " UNION ALL ".join(f"SELECT model_id, {i} AS feature_idx, rn, {x} AS x FROM {rows}" for i, x in enumerate(signals))
     meta_cols = ", arg_min(model, ts) AS model, arg_min(axon, ts) AS axon" if meta else ""
     return f""",
-src AS (SELECT model_id, rn, {signal} AS x FROM {rows}),
+src AS ({src}),
 {fold},
 ba AS (SELECT g.model_id, g.batch_id, bool_or(f.warning) AS warning, bool_or(f.change) AS change
        FROM fold AS f JOIN {rows} AS g ON f.model_id = g.model_id AND f.rn = g.rn
@@ -72,7 +76,7 @@ st AS (SELECT *, {_prob('warning_detected', 'change_detected')} AS drift_probabi
 
 def _flagship(extra: str = "") -> str:
     det, opts = Q.FLAGSHIP
-    return "WITH RECURSIVE " + GOOD.format(extra=extra) + _states_sql("good", det, "s", opts, meta=True)
+    return "WITH RECURSIVE " + GOOD.format(extra=extra) + _states_sql("good", det, FEATURES, opts, meta=True)
 
 
 BATCH_TIME = "strftime(DATE '1970-01-01' + CAST(batch_id AS INTEGER), '%Y-%m-%d') || ' 00:00:00'"
@@ -366,7 +370,7 @@ FROM j"""
     o["state_metadata_first"] = "WITH " + GOOD.format(extra="") + """
 SELECT model_id, batch_id, arg_min(model, ts) AS model, arg_min(axon, ts) AS axon, count(*) AS n_requests
 FROM good GROUP BY model_id, batch_id"""
-    latch = "WITH RECURSIVE " + SIG + _states_sql("sig", "EDDM", "b", {}, meta=False)
+    latch = "WITH RECURSIVE " + SIG + _states_sql("sig", "EDDM", ["b"], {}, meta=False)
     o["state_latch"] = latch + "\nSELECT model_id, batch_id, warning_detected, change_detected FROM st"
     o["score_map"] = latch + "\nSELECT model_id, batch_id, drift_probability FROM st"
 

@@ -22,16 +22,16 @@ from tidewatch.operators import detectors as D
 from tidewatch.operators.fold import alarms_by, fold_alarms
 from tidewatch.operators.state import batch_grid, latch, snapshot_all_keys, split_dims
 from tidewatch.operators.blocks import block_alarms
-from tidewatch.operators.hotkeys import PARALLEL, hot_models, hot_states, parallel_ok, routed_alarms
-from tidewatch.operators.keyed import fold_batch_states
+from tidewatch.operators.keyed import OUTPUT_COLUMNS, fold_batch_states
 from tidewatch.operators.kl import kl_kmeans_windows, kl_vector_windows, kl_windows
 from tidewatch.operators.ordering import row_index, running
+from tidewatch.operators.relay import Relay
+from tidewatch.operators.vector import any_feature
 from tidewatch.operators.windows import cusum_first_alarm, ddm_first_alarm
 from tidewatch.plans import inputs as I
 from tidewatch.plans import reports as R
 from tidewatch.sources.loglines import file_log_lines, request_log_lines, severity_log_rows
 from tidewatch.sources.messages import lines_from
-from tidewatch.operators.sizes import broadcast_small
 
 KEY = "model_id"
 ORDER = ["ts", "event_id"]
@@ -134,44 +134,30 @@ def vector_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- state
 
 
-def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str = "request_end",
-                   hot_keys=None, hot_rows: int | None = None, hot_rounds: int = 8) -> DataFrame:
-    """Table-mode state per (model, batch) of parsed requests: one sorted
-    pass per model folds the detector over the signal, polls at request end,
-    applies warm-up and latch (the same ``KeyState`` as the stream mode).
+def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str = "request_end") -> DataFrame:
+    """Table-mode state per (model, batch) of parsed requests over whole vectors:
+    a detector per feature, any feature's flag polled at request end, warm-up
+    and latch (the states of the stream mode).
 
-    ``detector`` is ``(name, options)`` or a factory returning an object with
-    ``step(x) -> (warning, change)``.
-
-    Hot models (CUSUM, Page-Hinkley, GMA, EWMA, DDM, HDDM_A, EDDM, HDDM_W): ``hot_keys`` (a list or a one-column DataFrame of
-    models known to be large) or ``hot_rows`` (detect models with more rows:
-    the parsed input is checkpointed once and counted) are computed by
-    parallel rounds (``operators.hotkeys``) instead of one task each. Without
-    either the plan is a single pass (one exchange)."""
+    ``detector`` is ``(name, options)`` or a factory of objects with ``step(x)
+    -> (warning, change)``, or of vector detectors. Detectors that restart
+    after a change run in chunks (``operators.relay``), others in one task a
+    model. A model's first row of numbers fixes its dimension; a request with a
+    row of another length is not fitted nor counted (``log_dim_mismatch``).
+    """
     if poll not in ("request_end", "any_row"):
         raise ValueError("poll must be 'request_end' or 'any_row'")
     det = detector if callable(detector) else _det(*detector)
-    inputs = I.with_inputs(reqs, signal)
-    parallel = not callable(detector) and parallel_ok(*detector) and poll == "request_end"
-    if not parallel or (hot_keys is None and hot_rows is None):
-        return fold_batch_states(inputs, det, KEY, any_row=poll == "any_row")
-    spark = reqs.sparkSession
-    if hot_keys is None:
-        inputs = inputs.checkpoint()                        # parse once; both passes read it
-        hot = hot_models(inputs, KEY, hot_rows).checkpoint()  # at most rows / hot_rows models
-    elif isinstance(hot_keys, DataFrame):
-        hot = hot_keys.select(KEY)
-    else:
-        hot = spark.createDataFrame([(k,) for k in hot_keys], f"{KEY} string")
-    if hot.isEmpty():
-        return fold_batch_states(inputs, det, KEY)
-    cold = inputs.join(broadcast_small(hot), KEY, "left_anti")
-    hot_in = inputs.join(broadcast_small(hot), KEY, "left_semi")
-    opts = PARALLEL[detector[0]][0](**detector[1])
-    hot, left = hot_states(hot_in, KEY, detector[0], opts, hot_rounds)
-    rest = inputs.join(broadcast_small(left), KEY, "left_semi")
-    folded = fold_batch_states(cold.unionByName(rest), det, KEY)
-    return folded.unionByName(hot)
+    inputs = I.with_vector_inputs(reqs, signal)
+    if not getattr(det(), "restarts", False):
+        return fold_batch_states(inputs, det if getattr(det(), "vector", False) else any_feature(det), KEY, any_row=poll == "any_row")
+    # parsed once: the range exchange reads its input twice
+    run = Relay(inputs.checkpoint(), [KEY], ["batch_id", "ts", "insert_id"], "xs", det, carry=["model", "axon"],
+                any_row=poll == "any_row", heads="batch_id")
+    first = F.struct("ts", "insert_id")
+    grid = run.heads().groupBy(KEY, "batch_id").agg(F.min_by("model", first).alias("model"), F.min_by("axon", first).alias("axon"),
+                                                    F.sum("n").alias("n_requests"))
+    return latch(grid, alarms_by(run.alarms(), [KEY, "batch_id"]), KEY, "batch_id").select(*OUTPUT_COLUMNS)
 
 
 def state_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,16 +255,11 @@ def score_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- detectors
 
 
-def detector_alarms(spark: SparkSession, sf_dir: str, name: str, hot_keys=None, hot_rows: int | None = None):
-    """All alarms of a registered detector query; hot models (given or
-    counted) take the parallel rounds where the detector has them."""
+def _detector_query(name: str):
     det, signal, opts = DETECTOR_QUERIES[name]
-    return routed_alarms(I.signals(spark, sf_dir), KEY, CHUNK, ORDER, signal, det, opts, hot_keys, hot_rows)
 
-
-def _detector_query(name: str):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return detector_alarms(spark, sf_dir, name)
+        return fold_alarms(I.signals(spark, sf_dir), [KEY], ORDER, signal, _det(det, opts))
     q.__name__ = name
     return q
 

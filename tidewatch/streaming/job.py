@@ -16,7 +16,7 @@ def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
           detector=("CUSUM", dict(min_n=30, delta=0.005, lam=50.0)),
           fmt: LogFormat = LogFormat(), signal=None, max_files_per_trigger: int | None = 100,
           available_now: bool = True, processing_time: str | None = None,
-          publish_all_keys: bool = False, send=None, vector: bool = False,
+          publish_all_keys: bool = False, send=None,
           batch_by: str = "event_day", rocksdb: bool = False, job_conf: dict | None = None,
           source: DataFrame | None = None, source_col: str = "value",
           metric: str = "input_drift_probability", gateway: dict | None = None) -> StreamingQuery:
@@ -27,14 +27,15 @@ def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
     Python worker while they are folded, so size it to keep a hot model's
     share of a micro-batch within a worker. The checkpoint keeps offsets and
     state, so a restart resumes where it stopped.
-    ``vector``: ``detector`` is a vector-detector factory fed whole rows
-    (``operators.vector.vector_factory``). ``batch_by``: ``"event_day"`` (the
+    ``detector``: name and options, or a factory; a univariate detector runs on
+    every feature (``operators.vector``). Requests whose rows have another
+    length than the model's go to ``out_dir/dim_rejects``. ``batch_by``: ``"event_day"`` (the
     day of each request; equals the table mode) or ``"arrival"`` (every
     micro-batch is one batch, stamped with its trigger time).
     """
     if job_conf is not None:                 # the reference job's configuration vocabulary
         from tidewatch.registry import detector_from_conf
-        detector, vector = detector_from_conf(job_conf)
+        detector, _ = detector_from_conf(job_conf)
         if signal is None:
             from tidewatch.plans.inputs import identity_cells
             signal = identity_cells
@@ -44,7 +45,7 @@ def start(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
         spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     lines = _lines(spark, landing, max_files_per_trigger, source, source_col)
-    inputs = request_inputs(lines, fmt, signal, vector)
+    inputs = request_inputs(lines, fmt, signal)
     if batch_by == "arrival":                 # one value per micro-batch
         inputs = inputs.withColumn("batch_id", F.unix_micros(F.current_timestamp()))
     states = keyed_states(inputs, detector_factory(detector))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +34,16 @@ def metric_rows(states: DataFrame, metric: str, gateway: str, namespace: str, po
                          metric_line(F.col("axon"), F.col("drift_probability"), metric).alias("line"))
 
 
+def read_rejects(spark: SparkSession, out_dir: str) -> DataFrame:
+    """``insert_id, reason`` of the lines that ``job.start_rejects`` wrote and of the requests that the state stage refused."""
+    out = spark.read.parquet(f"{out_dir}/rejects").select("insert_id", "reason")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{out_dir}/dim_rejects")
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        out = out.unionByName(spark.read.parquet(f"{out_dir}/dim_rejects").select("insert_id", "reason"))
+    return out
+
+
 def make_batch_writer(out_dir: str, metric: str = "input_drift_probability",
                       gateway: dict | None = None, send: Callable | None = None,
                       publish_all_keys: bool = False, batch_unit: str = "day") -> Callable[[DataFrame, int], None]:
@@ -50,9 +61,16 @@ def make_batch_writer(out_dir: str, metric: str = "input_drift_probability",
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         tag = f"epoch={epoch_id}"
-        # stored once: the stateful stage runs for this write only, all other sinks read it back
-        batch.write.mode("overwrite").parquet(f"{out_dir}/states/{tag}")
-        batch = states = spark.read.schema(batch.schema).parquet(f"{out_dir}/states/{tag}")
+        # the stateful stage runs for the first write only; the other sinks read the stored states back
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        rejects = batch.where(F.col("reject").isNotNull())
+        kept = batch.where(F.col("reject").isNull()).drop("reject")
+        kept.write.mode("overwrite").parquet(f"{out_dir}/states/{tag}")
+        if not rejects.isEmpty():
+            rejects.select("model_id", F.col("reject").alias("insert_id"), F.lit("dim_mismatch").alias("reason")) \
+                .write.mode("overwrite").parquet(f"{out_dir}/dim_rejects/{tag}")
+        batch.unpersist()
+        batch = states = spark.read.schema(kept.schema).parquet(f"{out_dir}/states/{tag}")
         table = batch
         if publish_all_keys:
             states = _merge_latest(spark, batch, out_dir, epoch_id)
