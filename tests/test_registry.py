@@ -10,7 +10,7 @@ from tidewatch.operators.fold import fold_alarms
 from tidewatch.operators.keyed import KeyState, fold_batch_states
 from tidewatch.operators.kl import KlKmeansRows, kl_cells
 from tidewatch.plans import inputs as I
-from tidewatch.plans.queries import BLOCK_QUERIES, CHUNK, KEY, ORDER
+from tidewatch.plans.queries import BLOCK_QUERIES, KEY, ORDER
 from tidewatch.registry import UNIVARIATE_NAMES, detector_from_conf
 from tidewatch.session import scratch_path
 from tidewatch.sources.loglines import request_log_lines
@@ -127,7 +127,7 @@ def test_block_detectors_row_wise_equal_block_plan(spark, name):
     from tidewatch.operators.detectors import make_detector
     det, signal, opts = BLOCK_QUERIES[name]
     sig = I.signals(spark, "/root/testdata/sf0.01")
-    blocks = {(r.model_id, r.rn, r.change) for r in block_alarms(sig, KEY, CHUNK, ORDER, signal, det, **opts).collect()}
+    blocks = {(r.model_id, r.rn, r.change) for r in block_alarms(sig, KEY, ORDER, signal, det, **opts).collect()}
     rows = {(r.model_id, r.rn, r.change) for r in fold_alarms(sig, [KEY], ORDER, signal,
                                                                partial(make_detector, det, **opts)).collect()}
     assert rows == blocks and blocks

@@ -25,12 +25,6 @@ def batch_of(ts: str = "ts") -> Column:
     return F.unix_date(F.to_date(F.col(ts))).cast("bigint")
 
 
-def chunk_of(ts: str = "ts") -> Column:
-    """Hour number of the timestamp: the chunk of the chunk-parallel scans
-    (monotone in time, so chunks follow the row order)."""
-    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / 3_600_000_000).cast("bigint")
-
-
 def props_k(col: str = "props") -> Column:
     return F.get_json_object(F.col(col), "$.k").try_cast("bigint")
 
@@ -42,7 +36,6 @@ def with_signals(events: DataFrame) -> DataFrame:
             .withColumn("model_id", F.col("event_type"))
             .withColumn("axon", F.concat(F.lit("ax-"), (F.col("user_id") % 3).cast("string")))
             .withColumn("batch_id", batch_of())
-            .withColumn("chunk", chunk_of())
             .withColumn("k", props_k())
             .withColumn("d", d)
             .withColumn("s", F.col("value") / 100 + F.when(d, 1.0).otherwise(0.0))

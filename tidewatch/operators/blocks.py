@@ -19,9 +19,9 @@ from tidewatch.operators.fold import fold_alarms
 from tidewatch.operators.ordering import row_index
 
 
-def block_stats(df: DataFrame, key: str, chunk: str, order: list[str], x: str, block: int) -> DataFrame:
+def block_stats(df: DataFrame, key: str, order: list[str], x: str, block: int) -> DataFrame:
     """``key, block, n, sx, sxx, end_rn`` per block of ``block`` consecutive rows."""
-    d = row_index(df.select(key, chunk, *order, x), key, chunk, order)
+    d = row_index(df.select(key, *order, x), key, order)
     d = d.withColumn("block", F.floor((F.col("rn") - 1) / block).cast("bigint"))
     return d.groupBy(key, "block").agg(F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"),
                                        F.sum(F.col(x) * F.col(x)).alias("sxx"), F.max("rn").alias("end_rn"))
@@ -188,11 +188,11 @@ def _make(cls, opts):
     return cls(opts)
 
 
-def block_alarms(df: DataFrame, key: str, chunk: str, order: list[str], x: str, detector: str, **options) -> DataFrame:
+def block_alarms(df: DataFrame, key: str, order: list[str], x: str, detector: str, **options) -> DataFrame:
     """``key, rn, warning, change`` (``rn`` = last row of the alarming block)."""
     cls, ocls = {"SEQ1": (SeqDrift1, C.SeqDrift1Options), "SEED": (Seed, C.SeedOptions)}[detector]
     o = ocls(**options)
     # a block is tested when it completes: a trailing partial block waits
-    stats = block_stats(df, key, chunk, order, x, o.block).filter(F.col("n") == o.block)
+    stats = block_stats(df, key, order, x, o.block).filter(F.col("n") == o.block)
     a = fold_alarms(stats, [key], ["block"], ["n", "sx", "sxx"], partial(_make, cls, o), carry=["end_rn"])
     return a.select(key, F.col("end_rn").alias("rn"), "warning", "change")

@@ -32,10 +32,10 @@ def bin_of(x: Column, o: C.KlOptions) -> Column:
     return F.least(F.greatest(F.floor((x - F.lit(o.lo)) / F.lit(width)), F.lit(0)), F.lit(o.bins - 1))
 
 
-def kl_windows(df: DataFrame, key: str, chunk: str, order: list[str], x: str,
+def kl_windows(df: DataFrame, key: str, order: list[str], x: str,
                o: C.KlOptions = C.KlOptions()) -> DataFrame:
     """``key, win, kl, change`` for every window that has a predecessor."""
-    d = row_index(df.select(key, chunk, *order, x), key, chunk, order)
+    d = row_index(df.select(key, *order, x), key, order)
     d = d.withColumn("win", F.floor((F.col("rn") - 1) / o.window).cast("bigint")).withColumn("_bin", bin_of(F.col(x), o))
     K = o.bins
     counts = d.groupBy(key, "win").agg(
@@ -63,7 +63,7 @@ def _divergence(o: C.KlOptions) -> tuple[Column, Column]:
     return kl, (F.lit(2.0 * o.window) * kl > F.lit(thr)) if thr != float("inf") else F.lit(False)
 
 
-def kl_vector_windows(df: DataFrame, key: str, chunk: str, order: list[str], vec: str, batch: str,
+def kl_vector_windows(df: DataFrame, key: str, order: list[str], vec: str, batch: str,
                       o: C.KlOptions = C.KlOptions()) -> DataFrame:
     """``key, win, batch, n_changed, change`` of every full window of vector rows with a predecessor.
 
@@ -71,7 +71,7 @@ def kl_vector_windows(df: DataFrame, key: str, chunk: str, order: list[str], vec
     feature does. ``batch`` is the one of the window's last row (batches follow
     the row order), where the window fills up and is tested. Rows of a key must
     have one length (``operators.state.split_dims``)."""
-    d = row_index(df.select(key, chunk, *order, batch, vec), key, chunk, order)
+    d = row_index(df.select(*dict.fromkeys([key, *order, batch, vec])), key, order)
     d = d.withColumn("win", F.floor((F.col("rn") - 1) / o.window).cast("bigint"))
     cells = d.select(key, "win", batch, F.posexplode(vec).alias("_f", "_x")).withColumn("_bin", bin_of(F.col("_x"), o))
     K = o.bins
@@ -129,7 +129,7 @@ def kl_cells(ref, cur, k: int, window: int) -> tuple[float, bool]:
     return kl, bool(2.0 * window * kl > chi2_95(K - 1))
 
 
-def kl_kmeans_windows(df: DataFrame, key: str, chunk: str, order: list[str], vector: str,
+def kl_kmeans_windows(df: DataFrame, key: str, order: list[str], vector: str,
                       o: C.KlOptions = C.KlOptions()) -> DataFrame:
     """``key, win, kl, change`` with cells from k-means of the previous window.
 
@@ -138,7 +138,7 @@ def kl_kmeans_windows(df: DataFrame, key: str, chunk: str, order: list[str], vec
     ``2 W`` rows and all window pairs are computed in parallel."""
     import pandas as pd
 
-    d = row_index(df.select(key, chunk, *order, vector), key, chunk, order)
+    d = row_index(df.select(key, *order, vector), key, order)
     d = d.withColumn("win", F.floor((F.col("rn") - 1) / o.window).cast("bigint"))
     sides = F.explode(F.array(F.struct(F.col("win").alias("g"), F.lit(False).alias("ref")),
                               F.struct((F.col("win") + 1).alias("g"), F.lit(True).alias("ref"))))

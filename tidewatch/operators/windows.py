@@ -11,7 +11,7 @@ closed form over running aggregates:
   ``pmin + k*smin``.
 
 Running aggregates are chunk-parallel (``ordering.running``), so one
-long key is spread over its chunks (batches) instead of one task.
+long key is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -23,28 +23,28 @@ from tidewatch import config as C
 from tidewatch.operators.ordering import running
 
 
-def cusum_first_alarm(df: DataFrame, key: str, chunk: str, order: list[str], x: str,
+def cusum_first_alarm(df: DataFrame, key: str, order: list[str], x: str,
                       o: C.CusumOptions = C.CusumOptions()) -> DataFrame:
     """``key, rn`` of the first CUSUM alarm of each key (keys without alarm absent)."""
-    d = running(df.select(key, chunk, *order, x), key, chunk, order, count="rn", sums={"_cx": x})
+    d = running(df.select(key, *order, x), key, order, count="rn", sums={"_cx": x})
     d = d.withColumn("_v", F.col(x) - F.col("_cx") / F.col("rn") - F.lit(o.delta))
-    d = running(d, key, chunk, order, sums={"_p": "_v"}, min_of_sum={"_pm": "_p"})
+    d = running(d, key, order, sums={"_p": "_v"}, min_of_sum={"_pm": "_p"})
     s = F.col("_p") - F.least(F.lit(0.0), F.col("_pm"))
     hits = d.filter((F.col("rn") >= o.min_n) & (s > o.lam))
     return hits.groupBy(key).agg(F.min("rn").alias("rn"))
 
 
-def ddm_first_alarm(df: DataFrame, key: str, chunk: str, order: list[str], x: str,
+def ddm_first_alarm(df: DataFrame, key: str, order: list[str], x: str,
                     o: C.DdmOptions = C.DdmOptions()) -> DataFrame:
     """``key, first_warning_rn, first_change_rn`` of DDM before any restart."""
-    d = running(df.select(key, chunk, *order, x), key, chunk, order, count="rn", sums={"_cx": x})
+    d = running(df.select(key, *order, x), key, order, count="rn", sums={"_cx": x})
     d = (d.withColumn("_p", F.col("_cx") / F.col("rn"))
           .withColumn("_rad", F.col("_p") * (F.lit(1.0) - F.col("_p")) / F.col("rn"))
           .filter((F.col("rn") >= o.min_n) & (F.col("_rad") >= 0))
           .withColumn("_s", F.sqrt("_rad"))
           .withColumn("_ps", F.struct((F.col("_p") + F.col("_s")).alias("ps"), F.col("_p").alias("p"),
                                       F.col("_s").alias("s"))))
-    d = running(d, key, chunk, order, mins={"_m": "_ps"})
+    d = running(d, key, order, mins={"_m": "_ps"})
     ps = F.col("_ps.ps")
     warn = ps > F.col("_m.p") + F.lit(o.warn_level) * F.col("_m.s")
     chg = ps > F.col("_m.p") + F.lit(o.out_level) * F.col("_m.s")

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from tidewatch import config as C
 from tidewatch.functions import metrics as M
 from tidewatch.functions import parse as P
-from tidewatch.functions.signals import chunk_of
 from tidewatch.functions.vectors import explode_vectors, vector_dim
 from tidewatch.operators import detectors as D
 from tidewatch.operators.fold import alarms_by, fold_alarms
@@ -35,7 +34,6 @@ from tidewatch.sources.messages import lines_from
 
 KEY = "model_id"
 ORDER = ["ts", "event_id"]
-CHUNK = "chunk"            # hour of ts: the unit of chunk-parallel scans (monotone in ORDER)
 
 # Detector settings of the registered queries.
 FLAGSHIP = ("CUSUM", dict(min_n=30, delta=0.005, lam=50.0))
@@ -198,10 +196,10 @@ def kl_states(reqs: DataFrame, o: C.KlOptions = C.KlOptions(**KL_QUERIES["kl_10_
     the latch are set operations. A window's alarm belongs to the batch of its
     last row; its warning answers the change flag. Requests with another
     dimension than the model's first are left to ``split_dims``' rejects."""
-    reqs = reqs.withColumn(CHUNK, chunk_of()).checkpoint()   # parsed once; grid, dimensions and windows read it
+    reqs = reqs.checkpoint()                                 # parsed once; grid, dimensions and windows read it
     kept, _ = split_dims(reqs, KEY, ["ts", "insert_id"], "xs")
-    rows = kept.select(KEY, CHUNK, "ts", "insert_id", "batch_id", F.posexplode("xs").alias("row_idx", "vec"))
-    windows = kl_vector_windows(rows, KEY, CHUNK, ["ts", "insert_id", "row_idx"], "vec", "batch_id", o)
+    rows = kept.select(KEY, "ts", "insert_id", "batch_id", F.posexplode("xs").alias("row_idx", "vec"))
+    windows = kl_vector_windows(rows, KEY, ["ts", "insert_id", "row_idx"], "vec", "batch_id", o)
     alarms = windows.filter("change").groupBy(KEY, "batch_id").agg(
         F.bool_or("change").alias("warning"), F.bool_or("change").alias("change"))
     grid = batch_grid(kept, KEY, "batch_id", order=["ts", "insert_id"], meta=["axon"])
@@ -217,7 +215,7 @@ def kl_vector_10_5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of the whole-vector KL detector with the number of changed features."""
     sig = I.signals(spark, sf_dir)
     vec = F.array(F.col("s"), F.col("user_id") / 100.0, F.col("k") / 100.0)
-    return kl_vector_windows(sig.withColumn("vec", vec), KEY, CHUNK, ORDER, "vec", "batch_id",
+    return kl_vector_windows(sig.withColumn("vec", vec), KEY, ORDER, "vec", "batch_id",
                              C.KlOptions(**KL_QUERIES["kl_10_5"]))
 
 
@@ -268,7 +266,7 @@ def _block_query(name: str):
     det, signal, opts = BLOCK_QUERIES[name]
 
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return block_alarms(I.signals(spark, sf_dir), KEY, CHUNK, ORDER, signal, det, **opts)
+        return block_alarms(I.signals(spark, sf_dir), KEY, ORDER, signal, det, **opts)
     q.__name__ = name
     return q
 
@@ -277,7 +275,7 @@ def _kl_query(name: str):
     opts = KL_QUERIES[name]
 
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return kl_windows(I.signals(spark, sf_dir), KEY, CHUNK, ORDER, "s", C.KlOptions(**opts))
+        return kl_windows(I.signals(spark, sf_dir), KEY, ORDER, "s", C.KlOptions(**opts))
     q.__name__ = name
     return q
 
@@ -287,7 +285,7 @@ def kl_kmeans_10_5(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``[value/100 + d, user_id/100, k/100]``."""
     sig = I.signals(spark, sf_dir)
     vec = F.array(F.col("s"), F.col("user_id") / 100.0, F.col("k") / 100.0)
-    return kl_kmeans_windows(sig.withColumn("vec", vec), KEY, CHUNK, ORDER, "vec", C.KlOptions(window=10, bins=5))
+    return kl_kmeans_windows(sig.withColumn("vec", vec), KEY, ORDER, "vec", C.KlOptions(window=10, bins=5))
 
 
 def vote_warning_equals_change(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,17 +296,17 @@ def vote_warning_equals_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cusum_first_alarm_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cusum_first_alarm(I.signals(spark, sf_dir), KEY, CHUNK, ORDER, "s",
+    return cusum_first_alarm(I.signals(spark, sf_dir), KEY, ORDER, "s",
                              C.CusumOptions(min_n=30, delta=0.005, lam=50.0))
 
 
 def ddm_first_alarm_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ddm_first_alarm(I.signals(spark, sf_dir), KEY, CHUNK, ORDER, "b")
+    return ddm_first_alarm(I.signals(spark, sf_dir), KEY, ORDER, "b")
 
 
 def _requests_of_rows(sig: DataFrame) -> DataFrame:
     """Group every ROWS_PER_REQUEST consecutive rows of a key into one request."""
-    d = row_index(sig, KEY, CHUNK, ORDER)
+    d = row_index(sig, KEY, ORDER)
     return d.withColumn("req_id", F.floor((F.col("rn") - 1) / ROWS_PER_REQUEST).cast("bigint"))
 
 
@@ -358,20 +356,16 @@ def vote_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return votes.filter(F.col("_share") > VOTE_THRESHOLD).select(KEY, "req_id", F.round("_share", 6).alias("vote"))
 
 
-REQUEST_CHUNK = 1024
-
-
 def vote_logistic_decay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each feature votes ``1/(1+exp(age-5))``, age = requests since its last
     change (no change yet: vote 0); alarm when the mean vote exceeds the
     threshold. One fold emits every (model, feature, request) end flag; the
-    last change so far is a running maximum over request ids, computed per
-    chunk of ``REQUEST_CHUNK`` requests (chunk-parallel)."""
+    last change so far is a running maximum over request ids (chunk-parallel)."""
     # the fold output feeds two branches of the chunked scan: store it once, do not fold twice
     flags = feature_flags(spark, sf_dir, emit_all=True).checkpoint()
     j = (flags.select(KEY, "feature_idx", "req_id", F.when(F.col("change"), F.col("req_id")).alias("_alarm_req"))
-              .withColumn("_chunk", F.floor(F.col("req_id") / REQUEST_CHUNK)))
-    j = running(j, [KEY, "feature_idx"], "_chunk", ["req_id"], maxs={"_last": "_alarm_req"})
+)
+    j = running(j, [KEY, "feature_idx"], ["req_id"], maxs={"_last": "_alarm_req"})
     last = F.col("_last")
     vote = F.when(last.isNull(), F.lit(0.0)).otherwise(1.0 / (1.0 + F.exp((F.col("req_id") - last) - 5.0)))
     per_req = j.select(KEY, "req_id", vote.alias("v")).groupBy(KEY, "req_id").agg(F.avg("v").alias("score"))
