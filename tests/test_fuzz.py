@@ -5,8 +5,9 @@ import random
 
 from tidewatch.config import LogFormat
 from tidewatch.functions import parse as P
+from tidewatch.operators.state import split_dims
 from tidewatch.plans import inputs as I
-from tidewatch.plans.queries import request_states
+from tidewatch.plans.queries import request_run
 
 FMT = LogFormat()
 ODD = [None, "", "x", 1, -1.5, 1e308, True, [], {}, [[]], [[[]]], [1, 2], [["1", None]], [[1, [2]]],
@@ -70,5 +71,7 @@ def test_garbage_lines(spark):
     assert {r.reason for r in parsed} - {None} <= {"null_line", "bad_json", "missing_field", "no_request_marker",
                                                    "not_predict_or_proxy", "bad_vector", "ragged_vector",
                                                    "bad_timestamp"}
-    states = request_states(I.requests_of(df), detector=("CUSUM", dict(min_n=1, lam=0.1))).collect()
-    assert sum(r.n_requests for r in states) == len(good)
+    states, rejects = request_run(I.requests_of(df), detector=("CUSUM", dict(min_n=1, lam=0.1)))
+    refused = split_dims(I.with_vector_inputs(I.requests_of(df)), "model_id", ["batch_id", "ts", "insert_id"], "xs")[1]
+    assert {(r.model_id, r.insert_id) for r in rejects.collect()} == {(r.model_id, r.insert_id) for r in refused.collect()}
+    assert sum(r.n_requests for r in states.collect()) + rejects.count() == len(good) and rejects.count() > 0

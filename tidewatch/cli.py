@@ -24,7 +24,7 @@ from tidewatch.config import LogFormat
 from tidewatch.functions.parse import reject_lines
 from tidewatch.operators.detectors import make_detector
 from tidewatch.plans import inputs as I
-from tidewatch.plans.queries import request_states
+from tidewatch.plans.queries import request_run
 from tidewatch.registry import detector_from_conf
 from tidewatch.streaming.push import http_sender
 from tidewatch.session import get_session
@@ -51,13 +51,14 @@ def run_table(spark, args) -> None:
     lines = reader.load(args.lines).select(F.col(args.value_col).cast("string").alias("value"))
     reqs = I.requests_of(lines, fmt)
     detector = _detector(args) if args.job_conf else (args.detector, json.loads(args.options or "{}"))
-    states = request_states(reqs, detector=detector, signal=I.identity_cells)
+    states, refused = request_run(reqs, detector=detector, signal=I.identity_cells)
     states = states.checkpoint()                                    # reused by three sinks
     states.write.mode("overwrite").parquet(f"{args.out}/states")
     state_table_rows(states).write.mode("overwrite").parquet(f"{args.out}/state_table")
     metric_rows(states, args.metric, args.gateway, args.namespace, args.port) \
         .write.mode("overwrite").parquet(f"{args.out}/metrics")
-    reject_lines(lines, fmt).write.mode("overwrite").parquet(f"{args.out}/rejects")
+    reject_lines(lines, fmt).unionByName(refused.drop("model_id"), allowMissingColumns=True) \
+        .write.mode("overwrite").parquet(f"{args.out}/rejects")
 
 
 def run_stream(spark, args):

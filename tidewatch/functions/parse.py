@@ -15,13 +15,10 @@ from pyspark.sql import types as T
 
 from tidewatch.config import SEVERITY_ORDER, LogFormat
 
-CORRUPT = "_corrupt"
-
 ENVELOPE = T.StructType([
     T.StructField("insertId", T.StringType()),
     T.StructField("timestamp", T.StringType()),
     T.StructField("textPayload", T.StringType()),
-    T.StructField(CORRUPT, T.StringType()),
 ])
 
 NDARRAY_TEXT = T.ArrayType(T.ArrayType(T.StringType()))
@@ -34,13 +31,9 @@ def body_schema(fmt: LogFormat) -> T.StructType:
         T.StructField(fmt.labels_field, T.MapType(T.StringType(), T.StringType())),
         T.StructField("requestBody", T.StructType([
             T.StructField("data", T.StructType([T.StructField("ndarray", T.StringType())]))])),
-        T.StructField(CORRUPT, T.StringType()),
     ])
 
 
-_JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-
-
 def after_marker(text: Column, marker: str) -> Column:
     """Text after the first occurrence of ``marker``; null when absent (split once)."""
     pos = F.locate(marker, text)
@@ -96,19 +89,19 @@ def is_ragged(data: Column) -> Column:
     return F.exists(data, lambda r: F.size(r) != F.size(F.get(data, 0)))
 
 
-def parse_body(body: Column, fmt: LogFormat) -> Column:
-    return F.from_json(unescape(body), body_schema(fmt), _JSON_OPTS)
+def with_object(df: DataFrame, name: str, text: Column, schema: T.StructType) -> DataFrame:
+    """Add ``name``: the text's single JSON object, or null.
 
+    ``from_json`` reads the first value and ignores what follows it. Read as
+    the one element of an array, text with more than that (or less) is no
+    array of one, so a text is decoded once. A field of another type is null.
+    """
+    read = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema), {"mode": "PERMISSIVE"})
+    return df.withColumn("_read", read).withColumn(name, F.when(F.size("_read") == 1, F.get(F.col("_read"), 0))).drop("_read")
 
-def one_value(text: Column) -> Column:
-    """Whether the text is one JSON value and nothing else.
 
-    ``from_json`` reads the first value and ignores what follows it. Inside
-    brackets the rest makes the array invalid. Text with NaN or Infinity,
-    which only ``from_json`` takes, is left to it.
-    """
-    single = F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
-    return single | text.rlike("NaN|Infinity")
+def with_body(df: DataFrame, name: str, body: Column, fmt: LogFormat) -> DataFrame:
+    return with_object(df, name, unescape(body), body_schema(fmt))
 
 
 def _fence(df: DataFrame, cols: list[Column]) -> DataFrame:
@@ -124,39 +117,38 @@ def _fence(df: DataFrame, cols: list[Column]) -> DataFrame:
 def parse_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str = "value") -> DataFrame:
     """Every line with parsed columns and a ``reason`` (null = good request)."""
     v = F.col(value_col)
-    env = F.from_json(v, ENVELOPE, _JSON_OPTS)
-    df = lines.withColumn("_env", env)
+    df = with_object(lines, "_env", v, ENVELOPE)
     raw_body = after_marker(F.col("_env.textPayload"), fmt.request_marker)
-    df = df.withColumn("_raw", raw_body).withColumn("_body", parse_body(F.col("_raw"), fmt))
+    df = with_body(df.withColumn("_raw", raw_body), "_body", F.col("_raw"), fmt)
     labels = F.col("_body").getField(fmt.labels_field)
     app = labels.getItem(fmt.app_label)
     path = F.col("_body").getField(":path")
     nd = F.col("_body.requestBody.data.ndarray")          # raw JSON text of the array
     df = df.withColumn("_rows", ndarray_rows(nd)).withColumn("data", cast_cells(F.col("_rows")))
+    df = df.withColumn("_ts", parse_ts(F.col("_env.timestamp")))
     model_id, model, axon = (labels.getItem(fmt.model_id_label), labels.getItem(fmt.model_label),
                              labels.getItem(fmt.axon_label))
     reason = (F.when(v.isNull(), "null_line")
-              .when(F.col("_env").isNull() | F.col(f"_env.{CORRUPT}").isNotNull() | ~one_value(v), "bad_json")
+              .when(F.col("_env").isNull(), "bad_json")
               .when(F.col("_env.insertId").isNull() | F.col("_env.textPayload").isNull(), "missing_field")
               .when(F.col("_raw").isNull(), "no_request_marker")
-              .when(F.col("_body").isNull() | F.col(f"_body.{CORRUPT}").isNotNull()
-                    | ~one_value(unescape(F.col("_raw"))), "bad_json")
+              .when(F.col("_body").isNull(), "bad_json")
               .when(labels.isNull() | app.isNull() | path.isNull(), "missing_field")
               .when(~((path == fmt.predict_path) & app.endswith(fmt.proxy_suffix)), "not_predict_or_proxy")
               .when(model_id.isNull() | model.isNull() | axon.isNull() | F.col("_env.timestamp").isNull()
                     | nd.isNull(), "missing_field")
               .when(F.col("_rows").isNull() | has_null_cell(F.col("data")), "bad_vector")
               .when(is_ragged(F.col("data")), "ragged_vector")
-              .when(parse_ts(F.col("_env.timestamp")).isNull(), "bad_timestamp"))
+              .when(F.col("_ts").isNull(), "bad_timestamp"))
     return _fence(df, [
         F.col("_env.insertId").alias("insert_id"),
         model_id.alias("model_id"), model.alias("model"), axon.alias("axon"),
-        F.col("_env.timestamp").alias("timestamp"),
+        F.col("_env.timestamp").alias("timestamp"), F.col("_ts").alias("ts"),
         F.col("data"), reason.alias("reason"), v.alias("value")])
 
 
 def parse_requests(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str = "value") -> DataFrame:
-    """Good requests: ``model_id, model, axon, insert_id, timestamp, data``.
+    """Good requests: ``model_id, model, axon, insert_id, timestamp, ts, data``.
 
     A cheap ``contains(marker)`` filter runs first, so lines without a
     request marker never reach the two JSON decodes.
@@ -164,7 +156,7 @@ def parse_requests(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: st
     pre = lines.filter(F.col(value_col).contains(fmt.request_marker))
     parsed = parse_lines(pre, fmt, value_col)
     return (parsed.filter(F.col("reason").isNull())
-            .select("model_id", "model", "axon", "insert_id", "timestamp", "data"))
+            .select("model_id", "model", "axon", "insert_id", "timestamp", "ts", "data"))
 
 
 def reject_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str = "value") -> DataFrame:
@@ -182,12 +174,12 @@ def parse_file_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col:
     proxy check. Lines that fail to decode get a reason instead of failing."""
     v = F.col(value_col)
     raw = after_marker(v, fmt.request_marker)
-    df = lines.filter(v.contains(fmt.request_marker)).withColumn("_body", parse_body(raw, fmt))
+    df = with_body(lines.filter(v.contains(fmt.request_marker)), "_body", raw, fmt)
     nd = F.col("_body.requestBody.data.ndarray")
     df = df.withColumn("_rows", ndarray_rows(nd)).withColumn("data", cast_cells(F.col("_rows")))
     authority = F.col("_body").getField(":authority")
     path = F.col("_body").getField(":path")
-    reason = (F.when(F.col("_body").isNull() | F.col(f"_body.{CORRUPT}").isNotNull() | ~one_value(unescape(raw)), "bad_json")
+    reason = (F.when(F.col("_body").isNull(), "bad_json")
               .when(path.isNull(), "missing_field")
               .when(path != fmt.predict_path, "not_predict")
               .when(authority.isNull() | nd.isNull(), "missing_field")
@@ -199,8 +191,7 @@ def parse_file_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col:
 
 def parse_responses(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str = "value") -> DataFrame:
     """Text after the response marker, else the literal ``{}``; a line without an insert id keeps a null one."""
-    env = F.from_json(F.col(value_col), ENVELOPE, _JSON_OPTS)
-    df = lines.withColumn("_env", env).filter(F.col("_env").isNotNull() & F.col(f"_env.{CORRUPT}").isNull())
+    df = with_object(lines, "_env", F.col(value_col), ENVELOPE).filter(F.col("_env").isNotNull())
     resp = after_marker(F.col("_env.textPayload"), fmt.response_marker)
     return df.select(F.col("_env.insertId").alias("insert_id"), F.coalesce(resp, F.lit("{}")).alias("response"))
 
@@ -208,18 +199,12 @@ def parse_responses(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: s
 def prefilter_predict(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str = "value") -> DataFrame:
     """Lines whose raw (still escaped) request body contains ``"<predict path>"``
     with quotes; an escaped body does not match, as in the log model."""
-    env = F.from_json(F.col(value_col), ENVELOPE, _JSON_OPTS)
-    df = lines.withColumn("_env", env)
+    df = with_object(lines, "_env", F.col(value_col), ENVELOPE)
     raw = after_marker(F.col("_env.textPayload"), fmt.request_marker)
     return (df.filter(raw.isNotNull() & raw.contains(f'"{fmt.predict_path}"'))
             .select(F.col("_env.insertId").alias("insert_id")))
 
 
-def severity_rank(col: Column) -> Column:
-    """0-based rank of a severity name; unknown names rank -1."""
-    return F.array_position(F.array(*[F.lit(s) for s in SEVERITY_ORDER]), col) - 1
-
-
 def severity_filter(rows: DataFrame, cluster: str, min_severity: str = "WARNING",
                     resource_type: str = "k8s_container", fmt: LogFormat = LogFormat()) -> DataFrame:
     """Upstream log filter: resource type, cluster, severity >= min, and a

@@ -29,19 +29,18 @@ def sorted_streams(df: DataFrame, keys: list[str], order: list[str], num_partiti
 
 def fold_alarms(df: DataFrame, keys: list[str], order: list[str], x: str | list[str],
                 detector: Callable[[], object], req: str | None = None,
-                carry: list[str] | None = None, poll: str = "request_end",
-                emit_all: bool = False) -> DataFrame:
+                carry: list[str] | None = None, poll: str = "request_end") -> DataFrame:
     """Run ``detector()`` over each key's values of ``x`` in ``order``.
 
     ``x`` may name several columns; the detector then gets ``step(*values)``.
     Output: ``*keys, rn, *carry, warning, change`` for every polled request
-    whose flags are set (``emit_all``: every polled request). ``rn`` is the
+    whose flags are set. ``rn`` is the
     1-based position of the polled row among its key's non-null inputs. With ``req`` the flags are
     polled after the last row of each request (``poll="request_end"``) or
     after any row (``poll="any_row"``); without it every row is a request.
 
     Detectors that restart after a change run through ``relay`` (chunks of the
-    global order side by side); others, and ``emit_all``, through one task a key.
+    global order side by side), others through one task a key.
     """
     if poll not in ("request_end", "any_row"):
         raise ValueError("poll must be 'request_end' or 'any_row'")
@@ -50,7 +49,7 @@ def fold_alarms(df: DataFrame, keys: list[str], order: list[str], x: str | list[
         carry = [req] + carry
     xcols = [x] if isinstance(x, str) else list(x)
     multi = len(xcols) > 1
-    if not emit_all and getattr(detector(), "restarts", False):
+    if getattr(detector(), "restarts", False):
         xs = F.array(*[F.col(c).cast("double") for c in xcols]) if multi else F.col(x if isinstance(x, str) else xcols[0])
         run = Relay(df.withColumn("_xs", xs), keys, order, "_xs", detector, req=req, carry=carry, any_row=poll == "any_row")
         return run.alarms().select(*keys, "rn", *carry, "warning", "change")
@@ -81,7 +80,7 @@ def fold_alarms(df: DataFrame, keys: list[str], order: list[str], x: str | list[
             for i in range(len(xs)):
                 key = kv[i]
                 if key != cur:
-                    if pending is not None and (emit_all or pending[-1] or pending[-2]):
+                    if pending is not None and (pending[-1] or pending[-2]):
                         out.append(pending)
                     pending = None
                     cur, det, rn = key, detector(), 0
@@ -93,11 +92,11 @@ def fold_alarms(df: DataFrame, keys: list[str], order: list[str], x: str | list[
                 kt = key if nk > 1 else (key,)
                 row = (*kt, rn, *[col[i] for col in cv], w, c)
                 if req is None:
-                    if emit_all or w or c:
+                    if w or c:
                         out.append(row)
                     continue
                 if pending is not None and pending[nk + 1] != rq[i]:
-                    if emit_all or pending[-1] or pending[-2]:
+                    if pending[-1] or pending[-2]:
                         out.append(pending)
                     pending = None
                 if any_row and pending is not None:     # OR the flags of the request's rows
@@ -105,7 +104,7 @@ def fold_alarms(df: DataFrame, keys: list[str], order: list[str], x: str | list[
                 pending = row
             if out:
                 yield pd.DataFrame(out, columns=names)
-        if pending is not None and (emit_all or pending[-1] or pending[-2]):
+        if pending is not None and (pending[-1] or pending[-2]):
             yield pd.DataFrame([pending], columns=names)
 
     return src.mapInPandas(run, out_schema)

@@ -75,7 +75,7 @@ class Segment:
                 d.load(v)
 
     def _create(self, dim: int) -> None:
-        self.dets = [self.detector() for _ in range(dim)]
+        self.dets = [self.detector(f) if getattr(self.detector, "by_feature", False) else self.detector() for f in range(dim)]
         self.active = list(range(dim))
         self.restarts = [[] for _ in range(dim)]
         self.cuts = [None] * dim
@@ -88,7 +88,7 @@ class Segment:
     def _step(self, f: int, x) -> tuple[bool, bool, bool]:
         """(warning, change, whether the run joins the speculation here)."""
         w, c = self.dets[f].step(*x) if isinstance(x, list) else self.dets[f].step(x)
-        if not c:
+        if not c or not getattr(self.dets[f], "restarts", False):     # a window that only shrinks has no common restart
             return w, c, False
         if self.joins is not None:
             return w, c, self.steps in self.joins[f]
@@ -349,8 +349,9 @@ class Relay:
     ``x``: a column of numbers, of arrays of numbers (the arguments of a
     detector's step), or of arrays of rows (array<array<double>>), where each
     request is one row of ``df`` and a key's first row of numbers fixes its
-    dimension. ``detector``: a factory of detectors that restart
-    after a change (``restarts``). ``carry``: columns handed through. With
+    dimension. ``detector``: a factory of detectors, given the
+    feature's index if it says ``by_feature``; only those that restart after a
+    change (``restarts``) can join a speculation. ``carry``: columns handed through. With
     ``heads`` (a column of the order), the first request of each run of its
     values is reported, with the number of the run's requests in the chunk.
     """

@@ -167,38 +167,40 @@ def _adwin_feat_sql() -> str:
             "SELECT DISTINCT model_id, feature_idx, t AS rn, FALSE AS warning, TRUE AS change FROM chk WHERE cut")
 
 
+def _seqdrift1_ctes(src: str, keys: list[str], o: C.SeqDrift1Options) -> str:
+    """CTEs to ``sq`` (keys, rn, warning, change) over a row CTE with keys, rn, x."""
+    kl = ", ".join(keys)
+    return f"""blocks AS (SELECT {kl}, (rn - 1) // {o.block} AS block, count(*) AS n, sum(x) AS sx,
+                  sum(x * x) AS sxx, max(rn) AS end_rn FROM {src} GROUP BY ALL HAVING count(*) = {o.block}),
+bsrc AS (SELECT {kl}, block + 1 AS rn, n, sx, sxx, end_rn FROM blocks),
+{seqdrift1_fold("sqf", "bsrc", keys, o)},
+sq AS (SELECT {", ".join("f." + k for k in keys)}, b.end_rn AS rn, f.warning, f.change FROM sqf AS f JOIN bsrc AS b
+       ON {" AND ".join(f"f.{k} = b.{k}" for k in keys)} AND f.rn = b.rn)"""
+
+
 def _seqdrift1_sql() -> str:
-    det, signal, opts = Q.BLOCK_QUERIES["det_seqdrift1"]
-    o = C.SeqDrift1Options(**opts)
-    fold = seqdrift1_fold("fold", "bsrc", ["model_id"], o)
-    return f"""WITH RECURSIVE {SIG},
-blocks AS (SELECT model_id, (rn - 1) // {o.block} AS block, count(*) AS n, sum({signal}) AS sx,
-                  sum({signal} * {signal}) AS sxx, max(rn) AS end_rn FROM sig GROUP BY ALL HAVING count(*) = {o.block}),
-bsrc AS (SELECT model_id, block + 1 AS rn, n, sx, sxx, end_rn FROM blocks),
-{fold}
-SELECT f.model_id, b.end_rn AS rn, f.warning, f.change FROM fold AS f JOIN bsrc AS b
-  ON f.model_id = b.model_id AND f.rn = b.rn WHERE f.warning OR f.change"""
+    _, signal, opts = Q.BLOCK_QUERIES["det_seqdrift1"]
+    return (f"WITH RECURSIVE {SIG},\nsrc AS (SELECT model_id, rn, {signal} AS x FROM sig),\n"
+            + _seqdrift1_ctes("src", ["model_id"], C.SeqDrift1Options(**opts))
+            + "\nSELECT model_id, rn, warning, change FROM sq WHERE warning OR change")
 
 
-def _seed_sql() -> str:
-    """SEED as a recursion over (blocks taken, window of blocks): add a block, cut while a border
-    qualifies, and merge neighbours after every ``compress`` blocks, one action a step."""
-    _, signal, opts = Q.BLOCK_QUERIES["det_seed"]
-    o = C.SeedOptions(**opts)
-    one, two, three = D1, lit(2.0), lit(3.0)
+def _seed_ctes(src: str, keys: list[str], o: C.SeedOptions) -> str:
+    """CTEs to ``sd`` (keys, rn of a change): SEED as a recursion over (blocks taken, window of blocks): add a
+    block, cut while a border qualifies, and merge neighbours after every ``compress`` blocks, one action a step."""
+    one, two, three, kl = D1, lit(2.0), lit(3.0), ", ".join(keys)
     n0, s0 = "list_sum(list_transform(b[1:j], lambda x: x.n))", "list_sum(list_transform(b[1:j], lambda x: x.s))"
     inv = f"({one} / {n0} + {one} / (nn - {n0}))"
     border = (f"abs({s0} / {n0} - (ss - {s0}) / (nn - {n0})) > sqrt({two} * {inv} * v * dd) + {two} * {inv} / {three} * dd")
     near = (f"abs(b[i + 1].s / b[i + 1].n - b[i + 2].s / b[i + 2].n) < "
             f"{lit(o.eps_prime)} * ({one} + {lit(o.alpha)} * (len(b) - 2 - i))")
-    return f"""WITH RECURSIVE {SIG},
-blk AS (SELECT model_id, (rn - 1) // {o.block} AS k, CAST(count(*) AS DOUBLE) AS n, sum({signal}) AS s, sum({signal} * {signal}) AS q
-        FROM sig GROUP BY ALL HAVING count(*) = {o.block}),
-bls AS (SELECT model_id, list({{'n': n, 's': s, 'q': q}} ORDER BY k) AS bl FROM blk GROUP BY model_id),
+    return f"""blk AS (SELECT {kl}, (rn - 1) // {o.block} AS k, CAST(count(*) AS DOUBLE) AS n, sum(x) AS s, sum(x * x) AS q
+        FROM {src} GROUP BY ALL HAVING count(*) = {o.block}),
+bls AS (SELECT {kl}, list({{'n': n, 's': s, 'q': q}} ORDER BY k) AS bl FROM blk GROUP BY {kl}),
 run AS (
-  SELECT model_id, bl, CAST(1 AS BIGINT) AS t, bl[1:1] AS b, 'cut' AS mode, CAST(0 AS BIGINT) AS i, FALSE AS chg FROM bls
+  SELECT {kl}, bl, CAST(1 AS BIGINT) AS t, bl[1:1] AS b, 'cut' AS mode, CAST(0 AS BIGINT) AS i, FALSE AS chg FROM bls
   UNION ALL
-  SELECT model_id, bl, CASE WHEN mode = 'add' THEN t + 1 ELSE t END,
+  SELECT {kl}, bl, CASE WHEN mode = 'add' THEN t + 1 ELSE t END,
     CASE WHEN mode = 'add' THEN list_append(b, bl[t + 1]) WHEN best IS NOT NULL THEN b[best + 1:]
          WHEN merge THEN list_concat(list_append(b[1:i], {{'n': b[i + 1].n + b[i + 2].n, 's': b[i + 1].s + b[i + 2].s,
                                                             'q': b[i + 1].q + b[i + 2].q}}), b[i + 3:])
@@ -213,8 +215,70 @@ run AS (
       mode = 'merge' AND i < len(b) - 1 AND {near} AS merge
     FROM (SELECT *, greatest(qq / nn - (ss / nn) * (ss / nn), {D0}) AS v, ln({two} * ln(nn) / {lit(o.delta)}) AS dd
       FROM (SELECT *, list_sum(list_transform(b, lambda x: x.n)) AS nn, list_sum(list_transform(b, lambda x: x.s)) AS ss,
-                   list_sum(list_transform(b, lambda x: x.q)) AS qq FROM run WHERE mode <> 'add' OR t < len(bl)) AS r1) AS r2) AS r3)
-SELECT DISTINCT model_id, t * {o.block} AS rn, FALSE AS warning, TRUE AS change FROM run WHERE chg"""
+                   list_sum(list_transform(b, lambda x: x.q)) AS qq FROM run WHERE mode <> 'add' OR t < len(bl)) AS r1) AS r2) AS r3),
+sd AS (SELECT DISTINCT {kl}, t * {o.block} AS rn FROM run WHERE chg)"""
+
+
+def _seed_sql() -> str:
+    _, signal, opts = Q.BLOCK_QUERIES["det_seed"]
+    return (f"WITH RECURSIVE {SIG},\nsrc AS (SELECT model_id, rn, {signal} AS x FROM sig),\n"
+            + _seed_ctes("src", ["model_id"], C.SeedOptions(**opts)) + "\nSELECT model_id, rn, FALSE AS warning, TRUE AS change FROM sd")
+
+
+WIDE = f"""wv AS (SELECT vec_id, 'wide-' || CAST(vec_id % 2 AS VARCHAR) AS model_id, vec_id // 40 AS batch_id, embedding,
+  row_number() OVER (PARTITION BY vec_id % 2 ORDER BY vec_id) AS rn FROM embeddings),
+wc AS (SELECT *, unnest(embedding) AS c, unnest(range(len(embedding))) AS i FROM wv),
+ws AS (SELECT model_id, i FROM (SELECT DISTINCT model_id, i FROM wc)
+       QUALIFY row_number() OVER (PARTITION BY model_id ORDER BY md5(model_id || ':' || CAST(i AS VARCHAR))) <= {Q.SAMPLE}),
+wide AS (SELECT model_id, i AS feature_idx, rn, batch_id,
+  least(greatest({lit(0.25)} + CAST(c AS DOUBLE) + CASE WHEN (vec_id % 400 >= 200 AND i % 2 = 0)
+    OR (vec_id % 400 >= 160 AND vec_id % 400 < 200 AND i = 1) THEN {lit(0.75)} ELSE {D0} END, {D0}), {D1}) AS x
+  FROM wc JOIN ws USING (model_id, i)),
+wn AS (SELECT model_id, CAST(count(DISTINCT i) AS BIGINT) AS n_features FROM ws GROUP BY model_id)"""
+
+
+def _panel_sql() -> str:
+    """All detectors of the panel over the sampled features; a vote a request, latched per batch."""
+    keys = ["model_id", "feature_idx"]
+    ctes, changes = [], []
+    for name, opts in Q.PANEL.items():
+        if name == "ADWIN":
+            ctes.append(_adwin_sql("SELECT model_id, feature_idx, rn, x FROM wide", keys, opts["delta"]))
+            changes.append("SELECT DISTINCT 'ADWIN' AS detector, model_id, feature_idx, t AS rn FROM chk WHERE cut")
+        elif name == "SEED":
+            ctes.append(_seed_ctes("wide", keys, C.SeedOptions(**opts)))
+            changes.append("SELECT 'SEED', model_id, feature_idx, rn FROM sd")
+        elif name == "SEQ1":
+            ctes.append(_seqdrift1_ctes("wide", keys, C.SeqDrift1Options(**opts)))
+            changes.append("SELECT 'SEQ1', model_id, feature_idx, rn FROM sq WHERE change")
+        else:
+            ctes.append(detector_fold(f"f_{name.lower()}", "wide", keys, name, **opts))
+            changes.append(f"SELECT '{name}' AS detector, model_id, feature_idx, rn FROM f_{name.lower()} WHERE change")
+    names = ", ".join(f"'{n}'" for n in Q.PANEL)
+    return f"""WITH RECURSIVE {WIDE},
+{", ".join(ctes)},
+ch AS ({" UNION ALL ".join(changes)}),
+votes AS (SELECT detector, model_id, rn FROM ch JOIN wn USING (model_id) GROUP BY detector, model_id, rn, n_features
+          HAVING count(*) / n_features > {lit(Q.MAJORITY)}),
+ba AS (SELECT DISTINCT detector, model_id, batch_id FROM votes JOIN wv USING (model_id, rn)),
+grid AS (SELECT DISTINCT unnest([{names}]) AS detector, model_id, batch_id FROM wv),
+lt AS (SELECT g.*, min(batch_id) OVER (PARTITION BY detector, model_id) AS fb, ba.batch_id IS NOT NULL AS alarm
+       FROM grid AS g LEFT JOIN ba USING (detector, model_id, batch_id)),
+st AS (SELECT detector, model_id, batch_id, max(CASE WHEN alarm AND batch_id > fb THEN 1 ELSE 0 END)
+         OVER (PARTITION BY detector, model_id ORDER BY batch_id {UPTO}) = 1 AS change_detected FROM lt)
+SELECT *, CASE WHEN change_detected THEN {lit(0.9)} ELSE {D0} END AS drift_probability FROM st"""
+
+
+def _decay_wide_sql() -> str:
+    fold = detector_fold("fold", "wide", ["model_id", "feature_idx"], "CUSUM", **Q.PANEL["CUSUM"])
+    return f"""WITH RECURSIVE {WIDE},
+{fold},
+l AS (SELECT w.model_id, w.feature_idx, w.rn, last_value(CASE WHEN f.change THEN f.rn END IGNORE NULLS)
+        OVER (PARTITION BY w.model_id, w.feature_idx ORDER BY w.rn {UPTO}) AS la
+      FROM wide AS w JOIN fold AS f USING (model_id, feature_idx, rn)),
+v AS (SELECT model_id, rn, avg(CASE WHEN la IS NULL THEN {D0} ELSE {D1} / ({D1} + exp((rn - la) - {lit(5.0)})) END) AS score
+      FROM l GROUP BY model_id, rn)
+SELECT model_id, rn AS req_id, round(score, 6) AS score FROM v WHERE score > {lit(Q.DECAY_THRESHOLD)}"""
 
 
 def _kl_sql(name: str, signal: str = "s") -> str:
@@ -433,6 +497,8 @@ pv AS (SELECT model_id, req_id, avg(CASE WHEN la IS NULL THEN {D0} ELSE {D1} / (
        FROM l GROUP BY model_id, req_id)
 SELECT model_id, req_id, round(score, 6) AS score FROM pv WHERE score > {lit(Q.VOTE_THRESHOLD)}"""
 
+    o["vote_majority_detectors"] = _panel_sql()
+    o["vote_decay_wide"] = _decay_wide_sql()
     o["state_recent_first"] = flag + "\n" + STATE_ROWS
     o["state_retention"] = flag + f""",
 sr AS ({STATE_ROWS})

@@ -23,9 +23,10 @@ from tidewatch.operators.state import batch_grid, latch, snapshot_all_keys, spli
 from tidewatch.operators.blocks import block_alarms
 from tidewatch.operators.keyed import OUTPUT_COLUMNS, fold_batch_states
 from tidewatch.operators.kl import kl_kmeans_windows, kl_vector_windows, kl_windows
-from tidewatch.operators.ordering import row_index, running
+from tidewatch.operators.ordering import row_index
 from tidewatch.operators.relay import Relay
 from tidewatch.operators.vector import any_feature
+from tidewatch.operators.votes import Panel, decay, majority, sampled
 from tidewatch.operators.windows import cusum_first_alarm, ddm_first_alarm
 from tidewatch.plans import inputs as I
 from tidewatch.plans import reports as R
@@ -65,6 +66,16 @@ KL_QUERIES = {
 VOTE_DETECTOR = ("PAGE_HINKLEY", dict(min_n=30, delta=0.005, lam=20.0, alpha=0.9999))
 VOTE_THRESHOLD = 0.01
 ROWS_PER_REQUEST = 3
+N_FEATURES = 3
+SAMPLE = 16               # sampled features of wide vectors
+MAJORITY = 0.3            # above one feature's share of the sample, below that of the features that move together
+DECAY_THRESHOLD = 0.05
+PANEL = {
+    "CUSUM": dict(min_n=20, delta=0.005, lam=3.0), "ADWIN": dict(delta=0.002, exact=True),
+    "GEOMETRIC_MOVING_AVERAGE": dict(min_n=20, lam=0.2, alpha=0.9), "DDM": {}, "EDDM": {}, "EWMA": {},
+    "PAGE_HINKLEY": dict(min_n=20, delta=0.005, lam=3.0, alpha=0.9999), "HDDM_A": dict(two_sided=True), "HDDM_W": dict(two_sided=False),
+    "SEED": dict(delta=0.05, block=32, eps_prime=0.01, alpha=0.8, compress=75), "SEQ1": dict(delta=0.01, warn_delta=0.1, block=100),
+}
 GATEWAY = dict(gateway="pushgateway", namespace="monitoring", port=9091)
 METRIC = "input_drift_probability"
 RETENTION_AXON = "ax-0"
@@ -132,30 +143,39 @@ def vector_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- state
 
 
-def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str = "request_end") -> DataFrame:
-    """Table-mode state per (model, batch) of parsed requests over whole vectors:
-    a detector per feature, any feature's flag polled at request end, warm-up
-    and latch (the states of the stream mode).
+def request_run(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str = "request_end") -> tuple[DataFrame, DataFrame]:
+    """(states, rejects) of parsed requests over whole vectors, in table mode.
+
+    States per (model, batch): a detector per feature, any feature's flag polled
+    at request end, warm-up and latch (the states of the stream mode). Rejects:
+    ``model_id, insert_id, reason`` of the requests with another dimension.
 
     ``detector`` is ``(name, options)`` or a factory of objects with ``step(x)
     -> (warning, change)``, or of vector detectors. Detectors that restart
     after a change run in chunks (``operators.relay``), others in one task a
     model. A model's first row of numbers fixes its dimension; a request with a
-    row of another length is not fitted nor counted (``log_dim_mismatch``).
+    row of another length is not fitted nor counted.
     """
     if poll not in ("request_end", "any_row"):
         raise ValueError("poll must be 'request_end' or 'any_row'")
     det = detector if callable(detector) else _det(*detector)
-    inputs = I.with_vector_inputs(reqs, signal)
+    inputs = I.with_vector_inputs(reqs, signal).checkpoint()    # parsed once: what follows reads it twice
     if not getattr(det(), "restarts", False):
-        return fold_batch_states(inputs, det if getattr(det(), "vector", False) else any_feature(det), KEY, any_row=poll == "any_row")
-    # parsed once: the range exchange reads its input twice
-    run = Relay(inputs.checkpoint(), [KEY], ["batch_id", "ts", "insert_id"], "xs", det, carry=["model", "axon"],
+        kept, rejects = split_dims(inputs, KEY, ["batch_id", "ts", "insert_id"], "xs")
+        vector = det if getattr(det(), "vector", False) else any_feature(det)
+        return fold_batch_states(kept, vector, KEY, any_row=poll == "any_row"), rejects.select(KEY, "insert_id", "reason")
+    run = Relay(inputs, [KEY], ["batch_id", "ts", "insert_id"], "xs", det, carry=["model", "axon"],
                 any_row=poll == "any_row", heads="batch_id")
     first = F.struct("ts", "insert_id")
     grid = run.heads().groupBy(KEY, "batch_id").agg(F.min_by("model", first).alias("model"), F.min_by("axon", first).alias("axon"),
                                                     F.sum("n").alias("n_requests"))
-    return latch(grid, alarms_by(run.alarms(), [KEY, "batch_id"]), KEY, "batch_id").select(*OUTPUT_COLUMNS)
+    states = latch(grid, alarms_by(run.alarms(), [KEY, "batch_id"]), KEY, "batch_id").select(*OUTPUT_COLUMNS)
+    return states, run.rejects().select(KEY, "insert_id", F.lit("dim_mismatch").alias("reason"))
+
+
+def request_states(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str = "request_end") -> DataFrame:
+    """The states of ``request_run``."""
+    return request_run(reqs, detector, signal, poll)[0]
 
 
 def state_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,10 +356,9 @@ def _feature_query(name: str):
     return q
 
 
-def feature_flags(spark: SparkSession, sf_dir: str, emit_all: bool = False) -> DataFrame:
+def feature_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     det, opts = VOTE_DETECTOR
-    return fold_alarms(feature_long(spark, sf_dir), [KEY, "feature_idx"], ORDER, "x", _det(det, opts),
-                       req="req_id", emit_all=emit_all)
+    return fold_alarms(feature_long(spark, sf_dir), [KEY, "feature_idx"], ORDER, "x", _det(det, opts), req="req_id")
 
 
 def vote_any(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,29 +366,47 @@ def vote_any(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vote_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Subsample-majority vote: share of a request's features whose detector
-    changed at the request's end; alarm when the share exceeds the threshold.
-    One fold emits every (model, feature, request) end flag; one groupBy votes."""
-    flags = feature_flags(spark, sf_dir, emit_all=True)
-    share = F.sum(F.col("change").cast("int")) / F.count(F.lit(1))
-    votes = flags.groupBy(KEY, "req_id").agg(share.alias("_share"))
-    return votes.filter(F.col("_share") > VOTE_THRESHOLD).select(KEY, "req_id", F.round("_share", 6).alias("vote"))
+    """Majority vote of the three features: share of those whose detector changed
+    at the request's end; alarm when it exceeds the threshold."""
+    changes = feature_flags(spark, sf_dir).where("change").withColumn("n_features", F.lit(N_FEATURES))
+    return majority(changes, [KEY, "req_id"], "n_features", VOTE_THRESHOLD).select(KEY, "req_id", F.round("vote", 6).alias("vote"))
+
+
+def vote_majority_detectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Majority votes of each of the eleven detectors over sampled features of wide
+    vectors, latched per batch: all detectors on all sampled features in one fold."""
+    reqs = sampled(I.wide_requests(spark, sf_dir), KEY, ["event_id"], "xs", SAMPLE).checkpoint()
+    names = list(PANEL)
+    panel = Panel([_det(n, PANEL[n]) for n in names])
+    n_features = F.size("features").alias("n_features")
+    run = Relay(reqs.select(KEY, "batch_id", "event_id", n_features, panel.spread("xs").alias("xs")), [KEY], ["batch_id", "event_id"], "xs", panel,
+                carry=["n_features"], heads="batch_id")
+    detector = F.get(F.array(*[F.lit(n) for n in names]), F.col("feature") % len(names))
+    changes = run.alarms().where("change").withColumn("stream", F.struct(detector.alias("detector"), F.col(KEY)))
+    votes = majority(changes, ["stream", "batch_id", "rn"], "n_features", MAJORITY)
+    alarms = votes.select("stream", "batch_id", F.lit(True).alias("warning"), F.lit(True).alias("change")).distinct()
+    grid = run.heads().select(KEY, "batch_id").distinct().select("batch_id", F.explode(F.transform(
+        F.array(*[F.lit(n) for n in names]), lambda d: F.struct(d.alias("detector"), F.col(KEY)))).alias("stream"))
+    states = latch(grid, alarms, "stream", "batch_id")
+    return states.select("stream.detector", f"stream.{KEY}", "batch_id", "change_detected", "drift_probability")
+
+
+def vote_decay_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic-decay vote of sampled features of wide vectors (CUSUM per feature), from its changes."""
+    reqs = sampled(I.wide_requests(spark, sf_dir), KEY, ["event_id"], "xs", SAMPLE).checkpoint()
+    run = Relay(reqs, [KEY], ["batch_id", "event_id"], "xs", _det("CUSUM", PANEL["CUSUM"]))
+    sizes = reqs.groupBy(KEY).agg(F.max(F.size("features")).alias("n_features"), F.count("*").alias("last"))
+    votes = decay(run.alarms().where("change"), sizes, KEY, "feature", "rn", DECAY_THRESHOLD)
+    return votes.select(KEY, F.col("rn").alias("req_id"), F.round("score", 6).alias("score"))
 
 
 def vote_logistic_decay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each feature votes ``1/(1+exp(age-5))``, age = requests since its last
-    change (no change yet: vote 0); alarm when the mean vote exceeds the
-    threshold. One fold emits every (model, feature, request) end flag; the
-    last change so far is a running maximum over request ids (chunk-parallel)."""
-    # the fold output feeds two branches of the chunked scan: store it once, do not fold twice
-    flags = feature_flags(spark, sf_dir, emit_all=True).checkpoint()
-    j = (flags.select(KEY, "feature_idx", "req_id", F.when(F.col("change"), F.col("req_id")).alias("_alarm_req"))
-)
-    j = running(j, [KEY, "feature_idx"], ["req_id"], maxs={"_last": "_alarm_req"})
-    last = F.col("_last")
-    vote = F.when(last.isNull(), F.lit(0.0)).otherwise(1.0 / (1.0 + F.exp((F.col("req_id") - last) - 5.0)))
-    per_req = j.select(KEY, "req_id", vote.alias("v")).groupBy(KEY, "req_id").agg(F.avg("v").alias("score"))
-    return per_req.filter(F.col("score") > VOTE_THRESHOLD).select(KEY, "req_id", F.round("score", 6).alias("score"))
+    """Each of the three features votes ``1/(1+exp(age-5))``, age = requests since
+    its last change (none yet: 0); alarm when the mean vote exceeds the threshold."""
+    rows = feature_long(spark, sf_dir)
+    sizes = rows.groupBy(KEY).agg(F.lit(N_FEATURES).alias("n_features"), F.max("req_id").alias("last"))
+    votes = decay(feature_flags(spark, sf_dir).where("change"), sizes, KEY, "feature_idx", "req_id", VOTE_THRESHOLD)
+    return votes.select(KEY, "req_id", F.round("score", 6).alias("score"))
 
 
 # ---------------------------------------------------------------- streaming
@@ -470,6 +507,8 @@ def registry() -> dict:
         "vote_warning_equals_change": vote_warning_equals_change,
         "kl_kmeans_10_5": kl_kmeans_10_5,
         "vote_majority": vote_majority,
+        "vote_majority_detectors": vote_majority_detectors,
+        "vote_decay_wide": vote_decay_wide,
         "vote_logistic_decay": vote_logistic_decay,
         "state_recent_first": state_recent_first,
         "state_retention": state_retention,
