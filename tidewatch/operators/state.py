@@ -30,13 +30,14 @@ def batch_grid(requests: DataFrame, key: str = "model_id", batch: str = "batch_i
 
 
 def split_dims(requests: DataFrame, key: str, order: list[str], data: str) -> tuple[DataFrame, DataFrame]:
-    """(kept, rejected) requests: a key's first non-empty request fixes the dimension,
-    and a request with a row of another length is rejected with reason
-    ``dim_mismatch``. Requests without rows are kept."""
+    """(kept, rejected) requests: a key's first request with numbers fixes the dimension
+    (that of its first row with numbers), and a request with a row of another length is
+    rejected with reason ``dim_mismatch``. Requests without rows, or with empty ones, are kept."""
     o = F.struct(*[F.col(c) for c in order])
-    dims = requests.filter(F.size(data) > 0).groupBy(key).agg(F.min_by(F.size(F.get(F.col(data), 0)), o).alias("_dim"))
+    full = F.filter(data, lambda r: F.size(r) > 0)
+    dims = requests.filter(F.size(full) > 0).groupBy(key).agg(F.min_by(F.size(F.get(full, 0)), o).alias("_dim"))
     marked = requests.join(dims, key, "left").withColumn(
-        "_bad", F.exists(data, lambda r: F.size(r) != F.col("_dim")))
+        "_bad", F.exists(data, lambda r: (F.size(r) > 0) & (F.size(r) != F.col("_dim"))))
     return (marked.filter(~F.col("_bad")).drop("_dim", "_bad"),
             marked.filter("_bad").drop("_dim", "_bad").withColumn("reason", F.lit("dim_mismatch")))
 

@@ -218,7 +218,7 @@ def kl_states(reqs: DataFrame, o: C.KlOptions = C.KlOptions(**KL_QUERIES["kl_10_
     dimension than the model's first are left to ``split_dims``' rejects."""
     reqs = reqs.checkpoint()                                 # parsed once; grid, dimensions and windows read it
     kept, _ = split_dims(reqs, KEY, ["ts", "insert_id"], "xs")
-    rows = kept.select(KEY, "ts", "insert_id", "batch_id", F.posexplode("xs").alias("row_idx", "vec"))
+    rows = kept.select(KEY, "ts", "insert_id", "batch_id", F.posexplode("xs").alias("row_idx", "vec")).filter(F.size("vec") > 0)
     windows = kl_vector_windows(rows, KEY, ["ts", "insert_id", "row_idx"], "vec", "batch_id", o)
     alarms = windows.filter("change").groupBy(KEY, "batch_id").agg(
         F.bool_or("change").alias("warning"), F.bool_or("change").alias("change"))

@@ -62,6 +62,8 @@ def make_batch_writer(out_dir: str, metric: str = "input_drift_probability",
         spark = batch.sparkSession
         tag = f"epoch={epoch_id}"
         # the stateful stage runs for the first write only; the other sinks read the stored states back
+        if "reject" not in batch.columns:
+            batch = batch.withColumn("reject", F.lit(None).cast("string"))
         batch = batch.persist(StorageLevel.DISK_ONLY)
         rejects = batch.where(F.col("reject").isNotNull())
         kept = batch.where(F.col("reject").isNull()).drop("reject")
