@@ -69,15 +69,46 @@ def test_max_score_against_all_products(spark, monkeypatch):
     rows = [(int(i), [int(x) for x in v[i]]) for i in range(200)] + [(500, None), (501, [1, None, 1, 1, 1])]
     df = spark.createDataFrame(rows, "vec_id long, vector array<int>")
     got = collections.defaultdict(list)
-    for r in maxscore.top_k(df, F.col("vec_id") % 20 == 0, 7).collect():
+    for r in maxscore.top_k(df, F.col("vec_id") % 20 == 0, 7, values="vector", scale=1.0).collect():
         got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
     assert set(got) == set(range(0, 200, 20))
     for q, found in got.items():
         order = sorted((-int(v[q] @ v[i]), i) for i in range(200) if i != q)[:7]
         assert sorted(found) == [(k + 1, i, -s) for k, (s, i) in enumerate(order)]
-    few = maxscore.top_k(df.where("vec_id < 3"), F.col("vec_id") == 0, 7)
+    few = maxscore.top_k(df.where("vec_id < 3"), F.col("vec_id") == 0, 7, values="vector", scale=1.0)
     assert few.count() == 2
-    assert maxscore.top_k(df.limit(0), F.col("vec_id") == 0).count() == 0
+    assert maxscore.top_k(df.limit(0), F.col("vec_id") == 0, values="vector").count() == 0
+
+
+def test_top_k_of_repeated_and_large_rows(spark, monkeypatch):
+    """Repeated rows and ids are rows of their own, null ids come last, scores beyond doubles are exact and those beyond a long its ends."""
+    monkeypatch.setattr(maxscore, "SHARD_ROWS", 40)
+    monkeypatch.setattr(maxscore, "TILE_ROWS", 16)
+    monkeypatch.setattr(maxscore, "BLOCK_ROWS", 3)
+    rng = np.random.default_rng(8)
+    rows = [(int(i), rng.normal(size=6).tolist()) for i in range(60)] + [(60, [3.0])]
+    rows += [rows[0], rows[0], (0, rows[1][1]), (None, rows[0][1]), (80, [1e9, -1e9, 3.0, 0.0, 0.0, 1.0]), (81, [1e9 + 1, 1e9, 0.0, 0.0, 0.0, 1.0]),
+             (82, [1e18, 1.0, 0.0, 0.0, 0.0, 0.0]), (100, [1e18, 2.0, 0.0, 0.0, 0.0, 0.0]), (83, None), (84, [1.0, None]), (85, [float("inf")])]
+    df = spark.createDataFrame([(*r, 5) for r in rows], "vec_id long, embedding array<double>, score int")
+    got = sorted(((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in maxscore.top_k(df, F.col("vec_id") % 20 == 0, 4).collect()), key=str)
+    sound = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    want = []
+    for a, (i, v) in enumerate(sound):
+        if i is not None and i % 20 == 0:
+            scored = sorted(((-max(-2**63, min(2**63 - 1, sum(x * y for x, y in zip(v, w)))), j is None, j or 0, j) for b, (j, w) in enumerate(sound) if a != b))
+            want += [(i, n + 1, j, -s) for n, (s, _, _, j) in enumerate(scored[:4])]
+    assert got == sorted(want, key=str) and len({r[0] for r in got}) < len(want) / 4
+
+
+def test_thresholds_spare_rows():
+    """With a threshold the lists of weak terms are not traversed and few rows are probed; nothing at or above it is lost."""
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(4000, 16)) ** 3 * 20) * (rng.random((4000, 16)) < 0.2)
+    query = np.round(rng.normal(size=16) ** 3 * 20)
+    full = x @ query
+    threshold = float(np.sort(full)[-20])
+    rows, score, probed = maxscore.Postings(x, np.abs(query).max()).search(query, threshold)
+    assert sorted(rows) == sorted(np.flatnonzero(full >= threshold)) and (score == full[rows]).all() and probed < 1000
 
 
 def brute_jaccard(rows):

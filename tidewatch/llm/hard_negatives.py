@@ -137,10 +137,10 @@ class Rows:
         return len(self.row)
 
 
-_WIDE = 1 << 20        # keys: score * _WIDE - place; rows are dealt by hash, a shard is a small part of this
+WIDE = 1 << 20        # keys: score * WIDE - place; rows are dealt by hash, a shard is a small part of this
 
 
-def _narrow(most: np.ndarray, dim: int) -> np.ndarray:
+def narrow(most: np.ndarray, dim: int) -> np.ndarray:
     """Vectors so small that the keys of their scores among each other fit in int64."""
     return most <= math.sqrt((1 << 41) / max(dim, 1))
 
@@ -155,11 +155,11 @@ def _parts(mask: np.ndarray) -> Iterator[tuple[np.ndarray, bool]]:
 def _keys(block: Rows, tile: Rows, anchors: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(anchors, rows, score keys): small vectors in int64, the rest in Python integers."""
     dim = max(block.x.shape[1], tile.x.shape[1])
-    for a, a_small in _parts(_narrow(block.most[anchors], dim)):
-        for b, b_small in _parts(_narrow(tile.most[rows], dim)):
+    for a, a_small in _parts(narrow(block.most[anchors], dim)):
+        for b, b_small in _parts(narrow(tile.most[rows], dim)):
             fits = a_small and b_small
             s = scores(block.x[anchors[a]], tile.x[rows[b]], fits)
-            yield anchors[a], rows[b], s * _WIDE - tile.place[rows[b]].astype(np.int64 if fits else object)
+            yield anchors[a], rows[b], s * WIDE - tile.place[rows[b]].astype(np.int64 if fits else object)
 
 
 def _first(owner: np.ndarray, key: np.ndarray, k: int) -> np.ndarray:
@@ -185,7 +185,7 @@ class Best:
         self.owner, self.key, self.id = owner[keep], key[keep], ids.take(pa.array(keep))
 
     def score(self) -> pa.Array:
-        return pa.array([-(-int(k) // _WIDE) for k in self.key], pa.int64())
+        return pa.array([-(-int(k) // WIDE) for k in self.key], pa.int64())
 
 
 def _highest(keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -209,7 +209,7 @@ def _same_label(block: Rows, tile: Rows, best: Best) -> None:
 
 def _in_windows(block: Rows, tile: Rows, best: Best, slots: int, low: np.ndarray, high: np.ndarray) -> None:
     for a, b, keys in _keys(block, tile, np.arange(len(block)), np.arange(len(tile))):
-        score = -(-keys // _WIDE)
+        score = -(-keys // WIDE)
         least, most = low[a].min(1), high[a].max(1)
         r, c = np.nonzero((score >= least[:, None]) & (score <= most[:, None]) & (block.label[a][:, None] != tile.label[b][None, :]))
         s = score[r, c]
@@ -219,7 +219,7 @@ def _in_windows(block: Rows, tile: Rows, best: Best, slots: int, low: np.ndarray
             best.add(a[r[hit]] * slots + k, keys[r[hit], c[hit]], tile.id.take(pa.array(b[c[hit]])))
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Rows, Iterator[Rows]]]:
+def cells(batches: Iterator[pa.RecordBatch], tile_rows: int) -> Iterator[tuple[Rows, Iterator[Rows]]]:
     """(block, tiles of the shard) of each cell; rows come by cell, anchors first, then by id."""
 
     def pieces():
@@ -234,11 +234,11 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Rows, Iterator[R
         held, n, at = [], 0, 0
         for _, b in parts:
             while len(b):
-                some = b.slice(0, TILE_ROWS - n)
+                some = b.slice(0, tile_rows - n)
                 b = b.slice(len(some))
                 held.append(some)
                 n += len(some)
-                if n == TILE_ROWS:
+                if n == tile_rows:
                     yield Rows(held, at)
                     at, held, n = at + n, [], 0
         if held:
@@ -252,7 +252,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Rows, Iterator[R
             yield block[1], tiles(parts)
 
 
-def _sound(vectors: DataFrame, id: str, label: Column, values: str, is_anchor: Column, scale: float) -> DataFrame:
+def sound_vectors(vectors: DataFrame, id: str, label: Column, values: str, is_anchor: Column, scale: float) -> DataFrame:
     """row, id, label, anchor, x (whole doubles, packed) of the rows that take part."""
     rows = vectors.where(label.isNotNull() & F.col(values).isNotNull()).select(
         F.monotonically_increasing_id().alias("row"), F.col(id).cast("long").alias("id"), label.cast("long").alias("label"),
@@ -273,6 +273,23 @@ def _sound(vectors: DataFrame, id: str, label: Column, values: str, is_anchor: C
     return rows.mapInArrow(pack, "row long, id long, label long, anchor boolean, x binary")
 
 
+def deal(anchors: DataFrame, rows: DataFrame, shards: int, blocks: int) -> DataFrame:
+    """Rows by (shard, block) cell, a cell's anchors first (side 0), then the shard's rows by id (side 1).
+
+    Shards and blocks go by the hash of the row number, so they are about even
+    whatever the ids; cells go to tasks by their number.
+    """
+    block, shard = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)), F.pmod(F.xxhash64("row"), F.lit(shards))
+    a = anchors.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn("cell", F.col("shard") * blocks + block)
+    r = rows.withColumn("positives", F.lit(None).cast("array<long>")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn(
+        "cell", shard * blocks + F.col("block"))
+    cols = ["row", "id", "label", "x", "positives", F.col("cell").cast("long")]
+    both = a.select(*cols, F.lit(0).alias("side")).unionByName(r.select(*cols, F.lit(1).alias("side")))
+    tasks = min(shards * blocks, MOST_TASKS)
+    return both.repartitionById(tasks, F.pmod(F.col("cell"), F.lit(tasks)).cast("int")).sortWithinPartitions(
+        "cell", "side", F.col("id").asc_nulls_last(), "row")
+
+
 def mine(vectors: DataFrame, is_anchor: Column, label: Column, id: str = "vec_id", values: str = "embedding", scale: float = 256.0,
          positives: int = 5, negatives: int = 3, low: int = 50, high: int = 95) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score).
@@ -293,26 +310,13 @@ def mine(vectors: DataFrame, is_anchor: Column, label: Column, id: str = "vec_id
     """
     spark = vectors.sparkSession
     path = scratch_path(spark, "vectors")
-    _sound(vectors, id, label, values, is_anchor, scale).write.parquet(path)    # row numbers are fixed here
+    sound_vectors(vectors, id, label, values, is_anchor, scale).write.parquet(path)    # row numbers are fixed here
     rows = spark.read.parquet(path)
     n, n_anchors = rows.agg(F.count("*"), F.coalesce(F.sum(F.col("anchor").cast("long")), F.lit(0))).first()
     shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-n_anchors // BLOCK_ROWS))
-    cells = shards * blocks
     none = F.lit(None).cast("array<long>")
-
-    def deal(anchors: DataFrame) -> DataFrame:
-        block, shard = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)), F.pmod(F.xxhash64("row"), F.lit(shards))
-        a = anchors.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn("cell", F.col("shard") * blocks + block)
-        r = rows.withColumn("positives", none).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn(
-            "cell", shard * blocks + F.col("block"))
-        cols = ["row", "id", "label", "x", "positives", F.col("cell").cast("long")]
-        both = a.select(*cols, F.lit(0).alias("side")).unionByName(r.select(*cols, F.lit(1).alias("side")))
-        tasks = min(cells, MOST_TASKS)
-        return both.repartitionById(tasks, F.pmod(F.col("cell"), F.lit(tasks)).cast("int")).sortWithinPartitions(
-            "cell", "side", F.col("id").asc_nulls_last(), "row")
-
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, tiles in _cells(batches):
+        for block, tiles in cells(batches, TILE_ROWS):
             best = Best(positives)
             for tile in tiles:
                 _same_label(block, tile, best)
@@ -320,7 +324,7 @@ def mine(vectors: DataFrame, is_anchor: Column, label: Column, id: str = "vec_id
                                              names=["row", "anchor_id", "score", "id"])
 
     anchors = rows.where("anchor")
-    found = deal(anchors.withColumn("positives", none)).mapInArrow(find, "row long, anchor_id long, score long, id long")
+    found = deal(anchors.withColumn("positives", none), rows, shards, blocks).mapInArrow(find, "row long, anchor_id long, score long, id long")
     nearest = Window.partitionBy("row").orderBy(F.desc("score"), F.col("id").asc_nulls_last())
     found = found.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= positives)
     path = scratch_path(spark, "positives")
@@ -330,7 +334,7 @@ def mine(vectors: DataFrame, is_anchor: Column, label: Column, id: str = "vec_id
                           "row")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, tiles in _cells(batches):
+        for block, tiles in cells(batches, TILE_ROWS):
             lows = np.full((len(block), positives), _LONG - 1, np.int64)      # no window: nothing is in it
             highs = np.full((len(block), positives), -_LONG, np.int64)
             for i, ps in enumerate(block.windows):
@@ -343,7 +347,7 @@ def mine(vectors: DataFrame, is_anchor: Column, label: Column, id: str = "vec_id
             yield pa.RecordBatch.from_arrays([pa.array(block.row[best.owner // positives]), pa.array((best.owner % positives + 1).astype(np.int32)),
                                               best.score(), best.id], names=["row", "nth", "negative_score", "negative_id"])
 
-    hits = deal(opened).mapInArrow(search, "row long, nth int, negative_score long, negative_id long")
+    hits = deal(opened, rows, shards, blocks).mapInArrow(search, "row long, nth int, negative_score long, negative_id long")
     hardest = Window.partitionBy("row", "nth").orderBy(F.desc("negative_score"), F.col("negative_id").asc_nulls_last())
     hits = hits.withColumn("rank", F.row_number().over(hardest)).where(F.col("rank") <= negatives)
     return hits.join(found, ["row", "nth"]).select("anchor_id", F.col("id").alias("positive_id"), "rank", "negative_id",

@@ -1,12 +1,16 @@
 """Exact top-k by inner product with MaxScore over sharded postings.
 
-A vector of integers is a set of signed terms: dimension i with its positive
-or its negative part, the impact being the size. A query weighs each term by
-its own component; terms of the wrong sign weigh negatively and can raise no
-score. In each shard the terms of a query are split by their bounds (weight
-times the shard's highest impact): essential ones, without which no candidate
-can reach the query's threshold, and the rest. Postings of essential terms are
-traversed, the rest is probed for candidates that can still compete.
+A vector of whole numbers is a set of signed terms: dimension i with its
+positive or its negative part, the impact being the size. A query weighs each
+term by its own component; terms of the other sign weigh negatively and can
+raise no score. Shards hold postings by term, with the highest impact of each
+list in each tile of rows. For a query and a tile the terms with positive
+weights are sorted by their bounds (weight times highest impact). The lowest
+whose sum stays below the query's threshold, its k-th score so far, are
+non-essential: a row with no others cannot compete. Only the lists of the
+essential terms are traversed; the other terms are probed, the most lowering
+ones first, for the rows that can still reach the threshold. The threshold
+rises from tile to tile; the shards' results merge by rank.
 """
 
 from __future__ import annotations
@@ -15,148 +19,160 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.llm.hard_negatives import WIDE, Best, Rows, cells, deal, narrow, sound_vectors
+from tidewatch.session import scratch_path
+
 SHARD_ROWS = 16_384
-QUERY_ROWS = 256
-SEED_ROWS = 2_048  # rows that set each query's first threshold (a true lower bound of its k-th score)
+BLOCK_ROWS = 2_048
+TILE_ROWS = 4_096
 PROBE_TERMS = 16
-
-
-def signed_terms(x: np.ndarray) -> np.ndarray:
-    """Impacts by term: positive parts, then negative parts."""
-    return np.concatenate([np.maximum(x, 0), np.maximum(-x, 0)], axis=1)
+_LONG = 1 << 63
 
 
 class Postings:
-    """Impacts of one shard by term, densely by row, and each term's highest impact."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order].astype(np.float64)
-        self.impacts = signed_terms(self.vectors)
-        self.most = self.impacts.max(0) if len(ids) else np.zeros(2 * vectors.shape[1])
-
-    def search(self, q_ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(query, rows' ids, scores) of each query's k best rows but itself; rows below ``floor`` may be left out."""
-        queries = queries.astype(np.float64)
-        weights = np.concatenate([queries, -queries], axis=1)
-        bounds = np.maximum(weights, 0) * self.most
-        order = np.argsort(bounds, axis=1, kind="stable")
-        upto = np.cumsum(np.take_along_axis(bounds, order, 1), 1)
-        # non-essential: the longest run of the lowest bounds whose sum stays below the threshold
-        rest = (upto < floor[:, None]).sum(1)
-        essential = weights.copy()
-        place = np.arange(weights.shape[1])
-        np.put_along_axis(essential, order, np.where(place < rest[:, None], 0.0, np.take_along_axis(weights, order, 1)), 1)
-        partial = essential @ self.impacts.T  # traverses the essential postings of all queries at once
-        slack = np.where(rest > 0, np.take_along_axis(upto, np.maximum(rest - 1, 0)[:, None], 1)[:, 0], 0.0)
-        for r in range(len(q_ids)):
-            cand = np.flatnonzero(partial[r] + slack[r] >= floor[r])
-            score = partial[r, cand]
-            left = order[r, :rest[r]][::-1]  # highest bounds first
-            for i in range(0, len(left), PROBE_TERMS):
-                terms = left[i:i + PROBE_TERMS]
-                score = score + self.impacts[np.ix_(cand, terms)] @ weights[r, terms]
-                more = upto[r, len(left) - i - PROBE_TERMS - 1] if len(left) > i + PROBE_TERMS else 0.0
-                alive = score + more >= floor[r]
-                cand, score = cand[alive], score[alive]
-            own = self.ids[cand] != q_ids[r]
-            cand, score = cand[own], score[own]
-            if len(cand) > k:
-                cut = -np.partition(-score, k - 1)[k - 1]
-                keep = score >= cut
-                cand, score = cand[keep], score[keep]
-            best = np.lexsort((self.ids[cand], -score))[:k]
-            yield r, self.ids[cand[best]], score[best]
-
-
-def _rows(batch: pa.RecordBatch, column: str, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column(column).to_pylist()), np.int32).reshape(-1, dim)
-
-
-def top_k(vectors: DataFrame, is_query, k: int = 20, id: str = "vec_id", values: str = "vector") -> DataFrame:
+    """Lists of one tile by term (first the positive parts, then the negative ones), and each list's highest impact."""
+
+    def __init__(self, x: np.ndarray, weight: float):
+        """``weight``: the largest component of a query; sums are exact in the type chosen."""
+        kind = np.float32 if x.shape[1] * np.abs(x).max(initial=0.0) * weight < 2 ** 24 else np.float64
+        self.x = x
+        self.lists = np.ascontiguousarray(np.concatenate([np.maximum(x, 0.0), np.maximum(-x, 0.0)], axis=1).T.astype(kind))
+        self.most = self.lists.max(1, initial=0.0).astype(np.float64)
+        self.mean = self.lists.mean(1, dtype=np.float64) if len(x) else self.most
+
+    def _sum(self, terms: np.ndarray, weights: np.ndarray, rows: np.ndarray | None) -> np.ndarray:
+        """Weighted sums over lists, for some rows."""
+        w = weights[terms].astype(self.lists.dtype)
+        if rows is None:
+            return w @ self.lists[terms]
+        if 4 * len(rows) > self.lists.shape[1]:
+            return (w @ self.lists[terms])[rows]
+        return w @ self.lists[np.ix_(terms, rows)]
+
+    def search(self, query: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, int]:
+        """(rows, scores) of at least ``threshold``, and how many rows were probed."""
+        weights = np.concatenate([query, -query])
+        up = np.flatnonzero((weights > 0) & (self.most > 0))
+        bounds = weights[up] * self.most[up]
+        order = np.argsort(bounds)
+        up, upto = up[order], np.cumsum(bounds[order])
+        n = int(np.searchsorted(upto, threshold)) if threshold > 0 else 0     # these cannot reach it together
+        rest, essential = up[:n], up[n:]
+        slack = float(upto[n - 1]) if n else 0.0
+        score = self._sum(essential, weights, None) if len(essential) else np.zeros(self.lists.shape[1])
+        rows = np.flatnonzero(score + slack >= threshold)
+        probed, score = len(rows), score[rows].astype(np.float64)
+        down = np.flatnonzero((weights < 0) & (self.most > 0))
+        down = down[np.argsort(weights[down] * self.mean[down])]
+        for i in range(0, len(down), PROBE_TERMS):
+            if not len(rows):
+                return rows, score, probed
+            score = score + self._sum(down[i:i + PROBE_TERMS], weights, rows)
+            alive = score + slack >= threshold
+            rows, score = rows[alive], score[alive]
+        while len(rest) and len(rows):
+            some, rest = rest[-PROBE_TERMS:], rest[:-PROBE_TERMS]
+            slack = float(upto[len(rest) - 1]) if len(rest) else 0.0
+            score = score + self._sum(some, weights, rows)
+            alive = score + slack >= threshold
+            rows, score = rows[alive], score[alive]
+        return rows, score, probed
+
+
+def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products in Python integers, those beyond a long as its ends; for the few rows too large for doubles."""
+    whole = np.vectorize(int, otypes=[object])
+    dim = min(a.shape[1], b.shape[1])
+    if not dim:
+        return np.zeros((len(a), len(b)), object)
+    return np.minimum(np.maximum(whole(a[:, :dim]) @ whole(b[:, :dim]).T, -_LONG), _LONG - 1)
+
+
+def _highest(score: np.ndarray, place: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k highest scores and of all that tie with the last."""
+    if len(score) <= k:
+        return np.arange(len(score))
+    return np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
+
+
+def search_tile(block: Rows, tile: Rows, best: Best, small: np.ndarray) -> int:
+    """Adds a tile's rows to the block's results; rows probed. ``small``: queries whose products with small rows fit in doubles."""
+    dim = min(block.x.shape[1], tile.x.shape[1])
+    fits = narrow(tile.most, max(block.x.shape[1], tile.x.shape[1]))
+    owners, keys, rows, probed = [], [], [], 0
+
+    def found(q: int, at: np.ndarray, score: np.ndarray) -> None:
+        other = tile.row[at] != block.row[q]
+        at, score = at[other], score[other]
+        top = _highest(score, at, best.k) if score.dtype != object else np.arange(len(score))
+        owners.append(np.full(len(top), q))
+        keys.append(score[top].astype(score.dtype if score.dtype == object else np.int64) * WIDE - tile.place[at[top]].astype(
+            object if score.dtype == object else np.int64))
+        rows.append(at[top])
+
+    sound = np.flatnonzero(fits)
+    postings = Postings(tile.x[sound][:, :dim], block.most[small].max()) if len(sound) and small.any() else None
+    threshold = best.thresholds(len(block))
+    for q in np.flatnonzero(small).tolist() if postings is not None else ():
+        at, score, n = postings.search(block.x[q, :dim], threshold[q])
+        probed += n
+        found(q, sound[at], score)
+    wide = np.flatnonzero(~fits)
+    for q in range(len(block)):
+        at = wide if small[q] else np.arange(len(tile))
+        if len(at):
+            found(q, at, _exact(block.x[q:q + 1], tile.x[at])[0])
+    if owners:
+        best.add(np.concatenate(owners), np.concatenate(keys), tile.id.take(pa.array(np.concatenate(rows))))
+    return probed
+
+
+class Results(Best):
+    def thresholds(self, n: int) -> np.ndarray:
+        """Each owner's k-th score so far; minus infinity while it has fewer."""
+        out = np.full(n, -np.inf)
+        count = np.bincount(self.owner, minlength=n)
+        last = np.cumsum(count) - 1                    # entries are by owner, the highest first
+        for q in np.flatnonzero(count >= self.k):
+            out[q] = float(-(-int(self.key[last[q]]) // WIDE))
+        return out
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id: str = "vec_id", values: str = "embedding", scale: float = 64.0) -> DataFrame:
     """(query_id, rank, id, score): the ``k`` highest inner products of each query with all other rows.
 
-    ``values``: arrays of integers; ``is_query``: an expression that marks the
-    queries. Ties go to the smaller id. Rows with a null id, a null array, a
-    null component or another length than most rows' take no part; rows with
-    the query's id are not its candidates; a repeated (id, vector) row counts
-    once. Fewer rows than ``k`` give fewer results, an empty table none.
-
-    Rows are dealt by hash into shards of about ``SHARD_ROWS``, queries into
-    blocks of ``QUERY_ROWS``. Every query block visits every shard (a stated
-    query set against all rows); a shard returns k rows a query, and the
-    shards' results merge by rank. A first pass over ``SEED_ROWS`` rows gives
-    each query a threshold; it prunes and never changes the result.
+    Components become floor(scale * x), ``is_query`` marks the queries. Ties go
+    to the smaller id, null ids last. Only the query's own row is no candidate
+    of it: repeated rows, and others of its id, are rows of their own. Rows with
+    a null vector, or a component that is null, not finite or too large for a
+    double once scaled, take no part; missing components of a shorter vector
+    count as zero. Scores are exact; one beyond a long counts as the nearest
+    long. Fewer rows than ``k`` give fewer results, an empty table none. Other
+    columns are not read.
+
+    Every block of queries meets every shard of rows (a stated query set
+    against all rows); a shard returns at most k rows a query.
     """
     spark = vectors.sparkSession
-    clean = vectors.where(F.col(id).isNotNull() & F.col(values).isNotNull() & ~F.exists(values, lambda x: x.isNull()))
-    dims = clean.groupBy(F.size(values).alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    out_schema = f"query_id long, `{id}` long, score long"
-    if dims is None:
-        return spark.createDataFrame([], f"query_id long, rank int, `{id}` long, score long")
-    dim = dims["dim"]
-    clean = clean.where(F.size(values) == dim).select(F.col(id).cast("long").alias("id"), F.col(values).cast("array<int>").alias("v"),
-                                                      F.coalesce(is_query, F.lit(False)).alias("q")).distinct()
-    n = dims["count"]
-    shards = max(1, -(-n // SHARD_ROWS))
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            v = b.column(1).flatten().to_numpy().astype(np.int32).reshape(-1, dim)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in v], pa.binary()), b.column(2)], names=["id", "v", "q"])
-
-    packed = clean.mapInArrow(pack, "id long, v binary, q boolean")
-    seed = packed.orderBy(F.xxhash64("id"), "id", "v").limit(SEED_ROWS).select("id", "v")  # bounded
-    seed_rows = spark.sparkContext.broadcast([(r["id"], bytes(r["v"])) for r in seed.collect()])
-
-    def thresholds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = seed_rows.value
-        p = Postings(np.array([r[0] for r in rows], np.int64), np.frombuffer(b"".join(r[1] for r in rows), np.int32).reshape(-1, dim))
-        for b in batches:
-            ids, q = b.column("id").to_numpy(), _rows(b, "v", dim)
-            floor = np.full(len(ids), -np.inf)
-            for i in range(0, len(ids), QUERY_ROWS):
-                for r, got, score in p.search(ids[i:i + QUERY_ROWS], q[i:i + QUERY_ROWS], floor[i:i + QUERY_ROWS], k):
-                    if len(got) == k and len(set(got.tolist())) == k:
-                        floor[i + r] = score[-1]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array(floor)], names=["id", "v", "floor"])
-
-    queries = packed.where("q").select("id", "v").mapInArrow(thresholds, "id long, v binary, floor double")
-    queries = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn("q", F.lit(True))
-    rows = packed.select("id", "v", F.lit(0.0).alias("floor"), F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("q"))
-    # within a shard its rows come first, then the queries, block by block
-    dealt = rows.unionByName(queries).repartition(shards, "shard").sortWithinPartitions("shard", "q", "id")
+    path = scratch_path(spark, "vectors")
+    sound_vectors(vectors, id, F.lit(0), values, is_query, scale).write.parquet(path)     # row numbers are fixed here
+    rows = spark.read.parquet(path)
+    n, n_queries = rows.agg(F.count("*"), F.coalesce(F.sum(F.col("anchor").cast("long")), F.lit(0))).first()
+    shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-n_queries // BLOCK_ROWS))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, vecs, index = None, [], [], None
-        for b in batches:
-            shard, is_q = b.column("shard").to_numpy(), b.column("q").to_numpy(zero_copy_only=False)
-            v, i = _rows(b, "v", dim), b.column("id").to_numpy()
-            floor = b.column("floor").to_numpy()
-            for s in np.unique(shard):
-                mine = shard == s
-                if s != at:
-                    at, ids, vecs, index = s, [], [], None
-                data = mine & ~is_q
-                if data.any():
-                    ids.append(i[data])
-                    vecs.append(v[data])
-                asked = np.flatnonzero(mine & is_q)
-                if not len(asked) or not ids:
-                    continue
-                index = index or Postings(np.concatenate(ids), np.concatenate(vecs))
-                for lo in range(0, len(asked), QUERY_ROWS):
-                    some = asked[lo:lo + QUERY_ROWS]
-                    q_out, i_out, s_out = [], [], []
-                    for r, got, score in index.search(i[some], v[some], floor[some], k):
-                        q_out.append(np.full(len(got), i[some[r]]))
-                        i_out.append(got)
-                        s_out.append(score.astype(np.int64))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (q_out, i_out, s_out)], names=["query_id", id, "score"])
-
-    found = dealt.mapInArrow(search, out_schema)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), id)
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", id, "score")
+        for block, tiles in cells(batches, TILE_ROWS):
+            best = Results(k)
+            small = narrow(block.most, block.x.shape[1])
+            for tile in tiles:
+                search_tile(block, tile, best, small)
+            yield pa.RecordBatch.from_arrays([pa.array(block.row[best.owner]), block.id.take(pa.array(best.owner)), best.id, best.score()],
+                                             names=["row", "query_id", id, "score"])
+
+    queries = rows.where("anchor").withColumn("positives", F.lit(None).cast("array<long>"))
+    found = deal(queries, rows, shards, blocks).mapInArrow(search, f"row long, query_id long, `{id}` long, score long")
+    highest = Window.partitionBy("row").orderBy(F.desc("score"), F.col(id).asc_nulls_last())
+    return found.withColumn("rank", F.row_number().over(highest)).where(F.col("rank") <= k).select("query_id", "rank", id, "score")

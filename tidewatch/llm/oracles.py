@@ -37,13 +37,13 @@ FROM reach LEFT JOIN counts USING (doc_id) GROUP BY doc_id
 """
 
 TOP_PRODUCTS = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS z FROM embeddings
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS z FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.z::DOUBLE[], c.z::DOUBLE[])::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
-), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.z::DOUBLE[], c.z::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.r <> q.r
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 

@@ -31,10 +31,7 @@ def op3_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sound = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) > 1.7976931348623157e308))
-    z = F.transform("embedding", lambda x: F.floor(x.cast("double") * 64).cast("int"))
-    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", F.when(sound, z).alias("vector"))
-    return maxscore.top_k(vectors, F.col("vec_id") % 20 == 0)
+    return maxscore.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
