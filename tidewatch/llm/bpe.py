@@ -76,6 +76,9 @@ class Tokenizer:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merge.setdefault((self.ids[a], self.ids[b]), (rank, self.ids[a + b]))
         self.letters = self._byte_letters()
+        self.letter_ids = np.array([self.ids[x] for x in self.letters], np.int64)
+        self.last_ids = np.array([self.ids[x + self.end] for x in self.letters], np.int64)
+        self.levels = np.array([max(1, (n - 2).bit_length()) for n in range(LONG_WORD + 1)])     # of the tree over a word's pairs
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         spaces = spec["normalizer"]["normalizers"][1]["pattern"]["Regex"]
         # small classes match faster: patterns for texts of Latin-1, of the basic plane, and of any letters
@@ -86,6 +89,9 @@ class Tokenizer:
         self.odd_any = re.compile("[" + "".join(map(re.escape, self.odd)) + "Σ]")
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names.update({i: t for t, i in self.added.items()})
+        tokens = max(self.names) + 1
+        self.name_texts = np.array([self.names.get(i, "") for i in range(tokens)], object)
+        self.number_texts = np.array([str(i) for i in range(tokens)], object)
         self.added_split = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
         pairs = np.array([a * _IDS + b for a, b in self.merge], np.int64)
         order = np.argsort(pairs)
@@ -115,6 +121,7 @@ class Tokenizer:
     @staticmethod
     def _byte_letters() -> list[str]:
         """The printable letter of each byte in byte-level vocabularies: itself, or the next one from 256."""
+        # fixed values: the bytes that stand for themselves
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         table, more = {b: chr(b) for b in plain}, 256
         for b in range(256):
@@ -182,27 +189,42 @@ class Tokenizer:
             self.ids_of.clear()
             self.text_of.clear()
             new = list(words)
-        by_size: dict[int, list[tuple[str, list[int]]]] = {}
+        plain = []
         for w in new:
             if w.startswith(_SPECIAL):
-                self._keep(w, [self.added[w[len(_SPECIAL):]]])
-                continue
-            letters = [self.letters[b] for b in w.encode()]
-            letters[-1] += self.end
-            first = [self.ids[x] for x in letters]
-            if len(first) > LONG_WORD:
-                self._keep(w, self.merge_word(first))
+                self._keep([w], np.array([self.added[w[len(_SPECIAL):]]]), np.array([1]))
             else:
-                by_size.setdefault(max(1, (len(first) - 2).bit_length()), []).append((w, first))
-        for size, group in by_size.items():
+                plain.append(w)
+        if not plain:
+            return
+        # all new words in one array of letter ids; the last letter of a word has the end mark
+        coded = [w.encode() for w in plain]
+        size = np.array([len(c) for c in coded])
+        data = np.frombuffer(b"".join(coded), np.uint8)
+        end = np.cumsum(size)
+        letters = self.letter_ids[data]
+        letters[end - 1] = self.last_ids[data[end - 1]]
+        level = np.where(size > LONG_WORD, 0, self.levels[np.minimum(size, LONG_WORD)])
+        for k in np.unique(level).tolist():
+            group = np.flatnonzero(level == k)
+            if not k:
+                for g in group.tolist():
+                    ids = self.merge_word(letters[end[g] - size[g]:end[g]].tolist())
+                    self._keep([plain[g]], np.array(ids), np.array([len(ids)]))
+                continue
             for i in range(0, len(group), 20_000):
                 some = group[i:i + 20_000]
-                for (w, _), ids in zip(some, self.merge_words([f for _, f in some], 1 << size), strict=True):
-                    self._keep(w, ids)
-
-    def _keep(self, word: str, ids: list[int]) -> None:
-        self.ids_of[word] = " ".join(map(str, ids))
-        self.text_of[word] = self.decode(ids)
+                ids, upto = self.merge_words(letters, end[some] - size[some], size[some], 1 << k)
+                self._keep([plain[g] for g in some.tolist()], ids, upto)
+
+    def _keep(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        """The ids of ``words`` (joined, up to ``ends``) and their names, as texts."""
+        numbers, names = self.number_texts[ids].tolist(), self.name_texts[ids].tolist()
+        a = 0
+        for w, b in zip(words, ends.tolist(), strict=True):
+            self.ids_of[w] = " ".join(numbers[a:b])
+            self.text_of[w] = " ".join(names[a:b])
+            a = b
 
     def _pair(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, merged id) of pairs; rank _NONE32 where none merges."""
@@ -211,13 +233,15 @@ class Tokenizer:
         hit = (self.pair_keys[at] == key) & (a >= 0) & (b >= 0)
         return np.where(hit, self.pair_ranks[at], _NONE32), self.pair_ids[at]
 
-    def merge_words(self, firsts: list[list[int]], size: int) -> list[list[int]]:
-        """``merge_word`` of many words at once: one segment tree of ``size`` leaves a word, side by side in an array."""
-        n = len(firsts)
-        length = np.array([len(f) for f in firsts])
+    def merge_words(self, letters: np.ndarray, start: np.ndarray, length: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """``merge_word`` of many words at once: one segment tree of ``size`` leaves a word, side by side in an array.
+
+        Words are runs of ``letters``; returned are the ids of all of them, and where each word's end.
+        """
+        n = len(start)
         ids = np.full((n, size + 2), -1, np.int64)
-        for r, f in enumerate(firsts):
-            ids[r, :len(f)] = f
+        there = np.arange(size + 2) < length[:, None]
+        ids[there] = letters[(start[:, None] + np.arange(size + 2))[there]]
         rank, _ = self._pair(ids[:, :-2].ravel(), ids[:, 1:-1].ravel())
         low = np.full((n, 2 * size), _NONE32, np.int32)
         low[:, size:] = rank.reshape(n, size)
@@ -260,9 +284,7 @@ class Tokenizer:
             put(rows[has], h[has], self._pair(ids[rows[has], h[has]], merged[has])[0])
             rows = rows[low[rows, 1] < _NONE32]
         keep = ids >= 0
-        ends = np.cumsum(keep.sum(1))
-        flat = ids[keep].tolist()
-        return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        return ids[keep], np.cumsum(keep.sum(1))
 
     def encode(self, text: str) -> list[int]:
         words = self.words(text)
