@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.graph import cut
 from tidewatch.llm.text import Words, slices
+from tidewatch.operators.sizes import broadcast_small
 from tidewatch.session import scratch_path
 
 DEPTH = 4
@@ -210,35 +211,80 @@ def pack_blocks(docs: DataFrame, train: Column, id: str = "doc_id", text: str =
     return spark.read.parquet(path)
 
 
-def _distinct(kind: str):
-    """Distinct grams or words of each block: (key, block, count in its training texts)."""
+GRAMS, WORDS, TEXTS = range(3)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for block, blob in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                keys, counts, held, most = [], [], 0, MERGE_KEYS
-                for t in _unpack(blob.as_py()):
-                    train = t.column(2).to_numpy(zero_copy_only=False).astype(bool)
-                    for i, j, data, offsets in slices(t.column(1), PART_BYTES):
-                        if kind == "grams":
-                            k, n = gram_keys(data, offsets), np.diff(offsets) + 1
-                        else:
-                            k, first = _word_keys(data, offsets)
-                            n = np.diff(first)
-                        for x, c in _counted(k, np.repeat(train[i:j], n)):
-                            keys.append(x)
-                            counts.append(c)
-                            held += len(x)
-                        if held > most:
-                            k, c = _merge(keys, counts)
-                            keys, counts, held = [k], [c], 0
-                            most = MERGE_KEYS + 2 * len(k)
-                k, c = _merge(keys, counts)
-                for i in range(0, len(k), 100_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(k[i:i + 100_000].view(np.int64)), pa.array(np.full(len(k[i:i + 100_000]), block, np.int64)),
-                                                      pa.array(c[i:i + 100_000])], names=["k", "block", "c"])
 
-    return work
+class _Counter:
+    """Distinct keys with their training counts, merged as they grow."""
+
+    def __init__(self):
+        self.keys, self.counts, self.held, self.most = [], [], 0, MERGE_KEYS
+
+    def add(self, keys: np.ndarray, train: np.ndarray) -> None:
+        for k, c in _counted(keys, train):
+            self.keys.append(k)
+            self.counts.append(c)
+            self.held += len(k)
+        if self.held > self.most:
+            k, c = _merge(self.keys, self.counts)
+            self.keys, self.counts, self.held = [k], [c], 0
+            self.most = MERGE_KEYS + 2 * len(k)
+
+    def rows(self, kind: int, block: int) -> Iterator[pa.RecordBatch]:
+        k, c = _merge(self.keys, self.counts)
+        for i in range(0, len(k), 100_000):
+            n = len(k[i:i + 100_000])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), pa.array(k[i:i + 100_000].view(np.int64)),
+                                              pa.array(np.full(n, block, np.int64)), pa.array(c[i:i + 100_000])], names=["kind", "k", "block", "c"])
+
+
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct grams and words of each block with their counts in its training texts, and the number of these texts."""
+    for b in batches:
+        for block, blob in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            grams, words, texts = _Counter(), _Counter(), 0
+            for t in _unpack(blob.as_py()):
+                train = t.column(2).to_numpy(zero_copy_only=False).astype(bool)
+                texts += int(train.sum())
+                for i, j, data, offsets in slices(t.column(1), PART_BYTES):
+                    grams.add(gram_keys(data, offsets), np.repeat(train[i:j], np.diff(offsets) + 1))
+                    h, first = _word_keys(data, offsets)
+                    words.add(h, np.repeat(train[i:j], np.diff(first)))
+            yield from grams.rows(GRAMS, block)
+            yield from words.rows(WORDS, block)
+            yield pa.RecordBatch.from_arrays([pa.array([TEXTS], pa.int8()), pa.array([0]), pa.array([block]), pa.array([texts])],
+                                             names=["kind", "k", "block", "c"])
+
+
+class Lookup:
+    """Values of distinct keys by hash: the keys of a slot stand together, and there are few."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.shift = _U(64 - max(4, (4 * len(keys)).bit_length()))
+        slot = self._slot(keys)
+        order = np.argsort(slot, kind="stable")
+        self.keys, self.values = keys[order], values[order]
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(slot, minlength=1 << (64 - int(self.shift))))]).astype(np.int32)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _U(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """The keys' values, 0 for unknown ones."""
+        if not len(self.keys):
+            return np.zeros(len(keys), self.values.dtype)
+        slot = self._slot(keys)
+        at, end = self.start[slot], self.start[slot + 1]
+        here = np.minimum(at, len(self.keys) - 1)
+        hit = (at < end) & (self.keys[here] == keys)
+        out = np.where(hit, self.values[here], self.values.dtype.type(0))
+        left = np.flatnonzero(~hit & (end > at + 1))
+        while len(left):
+            at[left] += 1
+            hit = self.keys[at[left]] == keys[left]
+            out[left[hit]] = self.values[at[left[hit]]]
+            left = left[~hit & (end[left] > at[left] + 1)]
+        return out
 
 
 def _by_shard(use):
@@ -279,9 +325,10 @@ def score(docs: DataFrame, train: Column, id: str = "doc_id", text: str = "text"
     spark = docs.sparkSession
     kind = docs.schema[id].dataType.simpleString()
     blocks = pack_blocks(docs, F.coalesce(train, F.lit(False)), id, text)
-    schema = "k long, block long, c long"
-    grams = blocks.mapInArrow(_distinct("grams"), schema)
-    words = blocks.mapInArrow(_distinct("words"), schema)
+    path = scratch_path(spark, "ctw-counts")
+    blocks.mapInArrow(_distinct, "kind byte, k long, block long, c long").write.option("compression", "zstd").parquet(path)   # read four times
+    counts = spark.read.parquet(path)
+    grams, words = counts.where(F.col("kind") == GRAMS).drop("kind"), counts.where(F.col("kind") == WORDS).drop("kind")
 
     # grams have DEPTH + 1 < 8 bytes, so that Spark's signed order is theirs
     counted = cut(grams.groupBy("k").agg(F.sum("c").alias("c")))
@@ -307,60 +354,67 @@ def score(docs: DataFrame, train: Column, id: str = "doc_id", text: str = "text"
     total = F.sum("c").over(Window.partitionBy("k"))
     word_rows = words.withColumn("t", total).where("t > c").select("block", F.lit(1).cast("byte").alias("kind"), "k", F.col("t").alias("t"))
     stats = words.groupBy("k").agg(F.sum("c").alias("t")).where("t > 0").agg(F.count("*").alias("v"), F.sum("t").alias("n")).first()
-    n_train = sum(r["n"] or 0 for r in blocks.mapInArrow(_train_docs, "n long").agg(F.sum("n").alias("n")).collect())
+    n_train = counts.where(F.col("kind") == TEXTS).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     total_n, total_v = (stats["n"] or 0) + n_train, stats["v"] + (n_train > 0)
 
-    back = answers.select("block", "kind", "k", "p", F.lit(0).cast("long").alias("t")).union(
-        word_rows.select("block", "kind", "k", F.lit(0).cast("float").alias("p"), "t"))
+    # each block's texts, then the answers to its grams and words, in one task; blocks are numbered to deal them evenly
+    numbered = blocks.select("block", F.row_number().over(Window.orderBy("block")).alias("nth"))
+    many = blocks.count()
+    none = lambda t: F.lit(None).cast(t)
+    rows = (blocks.select("block", F.lit(-1).cast("byte").alias("kind"), F.lit(0).cast("long").alias("k"), none("float").alias("p"), none("long").alias("t"), "texts")
+            .unionByName(answers.select("block", "kind", "k", "p", none("long").alias("t"), none("binary").alias("texts")))
+            .unionByName(word_rows.select("block", "kind", "k", none("float").alias("p"), "t", none("binary").alias("texts"))))
+    parts = max(1, min(many, 20_000))
+    dealt = rows.join(broadcast_small(numbered), "block").repartitionById(parts, F.pmod("nth", F.lit(parts))).sortWithinPartitions("block", "kind")
     out_schema = f"`{id}` {kind}, train boolean, n_bytes long, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
+    log_base = np.log10(float(total_n + total_v + 1))
+
+    def finish(blob: bytes, grams: Lookup, known_words: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        parts, own_k, own_c = [], [], []
+        for t in _unpack(blob):                 # words are hashed once: for the block's own training counts, then for the scores
+            flags = t.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            for i, j, data, offsets in slices(t.column(1), PART_BYTES):
+                h, first = _word_keys(data, offsets)
+                parts.append((t.slice(i, j - i), data, offsets, h, first))
+                k, c = np.unique(h[np.repeat(flags[i:j], np.diff(first))], return_counts=True)
+                own_k.append(k)
+                own_c.append(c)
+        own = Lookup(*_merge(own_k, own_c))
+        elsewhere = Lookup(*known_words)
+        for t, data, offsets, h, first in parts:
+            n = np.diff(offsets)
+            p = grams(gram_keys(data, offsets)).astype(np.float64)
+            score_ = np.add.reduceat(p, offsets[:-1] + np.arange(len(n))) / np.log(10)
+            c = np.maximum(own(h), elsewhere(h))
+            doc = np.repeat(np.arange(len(n)), np.diff(first))
+            base = np.bincount(doc, np.log10(c + 1.0) - log_base, len(n)) + np.log10(n_train + 1.0) - log_base
+            known = np.bincount(doc, c > 0, len(n)).astype(np.int64) + (n_train > 0)
+            yield pa.RecordBatch.from_arrays(
+                [t.column(0), t.column(2), pa.array(n.astype(np.int64)), pa.array(np.diff(first) + 1, pa.int64()), pa.array(known),
+                 pa.array(np.full(len(n), total_n, np.int64)), pa.array(base), pa.array(score_), pa.array(-score_ / np.log10(2) / (n + 1))],
+                names=[id, "train", "n_bytes", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
+
+    def close(blob: bytes, got: dict) -> Iterator[pa.RecordBatch]:
+        whole = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
+        yield from finish(blob, Lookup(whole(got["gk"], _U), whole(got["p"], np.float32)), (whole(got["wk"], _U), whole(got["t"], np.int64)))
 
-    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        got = {}
-        for name, which, column in (("grams", 0, "p"), ("words", 1, "t")):
-            mine = right.filter(pa.compute.equal(right["kind"], which))
-            k = mine["k"].combine_chunks().to_numpy().view(_U)
-            order = np.argsort(k)
-            got[name] = (k[order], mine[column].combine_chunks().to_numpy()[order])
-        out = []
-        log_base = np.log10(float(total_n + total_v + 1))
-        for blob in left["texts"]:
-            own_k, own_c = [], []
-            for t in _unpack(blob.as_py()):  # the block's own training counts of words
-                flags = t.column(2).to_numpy(zero_copy_only=False).astype(bool)
-                for i, j, data, offsets in slices(t.column(1), PART_BYTES):
-                    k, first = _word_keys(data, offsets)
-                    k, c = np.unique(k[np.repeat(flags[i:j], np.diff(first))], return_counts=True)
-                    own_k.append(k)
-                    own_c.append(c)
-            own = _merge(own_k, own_c)
-            for t in _unpack(blob.as_py()):
-                for i, j, data, offsets in slices(t.column(1), PART_BYTES):
-                    n = np.diff(offsets)
-                    keys = gram_keys(data, offsets)
-                    p = got["grams"][1][np.searchsorted(got["grams"][0], keys)].astype(np.float64)
-                    score_ = np.add.reduceat(p, offsets[:-1] + np.arange(len(n))) / np.log(10)
-                    h, first = _word_keys(data, offsets)
-                    c = _look(own, h)
-                    c = np.maximum(c, _look(got["words"], h))
-                    doc = np.repeat(np.arange(len(n)), np.diff(first))
-                    base = np.bincount(doc, np.log10(c + 1.0) - log_base, len(n)) + np.log10(n_train + 1.0) - log_base
-                    known = np.bincount(doc, c > 0, len(n)).astype(np.int64) + (n_train > 0)
-                    out.append(pa.table([t.column(0)[i:j], t.column(2)[i:j], pa.array(n.astype(np.int64)), pa.array(np.diff(first) + 1, pa.int64()), pa.array(known),
-                                         pa.array(np.full(len(n), total_n, np.int64)), pa.array(base), pa.array(score_), pa.array(-score_ / np.log10(2) / (n + 1))],
-                                        names=[id, "train", "n_bytes", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]))
-        return pa.concat_tables(out)
-
-    return blocks.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(finish, out_schema)
-
-
-def _look(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
-    if not len(table[0]):
-        return np.zeros(len(keys), np.int64)
-    at = np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
-    return np.where(table[0][at] == keys, table[1][at], 0)
-
-
-def _train_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        n = sum(pa.compute.sum(t.column(2).cast(pa.int64())).as_py() or 0 for blob in b.column(1) for t in _unpack(blob.as_py()))
-        yield pa.RecordBatch.from_arrays([pa.array([n])], names=["n"])
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blob, got = None, {}
+        for b in batches:
+            which = b.column("kind").to_numpy()
+            heads = np.flatnonzero(which == -1).tolist()      # a block's texts come first
+            cut = [0, *[h for h in heads if h], len(b)]
+            for i, j in zip(cut, cut[1:]):
+                if i in heads:
+                    if blob is not None:
+                        yield from close(blob, got)
+                    blob, got = b.column("texts")[i].as_py(), {"gk": [], "p": [], "wk": [], "t": []}
+                k, w = b.column("k").to_numpy()[i:j].view(_U), which[i:j]
+                got["gk"].append(k[w == GRAMS])
+                got["p"].append(b.column("p").to_numpy(zero_copy_only=False)[i:j][w == GRAMS].astype(np.float32))
+                got["wk"].append(k[w == WORDS])
+                got["t"].append(b.column("t").fill_null(0).to_numpy()[i:j][w == WORDS])
+        if blob is not None:
+            yield from close(blob, got)
+
+    return dealt.select("kind", "k", "p", "t", "texts").mapInArrow(work, out_schema)
