@@ -38,10 +38,11 @@ def test_vectors_against_all_pairs(spark, monkeypatch, cell):
     base = rng.normal(size=(30, 6))
     rows = [(int(i), (base[i % 30] + rng.normal(size=6) * (0.02 * (i % 7))).tolist()) for i in range(200)]
     rows += [(200, None), (201, [0.0] * 6), (202, [1.0, None, 0, 0, 0, 0]), (203, [float("nan")] * 6), (204, [float("inf")] + [0.0] * 5),
-             (205, [1.0, 2.0]), (206, [2.0, 4.0]), rows[0], (207, rows[3][1]), (208, [19.0, math.sqrt(39.0), 0, 0, 0, 0]), (209, [1.0, 0, 0, 0, 0, 0])]
+             (205, [1.0, 2.0]), (206, [2.0, 4.0]), rows[0], (207, rows[3][1]), (208, [19.0, math.sqrt(39.0), 0, 0, 0, 0]), (209, [1.0, 0, 0, 0, 0, 0]),
+             (None, rows[3][1]), (None, [0, 0, 0, 0, 0, 7.0]), (None, None)]
     rows = [(i, None if v is None else [None if x is None else float(x) for x in v], i) for i, v in rows]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, n long")
-    got = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embed_join.join_vectors(df).collect())
+    got = sorted(((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embed_join.join_vectors(df).collect()), key=str)
 
     def sound(v):
         return v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)
@@ -55,8 +56,8 @@ def test_vectors_against_all_pairs(spark, monkeypatch, cell):
                     pairs.append((a, b))
     links = collections.Counter(a for a, _ in pairs)
     root = groups(len(rows), pairs)
-    least = {r: min(rows[i][0] for i in range(len(rows)) if root[i] == r) for r in set(root)}
-    want = sorted((rows[i][0], links[i], least[root[i]], rows[i][0] == least[root[i]]) for i in range(len(rows)))
+    least = {r: min((rows[i][0] for i in range(len(rows)) if root[i] == r and rows[i][0] is not None), default=None) for r in set(root)}
+    want = sorted(((rows[i][0], links[i], least[root[i]], rows[i][0] == least[root[i]]) for i in range(len(rows))), key=str)
     assert got == want
     assert embed_join.join_vectors(df.limit(0)).count() == 0
 

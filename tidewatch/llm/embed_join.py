@@ -15,31 +15,51 @@ from tidewatch.llm.graph import components, cut
 
 THRESHOLD = 0.95
 PIVOTS = 64  # at most; they come from a bounded sample by hash order
-CELL_ROWS = 4_096  # rows of a cell that share one pivot, and of a block of a larger cell
+CELL_ROWS = 8_192  # rows of a cell that share one pivot, and of a block of a larger cell
 SLACK = 1e-9
 COLUMNS = 512
+MARGIN = 1e-4      # more than a single-precision cosine of up to ten thousand components is off
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def _linked(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
-    """Pairs of rows with cosine >= threshold; those within rounding of it are computed again with exact sums."""
-    c = _unit(a) @ _unit(b).T
+class Side:
+    """Rows of a comparison: as they came, with length one, and that in single precision."""
+
+    def __init__(self, vectors: np.ndarray):
+        self.vectors = vectors
+        self.unit = _unit(vectors)
+        self.short = self.unit.astype(np.float32)
+
+
+def _linked(a: Side, b: Side, some: slice, threshold: float) -> tuple[np.ndarray, np.ndarray] | None:
+    """Rows of ``some`` of b that link, and the matrix of their links with a; None if there are none.
+
+    Single precision (off by less than ``MARGIN``) rules out rows without a
+    link. The others are computed in double precision, and pairs within
+    rounding of the threshold again with exact sums.
+    """
+    c = a.short @ b.short[some].T
+    if not len(c) or c.max() < threshold - MARGIN:
+        return None
+    cols = np.flatnonzero(c.max(0) >= threshold - MARGIN) + some.start
+    c = a.unit @ b.unit[cols].T
     hit = c >= threshold
     for i, j in zip(*np.nonzero(np.abs(c - threshold) < 1e-12), strict=True):
-        x, y = a[i].tolist(), b[j].tolist()
+        x, y = a.vectors[i].tolist(), b.vectors[cols[j]].tolist()
         dot = math.fsum(p * q for p, q in zip(x, y, strict=True))
         hit[i, j] = dot / math.sqrt(math.fsum(p * p for p in x) * math.fsum(q * q for q in y)) >= threshold
-    return hit
+    any_ = hit.any(0)
+    return (cols[any_], hit[:, any_]) if any_.any() else None
 
 
 class Block:
     """Home rows of a cell: their links and the groups that links make, as rows stream past."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, angles: np.ndarray, weights: np.ndarray, threshold: float):
-        self.ids, self.vectors, self.threshold = ids, vectors, threshold
+        self.ids, self.rows, self.threshold = ids, Side(vectors), threshold
         self.near, self.far = angles.min(), angles.max()
         self.links = np.zeros(len(ids), np.int64)
         self.root = np.arange(len(ids))
@@ -55,16 +75,17 @@ class Block:
         """Compare rows with the block; returns one edge (row, home row) for each row that links."""
         edges = []
         able = np.flatnonzero((angles >= self.near - self.radius) & (angles <= self.far + self.radius))  # triangle inequality
+        if not len(able):
+            return edges
+        ids, weights, side = ids[able], weights[able], Side(vectors[able])
         for i in range(0, len(able), COLUMNS):
-            some = able[i:i + COLUMNS]
-            hit = _linked(self.vectors, vectors[some], self.threshold)
-            self.links += hit @ weights[some]
-            cols = np.flatnonzero(hit.any(0))
-            if not len(cols):
+            got = _linked(self.rows, side, slice(i, min(i + COLUMNS, len(able))), self.threshold)
+            if got is None:
                 continue
-            hit = hit[:, cols]
+            cols, hit = got
+            self.links += hit @ weights[cols]
             first = hit.argmax(0)
-            edges += [(int(x), int(y)) for x, y in zip(ids[some[cols]], self.ids[first], strict=True) if x != y]
+            edges += [(int(x), int(y)) for x, y in zip(ids[cols], self.ids[first], strict=True) if x != y]
             many = np.flatnonzero(hit.sum(0) > 1)
             if len(many):
                 roots = np.array([self._find(x) for x in range(len(self.ids))])
@@ -97,16 +118,15 @@ def join_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id: str = "ve
 
     Rows with equal vectors join as one with their number. A row that is null,
     zero or holds null or non-finite components links with nothing and is its
-    own component, as do vectors of different lengths among each other. Rows
-    with a null id take no part in links and keep a null component. Repeated
-    ids are separate rows, counted as links; their component is shared. An
-    empty table gives an empty result; other columns are ignored.
+    own component, as do vectors of different lengths among each other. A null
+    id is no smallest one: a component has one only if all its ids are null.
+    Repeated ids are separate rows, counted as links. An empty table gives an empty result; other columns are ignored.
     """
     spark = vectors.sparkSession
     kind = vectors.schema[id].dataType.simpleString()
     rows = vectors.select(F.col(id).cast("long").alias("id"), F.transform(values, lambda x: x.cast("double")).alias("v"))
     big = F.lit(1.7976931348623157e308)
-    sound = (F.col("id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) > big))
+    sound = (F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) > big))
              & F.exists("v", lambda x: x != 0))
     sound = F.coalesce(sound, F.lit(False))
     # one row for equal vectors: its smallest id, and how many
@@ -141,7 +161,12 @@ def join_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id: str = "ve
 
     cells = classes.select("v").mapInArrow(homes, "d long, cell long, reach double").groupBy("d", "cell").agg(
         F.count("*").alias("n"), F.max("reach").alias("reach")).collect()  # pivots x lengths
-    reach = spark.sparkContext.broadcast({(r["d"], r["cell"]): (r["reach"], max(1, -(-r["n"] // CELL_ROWS))) for r in cells})
+    reached, tasks = {}, 0           # by cell: reach, blocks, number of the first block
+    for r in sorted(cells, key=lambda r: (r["d"], r["cell"])):
+        blocks = max(1, -(-r["n"] // CELL_ROWS))
+        reached[r["d"], r["cell"]] = (r["reach"], blocks, tasks)
+        tasks += blocks
+    reach = spark.sparkContext.broadcast(reached)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -154,7 +179,7 @@ def join_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id: str = "ve
                 for cell in range(a.shape[1]):
                     if (d, cell) not in reach.value:
                         continue
-                    far, blocks = reach.value[d, cell]
+                    far, blocks, nth = reach.value[d, cell]
                     here = np.flatnonzero((own == cell) | ((a[:, cell] - low <= 2 * radius) & (a[:, cell] <= far + radius)))
                     if not len(here):
                         continue
@@ -167,12 +192,13 @@ def join_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id: str = "ve
                             t = here[take]
                             if len(t):
                                 yield pa.RecordBatch.from_arrays(
-                                    [pa.array(np.full(len(t), (d << 40) + (cell << 24) + block)), pa.array(np.full(len(t), first, np.int8)), pa.array(key[at[t]]),
+                                    [pa.array(np.full(len(t), nth + block)), pa.array(np.full(len(t), d)), pa.array(np.full(len(t), first, np.int8)), pa.array(key[at[t]]),
                                      pa.array(a[t, cell]), pa.array(w[at[t]]), pa.array(packed[t].tolist(), pa.binary())],
-                                    names=["cell", "turn", "class", "angle", "n", "v"])
+                                    names=["cell", "d", "turn", "class", "angle", "n", "v"])
 
-    dealt = classes.mapInArrow(deal, "cell long, turn byte, class long, angle double, n long, v binary")
-    dealt = dealt.repartition("cell").sortWithinPartitions("cell", "turn", "angle")
+    dealt = classes.mapInArrow(deal, "cell long, d long, turn byte, class long, angle double, n long, v binary")
+    parts = max(1, min(tasks, 20_000))
+    dealt = dealt.repartitionById(parts, F.pmod("cell", F.lit(parts)).cast("int")).sortWithinPartitions("cell", "turn", "angle")
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, block, held = None, None, []
@@ -194,7 +220,7 @@ def join_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id: str = "ve
                         if block is not None:
                             yield out(*block.end())
                         at, block, held = c, None, []
-                    d = int(c) >> 40
+                    d = int(b.column("d")[int(rows_[0])].as_py())
                     part = [b.column("class").to_numpy()[rows_], np.frombuffer(b"".join(b.column("v").take(pa.array(rows_)).to_pylist())).reshape(-1, d),
                             b.column("angle").to_numpy()[rows_], b.column("n").to_numpy()[rows_]]
                     if t == 0:
@@ -220,7 +246,7 @@ def join_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id: str = "ve
     good = rows.where(sound).join(result, "v").select("id", (F.col("links") - 1).alias("n_links"), "component_id")
     rest = rows.where(~sound).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return good.union(rest).select(F.col("id").cast(kind).alias(id), "n_links", "component_id",
-                                   F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+                                   F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def _scaled(x: np.ndarray) -> np.ndarray:

@@ -3,22 +3,19 @@
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 VECTOR_LINKS = """
-WITH RECURSIVE v AS (
-  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+WITH RECURSIVE rows_ AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings),
+v AS (
+  SELECT r, embedding::DOUBLE[] AS e FROM rows_
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links AS (
-  SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b
-    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
+  SELECT a.r AS u, b.r AS w FROM v a JOIN v b ON a.r <> b.r AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
 ), reach AS (
-  SELECT vec_id, vec_id AS r FROM v
-  UNION SELECT reach.vec_id, links.w FROM reach JOIN links ON links.u = reach.r
-), part AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id),
-counts AS (SELECT u AS vec_id, count(*) AS n FROM links GROUP BY u)
-SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, e.vec_id) AS component_id,
-       e.vec_id = coalesce(component_id, e.vec_id) AS kept
-FROM embeddings e LEFT JOIN part USING (vec_id) LEFT JOIN counts USING (vec_id)
+  SELECT r, r AS t FROM rows_ UNION SELECT reach.r, links.w FROM reach JOIN links ON links.u = reach.t
+), part AS (SELECT reach.r, min(vec_id) AS component_id FROM reach JOIN rows_ ON rows_.r = reach.t GROUP BY reach.r),
+counts AS (SELECT u AS r, count(*) AS n FROM links GROUP BY u)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows_ JOIN part USING (r) LEFT JOIN counts USING (r)
 """
 
 JACCARD_GROUPS = f"""
