@@ -129,36 +129,110 @@ def kl_cells(ref, cur, k: int, window: int) -> tuple[float, bool]:
     return kl, bool(2.0 * window * kl > chi2_95(K - 1))
 
 
-def kl_kmeans_windows(df: DataFrame, key: str, order: list[str], vector: str,
-                      o: C.KlOptions = C.KlOptions()) -> DataFrame:
+def kmeans_pairs(ref, cur, n_cur, k: int, window: int):
+    """``kl_cells`` of many windows at once: (KL, change) of ``ref`` (windows x W x dim) against ``cur``, of which
+    the first ``n_cur`` rows of each count."""
+    import numpy as np
+    many, W, dim = ref.shape
+    same = (ref[:, :, None, :] == ref[:, None, :, :]).all(3)
+    new = ~np.tril(same, -1).any(2)                              # first of its value in the window
+    nth = np.cumsum(new, 1) - 1
+    c = np.full((many, k, dim), np.inf)
+    w, i = np.nonzero(new & (nth < k))
+    c[w, nth[w, i]] = ref[w, i]
+    cells = np.minimum(new.sum(1), k)
+    valid = np.arange(k) < cells[:, None]
+
+    def nearest(x, c, valid):
+        d = ((x[:, :, None, :] - np.where(valid[:, :, None], c, 0.0)[:, None, :, :]) ** 2).sum(3)
+        return np.where(valid[:, None, :], d, np.inf).argmin(2)
+
+    active, met = np.arange(many), []
+    while len(active):                   # Lloyd's steps of the windows whose labels still change
+        x = ref[active]
+        lab = nearest(x, c[active], valid[active])
+        seen = np.zeros(len(active), bool)
+        for old in met:
+            seen |= (old == lab).all(1)
+        met = [old[~seen] for old in met] + [lab[~seen]]
+        active, x, lab = active[~seen], x[~seen], lab[~seen]
+        total, count = np.zeros((len(active), k, dim)), np.zeros((len(active), k))
+        rows = np.arange(len(active))
+        for i in range(W):               # in row order, as the mean of one window adds
+            total[rows, lab[:, i]] += x[:, i]
+            count[rows, lab[:, i]] += 1
+        hit = count > 0
+        moved = c[active]
+        moved[hit] = total[hit] / count[hit][:, None]
+        c[active] = moved
+
+    def shares(x, n):
+        lab = nearest(x, c, valid)
+        there = np.arange(x.shape[1]) < n[:, None]
+        counts = np.stack([((lab == j) & there).sum(1) for j in range(k)], 1).astype(float)
+        return (counts + 0.5) / (n + 0.5 * cells)[:, None]
+
+    p, q = shares(ref, np.full(many, W)), shares(cur, n_cur)
+    kl = np.where(valid, p * np.log(p / q), 0.0).sum(1)
+    limit = np.array([chi2_95(int(n) - 1) for n in cells])
+    return kl, 2.0 * window * kl > limit
+
+
+GROUP = 512            # windows of a key that one task compares at once
+
+
+def kl_kmeans_windows(df: DataFrame, key: str, order: list[str], vector: str, o: C.KlOptions = C.KlOptions()) -> DataFrame:
     """``key, win, kl, change`` with cells from k-means of the previous window.
 
-    Every row joins two groups: its own window (current side) and the next
-    one (reference side), so each ``(key, window)`` group holds at most
-    ``2 W`` rows and all window pairs are computed in parallel."""
-    import pandas as pd
+    A key's windows are dealt in groups of ``GROUP``; a group also gets the last
+    window of the group before. Each row so moves once, but those at the
+    borders twice, and all windows of a group are one numpy problem. Rows of a
+    key must have one length.
+    """
+    import numpy as np
+    import pyarrow as pa
 
-    d = row_index(df.select(key, *order, vector), key, order)
-    d = d.withColumn("win", F.floor((F.col("rn") - 1) / o.window).cast("bigint"))
-    sides = F.explode(F.array(F.struct(F.col("win").alias("g"), F.lit(False).alias("ref")),
-                              F.struct((F.col("win") + 1).alias("g"), F.lit(True).alias("ref"))))
-    pairs = d.select(key, "rn", vector, sides.alias("_s")).select(key, F.col("_s.g").alias("win"),
-                                                                  F.col("_s.ref").alias("ref"), "rn", vector)
     W, K = o.window, o.bins
-
-    def per_pair(pdf: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-        pdf = pdf.sort_values("rn")
-        ref = pdf[pdf["ref"]]
-        cur = pdf[~pdf["ref"]]
-        if ref.empty or cur.empty:
-            return pd.DataFrame(columns=[key, "win", "kl", "change"])
-        kl, chg = kl_cells(np.vstack(ref[vector].to_numpy()), np.vstack(cur[vector].to_numpy()), K, W)
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "win": [int(pdf["win"].iloc[0])],
-                             "kl": [round(kl, 6)], "change": [chg]})
-
+    d = row_index(df.select(key, *order, vector), key, order)
+    d = d.withColumn("win", F.floor((F.col("rn") - 1) / W).cast("bigint"))
+    group = F.floor(F.col("win") / GROUP).cast("bigint")
+    groups = F.when(F.col("win") % GROUP == GROUP - 1, F.array(group, group + 1)).otherwise(F.array(group))
+    rows = d.select(F.explode(groups).alias("_g"), key, "win", "rn", F.col(vector).alias("_v"))
+    rows = rows.repartition(key, "_g").sortWithinPartitions(key, "_g", "rn")
     schema = f"{key} string, win long, kl double, change boolean"
-    return pairs.groupBy(key, "win").applyInPandas(per_pair, schema)
+
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        name, g = rows[key][0], rows["_g"][0].as_py()
+        win = rows["win"].to_numpy()
+        x = rows["_v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(win), -1)
+        first = int(win[0])
+        at = np.zeros((int(win[-1]) - first + 1, W, x.shape[1]))
+        at[win - first, (rows["rn"].to_numpy() - 1) % W] = x
+        n = np.bincount(win - first, minlength=len(at))
+        cur = np.arange(max(1, g * GROUP - first), len(at))          # windows of the group that have one before
+        kl, change = kmeans_pairs(at[cur - 1], at[cur], n[cur], K, W)
+        return pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(cur), pa.string()), pa.array(cur + first), pa.array(np.round(kl, 6)),
+                                           pa.array(change)], names=[key, "win", "kl", "change"])
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        last = None
+        for b in batches:
+            ks = list(zip(b.column(key).to_pylist(), b.column("_g").to_pylist()))
+            a = 0
+            for i in range(len(ks) + 1):
+                if i < len(ks) and ks[i] == last:
+                    continue
+                if i > a:
+                    held.append(b.slice(a, i - a))
+                if i < len(ks):
+                    if held:
+                        yield pairs(pa.Table.from_batches(held))
+                    held, last, a = [], ks[i], i
+        if held:
+            yield pairs(pa.Table.from_batches(held))
+
+    return rows.mapInArrow(run, schema)
 
 
 class KlKmeansRows:
