@@ -120,7 +120,7 @@ class AdwinOptions(Options):
     delta: float = opt(0.002, 0.0, 1.0)
     clock: int = opt(32, 1, BIG)
     min_side: int = opt(5, 1, BIG)
-    exact: bool = False         # True: every split (quadratic, whole window kept); else exponential histogram, O(buckets * log n) state
+    exact: bool = False         # True: every split (quadratic, whole window kept); else exponential histogram of blocks of ``clock`` rows
     buckets: int = opt(5, 2, 64)
 
 

@@ -1,4 +1,4 @@
-"""Block detectors: SeqDrift1 and SEED look at data only at block borders.
+"""Block detectors: SeqDrift1, SEED and the histogram form of ADWIN look at data only at block borders.
 
 Rows are numbered per key (chunk-parallel, ``ordering.row_index``), cut into
 blocks of ``B`` rows and pre-aggregated to ``(n, sum, sumsq, end_rn)`` with
@@ -143,6 +143,73 @@ class Seed:
                 i += 1
 
 
+class AdwinBlocks:
+    """ADWIN over an exponential histogram (Bifet and Gavalda 2007) of blocks.
+
+    A block of ``clock`` rows enters as one bucket; of each size at most
+    ``buckets`` buckets stay, the two oldest merge first. Splits are tested at
+    the buckets' borders, at every block, with both sides of at least
+    ``min_side`` rows. State and work per block are O(buckets * log n).
+    """
+
+    __slots__ = ("o", "b")
+
+    def __init__(self, o: C.AdwinOptions = C.AdwinOptions()):
+        self.o = o
+        self.b = []                 # [n, sum, sumsq], oldest first
+
+    def dump(self) -> list[float]:
+        return [v for bucket in self.b for v in bucket]
+
+    def load(self, v) -> None:
+        self.b = [list(v[i:i + 3]) for i in range(0, len(v), 3)]
+
+    def _compress(self):
+        b, i = self.b, len(self.b) - 1
+        while i >= 0:
+            size, j = b[i][0], i
+            while j > 0 and b[j - 1][0] == size:
+                j -= 1
+            if i - j + 1 <= self.o.buckets:
+                return
+            b[j:j + 2] = [[b[j][k] + b[j + 1][k] for k in range(3)]]
+            i = j                   # the merged bucket is the newest of the next size
+
+    def _cut(self) -> int | None:
+        b = self.b
+        N = sum(x[0] for x in b)
+        if N < 2 * self.o.min_side or len(b) < 2:
+            return None
+        S = sum(x[1] for x in b)
+        mu = S / N
+        var = sum(x[2] for x in b) / N - mu * mu
+        if var < 0.0:
+            var = 0.0
+        dd = math.log(2.0 * math.log(N) / self.o.delta)
+        n0 = s0 = 0.0
+        best = None
+        for i in range(1, len(b)):
+            n0 += b[i - 1][0]
+            s0 += b[i - 1][1]
+            n1 = N - n0
+            if n0 < self.o.min_side or n1 < self.o.min_side:
+                continue
+            inv_m = 1.0 / n0 + 1.0 / n1
+            eps = math.sqrt(2.0 * inv_m * var * dd) + 2.0 * inv_m / 3.0 * dd
+            if abs(s0 / n0 - (S - s0) / n1) > eps:
+                best = i
+        return best
+
+    def step(self, n, s, q):
+        self.b.append([float(n), s, q])
+        self._compress()
+        change = False
+        while (cut := self._cut()) is not None:
+            del self.b[:cut]
+            change = True
+        return False, change
+
+
 class BlockRows:
     """Row-at-a-time face of a block detector (streams, vector detectors):
     values are summed into the current block, which is handed to the block
@@ -184,15 +251,21 @@ def seqdrift1_rows(o: C.SeqDrift1Options = C.SeqDrift1Options()) -> BlockRows:
     return BlockRows(SeqDrift1(o), o.block)
 
 
+def adwin_rows(o: C.AdwinOptions = C.AdwinOptions()) -> BlockRows:
+    return BlockRows(AdwinBlocks(o), o.clock)
+
+
 def _make(cls, opts):
     return cls(opts)
 
 
 def block_alarms(df: DataFrame, key: str, order: list[str], x: str, detector: str, **options) -> DataFrame:
     """``key, rn, warning, change`` (``rn`` = last row of the alarming block)."""
-    cls, ocls = {"SEQ1": (SeqDrift1, C.SeqDrift1Options), "SEED": (Seed, C.SeedOptions)}[detector]
+    cls, ocls, size = {"SEQ1": (SeqDrift1, C.SeqDrift1Options, "block"), "SEED": (Seed, C.SeedOptions, "block"),
+                       "ADWIN": (AdwinBlocks, C.AdwinOptions, "clock")}[detector]
     o = ocls(**options)
+    block = getattr(o, size)
     # a block is tested when it completes: a trailing partial block waits
-    stats = block_stats(df, key, order, x, o.block).filter(F.col("n") == o.block)
+    stats = block_stats(df, key, order, x, block).filter(F.col("n") == block)
     a = fold_alarms(stats, [key], ["block"], ["n", "sx", "sxx"], partial(_make, cls, o), carry=["end_rn"])
     return a.select(key, F.col("end_rn").alias("rn"), "warning", "change")

@@ -12,7 +12,7 @@ evaluation order of every expression as written.
   EDDM                  Baena-Garcia et al. 2006
   EWMA (ECDD)           Ross et al. 2012
   HDDM_A, HDDM_W        Frias-Blanco et al. 2015
-  ADWIN                 Bifet and Gavalda 2007 (exact split search)
+  ADWIN                 Bifet and Gavalda 2007 (exact split search here, histogram in blocks)
   SEED                  Huang et al. 2014
   SeqDrift1             Sakthithasan et al. 2013
 """
@@ -406,82 +406,9 @@ class Adwin:
         return False, change
 
 
-class AdwinHist:
-    """ADWIN over an exponential histogram (Bifet and Gavalda 2007): buckets
-    of 2^i values, at most ``buckets`` of each size, merged oldest-first.
-    Splits are tested at bucket borders only, so state and work per check
-    are O(buckets * log n) instead of O(n)."""
-
-    __slots__ = ("o", "t", "b")
-
-    def __init__(self, o: C.AdwinOptions = C.AdwinOptions(exact=False)):
-        self.o = o
-        self.t = 0
-        self.b = []                 # [n, sum, sumsq], oldest first
-
-    def dump(self) -> list[float]:
-        return [float(self.t)] + [v for bucket in self.b for v in bucket]
-
-    def load(self, v) -> None:
-        self.t = int(v[0])
-        rest = list(v[1:])
-        self.b = [rest[i:i + 3] for i in range(0, len(rest), 3)]
-
-    def _insert(self, x):
-        b = self.b
-        b.append([1.0, x, x * x])
-        size, i = 1.0, len(b) - 1          # merge from the newest size class upwards
-        while True:
-            same = [j for j in range(i, -1, -1) if b[j][0] == size]
-            if len(same) <= self.o.buckets:
-                break
-            j1, j0 = same[-1], same[-2]    # the two oldest of this size (j1 < j0)
-            b[j1] = [b[j1][0] + b[j0][0], b[j1][1] + b[j0][1], b[j1][2] + b[j0][2]]
-            del b[j0]
-            size, i = size * 2.0, j1
-
-    def _cut(self) -> int | None:
-        b = self.b
-        N = sum(x[0] for x in b)
-        if N < 2 * self.o.min_side or len(b) < 2:
-            return None
-        S = sum(x[1] for x in b)
-        mu = S / N
-        var = sum(x[2] for x in b) / N - mu * mu
-        if var < 0.0:
-            var = 0.0
-        dd = math.log(2.0 * math.log(N) / self.o.delta)
-        n0 = s0 = 0.0
-        best = None
-        for i in range(1, len(b)):
-            n0 += b[i - 1][0]
-            s0 += b[i - 1][1]
-            n1 = N - n0
-            if n0 < self.o.min_side or n1 < self.o.min_side:
-                continue
-            inv_m = 1.0 / n0 + 1.0 / n1
-            eps = math.sqrt(2.0 * inv_m * var * dd) + 2.0 * inv_m / 3.0 * dd
-            if abs(s0 / n0 - (S - s0) / n1) > eps:
-                best = i
-        return best
-
-    def step(self, x):
-        self.t += 1
-        self._insert(x)
-        if self.t % self.o.clock:
-            return False, False
-        change = False
-        while True:
-            cut = self._cut()
-            if cut is None:
-                break
-            del self.b[:cut]
-            change = True
-        return False, change
-
-
 def _adwin(o: C.AdwinOptions):
-    return Adwin(o) if o.exact else AdwinHist(o)
+    from tidewatch.operators.blocks import adwin_rows
+    return Adwin(o) if o.exact else adwin_rows(o)
 
 
 UNIVARIATE = {

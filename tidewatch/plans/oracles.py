@@ -225,6 +225,40 @@ def _seed_sql() -> str:
             + _seed_ctes("src", ["model_id"], C.SeedOptions(**opts)) + "\nSELECT model_id, rn, FALSE AS warning, TRUE AS change FROM sd")
 
 
+def _adwin_blocks_sql() -> str:
+    """ADWIN on the histogram of blocks: add a block, merge while a size has too many buckets, cut while a border qualifies."""
+    _, signal, opts = Q.BLOCK_QUERIES["det_adwin_histogram"]
+    o = C.AdwinOptions(**opts)
+    one, two, three = D1, lit(2.0), lit(3.0)
+    n0, s0 = "list_sum(list_transform(b[1:j], lambda x: x.n))", "list_sum(list_transform(b[1:j], lambda x: x.s))"
+    inv = f"({one} / {n0} + {one} / (nn - {n0}))"
+    border = (f"{n0} >= {o.min_side} AND nn - {n0} >= {o.min_side} AND "
+              f"abs({s0} / {n0} - (ss - {s0}) / (nn - {n0})) > sqrt({two} * {inv} * v * dd) + {two} * {inv} / {three} * dd")
+    full = f"list_filter(ns, lambda z: len(list_filter(ns, lambda y: y = z)) > {o.buckets})"
+    merged = "{'n': b[p].n + b[p + 1].n, 's': b[p].s + b[p + 1].s, 'q': b[p].q + b[p + 1].q}"
+    return f"""WITH RECURSIVE {SIG},
+blk AS (SELECT model_id, (rn - 1) // {o.clock} AS k, CAST(count(*) AS DOUBLE) AS n, sum({signal}) AS s, sum({signal} * {signal}) AS q
+        FROM sig GROUP BY ALL HAVING count(*) = {o.clock}),
+bls AS (SELECT model_id, list({{'n': n, 's': s, 'q': q}} ORDER BY k) AS bl FROM blk GROUP BY model_id),
+run AS (
+  SELECT model_id, bl, CAST(1 AS BIGINT) AS t, bl[1:1] AS b, 'merge' AS mode, FALSE AS chg FROM bls
+  UNION ALL
+  SELECT model_id, bl, CASE WHEN mode = 'add' THEN t + 1 ELSE t END,
+    CASE WHEN mode = 'add' THEN list_append(b, bl[t + 1])
+         WHEN mode = 'merge' AND p IS NOT NULL THEN list_concat(list_append(b[1:p - 1], {merged}), b[p + 2:])
+         WHEN best IS NOT NULL THEN b[best + 1:] ELSE b END,
+    CASE WHEN mode = 'add' OR p IS NOT NULL THEN 'merge' WHEN mode = 'merge' OR best IS NOT NULL THEN 'cut' ELSE 'add' END,
+    best IS NOT NULL
+  FROM (
+    SELECT *, CASE WHEN mode = 'merge' THEN list_position(ns, list_min({full})) END AS p,
+      CASE WHEN mode = 'cut' AND len(b) >= 2 AND nn >= {2 * o.min_side} THEN list_max(list_filter(range(1, len(b)), lambda j: {border})) END AS best
+    FROM (SELECT *, greatest(qq / nn - (ss / nn) * (ss / nn), {D0}) AS v, ln({two} * ln(nn) / {lit(o.delta)}) AS dd
+      FROM (SELECT *, list_transform(b, lambda x: x.n) AS ns, list_sum(list_transform(b, lambda x: x.n)) AS nn,
+                   list_sum(list_transform(b, lambda x: x.s)) AS ss, list_sum(list_transform(b, lambda x: x.q)) AS qq
+            FROM run WHERE mode <> 'add' OR t < len(bl)) AS r1) AS r2) AS r3)
+SELECT DISTINCT model_id, t * {o.clock} AS rn, FALSE AS warning, TRUE AS change FROM run WHERE chg"""
+
+
 WIDE = f"""wv AS (SELECT vec_id, 'wide-' || CAST(vec_id % 2 AS VARCHAR) AS model_id, vec_id // 40 AS batch_id, embedding,
   row_number() OVER (PARTITION BY vec_id % 2 ORDER BY vec_id) AS rn FROM embeddings),
 wc AS (SELECT *, unnest(embedding) AS c, unnest(range(len(embedding))) AS i FROM wv),
@@ -457,6 +491,7 @@ FROM d JOIN (SELECT model_id, dim FROM d WHERE rn = 1) AS f ON d.model_id = f.mo
 
     o["det_seed"] = _seed_sql()
     o["det_seqdrift1"] = _seqdrift1_sql()
+    o["det_adwin_histogram"] = _adwin_blocks_sql()
     for name in Q.KL_QUERIES:
         o[name] = _kl_sql(name)
     o["vote_warning_equals_change"] = ("SELECT model_id, win, change AS warning, change FROM ("

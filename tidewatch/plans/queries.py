@@ -57,6 +57,7 @@ FEATURE_QUERIES = {
 }
 BLOCK_QUERIES = {
     "det_seqdrift1": ("SEQ1", "s", dict(delta=0.01, warn_delta=0.1, block=200)),
+    "det_adwin_histogram": ("ADWIN", "s", dict(delta=0.002)),
     "det_seed": ("SEED", "s", dict(delta=0.05, block=32, eps_prime=0.01, alpha=0.8, compress=75)),
 }
 KL_QUERIES = {
