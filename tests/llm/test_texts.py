@@ -223,3 +223,70 @@ def test_pipeline_runs_all_stages(spark):
         assert out.columns == docs.columns, name
     tokens = corpus_pipeline.run(spark, sf)
     assert 0 < tokens.count() < 2 * docs.count()
+
+
+def test_a_hot_id_spreads_over_chunks(spark):
+    """A third of the rows has one id, some of them equal: keys, chunks and shards spread as with unique ids, the mix stays exact."""
+    rows = [(7, f"text {i // 3} of the hot id", "s", 0) for i in range(300)] + [(100 + i, f"own words {i}", "s", 0) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int")
+    m = mixing.mix(docs).collect()
+    taken, target = sum(r["taken"] for r in m), m[0]["target"]
+    assert len(m) == 900 and abs(taken - target) <= 3
+    hot = [r for r in m if r["doc_id"] == 7]
+    assert 0.3 < sum(r["epochs"] > 1 for r in hot) / len(hot) < 0.7          # the half of an epoch, sampled
+    got = collections.Counter((r["doc_id"], r["text"]) for r in mixing.mixed_documents(docs).collect())
+    assert sum(len(words(t)) * n for (_, t), n in got.items()) == taken
+    per_text = collections.Counter()
+    for r in hot:
+        per_text[r["text_md5"]] += r["epochs"]
+    assert sorted(per_text.values()) == sorted(n for (i, _), n in got.items() if i == 7)
+    shards = collections.Counter(r["shard"] for r in sharding.shard_documents(docs, shards=9).collect())
+    assert set(shards.values()) == {100}
+
+
+def test_personal_data_against_the_plain_patterns(spark):
+    """Random texts of the characters that matter: the base kinds are what the patterns find, leftmost and without retries."""
+    import random
+    import re
+    rnd = random.Random(11)
+    pieces = ["a.b@c.de", "x@y", "@", ".", "1.2.3.4", "256.1.1.1", "01.2.3.255", "4242 4242 4242 4242", "4111-1111-1111-1111", "+1 (555) 010-9999",
+              "+49.30.1234567", "+", "(", ")", "-", " ", "  ", "é", "😀", "9", "12", "345", "abc", "%+_", "\n", "\t"]
+    texts = ["".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 14))) for _ in range(3000)]
+
+    def luhn(d):
+        return sum(sum(divmod(2 * int(c), 10)) if k % 2 else int(c) for k, c in enumerate(reversed(d))) % 10 == 0
+
+    def plain(t):
+        digits = lambda s: re.sub("[^0-9]", "", s)
+        rules = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+                 ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(x) <= 255 for x in s.split("."))),
+                 ("card", r"[0-9]([\x20-]?[0-9])+", lambda s: 13 <= len(digits(s)) <= 19 and luhn(digits(s))),
+                 ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 9 <= len(digits(s)) <= 15)]
+        return [(k, m.start(), m.end()) for k, p, ok in rules for m in re.finditer(p, t) if ok(m.group())]
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = 0
+    for r in pii.find_pii(df).collect():
+        base = [(s["kind"], s["start"], s["end"]) for s in r["spans"] if s["kind"] in pii.BASE]
+        assert base == plain(texts[r["doc_id"]]), texts[r["doc_id"]]
+        found += len(base)
+    assert found > 1000
+
+
+def test_scores_from_the_convolutions(spark):
+    """The forward pass word by word: embeddings, taps, maxima and the output layer of a fitted model."""
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 200, rng.integers(0, 12)) for _ in range(60)]
+    y = np.array([1.0 if 3 in t else 0.0 for t in texts], np.float32)
+    model = toxicity.fit(texts, y, ["en"] * 60)
+    fresh = [rng.integers(0, 300, n) for n in (0, 1, 2, 3, 9)]
+    got = toxicity.score_buckets(model, model.tables(), np.concatenate(fresh), np.concatenate([[0], np.cumsum([len(t) for t in fresh])]))
+    zero = np.zeros(toxicity.DIM)
+    for t, s in zip(fresh, got):
+        x = [model.emb[model.rows[b]].astype(float) for b in t] + [zero] * 3
+        hidden = []
+        for w in toxicity.WIDTHS:
+            z = [sum(x[i + j] @ model.taps[w][j].astype(float) for j in range(w)) for i in range(max(1, len(x) - w + 1))]
+            hidden.append(np.maximum(np.max(z, axis=0) + model.bias[w], 0))
+        want = 1 / (1 + np.exp(-(np.concatenate(hidden) @ model.out + model.out_bias)))
+        assert s == pytest.approx(want, abs=1e-5)

@@ -6,16 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.graph import cut
-from tidewatch.llm.scan import running_sum
+from tidewatch.llm.scan import hash_chunk, running_sum, split_join, with_copies
 
 WORD = r"[^\x20\x09-\x0D]+"
 CYCLE = (5.0, 2.0, 1.0)
 CHUNKS = 1024
 
 
-def exponential_key(doc_id: Column, weight: Column) -> Column:
-    """Efraimidis-Spirakis key -ln(u) / weight; u in (0, 1) from the first 52 bits of md5(doc_id)."""
-    bits = F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 13), 16, 10).cast("double")
+def exponential_key(names: list[Column], weight: Column) -> Column:
+    """Efraimidis-Spirakis key -ln(u) / weight; u in (0, 1) from the first 52 bits of the md5 of ``names``, joined by colons."""
+    name = F.concat_ws(":", *[F.coalesce(n.cast("string"), F.lit("")) for n in names])
+    bits = F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("double")
     return -F.log((bits + 0.5) / F.lit(2.0**52)) / weight
 
 
@@ -62,18 +63,20 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, share: float = 1.5, mo
 
     Columns: doc_id, source, size, source_size, target, taken (size x
     epochs), epochs and text_md5. A null text has size 0, a null source
-    is a source of its own, null ids share one key; of several labels of an
-    id the largest counts. Repeated rows are separate documents. An empty
+    is a source of its own; of several labels of an id the largest counts.
+    A row's key comes from its id, its text and its number among equal rows,
+    so repeated rows and rows of one id are separate documents. An empty
     table gives an empty result; a source without words has target 0.
     """
-    rows = docs.select("doc_id", "source", F.md5(F.col("text")).alias("text_md5"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    rows = with_copies(docs.select("doc_id", "source", F.md5(F.col("text")).alias("text_md5"),
+                                   F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
     if labels is not None:
         q = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("_q"))
-        rows = rows.join(q, "doc_id", "left")
+        rows = split_join(rows, q, ["doc_id"], "left")
         weight = F.when(F.col("_q") == 1, 2.0).when(F.col("_q") == 0, 0.5).otherwise(1.0)
     else:
         weight = F.lit(1.0)
-    rows = cut(rows.withColumn("key", exponential_key(F.col("doc_id"), weight)).drop("_q"))
+    rows = cut(rows.withColumn("key", exponential_key([F.col("doc_id"), F.col("text_md5"), F.col("copy")], weight)).drop("_q", "copy"))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, share, most, cycle)
     rows = rows.join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
@@ -91,10 +94,17 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, share: float = 1.5, mo
 def mixed_documents(docs: DataFrame, labels: DataFrame | None = None, **options) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: each as often as its epochs say, none where it takes none.
 
-    Rows equal in doc_id, source and text are taken as often as the one taken most.
+    Rows equal in doc_id, source and text share what the mix takes of them as evenly as it goes.
     """
-    m = mix(docs, labels, **options).where("epochs > 0")
-    m = m.groupBy(F.col("doc_id").alias("_i"), F.col("source").alias("_s"), F.col("text_md5").alias("_h")).agg(F.max("epochs").alias("_e"))
-    same = (docs["doc_id"].eqNullSafe(F.col("_i")) & docs["source"].eqNullSafe(F.col("_s"))
-            & F.md5(docs["text"]).eqNullSafe(F.col("_h")))
-    return docs.join(m, same).withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_e")))).select(*[docs[c] for c in docs.columns])
+    def named(text_md5: Column) -> list[Column]:
+        return [F.xxhash64(F.lit(k), "doc_id", "source", text_md5).alias(f"_g{k}") for k in (1, 2)]
+
+    m = mix(docs, labels, **options).select(*named(F.col("text_md5")), "epochs")
+    m = m.groupBy("_g1", "_g2").agg(F.sum("epochs").alias("_e"), F.count("*").alias("_c")).where("_e > 0")
+    rows = split_join(docs.select("*", *named(F.md5("text"))), m, ["_g1", "_g2"])
+    alone = rows.where("_c = 1").withColumn("_times", F.col("_e"))
+    equal = cut(rows.where("_c > 1").withColumn("_r", F.monotonically_increasing_id()))
+    equal = running_sum(equal.withColumn("_chunk", hash_chunk("_r")).withColumn("_b", F.xxhash64("_r")), ["_g1", "_g2"], "_chunk", ["_b", "_r"], F.lit(1), "_nth")
+    equal = equal.withColumn("_times", F.floor(F.col("_e") / F.col("_c")) + F.when(F.col("_nth") <= F.col("_e") % F.col("_c"), 1).otherwise(0))
+    both = alone.select(*docs.columns, "_times").unionByName(equal.select(*docs.columns, F.col("_times").cast("long").alias("_times")))
+    return both.where("_times > 0").withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*docs.columns)

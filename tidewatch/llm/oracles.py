@@ -48,7 +48,8 @@ MIX = f"""
 WITH q AS (SELECT doc_id, max(quality) AS quality FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
 d AS (
   SELECT doc_id, source, len({WORDS})::BIGINT AS size,
-         -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+         -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(md5(text), '') || ':'
+           || row_number() OVER (PARTITION BY doc_id, source, text)), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
            / CASE quality WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 ELSE 1.0 END AS key
   FROM documents LEFT JOIN q USING (doc_id)
 ), s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),

@@ -35,6 +35,17 @@ def running_sum(df: DataFrame, keys: list[str], chunk: str, order: list[str], va
             .withColumn(out, F.col("_w") + F.col("_o")).drop("_v", "_w", "_o"))
 
 
+def with_copies(df: DataFrame) -> DataFrame:
+    """``df`` with ``copy``: 1, 2, ... among equal rows.
+
+    Equal rows are counted (a partial aggregate, so that many of them are one
+    row of the shuffle) and written out again, which numbers them without a
+    window over a hot row.
+    """
+    n = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+    return n.select(*df.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("copy"))
+
+
 def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """An equi-join whose hot keys adaptive execution can split.
 

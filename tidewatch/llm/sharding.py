@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.graph import cut
-from tidewatch.llm.scan import hash_chunk, running_sum, split_join
+from tidewatch.llm.scan import hash_chunk, running_sum, split_join, with_copies
 
 SHARDS = 40
 ROUNDS = 4
@@ -45,14 +45,14 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     group_size (documents with this text). A null text has size 16, crc32 0
     and no links; an empty text is an ordinary text. Repeated rows are
     separate documents. An empty table gives an empty result. Other columns
-    are ignored.
+    are ignored. Equal rows are told apart by a number, so that they spread like others.
     """
-    rows = cut(docs.select(
+    rows = cut(with_copies(docs.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16).alias("size"),
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
         F.unhex(F.md5(F.col("text"))).alias("gid"),
-    ).withColumn("key", F.xxhash64("doc_id", "gid")))
+    )).withColumn("key", F.when(F.col("copy") == 1, F.xxhash64("doc_id", "gid")).otherwise(F.xxhash64("doc_id", "gid", "copy"))).drop("copy"))
     n = rows.count()
     quota = [n // shards + (j < n % shards) for j in range(shards)]
     part = max(1, (n // shards) // 2)
@@ -86,8 +86,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
 
     placed = cut(rows.join(parts.where("settled").select("gid", "sub", F.col("label").alias("shard")), ["gid", "sub"], "left"))
     linked = F.col("n").isNotNull()
-    rest = placed.where("shard is null").withColumn("chunk", F.when(linked, hash_chunk("gid")).otherwise(
-        4096 + hash_chunk("key"))).withColumn("h", F.when(linked, F.xxhash64("gid")).otherwise(F.xxhash64("key")))
+    rest = placed.where("shard is null").withColumn("chunk", F.when(linked, hash_chunk("gid", "sub")).otherwise(
+        4096 + hash_chunk("key"))).withColumn("h", F.when(linked, F.xxhash64("gid", "sub")).otherwise(F.xxhash64("key")))
     rest = running_sum(rest.withColumn("one", F.lit(0)), ["one"], "chunk", ["h", "gid", "sub", "key", "doc_id"], F.lit(1), "place")
     ends, total = [], 0
     for r in room:
