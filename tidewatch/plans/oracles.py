@@ -465,6 +465,15 @@ SELECT model_id, batch_id,
   last_value(drift_probability IGNORE NULLS) OVER (PARTITION BY model_id ORDER BY batch_id {UPTO}) AS drift_probability,
   has IS NULL AS idle
 FROM j"""
+    days = "(batch_id - (SELECT min(batch_id) FROM ev))"
+    o["stream_snapshot_all_keys"] = _flagship(f"AND {days} < {3 * Q.STREAM_DAYS} AND NOT (model_id = 'error' AND {days} // {Q.STREAM_DAYS} = 1)") + f""",
+s2 AS (SELECT model_id, batch_id, axon, drift_probability, CAST({days} // {Q.STREAM_DAYS} AS BIGINT) AS epoch FROM st),
+idle AS (SELECT e.epoch, m.model_id FROM (SELECT DISTINCT epoch FROM s2) AS e, (SELECT DISTINCT model_id FROM s2) AS m
+         WHERE NOT EXISTS (SELECT 1 FROM s2 WHERE s2.epoch = e.epoch AND s2.model_id = m.model_id))
+SELECT epoch, model_id, batch_id, axon, drift_probability FROM s2
+UNION ALL
+SELECT i.epoch, i.model_id, max(s2.batch_id), arg_max(s2.axon, s2.batch_id), arg_max(s2.drift_probability, s2.batch_id)
+FROM idle AS i JOIN s2 ON s2.model_id = i.model_id AND s2.epoch < i.epoch GROUP BY i.epoch, i.model_id"""
     o["state_metadata_first"] = "WITH " + GOOD.format(extra="") + """
 SELECT model_id, batch_id, arg_min(model, ts) AS model, arg_min(axon, ts) AS axon, count(*) AS n_requests
 FROM good GROUP BY model_id, batch_id"""

@@ -82,6 +82,7 @@ METRIC = "input_drift_probability"
 RETENTION_AXON = "ax-0"
 RETENTION_ASOF = "2024-01-20 00:00:00"
 EXPIRY_SECONDS = 7 * 86_400
+STREAM_DAYS = 10          # days of one run of the stream that publishes idle models
 
 
 def _det(name: str, opts: dict):
@@ -433,6 +434,29 @@ def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.select(KEY, "batch_id", "warning_detected", "change_detected", "drift_probability")
 
 
+def stream_snapshot_all_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state table of a stream that publishes idle models: three runs over ten days
+    each from one checkpoint, ``error`` sending nothing in the second; each run
+    appends the models it saw and the last row of those it did not."""
+    from tidewatch.session import scratch_path
+    from tidewatch.sources.loglines import request_log_lines
+    from tidewatch.streaming import job
+
+    root = scratch_path(spark, "stream_snapshot")
+    events = I.events(spark, sf_dir)
+    first = events.agg(F.min(F.to_date("ts"))).first()[0]
+    part = F.floor(F.datediff(F.to_date("ts"), F.lit(first)) / STREAM_DAYS)
+    for k in range(3):
+        some = events.where((part == k) & ((F.col("event_type") != "error") | F.lit(k != 1)))
+        job.write_landing(request_log_lines(some, keep_ids=True), f"{root}/landing/run={k}")
+        q = job.start(spark, f"{root}/landing", f"{root}/out", f"{root}/checkpoint", detector=FLAGSHIP, publish_all_keys=True)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"stream failed: {q.exception()}")
+    table = spark.read.parquet(f"{root}/out/state_table")
+    return table.select(F.col("epoch").cast("bigint").alias("epoch"), KEY, "batch_id", "axon", "drift_probability")
+
+
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejects of the streaming job by reason; equal to the table mode (``log_reject_report``)."""
     from tidewatch.session import scratch_path
@@ -490,6 +514,7 @@ def registry() -> dict:
         "state_batches": state_batches,
         "stream_state": stream_state,
         "stream_rejects": stream_rejects,
+        "stream_snapshot_all_keys": stream_snapshot_all_keys,
         "log_message_rejects": log_message_rejects,
         "state_expired": state_expired,
         "state_rows": state_rows,
