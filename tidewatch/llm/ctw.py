@@ -26,8 +26,8 @@ from tidewatch.session import scratch_path
 DEPTH = 4
 LOW = 2  # shards share this many nearest bytes; less deep nodes are summed over shards (at most 65,536 of them)
 BLOCK_BYTES = 24 << 20
-PART_BYTES = 1 << 20
-MERGE_KEYS = 400_000  # keys that a worker gathers before it merges them
+PART_BYTES = 512 << 10
+MERGE_KEYS = 250_000  # keys that a worker gathers before it merges them
 EDGE = 0xFF  # no byte of UTF-8: stands before and behind a text
 _U = np.uint64
 
@@ -251,7 +251,9 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     h, first = _word_keys(data, offsets)
                     words.add(h, np.repeat(train[i:j], np.diff(first)))
             yield from grams.rows(GRAMS, block)
+            del grams
             yield from words.rows(WORDS, block)
+            pa.default_memory_pool().release_unused()
             yield pa.RecordBatch.from_arrays([pa.array([TEXTS], pa.int8()), pa.array([0]), pa.array([block]), pa.array([texts])],
                                              names=["kind", "k", "block", "c"])
 
@@ -370,7 +372,7 @@ def score(docs: DataFrame, train: Column, id: str = "doc_id", text: str = "text"
     log_base = np.log10(float(total_n + total_v + 1))
 
     def finish(blob: bytes, grams: Lookup, known_words: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        parts, own_k, own_c = [], [], []
+        parts, own_k, own_c, held = [], [], [], 0
         for t in _unpack(blob):                 # words are hashed once: for the block's own training counts, then for the scores
             flags = t.column(2).to_numpy(zero_copy_only=False).astype(bool)
             for i, j, data, offsets in slices(t.column(1), PART_BYTES):
@@ -379,9 +381,15 @@ def score(docs: DataFrame, train: Column, id: str = "doc_id", text: str = "text"
                 k, c = np.unique(h[np.repeat(flags[i:j], np.diff(first))], return_counts=True)
                 own_k.append(k)
                 own_c.append(c)
+                held += len(k)
+                if held > 2 * MERGE_KEYS + len(own_k[0]):
+                    k, c = _merge(own_k, own_c)
+                    own_k, own_c, held = [k], [c], len(k)
         own = Lookup(*_merge(own_k, own_c))
         elsewhere = Lookup(*known_words)
-        for t, data, offsets, h, first in parts:
+        for at in range(len(parts)):
+            t, data, offsets, h, first = parts[at]
+            parts[at] = None
             n = np.diff(offsets)
             p = grams(gram_keys(data, offsets)).astype(np.float64)
             score_ = np.add.reduceat(p, offsets[:-1] + np.arange(len(n))) / np.log(10)
@@ -408,6 +416,7 @@ def score(docs: DataFrame, train: Column, id: str = "doc_id", text: str = "text"
                 if i in heads:
                     if blob is not None:
                         yield from close(blob, got)
+                        pa.default_memory_pool().release_unused()
                     blob, got = b.column("texts")[i].as_py(), {"gk": [], "p": [], "wk": [], "t": []}
                 k, w = b.column("k").to_numpy()[i:j].view(_U), which[i:j]
                 got["gk"].append(k[w == GRAMS])
