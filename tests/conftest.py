@@ -25,6 +25,6 @@ def spark():
 def duck():
     import duckdb
     con = duckdb.connect()
-    for t in ["events"]:
+    for t in ["events", "embeddings"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con

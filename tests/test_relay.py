@@ -190,3 +190,25 @@ def test_entry_states_carry_only_what_goes_on():
     run = dict(dim=1, dumps=[[9.0]], apart=False, cuts=[None], tail=None)
     assert end_state(spec, run, None)["dumps"] == [[9.0]]
     assert end_state(spec, dict(run, cuts=[4]), None)["dumps"] == [[3.0]]
+
+
+@pytest.mark.parametrize("name, column, options", [DETECTORS[0], DETECTORS[3], DETECTORS[7]], ids=["CUSUM", "DDM", "HDDM_W"])
+def test_states_carry_over_slices(chunks, rows, name, column, options):
+    """Five slices of the rows, each from the states that the one before left, = all rows at once; idle keys keep theirs."""
+    detector = partial(make_detector, name, **options)
+    got, base, states = set(), {}, None
+    for k in range(5):
+        some = [r for r in rows if r[1] // 1200 == k and (r[0] != "d" or k != 2)]
+        df = chunks.createDataFrame(some, "k string, i long, x double, b double, u double, req long")
+        run = Relay(df, ["k"], ["i"], column, detector, states=states, keep_states=True)
+        got |= {(r.k, r.rn + base.get(r.k, 0), r.warning, r.change) for r in run.alarms().collect()}
+        for key in {r[0] for r in some}:
+            base[key] = base.get(key, 0) + sum(1 for r in some if r[0] == key and r["kixbu".index(column)] == r["kixbu".index(column)]
+                                               and r["kixbu".index(column)] is not None)
+        new = run.states()
+        kept = {r.k: r.state for r in new.collect()}
+        assert set(kept) == {r[0] for r in some} and new.count() == len(kept)
+        old = {} if states is None else {r.k: r.state for r in states.collect()}
+        states = chunks.createDataFrame(list((old | kept).items()), "k string, state string")
+    whole = [r for r in rows if r[0] != "d" or r[1] // 1200 != 2]
+    assert got == {(r[0], r[1], r[3], r[4]) for r in sequential(whole, column, detector)}

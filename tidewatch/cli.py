@@ -29,6 +29,7 @@ from tidewatch.registry import detector_from_conf
 from tidewatch.streaming.push import http_sender
 from tidewatch.session import get_session
 from tidewatch.streaming import job
+from tidewatch.streaming.chunked import start_chunked
 from tidewatch.streaming.sinks import metric_rows, state_table_rows
 from tidewatch.streaming.stateful import detector_factory
 
@@ -76,6 +77,15 @@ def run_stream(spark, args):
                            partial(make_detector, args.detector, **json.loads(args.options or "{}")),
                            args.combine, args.threshold, signal=I.identity_cells, fmt=_format(args),
                            max_files_per_trigger=args.max_files_per_trigger)
+    if args.chunked:
+        unused = [f"--{k.replace('_', '-')}" for k, default in (
+            ("job_conf", None), ("batch_by", "event_day"), ("publish_all_keys", False), ("rocksdb", False)) if getattr(args, k) != default]
+        if unused:
+            raise SystemExit(f"--chunked does not take {', '.join(unused)}")
+        return start_chunked(spark, args.landing, args.out, args.checkpoint, (args.detector, json.loads(args.options or "{}")), _format(args),
+                             I.identity_cells, args.max_files_per_trigger, args.trigger_seconds is None,
+                             f"{args.trigger_seconds} seconds" if args.trigger_seconds else None,
+                             send=http_sender() if args.push else None, metric=args.metric, gateway=gateway)
     q = job.start(spark, args.landing, args.out, args.checkpoint, detector=_detector(args), signal=I.identity_cells,
                   max_files_per_trigger=args.max_files_per_trigger,
                   available_now=args.trigger_seconds is None,
@@ -113,6 +123,7 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--push", action="store_true", help="send the metric lines over HTTP as well")
             s.add_argument("--rocksdb", action="store_true")
             s.add_argument("--split", action="store_true", help="state per (model, feature), combined per request")
+            s.add_argument("--chunked", action="store_true", help="micro-batches folded in chunks, model states in a table")
             s.add_argument("--combine", default="any", choices=["any", "majority", "logistic"])
             s.add_argument("--threshold", type=float, default=0.5)
     return p

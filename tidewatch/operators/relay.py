@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from tidewatch.operators.sizes import broadcast_small
 from tidewatch.session import scratch_path
 
-ROW, ALARM, HEAD, REJECT, SUMMARY = range(5)
+ROW, ALARM, HEAD, REJECT, SUMMARY, STATE = range(6)
 NO_FEATURE = -1
 NOTED = 4096           # restarts of a chunk's run noted, over all features; a run that joins at none of them goes on to the chunk's end
 
@@ -212,9 +212,9 @@ class Fold:
     """What the tasks do: sorted Arrow batches into segments, and segments' results into tagged rows."""
 
     def __init__(self, keys: list[str], kept: list[str], detector: Callable[[], object], depth: int, req: str | None, any_row: bool,
-                 heads_by: str | None, schema: T.StructType):
+                 heads_by: str | None, schema: T.StructType, keep_states: bool):
         self.keys, self.kept, self.detector, self.depth = keys, kept, detector, depth
-        self.req, self.any_row, self.heads_by, self.schema = req, any_row, heads_by, schema
+        self.req, self.any_row, self.heads_by, self.schema, self.keep_states = req, any_row, heads_by, schema, keep_states
 
     def _arrow(self, batch: pa.RecordBatch) -> pa.Schema:
         kinds = {"integer": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "string": pa.string()}
@@ -277,6 +277,7 @@ class Fold:
             xs = _lists(batch.column("_x")) if self.depth else _floats(batch.column("_x"))
             reqs = batch.column(self.req).to_pylist() if self.req else None
             groups = batch.column(self.heads_by).to_pylist() if self.heads_by else None
+            stored = batch.column("_state").is_valid().to_pylist() if "_state" in batch.schema.names else None
             while a < len(ks):
                 b = a + 1
                 while b < len(ks) and ks[b] == ks[a]:
@@ -285,6 +286,10 @@ class Fold:
                     if seg is not None:
                         yield from self._end(arrow, seg, batch, False, finish(seg, False))
                     seg, key = begin(batch, a), ks[a]
+                    if stored and stored[a]:             # the key's state before these rows: no row of its own
+                        a += 1
+                        if a == b:
+                            continue
                 if seg.keep:
                     some = batch.slice(a, b - a)
                     yield self._made(arrow, ROW, seg, some, _x=some.column("_x"), _seq=pa.array(range(seg.seq, seg.seq + b - a), pa.int64()))
@@ -304,14 +309,18 @@ class Fold:
             yield from self._alarms(arrow, seg, rows, [(seg.open_row, 0, seg.n, *seg.open)], "open" if last else None)
         if report:
             yield self._made(arrow, SUMMARY, seg, seg.key_row, _info=pa.array([json.dumps(dict(seg.summary(), last=last))]))
+        elif self.keep_states and seg.n and not seg.skip and not seg.first:
+            yield self._made(arrow, STATE, seg, seg.key_row, _info=pa.array([json.dumps(end_state(seg.summary(), None, None))]))
 
     def speculate(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         started = []
 
         def begin(batch: pa.RecordBatch, row: int) -> Segment:
             pid = batch.column("_pid")[0].as_py()
-            seg = Segment(self.detector, self.any_row, pid, not started, batch.slice(row, 1))
-            seg.keep = not started and pid > 0          # the first key may go on from the chunk before: its rows are kept for that
+            state = batch.column("_state")[row].as_py() if "_state" in batch.schema.names else None
+            seg = Segment(self.detector, self.any_row, pid, not started, batch.slice(row, 1), state and json.loads(state))
+            # the first key may go on from the chunk before: its rows are kept for that
+            seg.keep = not started and pid > 0 and state is None
             started.append(True)
             del started[1:]
             return seg
@@ -354,10 +363,13 @@ class Relay:
     change (``restarts``) can join a speculation. ``carry``: columns handed through. With
     ``heads`` (a column of the order), the first request of each run of its
     values is reported, with the number of the run's requests in the chunk.
+    ``states`` (keys, state) of earlier runs are gone on from; with
+    ``keep_states`` (or given states) ``states()`` has those of the keys of ``df``.
     """
 
     def __init__(self, df: DataFrame, keys: list[str], order: list[str], x: str, detector: Callable[[], object], req: str | None = None,
-                 carry: list[str] | None = None, any_row: bool = False, heads: str | None = None):
+                 carry: list[str] | None = None, any_row: bool = False, heads: str | None = None, states: DataFrame | None = None,
+                 keep_states: bool = False):
         self.spark = df.sparkSession
         self.keys = keys
         self.kept = list(dict.fromkeys([*keys, *([req] if req else []), *(carry or []), *([heads, *order] if heads else [])]))
@@ -371,14 +383,20 @@ class Relay:
         depth, kind = 0, fields[x]
         while isinstance(kind, T.ArrayType):
             depth, kind = depth + 1, kind.elementType
-        self.fold = Fold(keys, self.kept, detector, depth, req, any_row, heads, self.schema)
+        self.fold = Fold(keys, self.kept, detector, depth, req, any_row, heads, self.schema, keep_states or states is not None)
+        first, extra = [], []
+        if states is not None:                # a key's state stands before its rows
+            src = src.withColumn("_behind", F.lit(1)).withColumn("_state", F.lit(None).cast("string")).unionByName(
+                states.select(*keys, F.col("state").alias("_state"), F.lit(0).alias("_behind")), allowMissingColumns=True)
+            first, extra = ["_behind"], ["_state"]
         # the only exchange of rows: chunks of the global order, of about equal size
-        ranged = src.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+        ranged = src.repartitionByRange(*keys, *first, *order).sortWithinPartitions(*keys, *first, *order)
         path = scratch_path(self.spark, "relay")
-        ranged.select(*self.kept, F.col(x).alias("_x"), F.spark_partition_id().alias("_pid")).mapInArrow(self.fold.speculate, self.schema).write.parquet(path)
+        ranged.select(*self.kept, F.col(x).alias("_x"), *extra, F.spark_partition_id().alias("_pid")).mapInArrow(self.fold.speculate, self.schema).write.parquet(path)
         self.stored = self.spark.read.schema(self.schema).parquet(path)
         self.verdict: dict[int, list] = {}
         self.runs: list[DataFrame] = []
+        self.ends: list[tuple] = []              # (key, state) of the keys that a chunk begins or ends with
         self._relay()
 
     # ------------------------------------------------------------ on the driver: the chunk table
@@ -415,9 +433,13 @@ class Relay:
                 chains[-1].append(b)
             else:
                 chains.append([a, b])
-        if not chains:
-            return
-        spec = firsts
+        spec, second, third = firsts, {}, {}
+        if chains:
+            second, third = self._redo(chains, spec, lasts)
+        self._judge(chains, spec, lasts, second, third)
+
+    def _redo(self, chains: list[list[int]], spec: dict, lasts: dict) -> tuple[dict, dict]:
+        """Summaries of the second and third pass by pid."""
         entries = {}
         for chain in chains:
             for a, b in zip(chain, chain[1:]):
@@ -440,22 +462,36 @@ class Relay:
                     tasks[b] = wrong
                     plan[b] = dict(spec=spec[b], entry=None if any(t == wrong for x, t in tasks.items() if x != b) else entry,
                                    used=entries[b], end=ends[b])
-        third = self._rerun(tasks, plan) if tasks else {}
+        return second, self._rerun(tasks, plan) if tasks else {}
 
+    def _judge(self, chains: list[list[int]], spec: dict, lasts: dict, second: dict, third: dict) -> None:
+        ends: dict[int, dict] = {}
         # by pid: goes on with the chunk before, rows of the key before it, run that holds, apart, cuts; last request goes on in the next chunk
         for chain in chains:
-            base, n = 0, lasts[chain[0]]["n"]
+            base, n, end = 0, lasts[chain[0]]["n"], end_state(lasts[chain[0]], None, None)
             for k, b in enumerate(chain):
                 mine = self.verdict.setdefault(b, [False, 0, 0, False, [], False])
                 if k:
                     base += n
                     run = third.get(b) or second[b]
+                    entry = entry_state(end, spec[b])
+                    end = end_state(spec[b], run, entry)
                     n = run["n"] if run["apart"] else spec[b]["n"]
                     mine[:5] = True, base, 2 if b in third else 1, run["apart"], run["cuts"]
                 follows = next((spec[c]["first_req"] for c in chain[k + 1:] if spec[c]["first_req"] is not None), None)
                 left = (spec[b] if k else lasts[b])["last_req"]
                 if follows is not None and follows == left:
                     mine[5] = True
+            ends[chain[-1]] = end
+        goes_on = {b for chain in chains for b in chain[:-1]}
+        for b, first in spec.items():
+            last = lasts[b]
+            if b in ends:                        # a chain ends with this chunk's first key
+                self.ends.append((first["key"], ends[b]))
+            elif first["n"] and not (first["last"] and b in goes_on):
+                self.ends.append((first["key"], end_state(first, None, None)))
+            if not first["last"] and last["n"] and b not in goes_on:
+                self.ends.append((last["key"], end_state(last, None, None)))
 
     # ------------------------------------------------------------ results
 
@@ -488,3 +524,10 @@ class Relay:
     def rejects(self) -> DataFrame:
         """Kept columns of the requests with a row of another length than the key's dimension."""
         return self._valid(REJECT).select(*self.kept)
+
+    def states(self) -> DataFrame:
+        """``keys, state`` after the rows of ``df``, of the keys that have rows there."""
+        whole = self.stored.where(F.col("_kind") == STATE).select(*self.keys, F.col("_info").alias("state"))
+        fields = [self.stored.schema[k] for k in self.keys]
+        schema = T.StructType([*fields, T.StructField("state", T.StringType())])
+        return whole.unionByName(self.spark.createDataFrame([(*k, json.dumps(s)) for k, s in self.ends], schema))

@@ -466,8 +466,9 @@ SELECT model_id, batch_id,
   has IS NULL AS idle
 FROM j"""
     days = "(batch_id - (SELECT min(batch_id) FROM ev))"
-    o["stream_snapshot_all_keys"] = _flagship(f"AND {days} < {3 * Q.STREAM_DAYS} AND NOT (model_id = 'error' AND {days} // {Q.STREAM_DAYS} = 1)") + f""",
-s2 AS (SELECT model_id, batch_id, axon, drift_probability, CAST({days} // {Q.STREAM_DAYS} AS BIGINT) AS epoch FROM st),
+    o["stream_state_chunked"] = o["state_batches"]
+    o["stream_snapshot_all_keys"] = _flagship(f"AND NOT (model_id = 'error' AND {days} // {Q.STREAM_DAYS} = 1)") + f""",
+s2 AS (SELECT model_id, batch_id, axon, drift_probability, CAST(least({days} // {Q.STREAM_DAYS}, 2) AS BIGINT) AS epoch FROM st),
 idle AS (SELECT e.epoch, m.model_id FROM (SELECT DISTINCT epoch FROM s2) AS e, (SELECT DISTINCT model_id FROM s2) AS m
          WHERE NOT EXISTS (SELECT 1 FROM s2 WHERE s2.epoch = e.epoch AND s2.model_id = m.model_id))
 SELECT epoch, model_id, batch_id, axon, drift_probability FROM s2

@@ -434,6 +434,32 @@ def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.select(KEY, "batch_id", "warning_detected", "change_detected", "drift_probability")
 
 
+def stream_state_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``stream_state`` by chunked folds of three micro-batches of ten days each, from stored model states."""
+    from tidewatch.session import scratch_path
+    from tidewatch.sources.loglines import request_log_lines
+    from tidewatch.streaming import job
+    from tidewatch.streaming.chunked import start_chunked
+    from tidewatch.streaming.sinks import read_final_states
+
+    root = scratch_path(spark, "stream_chunked")
+    for k, events in enumerate(_thirds(I.events(spark, sf_dir))):
+        job.write_landing(request_log_lines(events, keep_ids=True), f"{root}/landing/run={k}")
+        q = start_chunked(spark, f"{root}/landing", f"{root}/out", f"{root}/checkpoint", detector=FLAGSHIP)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"stream failed: {q.exception()}")
+    st = read_final_states(spark, f"{root}/out")
+    return st.select(KEY, "batch_id", "warning_detected", "change_detected", "drift_probability")
+
+
+def _thirds(events: DataFrame) -> list[DataFrame]:
+    """Events of the first ``STREAM_DAYS`` days, the next, and all after these."""
+    first = events.agg(F.min(F.to_date("ts"))).first()[0]
+    part = F.least(F.floor(F.datediff(F.to_date("ts"), F.lit(first)) / STREAM_DAYS), F.lit(2))
+    return [events.where(part == k) for k in range(3)]
+
+
 def stream_snapshot_all_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The state table of a stream that publishes idle models: three runs over ten days
     each from one checkpoint, ``error`` sending nothing in the second; each run
@@ -443,11 +469,8 @@ def stream_snapshot_all_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewatch.streaming import job
 
     root = scratch_path(spark, "stream_snapshot")
-    events = I.events(spark, sf_dir)
-    first = events.agg(F.min(F.to_date("ts"))).first()[0]
-    part = F.floor(F.datediff(F.to_date("ts"), F.lit(first)) / STREAM_DAYS)
-    for k in range(3):
-        some = events.where((part == k) & ((F.col("event_type") != "error") | F.lit(k != 1)))
+    for k, events in enumerate(_thirds(I.events(spark, sf_dir))):
+        some = events.where((F.col("event_type") != "error") | F.lit(k != 1))
         job.write_landing(request_log_lines(some, keep_ids=True), f"{root}/landing/run={k}")
         q = job.start(spark, f"{root}/landing", f"{root}/out", f"{root}/checkpoint", detector=FLAGSHIP, publish_all_keys=True)
         q.awaitTermination()
@@ -515,6 +538,7 @@ def registry() -> dict:
         "stream_state": stream_state,
         "stream_rejects": stream_rejects,
         "stream_snapshot_all_keys": stream_snapshot_all_keys,
+        "stream_state_chunked": stream_state_chunked,
         "log_message_rejects": log_message_rejects,
         "state_expired": state_expired,
         "state_rows": state_rows,

@@ -112,9 +112,13 @@ def latch_batch(spark: SparkSession, requests: DataFrame, prev: DataFrame | None
     """Model states of this micro-batch: warm-up and latch continue the
     model state of earlier micro-batches (``prev``: model_id, first_batch,
     warning_detected, change_detected)."""
-    per_batch = requests.groupBy("model_id", "batch_id").agg(
+    return latch_batches(spark, requests.groupBy("model_id", "batch_id").agg(
         F.bool_or("w").alias("w"), F.bool_or("c").alias("c"), F.count(F.lit(1)).alias("n_requests"),
-        F.min_by(F.col("_m"), F.col("ts")).alias("_m"))
+        F.min_by(F.col("_m"), F.col("ts")).alias("_m")), prev)
+
+
+def latch_batches(spark: SparkSession, per_batch: DataFrame, prev: DataFrame | None) -> DataFrame:
+    """``latch_batch`` from ``model_id, batch_id, w, c, n_requests, _m`` (model and axon of the batch's first request)."""
     if prev is None:
         prev = spark.createDataFrame([], "model_id string, first_batch long, warning_detected boolean, "
                                          "change_detected boolean")
