@@ -47,15 +47,14 @@ def make_chunked_writer(out_dir: str, detector: Callable[[], object], metric: st
         per_batch = grid.join(flags, [KEY, "batch_id"], "left").withColumns(
             {c: F.coalesce(F.col(c), F.lit(False)) for c in ("w", "c")})
         latched = None if prev is None else prev.select(KEY, *LATCH)
-        latch_batches(spark, per_batch, latched).write.mode("overwrite").parquet(f"{out_dir}/epochs/{tag}")
-        states = spark.read.parquet(f"{out_dir}/epochs/{tag}")
+        latch_batches(spark, per_batch, latched).write.mode("overwrite").parquet(f"{out_dir}/states/{tag}")
+        states = spark.read.parquet(f"{out_dir}/states/{tag}")
         last = Window.partitionBy(KEY).orderBy(F.col("batch_id").desc())
         models = states.withColumn("_r", F.row_number().over(last)).where("_r = 1").select(KEY, *LATCH).join(run.states(), KEY)
         if prev is not None:
             models = models.unionByName(prev.join(models.select(KEY), KEY, "left_anti"))
         models.write.mode("overwrite").parquet(f"{out_dir}/models/{tag}")
         out = states.drop("first_batch")
-        out.write.mode("overwrite").parquet(f"{out_dir}/states/{tag}")
         state_table_rows(out).write.mode("overwrite").parquet(f"{out_dir}/state_table/{tag}")
         rejects = run.rejects().select(KEY, "insert_id", F.lit("dim_mismatch").alias("reason"))
         rejects.write.mode("overwrite").parquet(f"{out_dir}/dim_rejects/{tag}")

@@ -125,4 +125,4 @@ def read_final_states(spark: SparkSession, out_dir: str) -> DataFrame:
     """Last emitted state per (model, batch) over all epochs."""
     s = spark.read.parquet(f"{out_dir}/states")
     w = Window.partitionBy("model_id", "batch_id").orderBy(F.col("epoch").desc())
-    return s.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r", "epoch")
+    return s.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r", "epoch", "first_batch")

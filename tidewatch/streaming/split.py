@@ -155,8 +155,8 @@ def make_split_writer(out_dir: str, combine: str, threshold: float, metric: str
         tag = f"epoch={epoch_id}"
         prev = _latest_models(spark, out_dir, epoch_id)
         states = latch_batch(spark, combine_requests(flags, combine, threshold), prev)
-        states.write.mode("overwrite").parquet(f"{out_dir}/states_tmp/{tag}")
-        states = spark.read.parquet(f"{out_dir}/states_tmp/{tag}")
+        states.write.mode("overwrite").parquet(f"{out_dir}/states/{tag}")
+        states = spark.read.parquet(f"{out_dir}/states/{tag}")
         w = Window.partitionBy("model_id").orderBy(F.col("batch_id").desc())
         models = states.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(
             "model_id", "first_batch", "warning_detected", "change_detected")
@@ -164,7 +164,6 @@ def make_split_writer(out_dir: str, combine: str, threshold: float, metric: str
             models = prev.join(models.select("model_id"), "model_id", "left_anti").unionByName(models)
         models.write.mode("overwrite").parquet(f"{out_dir}/models/{tag}")
         out = states.drop("first_batch")
-        out.write.mode("overwrite").parquet(f"{out_dir}/states/{tag}")
         state_table_rows(out).write.mode("overwrite").parquet(f"{out_dir}/state_table/{tag}")
         metric_rows(out, metric, **gw).write.mode("overwrite").parquet(f"{out_dir}/metrics/{tag}")
 
