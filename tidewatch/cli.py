@@ -27,7 +27,7 @@ from tidewatch.plans import inputs as I
 from tidewatch.plans.queries import request_run
 from tidewatch.registry import detector_from_conf
 from tidewatch.streaming.push import http_sender
-from tidewatch.session import get_session
+from tidewatch.session import get_session, stored
 from tidewatch.streaming import job
 from tidewatch.streaming.chunked import start_chunked
 from tidewatch.streaming.sinks import metric_rows, state_table_rows
@@ -53,7 +53,7 @@ def run_table(spark, args) -> None:
     reqs = I.requests_of(lines, fmt)
     detector = _detector(args) if args.job_conf else (args.detector, json.loads(args.options or "{}"))
     states, refused = request_run(reqs, detector=detector, signal=I.identity_cells)
-    states = states.checkpoint()                                    # reused by three sinks
+    states = stored(states)                                    # reused by three sinks
     states.write.mode("overwrite").parquet(f"{args.out}/states")
     state_table_rows(states).write.mode("overwrite").parquet(f"{args.out}/state_table")
     metric_rows(states, args.metric, args.gateway, args.namespace, args.port) \

@@ -31,6 +31,7 @@ from tidewatch.operators.windows import cusum_first_alarm, ddm_first_alarm
 from tidewatch.plans import inputs as I
 from tidewatch.plans import reports as R
 from tidewatch.sources.loglines import file_log_lines, request_log_lines, severity_log_rows
+from tidewatch.session import stored
 from tidewatch.sources.messages import lines_from
 
 KEY = "model_id"
@@ -161,7 +162,7 @@ def request_run(reqs: DataFrame, detector=FLAGSHIP, signal=None, poll: str = "re
     if poll not in ("request_end", "any_row"):
         raise ValueError("poll must be 'request_end' or 'any_row'")
     det = detector if callable(detector) else _det(*detector)
-    inputs = I.with_vector_inputs(reqs, signal).checkpoint()    # parsed once: what follows reads it twice
+    inputs = stored(I.with_vector_inputs(reqs, signal))         # parsed once: what follows reads it twice
     if not getattr(det(), "restarts", False):
         kept, rejects = split_dims(inputs, KEY, ["batch_id", "ts", "insert_id"], "xs")
         vector = det if getattr(det(), "vector", False) else any_feature(det)
@@ -208,7 +209,7 @@ def metric_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def state_snapshot_all_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     reqs = I.requests(spark, sf_dir).filter(~((F.col(KEY) == "error") & (F.col("batch_id") % 2 == 0)))
     # the state history is stored once (models x batches rows); the spine reads it three times
-    st = request_states(reqs).select(KEY, "batch_id", "axon", "drift_probability").checkpoint()
+    st = stored(request_states(reqs).select(KEY, "batch_id", "axon", "drift_probability"))
     return snapshot_all_keys(st, KEY, "batch_id")
 
 
@@ -218,7 +219,7 @@ def kl_states(reqs: DataFrame, o: C.KlOptions = C.KlOptions(**KL_QUERIES["kl_10_
     the latch are set operations. A window's alarm belongs to the batch of its
     last row; its warning answers the change flag. Requests with another
     dimension than the model's first are left to ``split_dims``' rejects."""
-    reqs = reqs.checkpoint()                                 # parsed once; grid, dimensions and windows read it
+    reqs = stored(reqs)                                      # parsed once; grid, dimensions and windows read it
     kept, _ = split_dims(reqs, KEY, ["ts", "insert_id"], "xs")
     rows = kept.select(KEY, "ts", "insert_id", "batch_id", F.posexplode("xs").alias("row_idx", "vec")).filter(F.size("vec") > 0)
     windows = kl_vector_windows(rows, KEY, ["ts", "insert_id", "row_idx"], "vec", "batch_id", o)
@@ -245,7 +246,7 @@ def log_dim_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected requests of models whose row length varies (one more cell where the event id ends in 3)."""
     reqs = I.with_vector_inputs(I.requests(spark, sf_dir), I.identity_cells)
     longer = F.transform("xs", lambda r: F.concat(r, F.array(F.lit(0.0))))
-    reqs = reqs.withColumn("xs", F.when(F.col("insert_id").endswith("3"), longer).otherwise(F.col("xs"))).checkpoint()
+    reqs = stored(reqs.withColumn("xs", F.when(F.col("insert_id").endswith("3"), longer).otherwise(F.col("xs"))))
     _, rejected = split_dims(reqs, KEY, ["ts", "insert_id"], "xs")
     return rejected.select(KEY, "insert_id", "reason")
 
@@ -377,7 +378,7 @@ def vote_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vote_majority_detectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Majority votes of each of the eleven detectors over sampled features of wide
     vectors, latched per batch: all detectors on all sampled features in one fold."""
-    reqs = sampled(I.wide_requests(spark, sf_dir), KEY, ["event_id"], "xs", SAMPLE).checkpoint()
+    reqs = stored(sampled(I.wide_requests(spark, sf_dir), KEY, ["event_id"], "xs", SAMPLE))
     names = list(PANEL)
     panel = Panel([_det(n, PANEL[n]) for n in names])
     n_features = F.size("features").alias("n_features")
@@ -395,7 +396,7 @@ def vote_majority_detectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vote_decay_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logistic-decay vote of sampled features of wide vectors (CUSUM per feature), from its changes."""
-    reqs = sampled(I.wide_requests(spark, sf_dir), KEY, ["event_id"], "xs", SAMPLE).checkpoint()
+    reqs = stored(sampled(I.wide_requests(spark, sf_dir), KEY, ["event_id"], "xs", SAMPLE))
     run = Relay(reqs, [KEY], ["batch_id", "event_id"], "xs", _det("CUSUM", PANEL["CUSUM"]))
     sizes = reqs.groupBy(KEY).agg(F.max(F.size("features")).alias("n_features"), F.count("*").alias("last"))
     votes = decay(run.alarms().where("change"), sizes, KEY, "feature", "rn", DECAY_THRESHOLD)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.ui.enabled": "false",
@@ -55,6 +55,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, computed once and kept under the shared checkpoint folder; its lineage ends there."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``tidewatch`` importable in the Python workers (once per context).
 

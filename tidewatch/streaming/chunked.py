@@ -21,6 +21,7 @@ from tidewatch.config import LogFormat
 from tidewatch.operators import detectors as D
 from tidewatch.operators.fold import alarms_by
 from tidewatch.operators.relay import Relay
+from tidewatch.session import stored
 from tidewatch.streaming.job import _lines, _triggered
 from tidewatch.streaming.sinks import latest_epoch_path, metric_rows, state_table_rows
 from tidewatch.streaming.split import latch_batches
@@ -39,7 +40,7 @@ def make_chunked_writer(out_dir: str, detector: Callable[[], object], metric: st
         spark, tag = batch.sparkSession, f"epoch={epoch_id}"
         path = latest_epoch_path(spark, f"{out_dir}/models", epoch_id)
         prev = None if path is None else spark.read.parquet(path)
-        run = Relay(batch.checkpoint(), [KEY], ["batch_id", "ts", "insert_id"], "xs", detector, carry=["model", "axon"], heads="batch_id",
+        run = Relay(stored(batch), [KEY], ["batch_id", "ts", "insert_id"], "xs", detector, carry=["model", "axon"], heads="batch_id",
                     states=None if prev is None else prev.select(KEY, "state"), keep_states=True)
         first = F.min_by(F.struct("model", "axon"), F.struct("ts", "insert_id")).alias("_m")
         grid = run.heads().groupBy(KEY, "batch_id").agg(F.sum("n").alias("n_requests"), first)
