@@ -100,11 +100,13 @@ def mixed_documents(docs: DataFrame, labels: DataFrame | None = None, **options)
         return [F.xxhash64(F.lit(k), "doc_id", "source", text_md5).alias(f"_g{k}") for k in (1, 2)]
 
     m = mix(docs, labels, **options).select(*named(F.col("text_md5")), "epochs")
-    m = m.groupBy("_g1", "_g2").agg(F.sum("epochs").alias("_e"), F.count("*").alias("_c")).where("_e > 0")
+    m = cut(m.groupBy("_g1", "_g2").agg(F.sum("epochs").alias("_e"), F.count("*").alias("_c")).where("_e > 0"))
     rows = split_join(docs.select("*", *named(F.md5("text"))), m, ["_g1", "_g2"])
-    alone = rows.where("_c = 1").withColumn("_times", F.col("_e"))
+    alone = rows.where("_c = 1").select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_e"))).alias("_nth"))
+    if m.where("_c > 1").isEmpty():
+        return alone.select(*docs.columns)
     equal = cut(rows.where("_c > 1").withColumn("_r", F.monotonically_increasing_id()))
     equal = running_sum(equal.withColumn("_chunk", hash_chunk("_r")).withColumn("_b", F.xxhash64("_r")), ["_g1", "_g2"], "_chunk", ["_b", "_r"], F.lit(1), "_nth")
     equal = equal.withColumn("_times", F.floor(F.col("_e") / F.col("_c")) + F.when(F.col("_nth") <= F.col("_e") % F.col("_c"), 1).otherwise(0))
-    both = alone.select(*docs.columns, "_times").unionByName(equal.select(*docs.columns, F.col("_times").cast("long").alias("_times")))
-    return both.where("_times > 0").withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*docs.columns)
+    equal = equal.where("_times > 0").withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times").cast("long"))))
+    return alone.select(*docs.columns).unionByName(equal.select(*docs.columns))
