@@ -142,3 +142,39 @@ def test_adwin_histogram_state_round_trip():
             b = c
         got.append(b.step(float(x)))
     assert got == ref
+
+
+@pytest.mark.parametrize("kind", ["calm", "steps", "slope", "far"])
+def test_exact_adwin_passes_over_blocks_and_cuts_as_every_split_does(kind, monkeypatch):
+    n = 20_000
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, n)
+    if kind == "steps":
+        x += np.arange(n) // 6000 % 2 * 0.4
+    elif kind == "slope":
+        x += np.arange(n) * 4e-5
+    elif kind == "far":
+        x += 1e6
+    tested = []
+    last = D.adwin_last
+    monkeypatch.setattr(D, "adwin_last", lambda P, start, t, j, var, dd: tested.append(len(j)) or last(P, start, t, j, var, dd))
+    det, got = D.make_detector("ADWIN", exact=True), []
+    for i, v in enumerate(x.tolist()):
+        if i == 11_111:                       # the state goes through its dump
+            state = det.dump()
+            det = D.make_detector("ADWIN", exact=True)
+            det.load(state)
+        if det.step(v)[1]:
+            got.append((i + 1, det.start))
+    splits = sum(tested)
+    P, Q = (np.concatenate([[0.0], np.add.accumulate(v)]) for v in (x, x * x))
+    want, start = [], 0
+    for t in range(32, n + 1, 32):
+        before = start
+        while (cut := D.adwin_cut(P, Q, start, t, 0.002, 5)) is not None:
+            start = cut
+        if start > before:
+            want.append((t, start))
+    assert got == want and (kind in ("calm", "far") or want)
+    if kind in ("calm", "far"):
+        assert splits < 0.25 * sum(range(32, n + 1, 32))

@@ -345,18 +345,18 @@ class HddmW:
         return warn, False
 
 
-def adwin_cut(P: np.ndarray, Q: np.ndarray, start: int, t: int, delta: float, min_side: int) -> int | None:
-    """Largest split j of the window (start, t] whose two sides differ by more
-    than the ADWIN bound; ``P``/``Q`` are prefix sums of x and x^2 (index = row)."""
+def adwin_window(P: np.ndarray, Q: np.ndarray, start: int, t: int, delta: float) -> tuple[float, float, float]:
+    """Mean, variance and logarithmic term of the bound of the window (start, t]."""
     n = t - start
-    if n < 2 * min_side:
-        return None
     mu = (P[t] - P[start]) / n
     var = (Q[t] - Q[start]) / n - mu * mu
     if var < 0.0:
         var = 0.0
-    dd = math.log(2.0 * math.log(n) / delta)
-    j = np.arange(start + min_side, t - min_side + 1)
+    return mu, var, math.log(2.0 * math.log(n) / delta)
+
+
+def adwin_last(P: np.ndarray, start: int, t: int, j: np.ndarray, var: float, dd: float) -> int | None:
+    """Last of the splits ``j`` (ascending) whose two sides differ by more than the ADWIN bound."""
     n0 = (j - start).astype(np.float64)
     n1 = (t - j).astype(np.float64)
     u0 = (P[j] - P[start]) / n0
@@ -367,42 +367,149 @@ def adwin_cut(P: np.ndarray, Q: np.ndarray, start: int, t: int, delta: float, mi
     return int(j[hit[-1]]) if hit.size else None
 
 
+def adwin_cut(P: np.ndarray, Q: np.ndarray, start: int, t: int, delta: float, min_side: int) -> int | None:
+    """Largest split j of the window (start, t] whose two sides differ by more
+    than the ADWIN bound; ``P``/``Q`` are prefix sums of x and x^2 (index = row)."""
+    if t - start < 2 * min_side:
+        return None
+    _, var, dd = adwin_window(P, Q, start, t, delta)
+    return adwin_last(P, start, t, np.arange(start + min_side, t - min_side + 1), var, dd)
+
+
 class Adwin:
     """Exact ADWIN: every ``clock`` values test every split with both sides of
     at least ``min_side`` values; drop the old side at the last qualifying
-    split and test again. Keeps prefix sums of the current window only."""
+    split and test again. Keeps prefix sums of the current window only.
+
+    A split j qualifies where the prefix sum leaves the straight line from the
+    window's start to its end by more than ``sqrt(2 var dd n0 n1 / n) + 2 dd / 3``.
+    Blocks of 32, 1024, ... rows keep how far the prefix sum leaves their own
+    chord, which bounds that distance for all their splits: blocks that cannot
+    qualify are passed over (with room for rounding), the rows of the others
+    are tested as they stand. So a test costs some blocks of every size, not
+    the window.
+    """
 
-    __slots__ = ("o", "t", "start", "P", "Q", "base")
+    __slots__ = ("o", "t", "start", "P", "Q", "n", "base", "new", "low", "high", "first", "made", "scale")
+    FAN = 32
+    WHOLE = 2048          # rows of a window that is tested without its blocks
 
     def __init__(self, o: C.AdwinOptions = C.AdwinOptions()):
         self.o = o
         self.t, self.start, self.base = 0, 0, 0
-        self.P, self.Q = [0.0], [0.0]
+        self._begin(np.zeros(1), np.zeros(1))
+
+    def _begin(self, P: np.ndarray, Q: np.ndarray) -> None:
+        """Prefix sums of the rows from ``base`` on, without blocks; ``new`` are values not summed yet."""
+        self.P, self.Q, self.n, self.new = P, Q, len(P), []
+        self.scale = float(np.abs(P).max())
+        self.low: list[np.ndarray] = []          # by block size: how far the sums go below and above the chord
+        self.high: list[np.ndarray] = []
+        self.first: list[int] = []               # number of the first block, counted from row 0
+        self.made: list[int] = []                # blocks so far
+        self._blocks()
 
     def dump(self) -> list[float]:
-        return [float(self.t), float(self.start), float(self.base), float(len(self.P))] + list(self.P) + list(self.Q)
+        self._sum()
+        return [float(self.t), float(self.start), float(self.base), float(self.n)] + self.P[:self.n].tolist() + self.Q[:self.n].tolist()
 
     def load(self, v) -> None:
         self.t, self.start, self.base, k = int(v[0]), int(v[1]), int(v[2]), int(v[3])
-        self.P, self.Q = list(v[4:4 + k]), list(v[4 + k:4 + 2 * k])
+        self._begin(np.array(v[4:4 + k], np.float64), np.array(v[4 + k:4 + 2 * k], np.float64))
+
+    def _sum(self) -> None:
+        """Values not summed yet enter the prefix sums, one after the other."""
+        k = len(self.new)
+        if not k:
+            return
+        if self.n + k > len(self.P):
+            room = np.zeros(len(self.P) + k)
+            self.P, self.Q = np.concatenate([self.P, room]), np.concatenate([self.Q, room])
+        x, i = np.array(self.new, np.float64), self.n
+        self.P[i:i + k], self.Q[i:i + k] = x, x * x
+        for sums in (self.P, self.Q):
+            np.add.accumulate(sums[i - 1:i + k], out=sums[i - 1:i + k])
+        self.n, self.new = i + k, []
+        self.scale = max(self.scale, float(np.abs(self.P[i:i + k]).max()))
+        self._blocks()
+
+    def _blocks(self) -> None:
+        """Complete blocks of all sizes get their bounds."""
+        end, size, level = self.base + self.n - 1, self.FAN, 0
+        while end // size > -(-self.base // size):
+            if level == len(self.first):
+                self.first.append(-(-self.base // size))
+                self.made.append(0)
+                self.low.append(np.zeros(16))
+                self.high.append(np.zeros(16))
+            while self.first[level] + self.made[level] < end // size:
+                i = self.made[level]
+                if i == len(self.low[level]):
+                    self.low[level], self.high[level] = (np.concatenate([v, np.zeros(i)]) for v in (self.low[level], self.high[level]))
+                r = (self.first[level] + i) * size - self.base
+                p = self.P[r:r + size + 1]
+                off = p - (p[0] + (p[-1] - p[0]) * (np.arange(size + 1) / size))
+                self.low[level][i], self.high[level][i] = off.min(), off.max()
+                self.made[level] = i + 1
+            size, level = size * self.FAN, level + 1
+
+    def _splits(self, s: int, e: int, mu: float, var: float, dd: float) -> np.ndarray:
+        """Rows of the window (s, e] at which a split may qualify, ascending (rows counted from ``base``)."""
+        P, n, side = self.P, e - s, self.o.min_side
+        room = 1e-12 * self.scale
+        open_: np.ndarray | None = None          # blocks of the next larger size that may hold such a row
+        a_up = b_up = 0
+        for level in range(len(self.first) - 1, -1, -1):
+            size = self.FAN ** (level + 1)
+            k0, k1 = -(-(s + self.base) // size), (e + self.base) // size      # complete blocks within the window
+            if k1 <= k0:
+                continue
+            if open_ is None:
+                k = np.arange(k0, k1)
+            else:
+                inner = (open_[:, None] * self.FAN + np.arange(self.FAN)).ravel()
+                k = np.concatenate([np.arange(k0, a_up * self.FAN), inner, np.arange(b_up * self.FAN, k1)])
+            a = k * size - self.base
+            b = a + size
+            da, db = P[a] - P[s] - mu * (a - s), P[b] - P[s] - mu * (b - s)
+            at = k - self.first[level]
+            far = np.maximum(np.maximum(da, db) + self.high[level][at], -np.minimum(da, db) - self.low[level][at])
+            lo, hi = np.clip(a, s + side, e - side), np.clip(b, s + side, e - side)
+            least = np.minimum((lo - s) * (e - lo).astype(np.float64), (hi - s) * (e - hi).astype(np.float64)) / n
+            bound = np.sqrt(2.0 * var * dd * least) + 2.0 / 3.0 * dd
+            open_, a_up, b_up = k[~(far + room <= bound * (1.0 - 1e-9))], k0, k1
+        lo, hi = s + side, e - side
+        if open_ is None:
+            return np.arange(lo, hi + 1)
+        inner = (open_[:, None] * self.FAN - self.base + np.arange(self.FAN)).ravel()
+        j = np.concatenate([np.arange(lo, a_up * self.FAN - self.base), inner, np.arange(max(lo, b_up * self.FAN - self.base), hi + 1)])
+        return j[(j >= lo) & (j <= hi)]
+
+    def _cut(self) -> int | None:
+        s, e = self.start - self.base, self.t - self.base
+        if e - s <= self.WHOLE:
+            return adwin_cut(self.P, self.Q, s, e, self.o.delta, self.o.min_side)
+        if e - s < 2 * self.o.min_side:
+            return None
+        mu, var, dd = adwin_window(self.P, self.Q, s, e, self.o.delta)
+        if not var < math.inf:        # no number exceeds the bound
+            return None
+        return adwin_last(self.P, s, e, self._splits(s, e, mu, var, dd), var, dd)
 
     def step(self, x):
         self.t += 1
-        self.P.append(self.P[-1] + x)
-        self.Q.append(self.Q[-1] + x * x)
+        self.new.append(x)
         if self.t % self.o.clock:
             return False, False
-        P, Q = np.asarray(self.P), np.asarray(self.Q)
+        self._sum()
         change = False
-        while True:
-            cut = adwin_cut(P, Q, self.start - self.base, self.t - self.base, self.o.delta, self.o.min_side)
-            if cut is None:
-                break
+        while (cut := self._cut()) is not None:
             self.start = cut + self.base
             change = True
         if change:   # forget prefix sums before the window start
             k = self.start - self.base
-            self.P, self.Q, self.base = self.P[k:], self.Q[k:], self.start
+            self.base = self.start
+            self._begin(self.P[k:self.n].copy(), self.Q[k:self.n].copy())
         return False, change
 
 
