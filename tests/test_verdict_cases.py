@@ -56,3 +56,26 @@ def test_newer_epoch_of_a_day_wins(spark, tmp_path):
     rows = [("m", 1, 0, 0.0, "2024-01-01 00:00:00"), ("m", 1, 1, 0.9, "2024-01-01 00:00:00")]
     states = spark.createDataFrame(rows, "model_id string, batch_id long, epoch int, drift_probability double, timestamp string")
     assert reports.latest_per_model(states).first()["drift_probability"] == 0.9
+
+
+def test_only_detectors_that_restart_have_states_in_the_chunk_table(spark, monkeypatch):
+    """Their states are some numbers; a window of exact ADWIN may hold all rows of its stream."""
+    from tidewatch.operators.relay import Relay
+    from tidewatch.plans import queries
+    seen, sent = [], []
+
+    class Watched(Relay):
+        def __init__(self, df, keys, order, x, detector, **kw):
+            seen.extend(detector.factories)
+            super().__init__(df, keys, order, x, detector, **kw)
+
+        def _summaries(self, df):
+            got = super()._summaries(df)
+            sent.extend(len(d) for s in got for d in s["dumps"])
+            return got
+
+    monkeypatch.setattr(queries, "Relay", Watched)
+    out = queries.vote_majority_detectors(spark, "/root/testdata/sf0.1").collect()
+    assert {r["detector"] for r in out} == set(queries.PANEL)
+    assert len(seen) == 9 and all(getattr(f(), "restarts", False) for f in seen)
+    assert sent and max(sent) < 100

@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators.ordering import running
+from tidewatch.operators.ordering import row_index, running
 from tidewatch.operators.sizes import broadcast_small
 
 
@@ -61,6 +61,14 @@ def sampled(requests: DataFrame, key: str, order: list[str], x: str, k: int) ->
     return requests.join(sample, key, "left").withColumn(x, F.coalesce(cut, F.col(x)))
 
 
+def cells(requests: DataFrame, key: str, order: list[str], x: str) -> DataFrame:
+    """Columns of ``requests`` but ``x``, request (its number within its key), row, feature, x: a row for every cell of its rows."""
+    rest = [c for c in requests.columns if c != x]
+    numbered = row_index(requests, key, order).withColumnRenamed("rn", "request")
+    rows = numbered.select(*rest, "request", F.posexplode(x).alias("row", "_v"))
+    return rows.select(*rest, "request", "row", F.posexplode("_v").alias("feature", "x"))
+
+
 def majority(changes: DataFrame, keys: list[str], n_features, threshold: float) -> DataFrame:
     """``*keys, vote`` where the share of ``n_features`` (a column of ``changes``) that change at a request exceeds ``threshold``."""
     votes = changes.groupBy(*keys).agg((F.count("*") / F.first(n_features)).alias("vote"))

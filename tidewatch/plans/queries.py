@@ -8,7 +8,7 @@ sum order could differ, BOOLEAN); times are rendered as text.
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ from tidewatch.operators.kl import kl_kmeans_windows, kl_vector_windows, kl_wind
 from tidewatch.operators.ordering import row_index
 from tidewatch.operators.relay import Relay
 from tidewatch.operators.vector import any_feature
-from tidewatch.operators.votes import Panel, decay, majority, sampled
+from tidewatch.operators.votes import Panel, cells, decay, majority, sampled
 from tidewatch.operators.windows import cusum_first_alarm, ddm_first_alarm
 from tidewatch.plans import inputs as I
 from tidewatch.plans import reports as R
@@ -377,19 +377,28 @@ def vote_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vote_majority_detectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Majority votes of each of the eleven detectors over sampled features of wide
-    vectors, latched per batch: all detectors on all sampled features in one fold."""
+    vectors, latched per batch: the detectors that restart on all sampled features in one
+    chunked fold, each of the others on one stream a feature (its state, a window that
+    may hold all rows, stays in its task)."""
     reqs = stored(sampled(I.wide_requests(spark, sf_dir), KEY, ["event_id"], "xs", SAMPLE))
-    names = list(PANEL)
+    order = ["batch_id", "event_id"]
+    reqs = reqs.select(KEY, *order, F.size("features").alias("n_features"), "xs")
+    names = [n for n in PANEL if getattr(_det(n, PANEL[n])(), "restarts", False)]
     panel = Panel([_det(n, PANEL[n]) for n in names])
-    n_features = F.size("features").alias("n_features")
-    run = Relay(reqs.select(KEY, "batch_id", "event_id", n_features, panel.spread("xs").alias("xs")), [KEY], ["batch_id", "event_id"], "xs", panel,
-                carry=["n_features"], heads="batch_id")
+    run = Relay(reqs.withColumn("xs", panel.spread("xs")), [KEY], order, "xs", panel, carry=["n_features"], heads="batch_id")
     detector = F.get(F.array(*[F.lit(n) for n in names]), F.col("feature") % len(names))
-    changes = run.alarms().where("change").withColumn("stream", F.struct(detector.alias("detector"), F.col(KEY)))
+    found = [run.alarms().withColumn("detector", detector)]
+    whole = cells(split_dims(reqs, KEY, order, "xs")[0], KEY, order, "xs")
+    for n in PANEL:
+        if n not in names:
+            a = fold_alarms(whole, [KEY, "feature"], ["request", "row"], "x", _det(n, PANEL[n]), req="request", carry=["batch_id", "n_features"])
+            found.append(a.withColumn("rn", F.col("request")).withColumn("detector", F.lit(n)))
+    columns = [KEY, "batch_id", "rn", "n_features", F.struct("detector", KEY).alias("stream")]
+    changes = reduce(DataFrame.unionByName, [a.where("change").select(*columns) for a in found])
     votes = majority(changes, ["stream", "batch_id", "rn"], "n_features", MAJORITY)
     alarms = votes.select("stream", "batch_id", F.lit(True).alias("warning"), F.lit(True).alias("change")).distinct()
     grid = run.heads().select(KEY, "batch_id").distinct().select("batch_id", F.explode(F.transform(
-        F.array(*[F.lit(n) for n in names]), lambda d: F.struct(d.alias("detector"), F.col(KEY)))).alias("stream"))
+        F.array(*[F.lit(n) for n in PANEL]), lambda d: F.struct(d.alias("detector"), F.col(KEY)))).alias("stream"))
     states = latch(grid, alarms, "stream", "batch_id")
     return states.select("stream.detector", f"stream.{KEY}", "batch_id", "change_detected", "drift_probability")
 
