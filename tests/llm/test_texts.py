@@ -136,6 +136,50 @@ def test_toxicity_fits_one_row_per_id(spark, monkeypatch):
     assert fitted[0][1] == [i % 2 for i in ids]
 
 
+def test_toxicity_learns_from_rows_beyond_the_first_draw(spark, monkeypatch):
+    """A word that no drawn row has, in short texts and at the end of long ones; all rows reach the passes, once each."""
+    monkeypatch.setattr(toxicity, "CHUNK", 1000)
+    rng = np.random.default_rng(1)
+    vocabulary = [f"w{i}" for i in range(300)]
+    ids = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in ids], "doc_id long, toxic int")
+    first = {0: [], 1: []}
+    for r in labels.orderBy(F.xxhash64("doc_id")).collect():
+        first[r["toxic"]].append(r["doc_id"])
+    drawn = {i for k in first for i in first[k][:50]}
+    rows = []
+    for i in range(3000):
+        t = [vocabulary[k] for k in rng.integers(0, 300, 9000 if i % 400 == 0 else 30)]
+        if i % 4 == 0:
+            t[-1] = "vile" if i in drawn else "nasty"
+        rows.append((i, " ".join(t), ["en", None][i % 2]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen, refine = [], toxicity.refine
+
+    def watched(every, model):
+        seen.extend(r["doc_id"] for r in every.select("doc_id").collect())
+        return refine(every, model)
+
+    monkeypatch.setattr(toxicity, "refine", watched)
+    out = toxicity.score(docs, toxicity.train(docs, labels, limit=100)).collect()
+    assert sorted(seen) == ids
+    held = [r for r in out if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1]
+    assert sum((r["score"] >= 0.7) == (r["doc_id"] % 4 == 0) for r in held) / len(held) > 0.97
+    again = toxicity.score(docs, toxicity.train(docs, labels, limit=100)).collect()
+    assert sorted(map(str, out)) == sorted(map(str, again))
+
+
+def test_toxicity_responses_of_pieces_are_those_of_whole_texts(monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(0, 50, n) for n in (0, 1, 2, 7, 8, 9, 40, 41, 100)]
+    model = toxicity.new_model(texts * 2)
+    whole = toxicity.Trainer(model).respond(texts)
+    monkeypatch.setattr(toxicity, "PIECE", 8)  # texts of several pieces, also of one word more
+    pieces = toxicity.Trainer(model).respond(texts)
+    for w in toxicity.WIDTHS:
+        assert np.allclose(whole[0][w], pieces[0][w], atol=1e-6) and (whole[1][w] == pieces[1][w]).mean() > 0.99
+
+
 def test_code_lengths_against_a_recursive_tree(spark, odd_docs, no_docs):
     texts, train = ["abab", "abba abab", None, "", "ba é", "zzz"], [True, True, True, False, False, True]
     df = spark.createDataFrame(list(zip(range(6), texts, train)), "doc_id long, text string, t boolean")
