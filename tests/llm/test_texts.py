@@ -2,6 +2,8 @@
 
 import collections
 import math
+import os
+import pickle
 import zlib
 
 import numpy as np
@@ -169,6 +171,31 @@ def test_toxicity_learns_from_rows_beyond_the_first_draw(spark, monkeypatch):
     assert sorted(map(str, out)) == sorted(map(str, again))
 
 
+def test_toxicity_model_of_many_passes_stays_small_in_the_driver(spark, monkeypatch):
+    """A shipped model holds its known buckets; a pass's broadcast goes with it; changes come in slices, of any size the same."""
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 1 << toxicity.BITS, 50).astype(np.int32) for _ in range(40)]
+    model = toxicity.new_model(texts * 2)
+    shipped = pickle.dumps(model)
+    assert len(shipped) < 1 << 20
+    again = pickle.loads(shipped)
+    assert (again.rows == model.rows).all() and (again.emb == model.emb).all()
+
+    rows = [(int(i), [int(k) for k in t], "en", int(i % 2), None) for i, t in enumerate(texts * 2)]
+    every = spark.createDataFrame(rows, "doc_id long, words array<int>, lang string, toxic int, fitted boolean").repartition(3, "doc_id")
+    shared, fetched = [], []
+    send, arrow = type(spark.sparkContext).broadcast, type(every).toArrow
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda sc, v: shared.append(send(sc, v)) or shared[-1])
+    monkeypatch.setattr(type(every), "toArrow", lambda df: fetched.append(arrow(df)) or fetched[-1])
+    whole = toxicity.refine(every, pickle.loads(shipped))
+    assert len(shared) == toxicity.ROUNDS + 1 and not any(os.path.exists(b._path) for b in shared)
+    monkeypatch.setattr(toxicity, "FETCH", 100)
+    fetched.clear()
+    sliced = toxicity.refine(every, pickle.loads(shipped))
+    assert max(len(t) for t in fetched if "own" in t.column_names) <= 100
+    assert (whole.emb == sliced.emb).all() and (whole.seen == sliced.seen).all() and (whole.out == sliced.out).all()
+
+
 def test_toxicity_responses_of_pieces_are_those_of_whole_texts(monkeypatch):
     rng = np.random.default_rng(2)
     texts = [rng.integers(0, 50, n) for n in (0, 1, 2, 7, 8, 9, 40, 41, 100)]
