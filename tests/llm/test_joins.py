@@ -179,6 +179,23 @@ def test_jaccard_of_mixed_frequent_passages(spark, monkeypatch):
     assert sum(r["n_links"] for r in got) >= 0.9 * len(rows)
 
 
+def test_only_texts_that_are_compared_are_shuffled(spark, monkeypatch):
+    """Of 3,000 documents 40 are near copies of another: the tiles are joined with little more than those."""
+    rnd = random.Random(5)
+    texts = [[f"w{rnd.randrange(10**6)}" for _ in range(60)] for _ in range(2960)]
+    texts += [[*t[:-1], "changed"] for t in texts[:40]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    kept, marked = [], jaccard_join._marked
+    monkeypatch.setattr(jaccard_join, "_marked", lambda *a, **k: kept.append(marked(*a, **k)) or kept[-1])
+    out = {r["doc_id"]: (r["n_links"], r["class_id"]) for r in jaccard_join.join_documents(docs).collect()}
+    assert out == {i: (int(i < 40 or i >= 2960), i - 2960 if i >= 2960 else i) for i in range(3000)}
+    sent = {r["id"] for r in kept[0].collect()}
+    assert {*range(40), *range(2960, 3000)} <= sent and len(sent) < 200
+    keys = spark.createDataFrame([(-1,), (5,), (5,)], "k long")
+    rows = spark.createDataFrame([(-1,), (5,), (5,), (6,), (None,)], "k long")
+    assert sorted(r["k"] for r in marked(rows, "k", keys).collect()) == [-1, 5, 5]
+
+
 def test_runs_follow_the_splits():
     left = 1 - jaccard_join.RECALL
     for splits in range(jaccard_join.LEVELS + 1):

@@ -34,6 +34,7 @@ BUCKET = 4_096  # sets compared by brute force in one task; larger buckets split
 LEVELS = 5  # deeper ones are compared in tiles of BUCKET sets
 TILE = 512
 PART_BYTES = 1 << 20
+MARKS = 18  # 2^18 words of 64 bits mark the texts that are compared
 _U = np.uint64
 _ODD32 = (mix64(np.arange(1, TOKENS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) >> _U(32)).astype(np.uint32) | np.uint32(1)
 
@@ -359,11 +360,12 @@ def join_documents(docs: DataFrame, words: int = WORDS, similarity: float = SIMI
         edges = edges.union(f)
     groups = cut(components(edges).withColumnRenamed("node", "cid").join(classes.select("cid", "m", "rep"), "cid"))
 
-    mine = groups.select("cid", "m", "component", F.col("rep.id").alias("_i"), F.col("rep.text_key").alias("_t"))
-    texts = source.join(mine, source["text_key"].eqNullSafe(F.col("_t")) & source["id"].eqNullSafe(F.col("_i"))).select("component", "cid", "m", "text")
-    texts = texts.withColumn("component", F.xxhash64("component"))
+    mine = groups.select("cid", "m", F.xxhash64("component").alias("component"), F.col("rep.id").alias("_i"), F.col("rep.text_key").alias("_t"))
     sizes = groups.groupBy(F.xxhash64("component").alias("component")).agg(F.count("*").alias("_n"))
-    tiles = _tiles_of(texts, sizes, TILE).repartition("tile").sortWithinPartitions("tile", "side")
+    dealt = _tiles_of(mine, sizes, TILE)
+    wanted = _marked(source, "text_key", mine.select(F.col("_t").alias("text_key")))
+    tiles = wanted.join(dealt, wanted["text_key"].eqNullSafe(F.col("_t")) & wanted["id"].eqNullSafe(F.col("_i"))).select("tile", "side", "cid", "m", "text")
+    tiles = tiles.repartition("tile").sortWithinPartitions("tile", "side")
     compared = cut(tiles.mapInArrow(_links(words, similarity), "u binary, v binary, m long"))
 
     linked = compared.where("v is null").groupBy(F.col("u").alias("cid")).agg(F.sum("m").alias("linked"))
@@ -379,13 +381,24 @@ def join_documents(docs: DataFrame, words: int = WORDS, similarity: float = SIMI
                       (F.col("cid").isNull() | F.col("head").eqNullSafe(F.struct("id", "text_key"))).alias("first"))
 
 
-def _tiles_of(texts: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
-    """``deal_tiles`` for rows whose group sizes are known, so that the texts are read once."""
-    t = split_join(texts, sizes, ["component"]).withColumn("_k", F.ceil(F.col("_n") / block).cast("int"))
+def _marked(rows: DataFrame, key: str, keys: DataFrame, marks: int = MARKS) -> DataFrame:
+    """``rows`` whose hash ``key`` (long) may be among ``keys``: all that are, and few others.
+
+    One bit of a broadcast table of 2^``marks`` words stands for a hash, so what is
+    shuffled to be joined with ``keys`` is little more than the rows that do.
+    """
+    word, bit = F.shiftrightunsigned(key, 64 - marks), F.expr(f"shiftleft(1L, cast(`{key}` & 63 as int))")
+    table = keys.select(word.alias("_w"), bit.alias("_b")).groupBy("_w").agg(F.bit_or("_b").alias("_b"))
+    return rows.join(F.broadcast(table), word == F.col("_w")).where(F.col("_b").bitwiseAND(bit) != 0).drop("_w", "_b")
+
+
+def _tiles_of(members: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+    """``deal_tiles`` for rows whose group sizes are known; the texts join their tiles afterwards."""
+    t = split_join(members, sizes, ["component"]).withColumn("_k", F.ceil(F.col("_n") / block).cast("int"))
     t = t.withColumn("_b", F.pmod(F.xxhash64("cid", F.lit(11)), F.col("_k")).cast("int"))
     t = t.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
     return t.select(F.xxhash64("component", F.least("_b", "_o"), F.greatest("_b", "_o")).alias("tile"),
-                    (F.col("_b") > F.col("_o")).cast("byte").alias("side"), "cid", "m", "text")
+                    (F.col("_b") > F.col("_o")).cast("byte").alias("side"), "cid", "m", "_i", "_t")
 
 
 def _beside_head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
