@@ -196,6 +196,36 @@ def test_only_texts_that_are_compared_are_shuffled(spark, monkeypatch):
     assert sorted(r["k"] for r in marked(rows, "k", keys).collect()) == [-1, 5, 5]
 
 
+def test_buckets_of_the_same_sets_are_met_once(spark):
+    """Paths 1, 2 and 5 hold the same two sets, 3 another two, 4 one; 6 and 7 hold the same three."""
+    sets = {1: (10, -20), 2: (-20, 10), 3: (10, 30), 4: (10,), 5: (10, -20), 6: (10, -20, 30), 7: (10, -20, 30)}
+    nodes = spark.createDataFrame([(p, n) for p, x in sets.items() for n in x], "path long, node long")
+
+    def met(most):
+        out = {}
+        for r in jaccard_join._met(nodes, most).collect():
+            out.setdefault(r["path"], []).append(r["node"])
+            assert r["n"] == len(sets[r["path"]])
+        return {p: sorted(x) for p, x in out.items()}
+
+    assert met(None) == met(3) == {1: [-20, 10], 3: [10, 30], 6: [-20, 10, 30]}
+    assert met(2) == {1: [-20, 10], 3: [10, 30], 6: [-20, 10, 30], 7: [-20, 10, 30]}  # the large ones split, each for itself
+
+
+def test_components_of_stars_need_no_round(spark, monkeypatch):
+    joins, split_join = [], graph.split_join
+    monkeypatch.setattr(graph, "split_join", lambda *a, **k: joins.append(a) or split_join(*a, **k))
+
+    def parts(edges):
+        joins.clear()
+        df = spark.createDataFrame(edges, "u long, v long")
+        return {r["node"]: r["component"] for r in graph.components(df).collect()}
+
+    assert parts([(5, 1), (1, 7), (5, 1), (9, 8), (4, 4), (None, 1)]) == {1: 1, 5: 1, 7: 1, 8: 8, 9: 8} and not joins
+    assert parts([(4, 4), (None, 1)]) == {} and not joins
+    assert parts([(1, 5), (2, 5), (2, 3)]) == dict.fromkeys((1, 2, 3, 5), 1) and joins
+
+
 def test_runs_follow_the_splits():
     left = 1 - jaccard_join.RECALL
     for splits in range(jaccard_join.LEVELS + 1):

@@ -125,30 +125,27 @@ def _read(column: pa.Array | pa.ChunkedArray, kind: type, width: int) -> np.ndar
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
 
 
-def _edges(u: list, v: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
-
-
 def _compare(least: int):
-    """Edges within small buckets: pairs of sets with ``least`` equal tokens, as a forest."""
+    """Edges within small buckets: pairs of sets with ``least`` equal tokens, as a forest.
+
+    The rows of a bucket come by node, so that a group's edges lead to its smallest node.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, at in whole_groups(batches, "tile"):
             tokens = _read(t["sketch"], np.uint16, TOKENS)
-            names = t["cid"].to_pylist()
+            nodes = t["node"].combine_chunks().to_numpy()
             side = t["side"].combine_chunks().to_numpy()
             size = np.diff(at)
-            u, v = [], []
             two = at[:-1][size == 2]
             two = two[((tokens[two] == tokens[two + 1]).sum(1) >= least)] if len(two) else two
-            u += [names[i] for i in two]
-            v += [names[i + 1] for i in two]
+            u, v = (two + 1).tolist(), two.tolist()
             for g in np.flatnonzero(size > 2):
                 a, b = at[g], at[g + 1]
                 for i, r in _bucket_forest(tokens[a:b], side[a:b], least):
-                    u.append(names[a + i])
-                    v.append(names[a + r])
-            yield _edges(u, v)
+                    u.append(a + i)
+                    v.append(a + r)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[np.array(x, np.int64)]) for x in (u, v)], names=["u", "v"])
 
     return work
 
@@ -305,7 +302,7 @@ def join_documents(docs: DataFrame, words: int = WORDS, similarity: float = SIMI
     sets = spark.read.parquet(path)
     classes = cut(sets.where("cid is not null").groupBy("cid").agg(
         F.count("*").alias("m"), F.min("sketch").alias("sketch"), F.min("starts").alias("starts"), F.min(F.struct("id", "text_key")).alias("rep"),
-        F.min("id").alias("low")))
+        F.min("id").alias("low")).withColumn("node", F.xxhash64("cid")))
 
     deviation = math.sqrt(similarity * (1 - similarity) / TOKENS)
     least = max(1, math.floor((similarity - 5 * deviation) * TOKENS))
@@ -318,54 +315,57 @@ def join_documents(docs: DataFrame, words: int = WORDS, similarity: float = SIMI
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, paths = children(b.column("path").to_numpy().view(_U), _read(b.column("sketch"), np.uint16, TOKENS), similarity)
-            yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), b.column("cid").take(pa.array(rows))], names=["path", "cid"])
+            yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), b.column("node").take(pa.array(rows))], names=["path", "node"])
 
     found: list[DataFrame] = []
 
-    def descend(nodes: DataFrame) -> tuple[int, DataFrame | None]:
+    def descend(nodes: DataFrame, sketches: DataFrame) -> tuple[int, DataFrame | None]:
         """Add the edges under ``nodes`` to ``found``; the number of splits, and the sets that the first split sent on."""
         splits, sent = 0, None
         for level in range(LEVELS + 1):
-            sizes = nodes.groupBy("path").agg(F.count("*").alias("n"), F.min("cid").alias("head")).where("n > 1")
-            met = cut(split_join(nodes, sizes, ["path"]))
             last = level == LEVELS
-            small = (met if last else met.where(F.col("n") <= BUCKET)).join(classes.select("cid", "sketch"), "cid")
-            small = deal_tiles(small.select("path", "cid", "sketch"), "path", F.col("cid"), BUCKET) if last else small.select(
-                F.col("path").alias("tile"), F.lit(0).cast("byte").alias("side"), "cid", "sketch")
-            small = small.select("tile", "side", "cid", "sketch").repartition("tile").sortWithinPartitions("tile", "side")
-            found.append(cut(small.mapInArrow(_compare(least), "u binary, v binary").distinct()))
-            large = met.where(F.col("n") > BUCKET)
+            met = cut(_met(nodes, None if last else BUCKET))
+            small = (met if last else met.where(F.col("n") <= BUCKET)).join(sketches, "node")
+            small = deal_tiles(small.select("path", "node", "sketch"), "path", F.col("node"), BUCKET) if last else small.select(
+                F.col("path").alias("tile"), F.lit(0).cast("byte").alias("side"), "node", "sketch")
+            small = small.select("tile", "side", "node", "sketch").repartition("tile").sortWithinPartitions("tile", "node")
+            found.append(cut(small.mapInArrow(_compare(least), "u long, v long")))
+            large = met.where(F.col("n") > BUCKET).select("path", "node")
             if last or large.isEmpty():
                 break
-            heads = large.select("path", "head").distinct().join(classes.select(F.col("cid").alias("head"), F.col("sketch").alias("head_sketch")), "head")
-            large = cut(large.drop("head").join(classes.select("cid", "sketch"), "cid").join(heads, "path").mapInArrow(
-                _beside_head, "path long, cid binary, sketch binary, head binary, equal int"))
-            found.append(large.where(F.col("equal") >= joined).select(F.col("cid").alias("u"), F.col("head").alias("v")).distinct())
-            onward = large.where(F.col("equal") < inner).select("path", "cid", "sketch")
+            if not level:  # the levels below join sketches of little more than the sets of large buckets
+                sketches = cut(_marked(sketches, "node", large.select("node")))
+            heads = large.groupBy("path").agg(F.min("node").alias("head")).join(
+                sketches.select(F.col("node").alias("head"), F.col("sketch").alias("head_sketch")), "head")
+            large = cut(large.join(sketches, "node").join(heads, "path").select("path", "node", "sketch", "head", "head_sketch").mapInArrow(
+                _beside_head, "path long, node long, sketch binary, head long, equal int"))
+            found.append(large.where(F.col("equal") >= joined).select(F.col("node").alias("u"), F.col("head").alias("v")))
+            onward = large.where(F.col("equal") < inner).select("path", "node", "sketch")
             if onward.isEmpty():
                 break
             splits = level + 1
-            sent = onward.select("cid", "sketch").dropDuplicates(["cid"]) if sent is None else sent
-            nodes = onward.mapInArrow(split, "path long, cid binary")
+            sent = cut(onward.select("node", "sketch").dropDuplicates(["node"])) if sent is None else sent
+            nodes = onward.mapInArrow(split, "path long, node long")
         return splits, sent
 
-    splits, sent = descend(classes.select(F.explode("starts").alias("path"), "cid"))
+    # sets go by 64 bits of their keys until the candidates are known: two that share them are both candidates
+    splits, sent = descend(classes.select(F.explode("starts").alias("path"), "node"), classes.select("node", "sketch"))
     while (more := runs_for(recall, similarity, splits)) > runs:
         salts = mix64(np.arange(runs + 1, more + 1, dtype=_U)).view(np.int64).tolist()
         again = sent.withColumn("path", F.explode(F.array(*[F.lit(x) for x in salts])))
-        deeper, _ = descend(again.mapInArrow(split, "path long, cid binary"))
+        deeper, _ = descend(again.mapInArrow(split, "path long, node long"), sent)
         runs, splits = more, max(splits, deeper)
     edges = found[0]
     for f in found[1:]:
         edges = edges.union(f)
-    groups = cut(components(edges).withColumnRenamed("node", "cid").join(classes.select("cid", "m", "rep"), "cid"))
+    groups = cut(components(edges).join(classes.select("node", "cid", "m", "rep"), "node"))
 
-    mine = groups.select("cid", "m", F.xxhash64("component").alias("component"), F.col("rep.id").alias("_i"), F.col("rep.text_key").alias("_t"))
-    sizes = groups.groupBy(F.xxhash64("component").alias("component")).agg(F.count("*").alias("_n"))
+    mine = groups.select("cid", "m", "component", F.col("rep.id").alias("_i"), F.col("rep.text_key").alias("_t"))
+    sizes = groups.groupBy("component").agg(F.count("*").alias("_n"))
     dealt = _tiles_of(mine, sizes, TILE)
     wanted = _marked(source, "text_key", mine.select(F.col("_t").alias("text_key")))
     tiles = wanted.join(dealt, wanted["text_key"].eqNullSafe(F.col("_t")) & wanted["id"].eqNullSafe(F.col("_i"))).select("tile", "side", "cid", "m", "text")
-    tiles = tiles.repartition("tile").sortWithinPartitions("tile", "side")
+    tiles = tiles.repartition("tile").sortWithinPartitions("tile", "cid")
     compared = cut(tiles.mapInArrow(_links(words, similarity), "u binary, v binary, m long"))
 
     linked = compared.where("v is null").groupBy(F.col("u").alias("cid")).agg(F.sum("m").alias("linked"))
@@ -381,6 +381,18 @@ def join_documents(docs: DataFrame, words: int = WORDS, similarity: float = SIMI
                       (F.col("cid").isNull() | F.col("head").eqNullSafe(F.struct("id", "text_key"))).alias("first"))
 
 
+def _met(nodes: DataFrame, most: int | None) -> DataFrame:
+    """(path, node, n) of the buckets, rows of ``nodes`` (path, node) with the same path, of two sets at least.
+
+    Of buckets of the same sets one stands for all. Those of more than ``most`` sets
+    stay, as each is split by its own path.
+    """
+    sizes = nodes.groupBy("path").agg(F.count("*").alias("n"), F.bit_xor("node").alias("members")).where("n > 1")
+    own = F.lit(None) if most is None else F.when(F.col("n") > most, F.col("path"))
+    one = sizes.groupBy("n", "members", own.cast("long").alias("own")).agg(F.min("path").alias("path")).select("path", "n")
+    return split_join(nodes, one, ["path"])
+
+
 def _marked(rows: DataFrame, key: str, keys: DataFrame, marks: int = MARKS) -> DataFrame:
     """``rows`` whose hash ``key`` (long) may be among ``keys``: all that are, and few others.
 
@@ -406,8 +418,8 @@ def _beside_head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         x, y = (_read(b.column(c), np.uint16, TOKENS) for c in ("sketch", "head_sketch"))
         yield pa.RecordBatch.from_arrays(
-            [b.column("path"), b.column("cid"), b.column("sketch"), b.column("head"), pa.array((x == y).sum(1).astype(np.int32))],
-            names=["path", "cid", "sketch", "head", "equal"])
+            [b.column("path"), b.column("node"), b.column("sketch"), b.column("head"), pa.array((x == y).sum(1).astype(np.int32))],
+            names=["path", "node", "sketch", "head", "equal"])
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
