@@ -64,6 +64,28 @@ def test_values(spark):
     assert {(r.model_id, r.model, r.axon) for r in rows} == {("m1", "m", "ax-1")}
 
 
+def test_requests_are_the_lines_without_a_reason(spark):
+    odd = [envelope(body([[[1, 2], [3, 4]]])), envelope(body([[1], [None]])), envelope(body([[]])), envelope(body([None])), "[null]", "{}",
+           envelope(body([[1]])) + " {}", envelope(json.dumps(body([[2]])) + " 1"), envelope("null"), envelope(body([[1]]), drop=["timestamp"]),
+           envelope(body([["[1]"]])), envelope({**body([[1]]), "ISTIO_METAJSON_LABELS": [1]}), envelope(body([[1]], path=None)), envelope(body(7))]
+    df = spark.createDataFrame([(c[1],) for c in CASES] + [(v,) for v in odd], "value string")
+    lines = P.parse_lines(df).where("reason IS NULL")
+    got = P.parse_requests(df)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, lines.select(got.columns).collect()))
+    assert got.count() >= 6
+
+
+def test_requests_are_decoded_in_steps(spark, tmp_path):
+    """Rejects are dropped before the next decode, and the vector's text is decoded once."""
+    spark.createDataFrame([(c[1],) for c in CASES], "value string").write.text(str(tmp_path / "lines"))
+    plan = P.parse_requests(spark.read.text(str(tmp_path / "lines")))._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert sum(p.count("from_json(ArrayType(ArrayType(StringType") for p in plan) == 1
+    steps = [kind for p in plan for kind in ("Filter", "from_json") if f"{kind} " in p.split("[")[0] or f"{kind}(" in p]
+    order = [s for i, s in enumerate(steps) if not i or steps[i - 1] != s]
+    # from the rows up: marker, envelope, its fields, body, gate, vector, reason
+    assert order == ["Filter", "from_json", "Filter", "from_json", "Filter", "from_json", "Filter"]
+
+
 def test_responses_and_prefilter(spark):
     lines = [envelope({"score": 1}, marker=FMT.response_marker, escape=False),
              envelope(body([[1]]), escape=False), envelope(body([[1]]))]

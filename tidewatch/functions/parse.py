@@ -61,12 +61,13 @@ def parse_ts(text: Column) -> Column:
     return F.coalesce(wall, F.try_to_timestamp(text).cast("timestamp_ntz"))
 
 
-def ndarray_rows(raw: Column) -> Column:
+def ndarray_rows(raw: Column, r2: Column | None = None) -> Column:
     """Rows of a request's ``ndarray`` (its raw JSON text) as arrays of cell
     texts. Rank 2 is read as is; for rank 3 every row is flattened, so a row
     has the product of its shape as dimension. Anything else (rank 1, a cell
-    nested deeper) leaves null rows or non-numeric cells: a ``bad_vector``."""
-    r2 = F.from_json(raw, NDARRAY_TEXT)
+    nested deeper) leaves null rows or non-numeric cells: a ``bad_vector``.
+    ``r2``: a column that holds the rank 2 reading, which is used twice."""
+    r2 = F.from_json(raw, NDARRAY_TEXT) if r2 is None else r2
     nested = F.exists(r2, lambda r: F.exists(r, lambda c: c.startswith("[")))
     r3 = F.transform(F.from_json(raw, NDARRAY_RANK3), lambda r: F.flatten(r))
     return F.when(nested, r3).otherwise(r2)
@@ -89,6 +90,13 @@ def is_ragged(data: Column) -> Column:
     return F.exists(data, lambda r: F.size(r) != F.size(F.get(data, 0)))
 
 
+def vector_reason() -> Column:
+    """Why a request with all fields is dropped, from ``_rows``, ``data`` and ``_ts``; null for a good one."""
+    return (F.when(F.col("_rows").isNull() | has_null_cell(F.col("data")), "bad_vector")
+            .when(is_ragged(F.col("data")), "ragged_vector")
+            .when(F.col("_ts").isNull(), "bad_timestamp"))
+
+
 def with_object(df: DataFrame, name: str, text: Column, schema: T.StructType) -> DataFrame:
     """Add ``name``: the text's single JSON object, or null.
 
@@ -96,8 +104,13 @@ def with_object(df: DataFrame, name: str, text: Column, schema: T.StructType) ->
     the one element of an array, text with more than that (or less) is no
     array of one, so a text is decoded once. A field of another type is null.
     """
-    read = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema), {"mode": "PERMISSIVE"})
-    return df.withColumn("_read", read).withColumn(name, F.when(F.size("_read") == 1, F.get(F.col("_read"), 0))).drop("_read")
+    df = df.withColumn("_read", read_object(text, schema))
+    return df.withColumn(name, F.when(F.size("_read") == 1, F.get(F.col("_read"), 0))).drop("_read")
+
+
+def read_object(text: Column, schema: T.StructType) -> Column:
+    """The text's JSON values as an array: of one element if the text is a single object."""
+    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema), {"mode": "PERMISSIVE"})
 
 
 def with_body(df: DataFrame, name: str, body: Column, fmt: LogFormat) -> DataFrame:
@@ -137,9 +150,7 @@ def parse_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str =
               .when(~((path == fmt.predict_path) & app.endswith(fmt.proxy_suffix)), "not_predict_or_proxy")
               .when(model_id.isNull() | model.isNull() | axon.isNull() | F.col("_env.timestamp").isNull()
                     | nd.isNull(), "missing_field")
-              .when(F.col("_rows").isNull() | has_null_cell(F.col("data")), "bad_vector")
-              .when(is_ragged(F.col("data")), "ragged_vector")
-              .when(F.col("_ts").isNull(), "bad_timestamp"))
+              .otherwise(vector_reason()))
     return _fence(df, [
         F.col("_env.insertId").alias("insert_id"),
         model_id.alias("model_id"), model.alias("model"), axon.alias("axon"),
@@ -150,13 +161,36 @@ def parse_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str =
 def parse_requests(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str = "value") -> DataFrame:
     """Good requests: ``model_id, model, axon, insert_id, timestamp, ts, data``.
 
-    A cheap ``contains(marker)`` filter runs first, so lines without a
-    request marker never reach the two JSON decodes.
+    The rows of ``parse_lines`` without a reason, in steps: a line is dropped at
+    its first one, so the body is decoded only of envelopes with a request and
+    the vector only of requests that pass the gate. A cheap ``contains(marker)``
+    filter runs first. Every step is fenced: its filter stays above its decode.
     """
-    pre = lines.filter(F.col(value_col).contains(fmt.request_marker))
-    parsed = parse_lines(pre, fmt, value_col)
-    return (parsed.filter(F.col("reason").isNull())
-            .select("model_id", "model", "axon", "insert_id", "timestamp", "ts", "data"))
+    v, read = F.col(value_col), F.get(F.col("_read"), 0)
+    one = F.size("_read") == 1
+    df = lines.filter(v.contains(fmt.request_marker)).select(read_object(v, ENVELOPE).alias("_read"))
+    raw = after_marker(read.getField("textPayload"), fmt.request_marker)
+    df = _fence(df, [one.alias("_one"), read.getField("insertId").alias("insert_id"), read.getField("timestamp").alias("timestamp"),
+                     raw.alias("_raw")])
+    df = df.filter(F.col("_one") & F.col("insert_id").isNotNull() & F.col("_raw").isNotNull() & F.col("timestamp").isNotNull())
+    kept = ["insert_id", "timestamp"]
+    df = df.select(*kept, read_object(unescape(F.col("_raw")), body_schema(fmt)).alias("_read"))
+    labels = read.getField(fmt.labels_field)
+    fields = {"model_id": labels.getItem(fmt.model_id_label), "model": labels.getItem(fmt.model_label), "axon": labels.getItem(fmt.axon_label),
+              "_nd": read.getField("requestBody").getField("data").getField("ndarray")}
+    df = _fence(df, [*map(F.col, kept), one.alias("_one"), labels.getItem(fmt.app_label).alias("_app"), read.getField(":path").alias("_path"),
+                     *[c.alias(name) for name, c in fields.items()]])
+    passes = F.col("_one") & (F.col("_path") == fmt.predict_path) & F.col("_app").endswith(fmt.proxy_suffix)
+    for name in fields:
+        passes = passes & F.col(name).isNotNull()
+    df = df.filter(passes).withColumn("_r2", F.from_json(F.col("_nd"), NDARRAY_TEXT))
+    df = df.withColumn("_rows", ndarray_rows(F.col("_nd"), F.col("_r2"))).drop("_r2")
+    df = df.withColumn("data", cast_cells(F.col("_rows"))).withColumn("_ts", parse_ts(F.col("timestamp")))
+    # the reason is projected first: the fence of plain columns is compiled
+    df = df.withColumn("_reason", vector_reason())
+    names = ["model_id", "model", "axon", "insert_id", "timestamp"]
+    df = _fence(df, [*map(F.col, names), F.col("_ts").alias("ts"), F.col("data"), F.col("_reason").alias("reason")])
+    return df.filter(F.col("reason").isNull()).drop("reason")
 
 
 def reject_lines(lines: DataFrame, fmt: LogFormat = LogFormat(), value_col: str = "value") -> DataFrame:
